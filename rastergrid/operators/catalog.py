@@ -196,14 +196,12 @@ def preload_lists(users: DataFrame, preload: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.max(F.struct("premapid", "preloadlist")).alias("row"))
 
     own = newest(preload, "uid")
-    # A global aggregate is exactly one row, which is what makes it safe to broadcast.
-    shared = newest(preload.filter(F.col("uid") == SYSTEM_USER)).withColumnRenamed("row", "shared")
+    shared = newest(preload.filter(F.col("uid") == SYSTEM_USER)).scalar()
     return (
         users.join(own, "uid", "left")
-        .join(F.broadcast(shared), F.lit(True), "left")
         .select(
             "uid",
-            F.coalesce(F.col("row"), F.col("shared")).alias("r"),
+            F.coalesce(F.col("row"), shared).alias("r"),
             F.when(F.col("row").isNull(), SYSTEM_USER).otherwise(F.col("uid")).alias("list_uid"),
         )
         .select("uid", "list_uid", "r.premapid", "r.preloadlist")

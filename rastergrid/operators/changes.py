@@ -66,10 +66,8 @@ def dense_ids(rows: DataFrame, key: str, start: Column | int, name: str) -> Data
 
 def append_with_ids(snapshot: DataFrame, rows: DataFrame, key: str, id_name: str) -> DataFrame:
     """New rows with ids following the snapshot's highest id."""
-    # One row: the maximum of the whole snapshot.
-    top = snapshot.agg(F.coalesce(F.max(id_name), F.lit(0)).alias("top_"))
-    joined = rows.join(F.broadcast(top), F.lit(True))
-    numbered = dense_ids(joined, key, F.col("top_"), id_name).drop("top_")
+    top = snapshot.agg(F.coalesce(F.max(id_name), F.lit(0))).scalar()
+    numbered = dense_ids(rows, key, top, id_name)
     return numbered.withColumn(id_name, F.col(id_name).cast(snapshot.schema[id_name].dataType))
 
 

@@ -30,7 +30,7 @@ SQL = {
                CASE WHEN s_suppkey % 5 = 0 THEN '/user/' || s_suppkey ELSE 'sys/' || s_name END AS name,
                CASE WHEN s_suppkey % 25 = 24 THEN 'EPSG:3857' ELSE 'EPSG:4326' END AS proj,
                0 AS minZoom, (1 + s_suppkey % 4)::int AS maxZoom,
-               (1 + s_suppkey % 7)::int AS dataType, (1 + s_suppkey % 7)::int AS timeType,
+               1 AS dataType, (1 + s_suppkey % 7)::int AS timeType,
                'ht' || ((s_suppkey // 25) % 5) AS hTableName, 16 AS tileWid, 16 AS tileHei,
                'deflate' AS compress, (s_suppkey % 3)::int AS styleid, (s_suppkey % 2)::int AS userid,
                CASE WHEN s_suppkey % 3 = 1 THEN 'file' ELSE 'hbase' END AS source
@@ -168,7 +168,7 @@ class Derived:
             F.when(k % 25 == 24, "EPSG:3857").otherwise("EPSG:4326").alias("proj"),
             F.lit(0).alias("minZoom"),
             _int(1 + k % 4).alias("maxZoom"),
-            _int(1 + k % 7).alias("dataType"),
+            F.lit(1).alias("dataType"),
             _int(1 + k % 7).alias("timeType"),
             F.concat(F.lit("ht"), (idiv(k, 25) % 5).cast("string")).alias("hTableName"),
             F.lit(TILE).alias("tileWid"),
