@@ -36,7 +36,8 @@ def intersect(wanted: DataFrame, extents: DataFrame, keys: list[str]) -> DataFra
     """Common extent of each key's regions, inside the world.
 
     ``wanted`` has ``keys…, roi_id``; empty region texts are skipped, so a key with
-    only those keeps the world. ``missing`` counts regions without an extent.
+    only those keeps the world. ``named`` counts the others and ``missing`` those of
+    them without an extent.
     """
     named = F.col("roi_id") != ""
     joined = wanted.join(extents, "roi_id", "left")
@@ -46,6 +47,7 @@ def intersect(wanted: DataFrame, extents: DataFrame, keys: list[str]) -> DataFra
         F.least(world["right"], F.min("right")).alias("right"),
         F.least(world["top"], F.min("top")).alias("top"),
         F.greatest(world["bottom"], F.max("bottom")).alias("bottom"),
+        F.count_if(named).alias("named"),
         F.count_if(named & F.col("left").isNull()).alias("missing"),
     )
 

@@ -118,8 +118,12 @@ def unpack_tiles(
     height: int,
     type_code: int,
     skip: float | None = None,
+    missing: float = 0,
 ) -> DataFrame:
-    """Blocks to pixel rows ``(keys…, band, row, col, dn)``; ``skip`` drops a fill value."""
+    """Blocks to pixel rows ``(keys…, band, row, col, dn)``.
+
+    ``skip`` drops a fill value; a NULL block counts as one full of ``missing``.
+    """
     dtype = numpy_type(type_code)
     size = bands * width * height
     at_once = max(1, WORKING_BYTES // (size * 32))
@@ -136,10 +140,14 @@ def unpack_tiles(
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = np.arange(size, dtype=np.int32)
         band, row, col = index // (width * height), index // width % height, index % width
+        absent = np.full(size, missing, dtype)
         for batch in batches:
             for first in range(0, batch.num_rows, at_once):
                 part = batch.slice(first, at_once)
-                blocks = [np.frombuffer(b.as_buffer(), dtype) for b in part.column("data")]
+                blocks = [
+                    np.frombuffer(b.as_buffer(), dtype) if b.is_valid else absent
+                    for b in part.column("data")
+                ]
                 dn = np.concatenate(blocks).astype(np.float64)
                 owner = np.repeat(np.arange(part.num_rows), size)
                 place = np.tile(index, part.num_rows)

@@ -21,7 +21,9 @@ NO_SOURCE = "source is not supported"
 TABLE_SOURCE, FILE_SOURCE = "hbase", "file"
 
 
-def _planned(requests: DataFrame, products: DataFrame, bands: DataFrame, items: DataFrame | None) -> DataFrame:
+def plan_requests(
+    requests: DataFrame, products: DataFrame, bands: DataFrame, items: DataFrame | None
+) -> DataFrame:
     """Requests with product, effective date and one array entry per wanted band.
 
     Names that begin with a slash are user files: their only item's date is used and
@@ -95,7 +97,7 @@ def dataset_tiles(
     An empty band list takes all bands; an index out of range fails the whole read.
     Result: ``key, status, log, nbands, data`` with status 0 for a good read.
     """
-    planned = _planned(requests, products, bands, items)
+    planned = plan_requests(requests, products, bands, items)
     keys = [key, "z", "y", "x", "dt"]
     reads = _plane_reads(planned, bands, keys)
     stacked = stack_bands(_sliced(_by_source(reads, cells, files, store.at), keys), [key])
@@ -121,7 +123,7 @@ def dataset_series(
     """
     filters = ["startdt", "stopdt", "month", "day", "hour", "minute", "second"]
     known = requests.withColumn("dt", F.lit(0).cast("bigint"))
-    planned = _planned(known, products, bands, None).filter((F.size("bands") > 0) & F.col("log").isNull())
+    planned = plan_requests(known, products, bands, None).filter((F.size("bands") > 0) & F.col("log").isNull())
     keys = [key, "z", "y", "x"]
     reads = _plane_reads(planned, bands, keys)
     limits = requests.select(key, *filters)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import grid, texts
-from ..functions.columns import idiv
+from ..functions.columns import ColumnLike, as_column, idiv
 from .pixels import _fields, numpy_type
 
 
@@ -36,9 +36,12 @@ def merge_segments(segments: DataFrame) -> DataFrame:
     )
 
 
-def at_levels(segments: DataFrame, zmin: int, zmax: int) -> DataFrame:
-    """The same regions at other levels: a coarser pixel is in if any part of it is."""
-    levels = segments.withColumn("to", F.explode(F.sequence(F.lit(zmin), F.lit(zmax))))
+def at_levels(segments: DataFrame, zmin: ColumnLike, zmax: ColumnLike) -> DataFrame:
+    """The same regions at other levels: a coarser pixel is in if any part of it is.
+
+    The level range may differ per row; the result is merged.
+    """
+    levels = segments.withColumn("to", F.explode(F.sequence(as_column(zmin), as_column(zmax))))
     up = F.greatest(F.col("level") - F.col("to"), F.lit(0))
     down = F.greatest(F.col("to") - F.col("level"), F.lit(0))
 
@@ -59,9 +62,12 @@ def at_levels(segments: DataFrame, zmin: int, zmax: int) -> DataFrame:
     return merge_segments(scaled)
 
 
-def cut_at_tiles(segments: DataFrame, size: int) -> DataFrame:
-    """Segments cut at tile columns: ``(roi_id, z, grow, x, x0, x1)``."""
-    merged = merge_segments(segments)
+def cut_at_tiles(segments: DataFrame, size: int, merged: bool = False) -> DataFrame:
+    """Segments cut at tile columns: ``(roi_id, z, grow, x, x0, x1)``.
+
+    ``merged`` says that they do not overlap already.
+    """
+    merged = segments if merged else merge_segments(segments)
     tiles = F.sequence(idiv("x0", size).cast("int"), idiv("x1", size).cast("int"))
     return merged.select(
         "roi_id", F.col("level").alias("z"), "grow", "x0", "x1", F.explode(tiles).alias("x")
@@ -72,7 +78,7 @@ def cut_at_tiles(segments: DataFrame, size: int) -> DataFrame:
     )
 
 
-def by_tile(segments: DataFrame, size: int) -> DataFrame:
+def by_tile(segments: DataFrame, size: int, merged: bool = False) -> DataFrame:
     """One row per region and tile with its in-tile segments ``(row, c0, c1)``.
 
     Merged segments bound the list: at most half a tile width per tile row.
@@ -81,7 +87,7 @@ def by_tile(segments: DataFrame, size: int) -> DataFrame:
         (F.col("grow") % size).alias("row"), (F.col("x0") % size).alias("c0"), (F.col("x1") % size).alias("c1")
     )
     return (
-        cut_at_tiles(segments, size)
+        cut_at_tiles(segments, size, merged)
         .withColumn("y", idiv("grow", size).cast("int"))
         .groupBy("roi_id", "z", "y", "x").agg(F.collect_list(part).alias("segments"))
     )
@@ -104,12 +110,11 @@ def clip(pixels: DataFrame, segments: DataFrame, roi: str, size: int, fill: floa
     return hit.select(*others, F.when(F.col("s.x0").isNotNull(), F.col("p.dn")).otherwise(F.lit(fill)).alias("dn"))
 
 
-def _mask(segments, width: int, height: int) -> np.ndarray:
+def tile_mask(segments, width: int, height: int) -> np.ndarray:
     """Boolean tile mask of a list of in-tile segments."""
     edges = np.zeros((height, width + 1), np.int32)
     if segments is not None and len(segments):
-        flat = segments.flatten() if hasattr(segments, "flatten") else segments
-        row, c0, c1 = (np.asarray(flat.field(name)) for name in ("row", "c0", "c1"))
+        row, c0, c1 = (np.asarray(segments.field(name)) for name in ("row", "c0", "c1"))
         np.add.at(edges, (row, c0), 1)
         np.add.at(edges, (row, c1 + 1), -1)
     return np.cumsum(edges, axis=1)[:, :width] > 0
@@ -141,7 +146,7 @@ def clip_tiles(
                     data.append(cell.as_py())
                     continue
                 block = np.frombuffer(cell.as_buffer(), dtype).reshape(-1, height, width)
-                mask = _mask(batch.column("segments")[i].values, width, height)
+                mask = tile_mask(batch.column("segments")[i].values, width, height)
                 data.append(np.where(mask, block, np.array(columns["fill"][i].as_py(), dtype)).astype(dtype).tobytes())
             columns["data"] = pa.array(data, pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
@@ -183,7 +188,7 @@ def zonal_tiles(
             for i in range(batch.num_rows):
                 block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
                 plane = block.reshape(-1, height, width)[band]
-                mask = _mask(batch.column("segments")[i].values, width, height)
+                mask = tile_mask(batch.column("segments")[i].values, width, height)
                 chosen = plane[mask & (plane >= vmin) & (plane <= vmax)].astype(np.float64)
                 if len(chosen):
                     rows.append((len(chosen), chosen.sum(), chosen.min(), chosen.max()))

@@ -110,6 +110,10 @@ SQL = {
                ((13 * l_partkey + l_linenumber) % 64)::int AS gcol,
                max(trunc(l_quantity)) AS dn
         FROM lineitem GROUP BY ALL""",
+    "pyramid_pixels": """
+        SELECT hpid, (2 - k)::int AS z, ((grow >> k) // 16)::int AS y, ((gcol >> k) // 16)::int AS x, band, dt,
+               (grow >> k)::int AS grow, (gcol >> k)::int AS gcol, max(dn) AS dn
+        FROM pixels, (SELECT unnest(range(3))::int AS k) GROUP BY ALL""",
     "roi_segments": """
         SELECT 'sys:' || n_nationkey AS roi_id, 2 AS level, ((n_nationkey + k) % 32)::int AS grow,
                ((5 * n_nationkey + k) % 48)::int AS x0,
@@ -360,10 +364,27 @@ class Derived:
             .agg(F.max("dn").alias("dn"))
         )
 
-    def tile_cells(self) -> DataFrame:
+    def pyramid_pixels(self) -> DataFrame:
+        """The pixels with two coarser levels, each the maximum of what it covers."""
+        k = F.col("k")
+
+        def up(name):
+            return F.call_function("shiftright", F.col(name), k)
+
+        return (
+            self.pixels().withColumn("k", F.explode(F.array(*map(F.lit, range(LEVEL + 1)))))
+            .select(
+                "hpid", _int(F.lit(LEVEL) - k).alias("z"), _int(idiv(up("grow"), TILE)).alias("y"),
+                _int(idiv(up("gcol"), TILE)).alias("x"), "band", "dt", up("grow").alias("grow"), up("gcol").alias("gcol"), "dn",
+            )
+            .groupBy("hpid", "z", "y", "x", "band", "dt", "grow", "gcol")
+            .agg(F.max("dn").alias("dn"))
+        )
+
+    def tile_cells(self, pyramid: bool = False) -> DataFrame:
         """The pixels packed as two-band u8 blocks, 255 where nothing was observed."""
         packed = px.pack_tiles(
-            self.pixels().select(
+            (self.pyramid_pixels() if pyramid else self.pixels()).select(
                 "hpid", "z", "y", "x", "dt", "band",
                 (F.col("grow") % TILE).alias("row"),
                 (F.col("gcol") % TILE).alias("col"),

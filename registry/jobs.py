@@ -1,0 +1,185 @@
+"""Whole jobs and the worker feed."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from rastergrid.functions.columns import idiv
+from rastergrid.operators import changes, dates
+from rastergrid.plans import tile_job
+from rastergrid.session import shared_folder
+from rastergrid.sources import cells, orders
+from rastergrid.streaming import feed
+
+from .base import query
+from .derived import RUN_STAMP, TILE
+from .store import totals
+
+FILL = 255
+
+ORDER_TABLES = ("product", "pixels", "pyramid_pixels", "roi_segments")
+JOB = """
+    WITH ord AS (
+        SELECT s_suppkey AS order_id, s_suppkey AS s, CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'sys:' || s_suppkey % 30 ELSE 'sys:' || s_suppkey % 25 END AS roi
+        FROM supplier),
+    inp AS (
+        SELECT order_id, 0 AS position, s AS pid, (1996 + s % 4) * 10000000000 + (1 + s % 12) * 100000000 AS dt FROM ord
+        UNION ALL SELECT order_id, 1, s + 1, (1997 + s % 3) * 10000000000 + (1 + s % 11) * 100000000 FROM ord WHERE s % 3 = 0),
+    compat AS (
+        SELECT order_id, count(DISTINCT proj) AS np, min(maxZoom) AS zmax, count(p.pid) < count(*) AS lost, max(proj) AS proj
+        FROM inp LEFT JOIN product p USING (pid) GROUP BY order_id),
+    corner AS (
+        SELECT roi_id AS roi, min(x0) * 5.625::double - 180 AS l, (max(x1) + 1) * 5.625::double - 180 AS r,
+               90 - min(grow) * 5.625::double AS t, 90 - (max(grow) + 1) * 5.625::double AS b FROM roi_segments GROUP BY ALL),
+    st AS (
+        SELECT o.*, np, zmax, (CASE WHEN lost THEN 21 WHEN np > 1 THEN 22 WHEN o.roi <> '' AND c.l IS NULL THEN 23 ELSE 0 END)::int AS state,
+               CASE WHEN o.roi = '' THEN -180 ELSE greatest(-180, l - 0.703125::double) END AS l, CASE WHEN o.roi = '' THEN 180 ELSE least(180, r + 0.703125::double) END AS r,
+               CASE WHEN o.roi = '' THEN 90 ELSE least(90, t + 0.703125::double) END AS t, CASE WHEN o.roi = '' THEN -90 ELSE greatest(-90, b - 0.703125::double) END AS b
+        FROM ord o JOIN compat USING (order_id) LEFT JOIN corner c ON c.roi = o.roi),
+    rng AS (
+        SELECT order_id, z::int AS z, least(trunc((l + 180) / (360::double / (pow(2, z) * 16)))::int // 16, pow(2, z)::int - 1) AS xa,
+               least(trunc((r + 180) / (360::double / (pow(2, z) * 16)))::int // 16, pow(2, z)::int - 1) AS xb,
+               least(trunc((90 - t) / (360::double / (pow(2, z) * 16)))::int // 16, greatest(1, pow(2, z)::int // 2) - 1) AS ya,
+               least(trunc((90 - b) / (360::double / (pow(2, z) * 16)))::int // 16, greatest(1, pow(2, z)::int // 2) - 1) AS yb
+        FROM st, range(0, 6) AS q(z) WHERE z <= zmax AND state = 0),
+    tile AS (SELECT order_id, z, y::int AS y, x::int AS x FROM rng, range(32) AS a(y), range(32) AS c(x) WHERE y BETWEEN ya AND yb AND x BETWEEN xa AND xb),
+    have AS (SELECT DISTINCT hpid, dt, z, y, x FROM pyramid_pixels),
+    res AS (
+        SELECT t.order_id, t.z, t.y, t.x, bool_and(h.hpid IS NOT NULL) AS ok
+        FROM tile t JOIN inp i USING (order_id) LEFT JOIN have h ON h.hpid = i.pid // 25 AND h.dt = i.dt AND h.z = t.z AND h.y = t.y AND h.x = t.x GROUP BY ALL),
+    firstok AS (
+        SELECT i.order_id, bool_and(h.hpid IS NOT NULL) AS dry FROM inp i LEFT JOIN have h ON h.hpid = i.pid // 25 AND h.dt = i.dt AND h.z = 0 GROUP BY ALL)"""
+
+
+def job_inputs(d):
+    k = F.col("s_suppkey")
+    suppliers = d.table("supplier")
+    roi = (
+        F.when(k % 4 == 0, "").when(k % 4 == 1, F.concat(F.lit("sys:"), (k % 30).cast("string")))
+        .otherwise(F.concat(F.lit("sys:"), (k % 25).cast("string")))
+    )
+    order_rows = suppliers.select(
+        k.alias("order_id"), roi.alias("roi"), F.lit(0.0).alias("filldata"), (k + 50000).cast("int").alias("mpid_hpid"),
+        F.lit("out").alias("out_htable"), F.lit(1).cast("bigint").alias("out_hcol"), F.lit(4).alias("out_hpidlen"), F.lit(2).alias("out_xylen"),
+    )
+
+    def name(number):
+        return F.when(number % 5 == 0, F.concat(F.lit("/user/"), number.cast("string"))).otherwise(
+            F.concat(F.lit("sys/Supplier#"), F.lpad(number.cast("string"), 9, "0"))
+        )
+
+    def one(position, number, dt):
+        return suppliers.select(
+            k.alias("order_id"), F.lit(position).alias("position"), name(number).alias("dsname"), dt.alias("dt"),
+            F.array(F.lit(0), F.lit(1)).alias("bands"),
+        )
+
+    inputs = one(0, k, (1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).unionByName(
+        one(1, k + 1, (1997 + k % 3) * 10000000000 + (1 + k % 11) * 100000000).filter(F.col("order_id") % 3 == 0)
+    )
+    # User files would ignore the date asked for; here every product is a plain dataset.
+    products = d.product().withColumn("name", F.concat(F.lit("p:"), "name"))
+    inputs = inputs.withColumn("dsname", F.concat(F.lit("p:"), "dsname"))
+    return tile_job.JobInputs(
+        order_rows, inputs, products, d.product_band(), d.data_item(), d.tile_cells(pyramid=True), d.roi_segments()
+    )
+
+
+def brightest(tile):
+    """Largest observed value over all bands, 0 where none was observed."""
+    return np.where(tile == FILL, 0, tile).max(axis=0)[None]
+
+
+def run_job(d):
+    scratch = shared_folder(d.spark, "job")
+    source = f"{scratch}/source"
+    job = job_inputs(d)
+    cells.write(job.cells, source)
+    job.cells = cells.read(d.spark, source)
+    # The output store starts empty.
+    cells.write(job.cells.filter(F.lit(False)), f"{scratch}/store")
+    outcome = tile_job.run_jobs(d.spark, job, brightest, f"{scratch}/store", scratch, TILE)
+    return job, outcome, scratch
+
+
+@query("tile_job", JOB + """
+    SELECT s.order_id, (CASE WHEN state = 0 AND NOT dry THEN 20 ELSE state END)::int AS state,
+           coalesce(count(CASE WHEN ok AND dry THEN 1 END), 0) AS good, coalesce(count(CASE WHEN NOT ok AND dry THEN 1 END), 0) AS bad,
+           CASE WHEN state = 21 THEN 'at least one known dataset is needed' WHEN state = 22 THEN 'datasets differ in projection'
+                WHEN state = 23 THEN 'region has no data' WHEN NOT dry THEN 'the first tile could not be computed'
+                ELSE 'success done, good:' || count(CASE WHEN ok AND dry THEN 1 END) || ', bad:' || count(CASE WHEN NOT ok AND dry THEN 1 END) END AS message
+    FROM st s JOIN firstok f USING (order_id) LEFT JOIN res r ON r.order_id = s.order_id GROUP BY s.order_id, state, dry""", ORDER_TABLES)
+def tile_job_query(d):
+    """All orders run to the end: state, message and tile counts of each."""
+    return run_job(d)[1].select("order_id", "state", "good", "bad", "message")
+
+
+@query("tile_job_values", JOB + """,
+    v AS (
+        SELECT r.order_id, r.z, p.grow, p.gcol, max(p.dn) AS dn FROM res r JOIN inp i USING (order_id) JOIN firstok f ON f.order_id = r.order_id
+        JOIN pyramid_pixels p ON p.hpid = i.pid // 25 AND p.dt = i.dt AND p.z = r.z AND p.y = r.y AND p.x = r.x WHERE ok AND dry GROUP BY ALL),
+    m AS (SELECT DISTINCT roi_id AS roi, (2 - k)::int AS z, grow >> k AS grow, g >> k AS gcol
+          FROM roi_segments s, (SELECT unnest(range(3))::int AS k), range(64) AS c(g) WHERE g BETWEEN x0 AND x1)
+    SELECT v.order_id, v.z, count(*) AS n, sum(dn)::bigint AS total FROM v JOIN st USING (order_id) LEFT JOIN m ON m.roi = st.roi AND m.z = v.z AND m.grow = v.grow AND m.gcol = v.gcol
+    WHERE st.roi = '' OR m.roi IS NOT NULL GROUP BY ALL""", ORDER_TABLES)
+def tile_job_values(d):
+    """Pixels the jobs stored, read back from the store."""
+    _, _, scratch = run_job(d)
+    stored = cells.read(d.spark, f"{scratch}/store").withColumn("order_id", F.col("hpid").cast("bigint") - 50000)
+    rows = totals(stored, ["order_id", "z", "y", "x"], bands=1)
+    # Zero is what clipped and unobserved pixels hold; values themselves start at 1.
+    from rastergrid.operators import pixels as px
+
+    seen = px.unpack_tiles(stored, ["order_id", "z"], 1, TILE, TILE, 1, skip=0)
+    return seen.groupBy("order_id", "z").agg(F.count(F.lit(1)).alias("n"), F.sum("dn").cast("bigint").alias("total"))
+
+
+@query("job_results", """
+    SELECT s_suppkey AS order_id, (s_suppkey % 4)::int AS state, 'say "' || s_name || '"' AS message FROM supplier""")
+def job_results(d):
+    """Results written as JSON and read again; quotes survive."""
+    k = F.col("s_suppkey")
+    rows = d.table("supplier").select(
+        k.alias("order_id"), (k % 4).cast("int").alias("state"), F.concat(F.lit('say "'), "s_name", F.lit('"')).alias("message")
+    )
+    path = shared_folder(d.spark, "results")
+    orders.write_results(rows, path)
+    return d.spark.read.schema("order_id bigint, state int, message string").json(path)
+
+
+@query("job_registration", """
+    WITH j AS (SELECT (10000 + s_suppkey)::int AS pid FROM supplier)
+    SELECT 'band' AS kind, pid, pid || '/' || b AS text FROM j, range(2) AS t(b)
+    UNION ALL SELECT 'item', pid, '2024/02/01 03:04:05' FROM j UNION ALL SELECT 'product', pid, 'user/' || pid FROM j""")
+def job_registration(d):
+    """Band, item and product rows of finished orders."""
+    k = F.col("s_suppkey")
+    outcome = d.table("supplier").select(
+        k.alias("order_id"), F.lit(0).alias("state"), F.lit(3).alias("max_zoom"), F.lit("EPSG:4326").alias("proj"),
+        *(F.lit(v).alias(s) for s, v in {"left": -180.0, "right": 180.0, "top": 90.0, "bottom": -90.0}.items()),
+    )
+    job = job_inputs(d)
+    job.orders = job.orders.withColumn("mpid_hpid", (F.col("order_id") + 10000).cast("int"))
+    made = tile_job.registrations(outcome, job, 2, 1, F.to_timestamp(F.lit(RUN_STAMP)))
+    band = made["bands"].select(
+        F.lit("band").alias("kind"), "pid", F.concat(F.get_json_object("info", "$.hPid"), F.lit("/"), F.get_json_object("info", "$.bsqIndex")).alias("text")
+    )
+    item = made["items"].select(F.lit("item").alias("kind"), "pid", F.col("createtime").alias("text"))
+    product = made["products"].select(F.lit("product").alias("kind"), "pid", F.col("name").alias("text"))
+    return band.unionByName(item).unionByName(product)
+
+
+@query("worker_feed", """
+    SELECT t.ofid, mode, uid, (CASE WHEN w.state IS NULL THEN 0 WHEN w.state = 0 THEN 2 ELSE 3 END)::int AS status
+    FROM task t LEFT JOIN (SELECT ofid, arg_max(state, event_id) AS state FROM worker_result GROUP BY ofid) w USING (ofid)""",
+       ("task", "worker_result"))
+def worker_feed(d):
+    """Worker results streamed into the task table until all are taken."""
+    path = shared_folder(d.spark, "feed")
+    events = d.spark.readStream.schema(d.table("events").schema).option("pathGlobFilter", "events.parquet").parquet(d.sf_dir)
+    results = events.select(
+        "event_id", F.col("user_id").cast("int").alias("ofid"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("state")
+    )
+    feed.start(results, d.task(), f"{path}/status", f"{path}/checkpoint", "event_id").awaitTermination()
+    return feed.status_table(d.spark, f"{path}/status").drop("seen")
