@@ -231,14 +231,18 @@ def run_jobs(
     into the store, so neither step is repeated when executors are lost.
     """
     out_type = out_type or type_code
-    states = order_states(job, size)
-    prepared = (
-        states.filter(F.col("state") == extents.STATE_OK)
+    # Resolved orders are written once: both runs over tiles and the final report start
+    # from this small table instead of repeating the catalog joins.
+    (
+        order_states(job, size).join(order_planes(job), "order_id", "left")
+        .write.mode("overwrite").parquet(f"{scratch}/orders")
+    )
+    states = spark.read.parquet(f"{scratch}/orders")
+    resolved = (
+        states.filter((F.col("state") == extents.STATE_OK) & F.col("planes").isNotNull())
         .join(job.orders.withColumn("roi", F.coalesce("roi", F.lit(""))), "order_id")
-        .join(order_planes(job), "order_id", "left")
         .withColumns({"zmin": F.lit(0), "zmax": F.col("max_zoom")})
     )
-    resolved = prepared.filter(F.col("planes").isNotNull())
     first = resolved.withColumn("zmax", F.lit(0))
     compute_tiles(job, first, function, size, type_code, out_type).select(
         "order_id", "status"

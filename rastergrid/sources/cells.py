@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import packed_time as pt
+from ..functions.columns import idiv
 from ..operators.changes import last_per_key
 from ..operators.dates import DATE_CAP, first_dates
 
 PARTITIONS = ["htable", "hpid", "z"]
 TILE = [*PARTITIONS, "y", "x"]
 CELL = [*TILE, "dt"]
+BLOCK = 8
 SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
 
 
@@ -26,12 +28,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def write(cells: DataFrame, path: str) -> None:
     """Write cells, replacing the partitions they belong to.
 
-    A partition may hold most of all tiles, so rows are spread by tile rather than by
-    partition, and sorted so that row-group statistics prune tiles and dates.
+    A partition may hold most of all tiles, so it is spread over tasks by square blocks
+    of tiles and by year: large enough for useful files (with 256-pixel bytes, 4 MB per
+    date), small enough for one task. Rows are sorted so that row-group statistics
+    prune tiles and dates.
     """
+    block = [idiv("y", BLOCK), idiv("x", BLOCK), pt.part("dt", "year")]
     (
         cells.select(*CELL, "data")
-        .repartition(*TILE)
+        .repartition(*PARTITIONS, *block)
         .sortWithinPartitions(*CELL)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path)
