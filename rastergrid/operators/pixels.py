@@ -163,6 +163,54 @@ def unpack_tiles(
     return cells.select(*keys, "data").mapInArrow(unpack, schema)
 
 
+def block_statistics(
+    cells: DataFrame, keys: list[str], type_code: int, skip: float | None = None
+) -> DataFrame:
+    """``n, total, low, high`` of every block, without turning pixels into rows.
+
+    ``skip`` leaves out a fill value; a NULL block counts nothing.
+    """
+    dtype = numpy_type(type_code)
+    schema = T.StructType(
+        [
+            *_fields(cells, keys),
+            T.StructField("n", T.LongType()),
+            T.StructField("total", T.DoubleType()),
+            T.StructField("low", T.DoubleType()),
+            T.StructField("high", T.DoubleType()),
+        ]
+    )
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [block_numbers(_values(cell, dtype, skip)) for cell in batch.column("data")]
+            yield _numbers_batch([batch.column(k) for k in keys], rows, schema.names)
+
+    return cells.select(*keys, "data").mapInArrow(measure, schema)
+
+
+def _values(cell: pa.Scalar, dtype: np.dtype, skip: float | None) -> np.ndarray:
+    if not cell.is_valid:
+        return np.empty(0, dtype)
+    values = np.frombuffer(cell.as_buffer(), dtype)
+    return values if skip is None else values[values != skip]
+
+
+def block_numbers(values: np.ndarray) -> tuple:
+    """Count, sum, minimum and maximum of a numpy array."""
+    if not len(values):
+        return 0, 0.0, None, None
+    return len(values), float(values.sum(dtype=np.float64)), float(values.min()), float(values.max())
+
+
+def _numbers_batch(columns: list, rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
+    numbers = zip(*rows) if rows else ([], [], [], [])
+    return pa.RecordBatch.from_arrays(
+        [*columns, *(pa.array(list(c), t) for c, t in zip(numbers, types))], names
+    )
+
+
 def stack_bands(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Join single-band blocks ``(keys…, slot, data)`` in slot order into one block.
 

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import grid, texts
 from ..functions.columns import ColumnLike, as_column, idiv
-from .pixels import _fields, numpy_type
+from .pixels import WORKING_BYTES, _fields, _numbers_batch, block_numbers, numpy_type
 
 
 def merge_segments(segments: DataFrame) -> DataFrame:
@@ -120,6 +120,23 @@ def tile_mask(segments, width: int, height: int) -> np.ndarray:
     return np.cumsum(edges, axis=1)[:, :width] > 0
 
 
+class MaskCache:
+    """Tile masks by place, since all dates of a tile share them; bounded in bytes."""
+
+    def __init__(self, width: int, height: int):
+        self.width, self.height = width, height
+        self.limit = max(1, WORKING_BYTES // (width * height))
+        self.masks: dict[tuple, np.ndarray] = {}
+
+    def get(self, place: tuple, segments: pa.Scalar) -> np.ndarray:
+        mask = self.masks.get(place)
+        if mask is None:
+            if len(self.masks) >= self.limit:
+                self.masks.clear()
+            mask = self.masks[place] = tile_mask(segments.values, self.width, self.height)
+        return mask
+
+
 def clip_tiles(
     tiles: DataFrame,
     region_tiles: DataFrame,
@@ -137,6 +154,7 @@ def clip_tiles(
     joined = tiles.join(region_tiles, ["roi_id", "z", "y", "x"], "left").select(*names, "segments")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = MaskCache(width, height)
         for batch in batches:
             data = []
             columns = {name: batch.column(name) for name in names}
@@ -146,7 +164,8 @@ def clip_tiles(
                     data.append(cell.as_py())
                     continue
                 block = np.frombuffer(cell.as_buffer(), dtype).reshape(-1, height, width)
-                mask = tile_mask(batch.column("segments")[i].values, width, height)
+                place = (roi, *(columns[c][i].as_py() for c in ("z", "y", "x")))
+                mask = masks.get(place, batch.column("segments")[i])
                 data.append(np.where(mask, block, np.array(columns["fill"][i].as_py(), dtype)).astype(dtype).tobytes())
             columns["data"] = pa.array(data, pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
@@ -171,7 +190,9 @@ def zonal_tiles(
     those rows are shuffled.
     """
     dtype = numpy_type(type_code)
-    joined = cells.join(region_tiles, ["z", "y", "x"]).select("roi_id", *by, "data", "segments")
+    joined = cells.join(region_tiles, ["z", "y", "x"]).select(
+        "roi_id", "z", "y", "x", *(c for c in by if c not in ("z", "y", "x")), "data", "segments"
+    )
     schema = T.StructType(
         [
             *_fields(joined, ["roi_id", *by]),
@@ -183,21 +204,16 @@ def zonal_tiles(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = MaskCache(width, height)
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
+                place = tuple(batch.column(c)[i].as_py() for c in ("roi_id", "z", "y", "x"))
+                mask = masks.get(place, batch.column("segments")[i])
                 block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
-                plane = block.reshape(-1, height, width)[band]
-                mask = tile_mask(batch.column("segments")[i].values, width, height)
-                chosen = plane[mask & (plane >= vmin) & (plane <= vmax)].astype(np.float64)
-                if len(chosen):
-                    rows.append((len(chosen), chosen.sum(), chosen.min(), chosen.max()))
-                else:
-                    rows.append((0, 0.0, None, None))
-            numbers = list(zip(*rows)) if rows else [[], [], [], []]
-            columns = [batch.column(k) for k in ("roi_id", *by)]
-            columns += [pa.array(list(c), t) for c, t in zip(numbers, (pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+                plane = block.reshape(-1, height, width)[band][mask]
+                rows.append(block_numbers(plane[(plane >= vmin) & (plane <= vmax)]))
+            yield _numbers_batch([batch.column(k) for k in ("roi_id", *by)], rows, schema.names)
 
     totals = joined.mapInArrow(run, schema).groupBy("roi_id", *by).agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")

@@ -180,6 +180,7 @@ def compute_tiles(
     source, target = numpy_type(type_code), numpy_type(out_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = regions.MaskCache(size, size)
         for batch in batches:
             status, log, data = [], [], []
             for i in range(batch.num_rows):
@@ -192,7 +193,8 @@ def compute_tiles(
                         tile = np.frombuffer(cell.as_buffer(), source).reshape(-1, size, size)
                         result = np.asarray(function(tile)).astype(target)
                         if roi:
-                            mask = regions.tile_mask(batch.column("segments")[i].values, size, size)
+                            place = (roi, *(batch.column(c)[i].as_py() for c in ("z", "y", "x")))
+                            mask = masks.get(place, batch.column("segments")[i])
                             fill = np.array(batch.column("filldata")[i].as_py()).astype(target)
                             result = np.where(mask, result, fill)
                         block = np.ascontiguousarray(result, dtype=target).tobytes()

@@ -1,4 +1,4 @@
-"""The tile cell store: Parquet partitioned by table, product plane and level.
+"""The tile cell store: Parquet partitioned by table, product plane and year.
 
 Reads take a whole table of requests and join it; writes are keyed upserts that
 rewrite only the partitions a change set touches.
@@ -14,29 +14,38 @@ from ..functions.columns import idiv
 from ..operators.changes import last_per_key
 from ..operators.dates import DATE_CAP, first_dates
 
-PARTITIONS = ["htable", "hpid", "z"]
-TILE = [*PARTITIONS, "y", "x"]
+TILE = ["htable", "hpid", "z", "y", "x"]
 CELL = [*TILE, "dt"]
+# A new date then rewrites at most one year of one plane, and date ranges prune folders.
+PARTITIONS = ["htable", "hpid", "year"]
 BLOCK = 8
-SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
+SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, data binary, year int"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
+    """Stored cells; filters on ``htable, hpid, year`` prune folders."""
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def dated(cells: DataFrame, start: int, stop: int) -> DataFrame:
+    """Cells of a date range, both ends inclusive; other years' folders are not read."""
+    year = pt.PART_UNITS["year"]
+    return cells.filter(
+        F.col("year").between(start // year, stop // year) & F.col("dt").between(start, stop)
+    )
+
+
 def write(cells: DataFrame, path: str) -> None:
     """Write cells, replacing the partitions they belong to.
 
     A partition may hold most of all tiles, so it is spread over tasks by square blocks
-    of tiles and by year: large enough for useful files (with 256-pixel bytes, 4 MB per
-    date), small enough for one task. Rows are sorted so that row-group statistics
-    prune tiles and dates.
+    of tiles: large enough for useful files (with 256-pixel bytes, 4 MB per date), small
+    enough for one task. Rows are sorted so that row-group statistics prune tiles and
+    dates.
     """
-    block = [idiv("y", BLOCK), idiv("x", BLOCK), pt.part("dt", "year")]
     (
-        cells.select(*CELL, "data")
-        .repartition(*PARTITIONS, *block)
+        _with_year(cells.select(*CELL, "data"))
+        .repartition(*PARTITIONS, "z", idiv("y", BLOCK), idiv("x", BLOCK))
         .sortWithinPartitions(*CELL)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path)
@@ -50,17 +59,23 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str) -> No
     the job commits, so a lost executor leaves the old partitions as they were.
     """
     final = last_per_key(changes, CELL, order).select(*CELL, "data")
-    touched = changes.select(*PARTITIONS).distinct()
+    touched = _with_year(changes).select(*PARTITIONS).distinct()
     kept = (
         read(spark, path).join(touched, PARTITIONS, "left_semi")
-        .join(final.select(*CELL), CELL, "left_anti")
+        .join(final.select(*CELL), CELL, "left_anti").select(*CELL, "data")
     )
     write(kept.unionByName(final), path)
 
 
-def _touched_only(cells: DataFrame, requests: DataFrame) -> DataFrame:
-    """Cells of the partitions that are asked for, so that others are not scanned."""
-    return cells.join(requests.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
+def _with_year(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("year", pt.part("dt", "year"))
+
+
+def _touched_only(cells: DataFrame, keys: DataFrame) -> DataFrame:
+    """Cells of the partitions that keys with a date name; others are not scanned."""
+    if "year" not in cells.columns:
+        return cells
+    return cells.join(_with_year(keys).select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
 
 
 def at(cells: DataFrame, requests: DataFrame) -> DataFrame:
@@ -81,4 +96,4 @@ def between(
         & pt.passes("dt", *(F.col(n) for n in names))
     )
     chosen = first_dates(dates.select(*keys, *CELL), keys, cap)
-    return chosen.join(_touched_only(cells, requests).select(*CELL, "data"), CELL)
+    return chosen.join(_touched_only(cells, chosen).select(*CELL, "data"), CELL)

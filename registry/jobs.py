@@ -5,8 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from rastergrid.functions.columns import idiv
-from rastergrid.operators import changes, dates
+from rastergrid.operators import pixels as px
 from rastergrid.plans import tile_job
 from rastergrid.session import shared_folder
 from rastergrid.sources import cells, orders
@@ -14,7 +13,6 @@ from rastergrid.streaming import feed
 
 from .base import query
 from .derived import RUN_STAMP, TILE
-from .store import totals
 
 FILL = 255
 
@@ -127,12 +125,11 @@ def tile_job_values(d):
     """Pixels the jobs stored, read back from the store."""
     _, _, scratch = run_job(d)
     stored = cells.read(d.spark, f"{scratch}/store").withColumn("order_id", F.col("hpid").cast("bigint") - 50000)
-    rows = totals(stored, ["order_id", "z", "y", "x"], bands=1)
     # Zero is what clipped and unobserved pixels hold; values themselves start at 1.
-    from rastergrid.operators import pixels as px
-
-    seen = px.unpack_tiles(stored, ["order_id", "z"], 1, TILE, TILE, 1, skip=0)
-    return seen.groupBy("order_id", "z").agg(F.count(F.lit(1)).alias("n"), F.sum("dn").cast("bigint").alias("total"))
+    numbers = px.block_statistics(stored, ["order_id", "z"], 1, skip=0)
+    return numbers.filter("n > 0").groupBy("order_id", "z").agg(
+        F.sum("n").alias("n"), F.sum("total").cast("bigint").alias("total")
+    )
 
 
 @query("job_results", """

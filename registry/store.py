@@ -17,10 +17,10 @@ from .derived import TILE
 FILL = 255
 
 
-def totals(tiles, keys, bands=2):
+def totals(tiles, keys):
     """Observed pixels and their sum per key of packed u8 tiles."""
-    rows = px.unpack_tiles(tiles, keys, bands, TILE, TILE, 1, skip=FILL)
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("dn").cast("bigint").alias("total"))
+    numbers = px.block_statistics(tiles, keys, 1, skip=FILL)
+    return numbers.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").cast("bigint").alias("total"))
 
 
 CELL_REQUESTS = """
@@ -43,11 +43,7 @@ def cell_requests(d):
     FROM ({CELL_REQUESTS}) r LEFT JOIN pixels p USING (hpid, z, y, x, dt) GROUP BY request_id""", ("pixels",))
 def cell_read(d):
     """Cells of a request table, decoded; missing cells count nothing."""
-    found = cells.at(d.tile_cells(), cell_requests(d))
-    decoded = totals(found.filter(F.col("data").isNotNull()), ["request_id"])
-    return found.select("request_id").join(decoded, "request_id", "left").select(
-        "request_id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total")
-    )
+    return totals(cells.at(d.tile_cells(), cell_requests(d)), ["request_id"])
 
 
 SERIES_REQUESTS = """
@@ -134,16 +130,8 @@ def band_select(d):
     tiles = reading.dataset_tiles(
         dataset_requests(d), d.product(), d.product_band(), d.data_item(), d.tile_cells()
     )
-    good = tiles.filter(F.col("status") == 0)
-    # Band counts differ per request, so each pixel plane is decoded as its own block.
-    plane = TILE * TILE
-    planes = good.select(
-        "request_id", "data", F.explode(F.sequence(F.lit(0), idiv(F.octet_length("data"), plane).cast("int") - 1)).alias("slot")
-    ).select("request_id", F.substring(F.col("data"), F.col("slot") * plane + 1, F.lit(plane)).alias("data"))
-    decoded = totals(planes, ["request_id"], bands=1)
-    return tiles.join(decoded, "request_id", "left").select(
-        "request_id", "status", "log", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total")
-    )
+    numbers = px.block_statistics(tiles, ["request_id", "status", "log"], 1, skip=FILL)
+    return numbers.select("request_id", "status", "log", "n", F.col("total").cast("bigint").alias("total"))
 
 
 @query("user_file_read", """
@@ -161,10 +149,7 @@ def user_file_read(d):
     )
     monthly = d.data_item().withColumn("hcol", idiv("hcol", 100000000) * 100000000)
     tiles = reading.dataset_tiles(requests, d.product(), d.product_band(), monthly, d.tile_cells())
-    decoded = totals(tiles.filter("status = 0"), ["request_id"])
-    return tiles.join(decoded, "request_id", "left").select(
-        "request_id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total")
-    )
+    return totals(tiles, ["request_id"])
 
 
 @query("dataset_series", """
@@ -196,7 +181,7 @@ def cell_upsert(d):
     path = shared_folder(d.spark, "cells")
     base = d.tile_cells()
     cells.write(base, path)
-    year = cells.read(d.spark, path).filter(F.col("dt").between(19990000000000, 19991231235959))
+    year = cells.dated(cells.read(d.spark, path), 19990000000000, 19991231235959).select(*cells.CELL, "data")
     raised = px.map_tiles(
         year, cells.CELL, lambda tile: tile + (tile != FILL), 2, TILE, TILE, 1
     ).select(*cells.CELL, "data")
@@ -215,10 +200,7 @@ def cell_read_band(d):
     """One band sliced out of each requested cell."""
     found = cells.at(d.tile_cells(), cell_requests(d)).withColumn("bsq", (F.col("request_id") % 2).cast("int"))
     sliced = found.select("request_id", px.band_block("data", "bsq", F.lit(TILE * TILE)).alias("data"))
-    decoded = totals(sliced.filter(F.col("data").isNotNull()), ["request_id"], bands=1)
-    return found.select("request_id").join(decoded, "request_id", "left").select(
-        "request_id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("total", F.lit(0)).alias("total")
-    )
+    return totals(sliced, ["request_id"])
 
 
 @query("tile_files", """
