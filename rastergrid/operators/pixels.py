@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import idiv
 from ..functions.pixel_types import PIXEL_TYPES
+from ..joins import broadcast_if_small, never_broadcast
 
 # Memory one task may hold in open blocks or unpacked rows.
 WORKING_BYTES = 32 << 20
@@ -456,7 +457,7 @@ def reduce_dates(
         )
 
     chosen = first_dates(cells.select(*keys, "dt"), keys, cap)
-    return cells.join(chosen, [*keys, "dt"], "left_semi").select(*keys, "dt", "data").groupBy(*keys).applyInArrow(run, schema)
+    return never_broadcast(cells).join(chosen, [*keys, "dt"], "left_semi").select(*keys, "dt", "data").groupBy(*keys).applyInArrow(run, schema)
 
 
 def pivot_bands(pixels: DataFrame, keys: list[str], bands: int) -> DataFrame:
@@ -484,7 +485,7 @@ def zonal(
     """
     from .regions import cut_at_tiles
 
-    cut = cut_at_tiles(segments, size)
+    cut = broadcast_if_small(cut_at_tiles(segments, size))
     inside = (F.col("gcol") >= F.col("x0")) & (F.col("gcol") <= F.col("x1"))
     hit = (
         pixels.withColumn("dn", valid_dn("dn", vmin, vmax))

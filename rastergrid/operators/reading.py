@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.pixel_types import bytes_per_pixel
+from ..joins import never_broadcast
 from ..sources import cells as store
 from .catalog import by_name
 from .dates import DATE_CAP
@@ -56,7 +57,8 @@ def _plane_reads(planned: DataFrame, bands: DataFrame, keys: list[str]) -> DataF
         *keys, "pid", "hTableName", "tileWid", "tileHei", "dataType", "user_file", "source",
         F.posexplode("slots").alias("slot", "bindex"),
     )
-    located = wanted.join(bands.select("pid", "bindex", "hPid", "bsqIndex"), ["pid", "bindex"])
+    # A left join can only broadcast the band table, never the expanded requests.
+    located = wanted.join(bands.select("pid", "bindex", "hPid", "bsqIndex"), ["pid", "bindex"], "left")
     # A user file is one block: everything comes from the first band's plane.
     located = located.filter(~F.col("user_file") | (F.col("slot") == 0))
     return located.groupBy(
@@ -135,7 +137,9 @@ def dataset_series(
         return store.between(source, rows, [key, "htable", "hpid"], limit)
 
     found = _by_source(asked, cells, files, read)
-    dated = found.select(key, "htable", "hpid", "dt", "data").join(reads, [key, "htable", "hpid"])
+    dated = never_broadcast(found.select(key, "htable", "hpid", "dt", "data")).join(
+        reads, [key, "htable", "hpid"]
+    )
     sliced = _sliced(dated, [key, "dt"])
     slots = planned.select(key, F.size("slots").alias("wanted"))
     counted = stack_bands(sliced, [key, "dt"]).join(

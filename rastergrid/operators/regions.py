@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import grid, texts
 from ..functions.columns import ColumnLike, as_column, idiv
+from ..joins import broadcast_if_small
 from .pixels import WORKING_BYTES, _fields, _numbers_batch, block_numbers, numpy_type
 
 
@@ -98,7 +99,7 @@ def clip(pixels: DataFrame, segments: DataFrame, roi: str, size: int, fill: floa
 
     Merged segments do not overlap, so each pixel meets at most one of them.
     """
-    cut = cut_at_tiles(segments, size).withColumnRenamed("roi_id", roi)
+    cut = broadcast_if_small(cut_at_tiles(segments, size)).withColumnRenamed("roi_id", roi)
     hit = pixels.alias("p").join(
         cut.alias("s"),
         (F.col(f"p.{roi}") == F.col(f"s.{roi}")) & (F.col("p.z") == F.col("s.z"))
@@ -151,7 +152,8 @@ def clip_tiles(
     dtype = numpy_type(type_code)
     names = tiles.columns
     schema = T.StructType(_fields(tiles, names))
-    joined = tiles.join(region_tiles, ["roi_id", "z", "y", "x"], "left").select(*names, "segments")
+    regions = broadcast_if_small(region_tiles)
+    joined = tiles.join(regions, ["roi_id", "z", "y", "x"], "left").select(*names, "segments")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = MaskCache(width, height)
@@ -190,7 +192,7 @@ def zonal_tiles(
     those rows are shuffled.
     """
     dtype = numpy_type(type_code)
-    joined = cells.join(region_tiles, ["z", "y", "x"]).select(
+    joined = cells.join(broadcast_if_small(region_tiles), ["z", "y", "x"]).select(
         "roi_id", "z", "y", "x", *(c for c in by if c not in ("z", "y", "x")), "data", "segments"
     )
     schema = T.StructType(

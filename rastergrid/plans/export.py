@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..joins import never_broadcast
 from ..operators import pixels as px
 from ..operators.pyramid import enumerate_tiles
 from ..sources.cells import CELL
@@ -27,8 +28,7 @@ def export_grid(
     attributes = ["htable", "hpid", "dt"]
     extents = orders.withColumns({"zmin": F.col("level"), "zmax": F.col("level")})
     wanted = enumerate_tiles(extents, [*keys, *attributes], size)
-    # Expanded keys look tiny to the planner, so they must not become a broadcast side.
-    found = wanted.hint("merge").join(cells.select(*CELL, "data"), CELL, "left")
+    found = never_broadcast(wanted).join(cells.select(*CELL, "data"), CELL, "left")
     rows = px.unpack_tiles(
         found, [*keys, "z", "y", "x"], bands, size, size, type_code, missing=fill
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid, rowkey
 from ..functions.pixel_types import bytes_per_pixel
+from ..joins import never_broadcast
 from ..operators import changes, extents, reading, regions
 from ..operators.pixels import band_block, numpy_type
 from ..operators.pyramid import enumerate_tiles
@@ -127,9 +128,8 @@ def _stacked(joined: DataFrame, attributes: list[str]) -> DataFrame:
         return block.when(enough, F.substring(F.col("data"), (start + 1).cast("int"), F.col("band_bytes").cast("int")))
 
     def concatenated(blocks: Column) -> Column:
-        whole = F.aggregate(blocks, F.lit(b""), lambda acc, block: F.concat(acc, block))
-        # An error value would be lost in concat, which gives NULL for any NULL part.
-        return whole
+        # concat gives NULL for any NULL part, so one missing band leaves no block.
+        return F.aggregate(blocks, F.lit(b""), lambda acc, block: F.concat(acc, block))
 
     # Most orders read one plane: their bands are joined inside the row, without a shuffle.
     single = joined.filter(F.col("planes_") == 1).select(
@@ -170,13 +170,12 @@ def compute_tiles(
     depth = ready.filter(F.col("roi") != "").groupBy(F.col("roi").alias("roi_id")).agg(F.max("zmax").alias("depth"))
     levels = regions.at_levels(job.segments.join(depth, "roi_id"), F.lit(0), F.col("depth"))
     region_tiles = regions.by_tile(levels, size, merged=True).withColumnRenamed("roi_id", "roi")
-    # Expanded keys look tiny to the planner; the hint keeps them from being broadcast.
-    placed = tiles.hint("merge").join(region_tiles, ["roi", "z", "y", "x"], "left")
+    placed = never_broadcast(tiles).join(region_tiles, ["roi", "z", "y", "x"], "left")
     attributes = ["roi", "filldata", *OUTPUT, "segments"]
     requests = placed.select(
         *TILE_KEY, *attributes, F.size("planes").alias("planes_"), F.explode("planes").alias("plane")
     ).select(*TILE_KEY, *attributes, "planes_", "plane.*")
-    joined = requests.hint("merge").join(job.cells.select(*store.CELL, "data"), store.CELL, "left")
+    joined = never_broadcast(requests).join(job.cells.select(*store.CELL, "data"), store.CELL, "left")
     source, target = numpy_type(type_code), numpy_type(out_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import packed_time as pt
 from ..functions.columns import idiv
+from ..joins import never_broadcast
 from ..operators.changes import last_per_key
 from ..operators.dates import DATE_CAP, first_dates
 
@@ -80,7 +81,8 @@ def _touched_only(cells: DataFrame, keys: DataFrame) -> DataFrame:
 
 def at(cells: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests on a full cell key with their ``data``, NULL where there is none."""
-    return requests.join(_touched_only(cells, requests).select(*CELL, "data"), CELL, "left")
+    payload = never_broadcast(_touched_only(cells, requests).select(*CELL, "data"))
+    return requests.join(payload, CELL, "left")
 
 
 def between(
@@ -96,4 +98,4 @@ def between(
         & pt.passes("dt", *(F.col(n) for n in names))
     )
     chosen = first_dates(dates.select(*keys, *CELL), keys, cap)
-    return chosen.join(_touched_only(cells, chosen).select(*CELL, "data"), CELL)
+    return chosen.join(never_broadcast(_touched_only(cells, chosen).select(*CELL, "data")), CELL)
