@@ -107,8 +107,10 @@ def nested(products: DataFrame, bands: DataFrame, storage: DataFrame) -> DataFra
 
 def by_name(names: DataFrame, products: DataFrame) -> DataFrame:
     """Product of each ``dsname``; the lowest pid where several share a name."""
-    first = products.groupBy(F.col("name").alias("dsname")).agg(F.min("pid").alias("pid"))
-    return names.join(first, "dsname", "left").join(products, "pid", "left")
+    others = [c for c in products.columns if c not in ("pid", "name")]
+    first = products.groupBy(F.col("name").alias("dsname")).agg(F.min(F.struct("pid", *others)).alias("p"))
+    known = first.select("dsname", F.col("dsname").alias("name"), "p.*")
+    return names.join(known, "dsname", "left")
 
 
 def first_display(displays: DataFrame) -> DataFrame:

@@ -228,47 +228,50 @@ def polygon_segments(
 ) -> DataFrame:
     """Row segments of polygons, a pixel being in when its centre is (even-odd rule).
 
-    ``vertices`` has ``roi_id, ring, seq, lon, lat``; rings close by themselves. Every
-    edge is expanded to the pixel rows whose centre line it crosses, and crossings of
-    a row are paired in order.
+    ``vertices`` has ``roi_id, ring, seq, lon, lat`` with ``seq`` counting up by one;
+    rings close by themselves. Every edge is expanded to the pixel rows whose centre
+    line it crosses. Crossings that fall between the same two centres cancel in pairs,
+    so what is ordered per row is bounded by the width of the level.
     """
     degrees = 360.0 / (2**level * size)
     columns = 2**level * size
     rows = max(1, 2**level // 2) * size
-    ring = Window.partitionBy("roi_id", "ring").orderBy("seq")
-    whole = Window.partitionBy("roi_id", "ring")
-    edges = vertices.select(
-        "roi_id", "ring", "seq",
+    ring = ["roi_id", "ring"]
+    corners = vertices.select(
+        *ring, "seq",
         ((F.col("lon") + 180.0) / degrees).alias("px"),
         ((F.lit(90.0) - F.col("lat")) / degrees).alias("py"),
+    )
+    ends = corners.select(
+        *ring, (F.col("seq") - 1).alias("seq"), F.col("px").alias("qx"), F.col("py").alias("qy")
+    )
+    # Neighbours meet by an equality join and only the closing edge by ring, so a ring
+    # with very many corners is not gathered in one place.
+    point = F.struct("px", "py")
+    closing = corners.groupBy(*ring).agg(
+        F.max_by(point, "seq").alias("last"), F.min_by(point, "seq").alias("first")
     ).select(
-        "roi_id", "px", "py",
-        F.coalesce(F.lead("px").over(ring), F.min_by("px", "seq").over(whole)).alias("qx"),
-        F.coalesce(F.lead("py").over(ring), F.min_by("py", "seq").over(whole)).alias("qy"),
-    ).filter("py <> qy")
+        *ring, "last.px", "last.py", F.col("first.px").alias("qx"), F.col("first.py").alias("qy")
+    )
+    edges = corners.join(ends, [*ring, "seq"]).drop("seq").unionByName(closing).filter("py <> qy")
     # An edge covers the row centres in [min, max), so shared corners count once.
     first = F.greatest(F.ceil(F.least("py", "qy") - 0.5), F.lit(0)).cast("int")
     last = F.least(F.ceil(F.greatest("py", "qy") - 0.5) - 1, F.lit(rows - 1)).cast("int")
-    crossings = (
+    share = (F.col("grow") + 0.5 - F.col("py")) * (F.col("qx") - F.col("px")) / (F.col("qy") - F.col("py"))
+    column = F.greatest(F.lit(0), F.least(F.lit(columns), F.ceil(F.col("px") + share - 0.5)))
+    toggles = (
         edges.withColumns({"r0": first, "r1": last}).filter("r0 <= r1")
         .select("*", F.explode(F.sequence("r0", "r1")).alias("grow"))
-        .select(
-            "roi_id", "grow",
-            (
-                F.col("px")
-                + (F.col("grow") + 0.5 - F.col("py")) * (F.col("qx") - F.col("px")) / (F.col("qy") - F.col("py"))
-            ).alias("cx"),
-        )
+        .groupBy("roi_id", "grow", column.cast("int").alias("x0"))
+        .agg((F.count(F.lit(1)) % 2).alias("odd")).filter("odd = 1")
     )
-    order = Window.partitionBy("roi_id", "grow").orderBy("cx")
-    paired = crossings.withColumn("number", F.row_number().over(order)).withColumn(
-        "next", F.lead("cx").over(order)
+    order = Window.partitionBy("roi_id", "grow").orderBy("x0")
+    paired = toggles.withColumn("number", F.row_number().over(order)).withColumn(
+        "next", F.lead("x0").over(order)
     ).filter("number % 2 = 1")
-    x0 = F.greatest(F.ceil(F.col("cx") - 0.5), F.lit(0)).cast("int")
-    x1 = F.least(F.ceil(F.col("next") - 0.5) - 1, F.lit(columns - 1)).cast("int")
     return paired.select(
-        "roi_id", F.lit(level).alias("level"), "grow", x0.alias("x0"), x1.alias("x1")
-    ).filter("x0 <= x1")
+        "roi_id", F.lit(level).alias("level"), "grow", "x0", (F.col("next") - 1).alias("x1")
+    )
 
 
 def resolve(wanted: DataFrame, stores: DataFrame, files: DataFrame | None = None) -> DataFrame:

@@ -10,44 +10,28 @@ from ..operators import changes
 VERSION = "version"
 
 
-def _latest(spark: SparkSession, path: str, below: int) -> DataFrame | None:
-    """The newest complete snapshot older than a batch."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    numbers = []
-    for entry in files.listStatus(folder):
-        name = entry.getPath().getName()
-        if name.startswith(f"{VERSION}=") and files.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
-            numbers.append(int(name.split("=")[1]))
-    older = [n for n in numbers if n < below]
-    return spark.read.parquet(f"{path}/{VERSION}={max(older)}") if older else None
-
-
-def status_table(spark: SparkSession, path: str, below: int = 1 << 62) -> DataFrame:
+def status_table(spark: SparkSession, path: str) -> DataFrame:
     """The newest status snapshot."""
-    found = _latest(spark, path, below)
-    if found is None:
-        raise FileNotFoundError(f"no snapshot under {path}")
-    return found
+    versions = spark.read.parquet(path)
+    newest = versions.agg(F.max(VERSION)).scalar()
+    return versions.filter(F.col(VERSION) == newest).drop(VERSION)
 
 
 def start(results: DataFrame, tasks: DataFrame, path: str, checkpoint: str, order: str):
     """Start a stream that merges worker results into snapshots under ``path``.
 
-    Each batch writes its own version from the version before, so a batch that is
-    replayed after a failure replaces its own output and nothing is counted twice.
+    Batches are numbered without gaps and each writes its own version from the version
+    before, so a batch that is replayed after a failure replaces its own output and
+    nothing is counted twice.
     ``seen`` is the order value of the result a status came from; a result that
     arrives late with a lower one changes nothing.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = _latest(spark, path, number)
-        if before is None:
+        if number == 0:
             before = tasks.withColumn("seen", F.lit(None).cast("bigint"))
+        else:
+            before = batch.sparkSession.read.parquet(f"{path}/{VERSION}={number - 1}")
         last = batch.groupBy("ofid").agg(F.max(F.struct(order, "state")).alias("last"))
         new = last.select(
             "ofid", F.col("last.state").alias("state_"), F.col(f"last.{order}").cast("bigint").alias("seen_")
