@@ -96,11 +96,16 @@ def pixel_value(
     ``strict_zero``.
     """
     data, code = as_column(data), as_column(type_code)
+    pixel_bytes = (
+        F.lit(PIXEL_TYPES[type_code][1] if type_code in PIXEL_TYPES else 0)
+        if isinstance(type_code, int)
+        else bytes_per_pixel(code)
+    )
     width, height, bands, band, row, col = map(
         as_column, (width, height, bands, band, row, col)
     )
     index = band.cast("bigint") * width * height + row * width + col
-    start = (index * bytes_per_pixel(code) + 1).cast("int")
+    start = (index * pixel_bytes + 1).cast("int")
     inside = (
         (band >= 0) & (band < bands) & (row >= 0) & (row < height) & (col >= 0) & (col < width)
     )
@@ -108,14 +113,21 @@ def pixel_value(
     def u(length: int) -> Column:
         return _unsigned(data, start, length)
 
-    value = (
-        F.when(code == 1, u(1).cast("double"))
-        .when(code == 2, u(2).cast("double"))
-        .when(code == 3, _signed(u(2), 16).cast("double"))
-        .when(code == 4, u(4).cast("double"))
-        .when(code == 5, _signed(u(4), 32).cast("double"))
-        .when(code == 6, _float32(u(4)))
-        .when(code == 7, _float64(u(4), _unsigned(data, start + 4, 4)))
-    )
+    by_code = {
+        1: lambda: u(1).cast("double"),
+        2: lambda: u(2).cast("double"),
+        3: lambda: _signed(u(2), 16).cast("double"),
+        4: lambda: u(4).cast("double"),
+        5: lambda: _signed(u(4), 32).cast("double"),
+        6: lambda: _float32(u(4)),
+        7: lambda: _float64(u(4), _unsigned(data, start + 4, 4)),
+    }
+    if isinstance(type_code, int):
+        # A known type needs its own branch only, which keeps the generated code small.
+        value = by_code.get(type_code, lambda: F.lit(None).cast("double"))()
+    else:
+        value = F.when(F.lit(False), F.lit(0.0))
+        for number, decode in by_code.items():
+            value = value.when(code == number, decode())
     value = F.when(inside, value)
     return F.coalesce(value, F.lit(0.0)) if strict_zero else value

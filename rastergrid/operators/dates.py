@@ -147,7 +147,7 @@ def at_or_before(requests: DataFrame, items: DataFrame, at: str = "h") -> DataFr
     asked = requests.select("pid", F.col(at).alias("t")).filter(F.col("t").isNotNull()).distinct()
     asked = asked.select(
         "pid", idiv("t", DAY).alias("day"), "t", F.lit(1).alias("kind"),
-        F.lit(None).cast("struct<hcol:bigint,fid:int>").alias("item"),
+        F.lit(None).cast(events.schema["item"].dataType).alias("item"),
     )
     both = events.unionByName(asked)
     before = Window.partitionBy("pid").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)

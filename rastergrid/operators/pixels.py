@@ -28,7 +28,7 @@ def numpy_type(type_code: int) -> np.dtype:
     return np.dtype(PIXEL_TYPES[type_code][2])
 
 
-def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
+def fields_of(df: DataFrame, names: list[str]) -> list[T.StructField]:
     return [T.StructField(name, df.schema[name].dataType) for name in names]
 
 
@@ -68,7 +68,7 @@ def pack_tiles(
     dtype = numpy_type(type_code)
     cells = bands * width * height
     at_once = max(1, WORKING_BYTES // (cells * dtype.itemsize))
-    schema = T.StructType([*_fields(pixels, keys), T.StructField("data", T.BinaryType())])
+    schema = T.StructType([*fields_of(pixels, keys), T.StructField("data", T.BinaryType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_types: list = []
@@ -130,7 +130,7 @@ def unpack_tiles(
     at_once = max(1, WORKING_BYTES // (size * 32))
     schema = T.StructType(
         [
-            *_fields(cells, keys),
+            *fields_of(cells, keys),
             T.StructField("band", T.IntegerType()),
             T.StructField("row", T.IntegerType()),
             T.StructField("col", T.IntegerType()),
@@ -174,7 +174,7 @@ def block_statistics(
     dtype = numpy_type(type_code)
     schema = T.StructType(
         [
-            *_fields(cells, keys),
+            *fields_of(cells, keys),
             T.StructField("n", T.LongType()),
             T.StructField("total", T.DoubleType()),
             T.StructField("low", T.DoubleType()),
@@ -185,7 +185,7 @@ def block_statistics(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [block_numbers(_values(cell, dtype, skip)) for cell in batch.column("data")]
-            yield _numbers_batch([batch.column(k) for k in keys], rows, schema.names)
+            yield numbers_batch([batch.column(k) for k in keys], rows, schema.names)
 
     return cells.select(*keys, "data").mapInArrow(measure, schema)
 
@@ -204,7 +204,7 @@ def block_numbers(values: np.ndarray) -> tuple:
     return len(values), float(values.sum(dtype=np.float64)), float(values.min()), float(values.max())
 
 
-def _numbers_batch(columns: list, rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def numbers_batch(columns: list, rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
     numbers = zip(*rows) if rows else ([], [], [], [])
     return pa.RecordBatch.from_arrays(
@@ -291,7 +291,7 @@ def composite_tiles(
     total = np.dtype("<f4") if method != "ave" and source.itemsize <= 2 else np.dtype("<f8")
     partial = T.StructType(
         [
-            *_fields(cells, keys),
+            *fields_of(cells, keys),
             T.StructField("salt", T.IntegerType()),
             T.StructField("total", T.BinaryType()),
             T.StructField("seen", T.BinaryType()),
@@ -362,7 +362,7 @@ def composite_tiles(
 
         return run
 
-    done = T.StructType([*_fields(cells, keys), T.StructField("data", T.BinaryType())])
+    done = T.StructType([*fields_of(cells, keys), T.StructField("data", T.BinaryType())])
     mapped = cells.select(*keys, "data").mapInArrow(stage(read_cell, WORKING_BYTES, False), partial)
     salted = (
         mapped.repartition(*keys, "salt").sortWithinPartitions(*keys)
@@ -392,7 +392,7 @@ def map_tiles(
     source, target = numpy_type(type_code), numpy_type(out_type or type_code)
     schema = T.StructType(
         [
-            *_fields(cells, keys),
+            *fields_of(cells, keys),
             T.StructField("status", T.IntegerType()),
             T.StructField("log", T.StringType()),
             T.StructField("data", T.BinaryType()),
@@ -441,7 +441,7 @@ def reduce_dates(
     from .dates import first_dates
 
     source, target = numpy_type(type_code), numpy_type(out_type or type_code)
-    schema = T.StructType([*_fields(cells, keys), T.StructField("data", T.BinaryType())])
+    schema = T.StructType([*fields_of(cells, keys), T.StructField("data", T.BinaryType())])
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("dt").to_numpy())

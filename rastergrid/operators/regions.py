@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from ..functions import grid, texts
 from ..functions.columns import ColumnLike, as_column, idiv
 from ..joins import broadcast_if_small
-from .pixels import WORKING_BYTES, _fields, _numbers_batch, block_numbers, numpy_type
+from .pixels import WORKING_BYTES, fields_of, numbers_batch, block_numbers, numpy_type
 
 
 def merge_segments(segments: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def clip_tiles(
     """
     dtype = numpy_type(type_code)
     names = tiles.columns
-    schema = T.StructType(_fields(tiles, names))
+    schema = T.StructType(fields_of(tiles, names))
     regions = broadcast_if_small(region_tiles)
     joined = tiles.join(regions, ["roi_id", "z", "y", "x"], "left").select(*names, "segments")
 
@@ -197,7 +197,7 @@ def zonal_tiles(
     )
     schema = T.StructType(
         [
-            *_fields(joined, ["roi_id", *by]),
+            *fields_of(joined, ["roi_id", *by]),
             T.StructField("n", T.LongType()),
             T.StructField("total", T.DoubleType()),
             T.StructField("low", T.DoubleType()),
@@ -215,7 +215,7 @@ def zonal_tiles(
                 block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
                 plane = block.reshape(-1, height, width)[band][mask]
                 rows.append(block_numbers(plane[(plane >= vmin) & (plane <= vmax)]))
-            yield _numbers_batch([batch.column(k) for k in ("roi_id", *by)], rows, schema.names)
+            yield numbers_batch([batch.column(k) for k in ("roi_id", *by)], rows, schema.names)
 
     totals = joined.mapInArrow(run, schema).groupBy("roi_id", *by).agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")

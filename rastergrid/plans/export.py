@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +22,23 @@ def export_grid(
     size: int,
     type_code: int,
     fill: float,
+    function: Callable[[np.ndarray], np.ndarray] | None = None,
+    out_bands: int | None = None,
+    out_type: int | None = None,
 ) -> DataFrame:
     """Pixels ``(keys…, band, grow, gcol, dn)`` of all tiles touching each order's box.
 
     ``orders`` has ``keys…, htable, hpid, dt, level, left, right, top, bottom``. Tiles
-    that are not stored come out full of ``fill``.
+    that are not stored come out full of ``fill``. With a ``function`` its result on each
+    tile is exported instead of the stored values.
     """
     attributes = ["htable", "hpid", "dt"]
     extents = orders.withColumns({"zmin": F.col("level"), "zmax": F.col("level")})
     wanted = enumerate_tiles(extents, [*keys, *attributes], size)
     found = never_broadcast(wanted).join(cells.select(*CELL, "data"), CELL, "left")
-    rows = px.unpack_tiles(
-        found, [*keys, "z", "y", "x"], bands, size, size, type_code, missing=fill
-    )
+    place = [*keys, "z", "y", "x"]
+    if function is not None:
+        found = px.map_tiles(found, place, function, bands, size, size, type_code, out_type)
+        bands, type_code = out_bands or bands, out_type or type_code
+    rows = px.unpack_tiles(found, place, bands, size, size, type_code, missing=fill)
     return px.with_level_position(rows, size, size).select(*keys, "band", "grow", "gcol", "dn")

@@ -43,9 +43,9 @@ MESSAGES = {
 class JobInputs:
     """Tables a job reads.
 
-    ``orders``: order_id, roi, filldata, mpid_hpid, out_htable, out_hcol, out_hpidlen,
-    out_xylen. ``inputs``: order_id, position, dsname, dt, bands. ``script_regions``
-    (optional): order_id, roi_id.
+    ``orders``: order_id, dt, roi, filldata, mpid_hpid, out_htable, out_hcol,
+    out_hpidlen, out_xylen. ``inputs``: order_id, position, dsname, dt, bands; a NULL
+    dt stands for the date of the order. ``script_regions`` (optional): order_id, roi_id.
     """
 
     orders: DataFrame
@@ -94,7 +94,9 @@ def order_planes(job: JobInputs) -> DataFrame:
     The array holds what the order itself lists. Orders with an input that cannot be
     resolved have ``planes`` NULL.
     """
-    planned = reading.plan_requests(job.inputs, job.products, job.bands, job.items)
+    dates = job.orders.select("order_id", F.col("dt").alias("order_dt"))
+    inputs = job.inputs.join(dates, "order_id", "left").withColumn("dt", F.coalesce("dt", "order_dt")).drop("order_dt")
+    planned = reading.plan_requests(inputs, job.products, job.bands, job.items)
     slots = planned.select(
         "order_id", "position", "pid", "hTableName", "dt", "user_file",
         (F.col("tileWid") * F.col("tileHei") * bytes_per_pixel("dataType")).alias("band_bytes"),

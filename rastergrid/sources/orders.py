@@ -19,6 +19,12 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parse_orders(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """Orders held as JSON texts in a table, one row each."""
+    parsed = rows.select(*keep, F.from_json(text, ORDER_SCHEMA).alias("order_"))
+    return parsed.select(*keep, "order_.*")
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """Job results ``(state, message, …)`` as JSON lines."""
     results.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)

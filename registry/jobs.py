@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rastergrid.operators import pixels as px
-from rastergrid.plans import tile_job
+from rastergrid.plans import requests, tile_job
 from rastergrid.session import shared_folder
 from rastergrid.sources import cells, orders
 from rastergrid.streaming import feed
@@ -58,7 +58,7 @@ def job_inputs(d):
         .otherwise(F.concat(F.lit("sys:"), (k % 25).cast("string")))
     )
     order_rows = suppliers.select(
-        k.alias("order_id"), roi.alias("roi"), F.lit(0.0).alias("filldata"), (k + 50000).cast("int").alias("mpid_hpid"),
+        k.alias("order_id"), ((1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).alias("dt"), roi.alias("roi"), F.lit(0.0).alias("filldata"), (k + 50000).cast("int").alias("mpid_hpid"),
         F.lit("out").alias("out_htable"), F.lit(1).cast("bigint").alias("out_hcol"), F.lit(4).alias("out_hpidlen"), F.lit(2).alias("out_xylen"),
     )
 
@@ -73,7 +73,7 @@ def job_inputs(d):
             F.array(F.lit(0), F.lit(1)).alias("bands"),
         )
 
-    inputs = one(0, k, (1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).unionByName(
+    inputs = one(0, k, F.lit(None).cast("bigint")).unionByName(
         one(1, k + 1, (1997 + k % 3) * 10000000000 + (1 + k % 11) * 100000000).filter(F.col("order_id") % 3 == 0)
     )
     # User files would ignore the date asked for; here every product is a plain dataset.
@@ -132,6 +132,70 @@ def tile_job_values(d):
     )
 
 
+@query("order_parse", """
+    SELECT s_suppkey, 'sys:' || s_suppkey AS roi, (s_suppkey % 7)::double AS filldata, 20200101000000 + s_suppkey AS dt, (1000 + s_suppkey)::int AS mpid_hpid,
+           NULL::bigint AS out_hcol, 4 AS out_xylen FROM supplier""")
+def order_parse(d):
+    """Orders from JSON texts; unknown keys are ignored and absent ones are NULL."""
+    k = F.col("s_suppkey")
+    text = F.to_json(
+        F.struct(
+            F.concat(F.lit("sys:"), k.cast("string")).alias("roi"), F.lit("a note").alias("roi_comment"), (k % 7).alias("filldata"),
+            (20200101000000 + k).alias("dt"), (1000 + k).alias("mpid_hpid"), F.lit(4).alias("out_xylen"),
+        )
+    )
+    rows = d.table("supplier").select("s_suppkey", text.alias("text"))
+    return orders.parse_orders(rows, "text", ["s_suppkey"]).select(
+        "s_suppkey", "roi", "filldata", "dt", "mpid_hpid", "out_hcol", "out_xylen"
+    )
+
+
+@query("composite_requests", """
+    WITH o AS (SELECT s_suppkey AS request_id, (s_suppkey // 25)::int AS hpid, s_suppkey % 2 AS usebound, -180 + (s_suppkey * 37 % 300) AS l, 90 - (s_suppkey * 17 % 140) AS t,
+                      (1996 + s_suppkey % 3) * 10000000000 AS d0, (1998 + s_suppkey % 3) * 10000000000 AS d1 FROM supplier),
+    tl AS (SELECT o.*, z, y::int AS y, x::int AS x FROM o, (SELECT unnest([1, 2])::int AS z), range(2) AS a(y), range(4) AS b(x)
+          WHERE y < greatest(1, pow(2, z) / 2) AND x < pow(2, z) AND (usebound = 0 OR (x BETWEEN (l + 180) // (360 / pow(2, z)) AND least((l + 220) // (360 / pow(2, z)), pow(2, z) - 1)
+            AND y BETWEEN (90 - t) // (360 / pow(2, z)) AND least((120 - t) // (360 / pow(2, z)), greatest(1, pow(2, z) / 2) - 1)))),
+    v AS (SELECT request_id, tl.z, tl.y, tl.x, band, grow, gcol, max(CASE WHEN dn BETWEEN 5 AND 45 THEN dn END) AS dn
+          FROM tl JOIN pyramid_pixels p ON p.hpid = tl.hpid AND p.z = tl.z AND p.y = tl.y AND p.x = tl.x AND dt BETWEEN d0 AND d1 GROUP BY ALL)
+    SELECT request_id, z, y, x, count(dn) AS n, coalesce(sum(dn), 0) AS total FROM v GROUP BY ALL""", ("pixels", "pyramid_pixels"))
+def composite_requests(d):
+    """Largest valid value over two years in the pyramid of each request's box."""
+    k = F.col("s_suppkey")
+    hpid = (k / 25).cast("int")
+    left, top = -180.0 + k * 37 % 300, 90.0 - k * 17 % 140
+    asked = d.table("supplier").select(
+        k.alias("request_id"), hpid.alias("hpid"), F.concat(F.lit("ht"), (hpid % 5).cast("string")).alias("htable"), (k % 2).alias("usebound"),
+        left.alias("left"), (left + 40.0).alias("right"), top.alias("top"), (top - 30.0).alias("bottom"), F.lit(1).alias("zmin"), F.lit(2).alias("zmax"),
+        ((1996 + k % 3) * 10000000000).alias("startdt"), ((1998 + k % 3) * 10000000000).alias("stopdt"),
+    )
+    blocks = requests.composite_requests(asked, d.tile_cells(pyramid=True), "max", 5, 45, 0, TILE, 1)
+    return px.block_statistics(blocks, ["request_id", "z", "y", "x"], 1, skip=0).select("request_id", "z", "y", "x", "n", "total")
+
+
+@query("zonal_requests", """
+    WITH o AS (SELECT s_suppkey AS request_id, 'sys:' || s_suppkey % 25 AS roi_id, (s_suppkey // 25)::int AS hpid, s_suppkey % 2 AS band, (1 + s_suppkey % 2)::int AS z,
+                      (1996 + s_suppkey % 3) * 10000000000 AS d0, (1998 + s_suppkey % 3) * 10000000000 AS d1,
+                      CASE s_suppkey % 3 WHEN 0 THEN 'min' WHEN 1 THEN 'max' ELSE 'ave' END AS method FROM supplier),
+    m AS (SELECT DISTINCT roi_id, (2 - k)::int AS z, grow >> k AS grow, g >> k AS gcol
+          FROM roi_segments s, (SELECT unnest(range(3))::int AS k), range(64) AS c(g) WHERE g BETWEEN x0 AND x1)
+    SELECT request_id, dt, count(*) AS n, min(dn) AS low, max(dn) AS high, avg(dn) AS ave, CASE method WHEN 'min' THEN min(dn) WHEN 'max' THEN max(dn) ELSE avg(dn) END AS value
+    FROM o JOIN m USING (roi_id, z) JOIN pyramid_pixels p ON p.hpid = o.hpid AND p.band = o.band AND p.z = o.z AND p.grow = m.grow AND p.gcol = m.gcol AND dt BETWEEN d0 AND d1
+    WHERE dn BETWEEN 3 AND 40 AND dn <> 17 GROUP BY request_id, dt, method""", ("pixels", "pyramid_pixels", "roi_segments"))
+def zonal_requests(d):
+    """Statistics of many requests with their own region, level, dates and method."""
+    k = F.col("s_suppkey")
+    hpid = (k / 25).cast("int")
+    asked = d.table("supplier").select(
+        k.alias("request_id"), F.concat(F.lit("sys:"), (k % 25).cast("string")).alias("roi_id"), hpid.alias("hpid"),
+        F.concat(F.lit("ht"), (hpid % 5).cast("string")).alias("htable"), (k % 2).cast("int").alias("bsq"), (1 + k % 2).cast("int").alias("zlevel"),
+        ((1996 + k % 3) * 10000000000).alias("startdt"), ((1998 + k % 3) * 10000000000).alias("stopdt"), F.lit(3.0).alias("vmin"), F.lit(60.0).alias("vmax"),
+        F.lit(0.0).alias("valid_min"), F.lit(40.0).alias("valid_max"), F.lit(17.0).alias("nodata"),
+        F.when(k % 3 == 0, "min").when(k % 3 == 1, "max").otherwise("ave").alias("method"),
+    )
+    return requests.zonal_requests(asked, d.tile_cells(pyramid=True), d.roi_segments(), TILE, 1).filter("n > 0")
+
+
 @query("job_results", """
     SELECT s_suppkey AS order_id, (s_suppkey % 4)::int AS state, 'say "' || s_name || '"' AS message FROM supplier""")
 def job_results(d):

@@ -80,8 +80,8 @@ def small_job(spark, order_rows, input_rows, cell_rows, segments=(("sys:1", 1, 0
     bands = spark.createDataFrame([(p, b, p * 10, b) for p in (1, 2, 3) for b in (0, 1)], "pid int, bindex int, hPid int, bsqIndex int")
     return tile_job.JobInputs(
         spark.createDataFrame(
-            [(o, roi, 9.0, 100 + o, "out", 5, 4, 2) for o, roi in order_rows],
-            "order_id bigint, roi string, filldata double, mpid_hpid int, out_htable string, out_hcol bigint, out_hpidlen int, out_xylen int",
+            [(o, 7, roi, 9.0, 100 + o, "out", 5, 4, 2) for o, roi in order_rows],
+            "order_id bigint, dt bigint, roi string, filldata double, mpid_hpid int, out_htable string, out_hcol bigint, out_hpidlen int, out_xylen int",
         ),
         spark.createDataFrame(input_rows, "order_id bigint, position int, dsname string, dt bigint, bands array<int>"),
         products, bands, spark.createDataFrame([], "fid int, pid int, hcol bigint"),
@@ -98,10 +98,11 @@ def test_job_states_values_and_registration(spark, tmp_path):
     cell_rows = [("t", 10, *t, 7, block(i)) for i, t in enumerate(tiles)] + [("t", 20, *t, 8, block(50 + i)) for i, t in enumerate(tiles[:2])]
     order_rows = [(1, ""), (2, "sys:1"), (3, "sys:9"), (4, ""), (5, ""), (6, ""), (7, ""), (8, "")]
     inputs = [
-        (1, 0, "a", 7, [1]), (2, 0, "a", 7, []), (3, 0, "a", 7, []), (4, 0, "a", 7, []), (4, 1, "c", 7, []), (5, 0, "zz", 7, []),
+        (1, 0, "a", None, [1]), (2, 0, "a", 7, []), (3, 0, "a", 7, []), (4, 0, "a", 7, []), (4, 1, "c", 7, []), (5, 0, "zz", 7, []),
         (6, 0, "a", 99, []), (7, 0, "a", 7, [0]), (7, 1, "b", 8, [1, 0]), (8, 0, "a", 7, [2]),
     ]
     job = small_job(spark, order_rows, inputs, cell_rows)
+    job.script_regions = spark.createDataFrame([(2, "")], "order_id bigint, roi_id string")
     scratch, store = str(tmp_path / "scratch"), str(tmp_path / "store")
     cells.write(job.cells.filter(F.lit(False)), store)
     outcome = tile_job.run_jobs(spark, job, lambda tile: tile.max(axis=0)[None], store, scratch, SIZE)
