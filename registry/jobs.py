@@ -154,8 +154,8 @@ def order_parse(d):
     WITH o AS (SELECT s_suppkey AS request_id, (s_suppkey // 25)::int AS hpid, s_suppkey % 2 AS usebound, -180 + (s_suppkey * 37 % 300) AS l, 90 - (s_suppkey * 17 % 140) AS t,
                       (1996 + s_suppkey % 3) * 10000000000 AS d0, (1998 + s_suppkey % 3) * 10000000000 AS d1 FROM supplier),
     tl AS (SELECT o.*, z, y::int AS y, x::int AS x FROM o, (SELECT unnest([1, 2])::int AS z), range(2) AS a(y), range(4) AS b(x)
-          WHERE y < greatest(1, pow(2, z) / 2) AND x < pow(2, z) AND (usebound = 0 OR (x BETWEEN (l + 180) // (360 / pow(2, z)) AND least((l + 220) // (360 / pow(2, z)), pow(2, z) - 1)
-            AND y BETWEEN (90 - t) // (360 / pow(2, z)) AND least((120 - t) // (360 / pow(2, z)), greatest(1, pow(2, z) / 2) - 1)))),
+          WHERE y < greatest(1, pow(2, z) / 2) AND x < pow(2, z) AND (usebound = 0 OR (x BETWEEN floor((l + 180) / (360 / pow(2, z))) AND least(floor((l + 220) / (360 / pow(2, z))), pow(2, z) - 1)
+            AND y BETWEEN floor((90 - t) / (360 / pow(2, z))) AND least(floor((120 - t) / (360 / pow(2, z))), greatest(1, pow(2, z) / 2) - 1)))),
     v AS (SELECT request_id, tl.z, tl.y, tl.x, band, grow, gcol, max(CASE WHEN dn BETWEEN 5 AND 45 THEN dn END) AS dn
           FROM tl JOIN pyramid_pixels p ON p.hpid = tl.hpid AND p.z = tl.z AND p.y = tl.y AND p.x = tl.x AND dt BETWEEN d0 AND d1 GROUP BY ALL)
     SELECT request_id, z, y, x, count(dn) AS n, coalesce(sum(dn), 0) AS total FROM v GROUP BY ALL""", ("pixels", "pyramid_pixels"))
