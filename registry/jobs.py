@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
 from rastergrid.plans import requests, tile_job
 from rastergrid.session import shared_folder
@@ -58,8 +59,8 @@ def job_inputs(d):
         .otherwise(F.concat(F.lit("sys:"), (k % 25).cast("string")))
     )
     order_rows = suppliers.select(
-        k.alias("order_id"), ((1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).alias("dt"), roi.alias("roi"), F.lit(0.0).alias("filldata"), (k + 50000).cast("int").alias("mpid_hpid"),
-        F.lit("out").alias("out_htable"), F.lit(1).cast("bigint").alias("out_hcol"), F.lit(4).alias("out_hpidlen"), F.lit(2).alias("out_xylen"),
+        k.alias("order_id"), ((1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).alias("dt"), roi.alias("roi"), F.lit(0.0).alias("filldata"), (idiv(k, 25) + 50000).cast("int").alias("mpid_hpid"),
+        F.lit("out").alias("out_htable"), (F.lit(20200101000000) + k % 25 * 1000000).alias("out_hcol"), F.lit(4).alias("out_hpidlen"), F.lit(2).alias("out_xylen"),
     )
 
     def name(number):
@@ -124,7 +125,9 @@ def tile_job_query(d):
 def tile_job_values(d):
     """Pixels the jobs stored, read back from the store."""
     _, _, scratch = run_job(d)
-    stored = cells.read(d.spark, f"{scratch}/store").withColumn("order_id", F.col("hpid").cast("bigint") - 50000)
+    stored = cells.read(d.spark, f"{scratch}/store").withColumn(
+        "order_id", (F.col("hpid") - 50000) * 25 + idiv(F.col("dt") - 20200101000000, 1000000)
+    )
     # Zero is what clipped and unobserved pixels hold; values themselves start at 1.
     numbers = px.block_statistics(stored, ["order_id", "z"], 1, skip=0)
     return numbers.filter("n > 0").groupBy("order_id", "z").agg(
