@@ -94,8 +94,8 @@ def run_job(d):
     scratch = shared_folder(d.spark, "job")
     source = f"{scratch}/source"
     job = job_inputs(d)
-    cells.write(job.cells, source)
-    job.cells = cells.read(d.spark, source)
+    job.cells.write.mode("overwrite").parquet(source)
+    job.cells = d.spark.read.parquet(source)
     # The output store starts empty.
     cells.write(job.cells.filter(F.lit(False)), f"{scratch}/store")
     outcome = tile_job.run_jobs(d.spark, job, brightest, f"{scratch}/store", scratch, TILE)
