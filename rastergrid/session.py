@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,30 @@ SETTINGS = {
 }
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship_package(spark: SparkSession, folder: str | None = None) -> None:
+    """Make a package folder (this one by default) importable in the Python workers.
+
+    Needed once per application where the package is not installed on the executors.
+    """
+    folder = os.path.abspath(folder or os.path.dirname(__file__))
+    context = spark.sparkContext
+    if (context.applicationId, folder) in _shipped:
+        return
+    name = os.path.basename(folder)
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, files in os.walk(folder):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(place, file)
+                    out.write(path, os.path.join(name, os.path.relpath(path, folder)))
+    context.addPyFile(archive)
+    _shipped.add((context.applicationId, folder))
+
+
 def build_session(app_name: str = "rastergrid", master: str | None = None, **extra) -> SparkSession:
     """A session with the engine's settings; ``extra`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -31,7 +57,9 @@ def build_session(app_name: str = "rastergrid", master: str | None = None, **ext
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rastergrid.session import ship_package
+
 from .derived import Derived, derived_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +20,8 @@ def query(name: str, sql: str | None = None, tables: tuple[str, ...] = ()):
 
     def add(fn: Callable[[Derived], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            ship_package(spark, os.path.dirname(__file__))
             return fn(Derived(spark, sf_dir))
 
         run.__name__ = name
