@@ -11,6 +11,7 @@ from ..functions.columns import idiv
 
 DATE_CAP = 30
 DAY = 1_000_000
+STEP_BLOCK = 256
 
 
 def in_range(dt: str, start, stop) -> Column:
@@ -71,19 +72,30 @@ def every_n(requests: DataFrame, keys: list[str]) -> DataFrame:
     count unless ``start_inclusive`` / ``stop_inclusive`` is false. Requests without
     a step, or with ends that are not real dates, give no rows.
     """
-    steps = ["years", "months", "days", "hours", "minutes", "seconds"]
-    positive = F.lit(False)
-    for name in steps:
-        positive = positive | (F.col(name) > 0)
-    interval = F.make_interval(
-        years=F.col("years"), months=F.col("months"), days=F.col("days"),
-        hours=F.col("hours"), mins=F.col("minutes"), secs=F.col("seconds"),
+    # A step of seconds over years is a long list, so dates come in blocks: the list of
+    # blocks is expanded first, then the steps of one block at a time.
+    month_step = F.col("years") * 12 + F.col("months")
+    second_step = (
+        F.col("days").cast("bigint") * 86400 + F.col("hours") * 3600 + F.col("minutes") * 60 + F.col("seconds")
     )
     first, last = pt.to_timestamp("startdt"), pt.to_timestamp("stopdt")
+    span = F.unix_timestamp("last_") - F.unix_timestamp("first_")
+    # Never fewer than the steps that fit: no month has less than 28 days.
+    most = idiv(span, month_step * 28 * 86400 + second_step)
+    number = F.col("block_") * STEP_BLOCK + F.col("step_")
+    interval = F.make_interval(
+        years=F.col("years") * F.col("number_"), months=F.col("months") * F.col("number_"),
+        days=F.col("days") * F.col("number_"), hours=F.col("hours") * F.col("number_"),
+        mins=F.col("minutes") * F.col("number_"), secs=F.col("seconds") * F.col("number_"),
+    )
     return (
         requests.withColumns({"first_": first, "last_": last})
-        .filter(positive & (F.col("first_") <= F.col("last_")))
-        .withColumn("ts_", F.explode(F.sequence("first_", "last_", interval)))
+        .filter((month_step + second_step > 0) & (F.col("first_") <= F.col("last_")))
+        .withColumn("block_", F.explode(F.sequence(F.lit(0).cast("bigint"), idiv(most, STEP_BLOCK))))
+        .withColumn("step_", F.explode(F.sequence(F.lit(0), F.lit(STEP_BLOCK - 1))))
+        .withColumn("number_", number.cast("int"))
+        .withColumn("ts_", F.col("first_") + interval)
+        .filter(F.col("ts_") <= F.col("last_"))
         .filter(
             (F.col("start_inclusive") | (F.col("ts_") > F.col("first_")))
             & (F.col("stop_inclusive") | (F.col("ts_") < F.col("last_")))

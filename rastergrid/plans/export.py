@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..joins import never_broadcast
 from ..operators import pixels as px
 from ..operators.pyramid import enumerate_tiles
-from ..sources.cells import CELL
+from ..sources.cells import CELL, of_planes
 
 
 def export_grid(
@@ -35,7 +35,8 @@ def export_grid(
     attributes = ["htable", "hpid", "dt"]
     extents = orders.withColumns({"zmin": F.col("level"), "zmax": F.col("level")})
     wanted = enumerate_tiles(extents, [*keys, *attributes], size)
-    found = never_broadcast(wanted).join(cells.select(*CELL, "data"), CELL, "left")
+    stored = of_planes(cells, orders.select(*attributes)).select(*CELL, "data")
+    found = never_broadcast(wanted).join(stored, CELL, "left")
     place = [*keys, "z", "y", "x"]
     if function is not None:
         found = px.map_tiles(found, place, function, bands, size, size, type_code, out_type)

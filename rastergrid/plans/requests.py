@@ -35,7 +35,8 @@ def composite_requests(
     attributes = ["htable", "hpid", "startdt", "stopdt"]
     extents = pyramid.bounded_extents(requests, ["request_id", *attributes])
     tiles = pyramid.enumerate_tiles(extents, ["request_id", *attributes], size)
-    found = never_broadcast(tiles).join(cells.select(*store.CELL, "data"), store.TILE)
+    stored = store.of_planes(cells, store.request_years(requests)).select(*store.CELL, "data")
+    found = never_broadcast(tiles).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
     return px.composite_tiles(
         inside, ["request_id", "z", "y", "x"], method, vmin, vmax, fill, type_code, out_type
@@ -59,7 +60,8 @@ def zonal_requests(
     )
     limits = ["bsq", "vmin", "vmax", "valid_min", "valid_max", "nodata"]
     tiles = requests.withColumnRenamed("zlevel", "z").join(region_tiles, ["roi_id", "z"])
-    found = never_broadcast(tiles).join(cells.select(*store.CELL, "data"), store.TILE)
+    stored = store.of_planes(cells, store.request_years(requests)).select(*store.CELL, "data")
+    found = never_broadcast(tiles).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(
         "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "data"
     )

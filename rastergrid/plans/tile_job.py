@@ -177,7 +177,9 @@ def compute_tiles(
     requests = placed.select(
         *TILE_KEY, *attributes, F.size("planes").alias("planes_"), F.explode("planes").alias("plane")
     ).select(*TILE_KEY, *attributes, "planes_", "plane.*")
-    joined = never_broadcast(requests).join(job.cells.select(*store.CELL, "data"), store.CELL, "left")
+    planes = ready.select(F.explode("planes").alias("p")).select("p.htable", "p.hpid", "p.dt")
+    stored = store.of_planes(job.cells, planes).select(*store.CELL, "data")
+    joined = never_broadcast(requests).join(stored, store.CELL, "left")
     source, target = numpy_type(type_code), numpy_type(out_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import packed_time as pt
 from ..functions.columns import idiv
-from ..joins import never_broadcast
+from ..joins import broadcast_if_small, never_broadcast
 from ..operators.changes import last_per_key
 from ..operators.dates import DATE_CAP, first_dates
 
@@ -76,7 +76,32 @@ def _touched_only(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """Cells of the partitions that keys with a date name; others are not scanned."""
     if "year" not in cells.columns:
         return cells
-    return cells.join(_with_year(keys).select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
+    named = _with_year(keys).select(*PARTITIONS).filter(F.col("year") >= 0).distinct()
+    return cells.join(named, PARTITIONS, "left_semi")
+
+
+def request_years(requests: DataFrame) -> DataFrame:
+    """Planes and years that date-range requests reach: ``htable, hpid, year``."""
+    years = F.sequence(pt.part("startdt", "year"), pt.part("stopdt", "year"))
+    ordered = requests.filter(F.col("startdt") <= F.col("stopdt"))
+    reached = ordered.select("htable", "hpid", F.explode(years).alias("year"))
+    return reached.filter(F.col("year") >= 0).distinct()
+
+
+def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
+    """Cells of the planes, and of the years or dates where given, that a table names.
+
+    A job names few planes of a large store. Their table is measured and broadcast, so
+    other folders are not read and other cells are dropped before any shuffle.
+    """
+    if "dt" in planes.columns:
+        planes = _with_year(planes)
+    names = [c for c in ("htable", "hpid", "year", "dt") if c in planes.columns and c in cells.columns]
+    if "year" in names:
+        # No packed date is negative; Spark prunes folders at run time only by a side
+        # that carries a comparison.
+        planes = planes.filter(F.col("year") >= 0)
+    return cells.join(broadcast_if_small(planes.select(*names).distinct()), names, "left_semi")
 
 
 def at(cells: DataFrame, requests: DataFrame) -> DataFrame:
@@ -93,7 +118,10 @@ def between(
     Dates are chosen on key columns alone; the payload is joined to the chosen ones.
     """
     names = ["month", "day", "hour", "minute", "second"]
-    dates = cells.select(*CELL).join(requests, TILE).filter(
+    reached = cells
+    if "year" in cells.columns:
+        reached = cells.join(request_years(requests), PARTITIONS, "left_semi")
+    dates = reached.select(*CELL).join(requests, TILE).filter(
         F.col("dt").between(F.col("startdt"), F.col("stopdt"))
         & pt.passes("dt", *(F.col(n) for n in names))
     )

@@ -79,6 +79,22 @@ def test_date_grid_keeps_impossible_dates_and_rejects_two_wildcards(spark):
     assert dates.date_grid(df.filter("id = 2"), ["id"], max_wildcards=None).count() == 12 * 31
 
 
+def test_dates_at_a_step(spark):
+    steps = "years int, months int, days int, hours int, minutes int, seconds int"
+    rows = [
+        (1, 20200101000000, 20200101003000, True, True, 0, 0, 0, 0, 0, 1), (2, 20200131000000, 20210131000000, False, True, 0, 1, 0, 0, 0, 0),
+        (3, 20200101000000, 20230101000000, True, False, 1, 0, 0, 0, 0, 0), (4, 20200101000000, 20230101000000, True, True, 0, 0, 0, 0, 0, 0),
+        (5, 20200500000000, 20230101000000, True, True, 1, 0, 0, 0, 0, 0),
+    ]
+    df = spark.createDataFrame(rows, f"id int, startdt bigint, stopdt bigint, start_inclusive boolean, stop_inclusive boolean, {steps}")
+    got = {}
+    for r in dates.every_n(df, ["id"]).collect():
+        got.setdefault(r.id, []).append(r.dt)
+    assert len(got[1]) == 1801 and max(got[1]) == 20200101003000
+    assert sorted(got[2])[:3] == [20200229000000, 20200331000000, 20200430000000] and len(got[2]) == 12
+    assert sorted(got[3]) == [20200101000000, 20210101000000, 20220101000000] and set(got) == {1, 2, 3}
+
+
 def test_cap_keeps_the_earliest_dates_of_a_hot_tile(spark):
     rows = [("hot", d) for d in range(1000)] + [("cold", d) for d in range(5)]
     df = spark.createDataFrame(rows, "k string, dt bigint").repartition(4)

@@ -26,6 +26,13 @@ def test_upsert_touches_only_its_partitions(spark, tmp_path):
     assert sorted((tmp_path / "cells" / "htable=t" / "hpid=1" / "year=2019").iterdir()) == untouched
     plan = cells.dated(cells.read(spark, path), 20200000000000, 20201231000000)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+    planes = spark.createDataFrame([("t", 2, 20200100000000)], "htable string, hpid int, dt bigint")
+    named = cells.of_planes(cells.read(spark, path), planes)
+    assert {(r.hpid, r.dt) for r in named.collect()} == {(2, 20200100000000)}
+    assert "dynamicpruning" in named._jdf.queryExecution().executedPlan().toString()
+    ranged = spark.createDataFrame([("t", 1, 20190000000000, 20200000000000)], "htable string, hpid int, startdt bigint, stopdt bigint")
+    assert {r.year for r in cells.request_years(ranged).collect()} == {2019, 2020}
+    assert cells.of_planes(cells.read(spark, path), cells.request_years(ranged)).count() == 6
 
 
 def test_tile_files_by_path(spark, tmp_path):
