@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import idiv
 from ..functions.pixel_types import PIXEL_TYPES
 from ..joins import broadcast_if_small, never_broadcast
 
@@ -519,11 +518,3 @@ def with_level_position(pixels: DataFrame, width: int, height: int) -> DataFrame
             "gcol": F.col("x") * width + F.col("col"),
         }
     )
-
-
-def tile_of(grow: str, gcol: str, size: int) -> dict[str, Column]:
-    """Tile and in-tile position columns of level positions."""
-    return {
-        "y": idiv(grow, size).cast("int"), "x": idiv(gcol, size).cast("int"),
-        "row": (F.col(grow) % size).cast("int"), "col": (F.col(gcol) % size).cast("int"),
-    }

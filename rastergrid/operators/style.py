@@ -115,6 +115,11 @@ def table_color(value: Column, kind: Column, colors: Column, nodata: Column) ->
 
 def apply_styles(pixels: DataFrame, styles: DataFrame, value: str = "dn") -> DataFrame:
     """Add ``color`` to pixels with a ``styleid`` from a parsed style table."""
-    sorted_styles = styles.select("styleid", F.col("type").alias("kind_"), F.array_sort("colors").alias("colors_"), F.col("nodatacolor").alias("nodata_"))
+    sorted_styles = styles.select(
+        "styleid",
+        F.col("type").alias("kind_"),
+        F.array_sort("colors").alias("colors_"),
+        F.col("nodatacolor").alias("nodata_"),
+    )
     color = table_color(F.col(value), F.col("kind_"), F.col("colors_"), F.col("nodata_"))
     return pixels.join(sorted_styles, "styleid", "left").withColumn("color", color).drop("kind_", "colors_", "nodata_")

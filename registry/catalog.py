@@ -303,6 +303,18 @@ def lineage_dates(d):
     )
 
 
+@query("lineage_regions", """
+    SELECT o_orderkey AS run_id, 'sys:' || o_custkey % 25 AS roi_id FROM orders
+    UNION ALL SELECT o_orderkey, 'user:' || o_custkey % 7 FROM orders WHERE o_orderkey % 2 = 0""")
+def lineage_regions(d):
+    """Regions each run reports, empty parts skipped."""
+    c, k = F.col("o_custkey"), F.col("o_orderkey")
+    second = F.when(k % 2 == 0, F.concat(F.lit("user:"), (c % 7).cast("string"), F.lit(";"))).otherwise("")
+    text = F.concat(F.lit(";sys:"), (c % 25).cast("string"), F.lit(";;"), second)
+    runs = d.table("orders").select(k.alias("run_id"), text.alias("text"))
+    return lineage.region_list(runs, "run_id", "text")
+
+
 @query("md5_keys", "SELECT doc_id, md5(text) AS digest, length(text) AS chars FROM documents")
 def md5_keys(d):
     """Digest of whole texts."""

@@ -12,7 +12,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastergrid.functions import packed_time as pt
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
 
