@@ -65,12 +65,14 @@ def build_session(app_name: str = "rastergrid", master: str | None = None, **ext
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
-    The folder named in ``spark.checkpoint.dir`` is used as it is; only a session
-    without one (tests on one machine) falls back to a temporary folder.
+    The folder named in ``spark.checkpoint.dir`` is used as it is. Only a session that runs
+    on one machine may go without it and then gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="rastergrid-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

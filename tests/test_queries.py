@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+import registry
 from oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.load()
 
 
 @pytest.fixture(scope="module")
