@@ -7,8 +7,9 @@
    ``coordinates - matches + 1`` of them in any common order. The order is by length of list, shortest
    first, so long lists (frequent passages) are merged only for documents that have little else.
 4. In each list one member, that with most collisions, is the hub and is compared with the members
-   outside its component. What is left of the lists is compared pair by pair between components. Groups of
-   copies thus cost one pair per member and list, and no link between components is lost.
+   outside its component. After some rounds, what is left of the lists is compared pair by pair between
+   components. Pairs whose unshared shingles alone rule them out are left out. Groups of copies thus cost
+   a pair per member and hub, and no link between components is lost.
 5. Pairs above the match threshold are confirmed on the whole sets; components of the links are the
    result.
 """
@@ -30,9 +31,13 @@ COORDINATES = 64
 MATCHES = 32
 SIMILARITY = (75, 100)
 SEED = 11
-# Go on with hubs while the pairs left are more than this many times the members.
-PAIRS_PER_MEMBER = 4
-HUB_ROUNDS = 12
+# Go on with hubs while the pairs left are more than this many times the members, for some rounds.
+PAIRS_PER_MEMBER = 1
+HUB_ROUNDS = 2
+
+
+def _set_key(shingles: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
 def _signatures(batches, coordinates: int, seed: int):
@@ -42,7 +47,7 @@ def _signatures(batches, coordinates: int, seed: int):
         for text in batch.column("text").to_pylist():
             shingles = shingle_set(text)
             counts.append(len(shingles))
-            keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+            keys.append(_set_key(shingles))
             signatures.append(permutations.signature(shingles).view(np.int32))
         values = np.concatenate(signatures) if signatures else np.empty(0, np.int32)
         offsets = np.arange(0, len(values) + 1, coordinates, dtype=np.int32)
@@ -55,12 +60,13 @@ def _signatures(batches, coordinates: int, seed: int):
 
 def _sets(batches):
     for batch in batches:
-        found = [shingle_set(text).view(np.int64) for text in batch.column("text").to_pylist()]
+        found = [shingle_set(text) for text in batch.column("text").to_pylist()]
         offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        values = np.concatenate(found) if found else np.empty(0, np.int64)
+        values = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64()))],
-            names=["doc_id", "shingles"],
+            [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64())),
+             pa.array(map(_set_key, found), pa.binary())],
+            names=["doc_id", "shingles", "set_key"],
         )
 
 
@@ -101,7 +107,7 @@ def prefix_lists(classes: DataFrame, coordinates: int = COORDINATES, matches: in
     return save(members.join(again, "key"), "near-members")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, matches: int, similarity: tuple[int, int]) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, matches: int, similarity: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) with enough equal coordinates whose whole sets are similar enough."""
     def side(name):
         return sets.select(
@@ -115,60 +121,92 @@ def _confirm(pairs: DataFrame, sets: DataFrame, matches: int, similarity: tuple[
     return both.where(equal >= matches).where(similarity[1] * common >= similarity[0] * whole).select("a", "b")
 
 
-def _with_components(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists with each member's component, without the lists that lie in one component."""
-    found = components(links)
-    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "weight", F.coalesce("label", "rep").alias("component")
+def _own_and_shared(sets: DataFrame) -> DataFrame:
+    """(rep, own, shared): how many shingles no other candidate has, and how many another has too."""
+    exploded = sets.select("rep", F.explode("shingles").alias("__shingle"))
+    single = exploded.groupBy("__shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("__n")).where("__n = 1")
+    own = single.groupBy("rep").agg(F.count("*").alias("own"))
+    sized = sets.select("rep", F.size("shingles").alias("__all"))
+    return sized.join(own, "rep", "left").select(
+        "rep", F.coalesce("own", F.lit(0)).alias("own"), (F.col("__all") - F.coalesce("own", F.lit(0))).alias("shared")
     )
-    labelled = save(labelled, "near-labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("__low"), F.max("component").alias("__high"))
-    mixed = save(mixed.where("__low <> __high").select("key"), "near-mixed")
-    return save(labelled.join(mixed, "key"), "near-left")
 
 
-def links(classes: DataFrame, docs: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES,
-          similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """Confirmed pairs (a, b) of classes that connect the same classes as all similar pairs do."""
-    members = prefix_lists(classes, coordinates, matches).withColumn("component", F.col("rep"))
-    wanted = save(members.select("rep").distinct(), "near-wanted")
+def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components (node, label) after new links: only links between components are followed."""
+    if labels is None:
+        return components(found)
+    known = labels.select(F.col("node").alias("a"), F.col("label").alias("__la"))
+    ends = found.join(known, "a", "left").join(known.toDF("b", "__lb"), "b", "left")
+    between = ends.select(F.coalesce("__la", "a").alias("a"), F.coalesce("__lb", "b").alias("b")).where("a <> b")
+    lifted = components(between.distinct())
+    moved = labels.join(lifted.toDF("label", "__to"), "label", "left").select("node", F.coalesce("__to", "label").alias("label"))
+    fresh = lifted.join(labels, "node", "left_anti")
+    return save(moved.unionByName(fresh), "near-components")
+
+
+def _pairs(members: DataFrame, other: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Distinct pairs of a list, between components, that can be similar at all.
+
+    What two sets have in common is at most the smaller of their shared parts, and their union holds
+    both their own parts besides.
+    """
+    t, whole = similarity
+    b = other.select("key", *[F.col(c).alias(f"__{c}") for c in ("rep", "component", "own", "shared")])
+    least = F.least("shared", "__shared")
+    possible = (whole - t) * least >= t * (F.col("own") + F.col("__own"))
+    pairs = members.join(b, "key").where((F.col("component") != F.col("__component")) & possible)
+    return pairs.select(F.least("rep", "__rep").alias("a"), F.greatest("rep", "__rep").alias("b")).distinct()
+
+
+def linked_classes(classes: DataFrame, docs: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES,
+                   similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """(node, label) for the classes with a similar one: the smallest class of their component."""
+    listed = prefix_lists(classes, coordinates, matches)
+    wanted = save(listed.select("rep").distinct(), "near-wanted")
     marks = save(mark_table(wanted, "rep"), "near-wanted-marks")
     texts = with_mark(docs.withColumnRenamed("doc_id", "rep"), "rep", marks, "__wanted").where("__wanted")
     texts = texts.select("rep", "text").join(wanted, "rep")
-    found = texts.select(F.col("rep").alias("doc_id"), "text").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>")
-    # Where an id has several rows, that of the class counts: the set is checked against its key.
-    sets = found.withColumnRenamed("doc_id", "rep").join(
-        classes.join(wanted, "rep", "left_semi").select("rep", "signature", "n_shingles"), "rep"
-    ).where(F.size("shingles") == F.col("n_shingles")).select("rep", "signature", "shingles")
-    sets = save(sets, "near-sets")
-    confirmed = None
-    for _ in range(HUB_ROUNDS):
-        sizes = members.groupBy("key").agg(
-            F.count("*").alias("__n"),
-            F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "component")).alias("__hub"),
+    found = texts.select(F.col("rep").alias("doc_id"), "text").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>, set_key binary")
+    # Where an id has several rows, that of the class counts.
+    chosen = classes.join(wanted, "rep", "left_semi").select("rep", "set_key", "signature")
+    sets = found.withColumnRenamed("doc_id", "rep").join(chosen, ["rep", "set_key"]).dropDuplicates(["rep"])
+    sets = save(sets.select("rep", "signature", "shingles"), "near-sets")
+    parts = _own_and_shared(sets).where((similarity[1] - similarity[0]) * F.col("shared") >= similarity[0] * F.col("own"))
+    members = save(listed.join(parts, "rep").withColumn("component", F.col("rep")), "near-possible")
+    labels, round_ = None, 0
+    while True:
+        # Pairs that are left: those of different components, list by list.
+        inside = members.groupBy("key", "component").agg(
+            F.count("*").alias("__n"), F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("__hub")
+        )
+        hubs = save(
+            inside.groupBy("key").agg(
+                ((F.pow(F.sum("__n"), F.lit(2)) - F.sum(F.col("__n") * F.col("__n"))) / 2).alias("__pairs"),
+                F.sum("__n").alias("__n"), F.max("__hub").alias("__hub"),
+            ).where("__pairs > 0").select("key", "__pairs", "__n", (-F.col("__hub.minus")).alias("rep")),
+            "near-hubs",
         )
-        hubs = save(sizes, "near-hubs")
-        left = hubs.agg(F.sum(F.col("__n") * (F.col("__n") - 1) / 2), F.sum("__n")).first()
-        if not left[1]:
+        left, size = hubs.agg(F.sum("__pairs"), F.sum("__n")).first()
+        if not size:
             break
-        last = left[0] <= PAIRS_PER_MEMBER * left[1]
-        if last:
-            other = members.select("key", F.col("rep").alias("b"), F.col("component").alias("__other"))
-            pairs = members.withColumnRenamed("rep", "a").join(other, "key").where("a < b and component <> __other")
-        else:
-            hub = hubs.select("key", (-F.col("__hub.minus")).alias("a"), F.col("__hub.component").alias("__other"))
-            pairs = members.withColumnRenamed("rep", "b").join(hub, "key").where("a <> b and component <> __other")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = _confirm(pairs, sets, matches, similarity)
-        confirmed = save(new if confirmed is None else confirmed.unionByName(new).distinct(), "near-links")
+        last = left <= PAIRS_PER_MEMBER * size or round_ >= HUB_ROUNDS
+        open_ = members.join(hubs.select("key"), "key")
+        hub_rows = members.join(hubs.select("key", "rep"), ["key", "rep"])
+        pairs = _pairs(open_, open_ if last else hub_rows, similarity)
+        labels = _joined(labels, save(_confirmed(pairs, sets, matches, similarity), "near-links"))
         if last:
             break
         # A hub has met every member of its list that was outside its component.
-        rest = members.join(hubs.select("key", (-F.col("__hub.minus")).alias("rep")), ["key", "rep"], "left_anti")
-        members = _with_components(rest.select("key", "rep", "weight"), confirmed)
-    if confirmed is None:
-        return wanted.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
-    return confirmed
+        rest = open_.join(hubs.select("key", "rep"), ["key", "rep"], "left_anti").drop("component")
+        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        members = save(
+            rest.select("key", "rep", "weight", "own", "shared", F.coalesce("label", "rep").alias("component")), "near-left"
+        )
+        round_ += 1
+    if labels is None:
+        return wanted.select(F.col("rep").alias("node"), F.col("rep").alias("label")).limit(0)
+    return labels
 
 
 def near_dedup(docs: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES,
@@ -188,7 +226,7 @@ def near_dedup(docs: DataFrame, coordinates: int = COORDINATES, matches: int = M
         classes.select("set_key", F.col("__first.doc_id").alias("rep"), "__first.signature", "__first.n_shingles"),
         "near-classes",
     )
-    found = components(links(classes, docs, coordinates, matches, similarity)).withColumnRenamed("node", "rep")
+    found = linked_classes(classes, docs, coordinates, matches, similarity).withColumnRenamed("node", "rep")
     named = save(
         classes.select("set_key", "rep").join(found, "rep", "left")
         .select("set_key", F.coalesce("label", "rep").alias("component_id")),
