@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rastergrid.session import ship_package
 
-from . import exact_dedup, mixing, near_dedup, sharding
+from . import exact_dedup, mixing, near_dedup, pieces, quality, sharding, toxicity
 from .common import plain, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,33 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(docs, {"text_sha256": F.sha2("text", 256)})
 
 
+def _labels(spark, sf_dir, column, parts, held):
+    """Training labels only, and the remainder that decides about them."""
+    left = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+    labels = table(spark, sf_dir, "labels").where(left != held)
+    return labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).alias("label"))
+
+
+def _scored(docs, model, scorer, parts, held, threshold):
+    left = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
+    return scorer(docs, model).select(
+        "doc_id", (left == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def toxicity_model(spark, sf_dir):
+    """The model that query and pipeline use: labels from rows outside the held-out third."""
+    docs = plain(table(spark, sf_dir, "documents"))
+    return toxicity.train(docs, _labels(spark, sf_dir, "toxic", 3, 1))
+
+
+@query()
+def op2_toxicity(spark, sf_dir):
+    """A toxicity score for every document."""
+    docs = plain(table(spark, sf_dir, "documents"))
+    return _scored(docs, toxicity_model(spark, sf_dir), toxicity.score, 3, 1, toxicity.THRESHOLD)
+
+
 @query()
 def op3_sharding(spark, sf_dir):
     """All documents in 16 shards of equal row counts, in a global shuffle."""
@@ -126,3 +153,20 @@ def op4_mixing(spark, sf_dir):
 def op9_near_dedup(spark, sf_dir):
     """The component of similar documents that each document belongs to."""
     return near_dedup.near_dedup(plain(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op6_sentencepiece(spark, sf_dir):
+    """Ids of every document under the vocabulary file, and their text back."""
+    import public_tokenizers
+
+    docs = plain(table(spark, sf_dir, "documents"))
+    return pieces.encode_documents(docs, pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query()
+def op10_quality(spark, sf_dir):
+    """A quality score for every document."""
+    docs = plain(table(spark, sf_dir, "documents"))
+    model = quality.train(docs, _labels(spark, sf_dir, "quality", 5, 0))
+    return _scored(docs, model, quality.score, 5, 0, quality.THRESHOLD)
