@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rastergrid.llm import exact_dedup, mixing, near_dedup
+from rastergrid.llm import exact_dedup, mixing, near_dedup, pieces, queries, toxicity
 from rastergrid.llm.common import plain, save, table
 from rastergrid.session import ship_package
 
@@ -30,6 +30,14 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return left.select(*docs.columns)
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity score does not reject; the model is the query's."""
+    ship_package(spark)
+    model = queries.toxicity_model(spark, sf_dir)
+    scored = toxicity.score(docs, model, "text", "__toxicity")
+    return scored.where(F.col("__toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of identical texts."""
     ship_package(spark)
@@ -53,7 +61,18 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.training_order(docs, mixed)
 
 
-STAGES = [("exact", exact_stage), ("near", near_stage), ("mixing", mixing_stage)]
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its number of ids and the digests of its ids and of the decoded text."""
+    import public_tokenizers
+
+    ship_package(spark)
+    return pieces.encode_documents(docs, pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage), ("exact dedup", exact_stage), ("near dedup", near_stage), ("mixing", mixing_stage),
+    ("sentencepiece", sentencepiece_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,5 +81,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if stage is not STAGES[-1][1]:
-            docs = save(docs, f"pipeline-{name}")
+            docs = save(docs, "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 BITS = 20
 # Labelled rows to learn from, at most: those with the least hash of their doc_id.
-TRAIN_ROWS = 9_000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 1.0
+TRAIN_ROWS = 14_000
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.001
 THRESHOLD = 0.7
 SEED = 5
 _WORD = re.compile(r"\w+")
