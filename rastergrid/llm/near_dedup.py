@@ -6,7 +6,7 @@
 3. Two signatures with ``matches`` equal coordinates share at least one of the first
    ``coordinates - matches + 1`` of them in any common order. The order is by length of list, shortest
    first, so long lists (frequent passages) are merged only for documents that have little else.
-4. In each list one member, that with most collisions, is the hub and is compared with the members
+4. In each list one member, that with most shared and fewest own shingles, is the hub and is compared with the members
    outside its component. After some rounds, what is left of the lists is compared pair by pair between
    components. Pairs whose unshared shingles alone rule them out are left out. Groups of copies thus cost
    a pair per member and hub, and no link between components is lost.
@@ -148,13 +148,13 @@ def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
 def _pairs(members: DataFrame, other: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Distinct pairs of a list, between components, that can be similar at all.
 
-    What two sets have in common is at most the smaller of their shared parts, and their union holds
-    both their own parts besides.
+    What two sets have in common is at most the smaller of their shared parts, and their union is at least
+    the larger of these with both their own parts.
     """
     t, whole = similarity
     b = other.select("key", *[F.col(c).alias(f"__{c}") for c in ("rep", "component", "own", "shared")])
-    least = F.least("shared", "__shared")
-    possible = (whole - t) * least >= t * (F.col("own") + F.col("__own"))
+    union = F.greatest("shared", "__shared") + F.col("own") + F.col("__own")
+    possible = whole * F.least("shared", "__shared") >= t * union
     pairs = members.join(b, "key").where((F.col("component") != F.col("__component")) & possible)
     return pairs.select(F.least("rep", "__rep").alias("a"), F.greatest("rep", "__rep").alias("b")).distinct()
 
@@ -178,7 +178,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame, coordinates: int = COORD
     while True:
         # Pairs that are left: those of different components, list by list.
         inside = members.groupBy("key", "component").agg(
-            F.count("*").alias("__n"), F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("__hub")
+            F.count("*").alias("__n"), F.max(F.struct(F.col("shared") - F.col("own"), "weight", (-F.col("rep")).alias("minus"))).alias("__hub")
         )
         hubs = save(
             inside.groupBy("key").agg(
