@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled_pages import PAGES
+from .labelled_pages import KINDS, PAGES
 
 # Pages of the table to learn from, at most: those with one article element and the least hash of their id.
 TRAIN_PAGES = 400
@@ -101,6 +101,9 @@ def pieces(html: str):
         yield block, unescape(html[at:]), features(), tags
 
 
+_UNSURE = frozenset({"in:aside", "in:nav", "in:form", "in:footer", "in:button", *(f"mark:{kind}" for kind in KINDS)})
+
+
 class Weights:
     """Score of a word by the features around it."""
 
@@ -141,12 +144,17 @@ def fit(examples: list[tuple[frozenset, int, float]], steps: int = 400) -> Weigh
 
 
 def labelled(html: str, marked: bool) -> list[tuple[frozenset, int, float]]:
-    """Examples from a page; article text is inside ``article`` or, where ``marked``, in elements marked so."""
+    """Examples from a page; article text is inside ``article`` or, where ``marked``, in elements marked so.
+
+    Inside an article element, side columns, menus, forms and the like may not be text: they say nothing.
+    """
     found = []
     for _, text, features, _ in pieces(html):
         words = len(text.split())
         if words:
             inside = "mark:wanted" in features if marked else "in:article" in features
+            if inside and not marked and features & _UNSURE:
+                continue
             found.append((frozenset(f for f in features if f != "mark:wanted"), int(inside), float(min(words, 50))))
     return found
 

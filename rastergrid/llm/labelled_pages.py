@@ -10,7 +10,7 @@ _TEXT = "A walk along the river shows how the old mills were built and why the t
 _SHORT = "The mills by the river"
 _OTHER = "More of this and that for you to read today"
 
-_KINDS = (
+KINDS = (
     "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "comment", "comments", "cookie", "copyright", "disqus",
     "footer", "header", "masthead", "menu", "nav", "navigation", "newsletter", "notice", "popup", "promo", "related",
     "share", "sidebar", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
@@ -38,9 +38,9 @@ PAGES = [
         ("div", ' class="entry"'), ("article", ' class="post"'),
     )],
     # Each kind of other text beside an article, and one in the middle of it.
-    *[_page(f'<div class="{kind}"><p>{_OTHER}</p><div>{_OTHER}</div></div>' + _wanted("article", "") + _EDGES[1]) for kind in _KINDS],
+    *[_page(f'<div class="{kind}"><p>{_OTHER}</p><div>{_OTHER}</div></div>' + _wanted("article", "") + _EDGES[1]) for kind in KINDS],
     *[_page(f'<article><p class="wanted">{_TEXT}</p><div class="{kind}"><p>{_OTHER}</p></div><p class="wanted">{_TEXT}</p></article>')
-      for kind in _KINDS],
+      for kind in KINDS],
     _page(f'<article><p class="wanted">{_TEXT}</p><aside><p>{_OTHER}</p></aside><nav><a>{_OTHER}</a></nav>'
           f'<form><p>{_OTHER}</p></form><p class="wanted">{_TEXT}</p><footer><p>{_OTHER}</p></footer></article>'),
 ]

@@ -1,0 +1,315 @@
+"""The numbered operators on small tables, against brute force, round trips or held-out labels."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rastergrid.llm import (
+    chat, exact_dedup, fingerprints, html_text, mixing, near_dedup, pieces, quality, sharding, shingles, toxicity,
+)
+from rastergrid.llm.common import components, plain
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string"
+
+
+def table(spark, rows):
+    """Documents with two columns whose names operators use themselves."""
+    full = [(i, t, "en", s, len(t or ""), "x", "y") for i, t, s in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def sample_words(n, seed):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def odd(llm_spark):
+    long_text = " ".join(sample_words(20_000, 1))
+    rows = [
+        (1, "same text", "a"), (2, "same text", "b"), (3, None, None), (4, "", "a"), (5, long_text, "a"),
+        (6, "x", "b"), (7, "same text", None), (8, "Größe 日本 🎉\x00\n ▁ ", "c"), (None, "no id", "c"),
+        (9, "repeated", "c"), (9, "repeated", "c"),
+    ]
+    return rows, table(llm_spark, rows)
+
+
+def test_exact_dedup(llm_spark, odd):
+    rows, docs = odd
+    got = exact_dedup.exact_dedup(plain(docs), {"size": F.length("text")}).collect()
+    assert len(got) == len(rows)
+    for row in got:
+        same = [i for i, t, _ in rows if (t or "") in {u or "" for j, u, _ in rows if j == row.doc_id}]
+        assert row.group_size == len(same)
+        assert row.keep_id == max((i for i in same if i is not None), default=None)
+    assert sum(r.kept for r in got) == len({t or "" for _, t, _ in rows})
+    assert exact_dedup.exact_dedup(plain(docs.limit(0))).count() == 0
+
+
+def test_exact_dedup_levels_agree(llm_spark):
+    """Texts that share size or prefix only are told apart."""
+    rows = [(k, ("p" * 300) + str(k % 7), "a") for k in range(40)]
+    got = exact_dedup.exact_dedup(plain(table(llm_spark, rows))).where("kept").collect()
+    assert sorted(r.doc_id for r in got) == [33, 34, 35, 36, 37, 38, 39]
+
+
+def test_sharding(llm_spark, odd, tmp_path):
+    _, docs = odd
+    many = table(llm_spark, [(k, "t" * (k % 5), "s") for k in range(1000)]).unionByName(docs)
+    sized = many.select("doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"))
+    got = sharding.shuffle_into_shards(sized, "doc_id", "size", bucket_bytes=500)
+    first = [tuple(r) for r in got.orderBy("shard", "slot").collect()]
+    again = sharding.shuffle_into_shards(sized.repartition(3), "doc_id", "size", bucket_bytes=500)
+    assert first == [tuple(r) for r in again.orderBy("shard", "slot").collect()]
+    counts = {}
+    for *_, shard, slot in first:
+        counts.setdefault(shard, []).append(slot)
+    assert all(slots == list(range(len(slots))) for slots in counts.values())
+    assert sorted(counts) == list(range(16))
+    assert max(map(len, counts.values())) - min(map(len, counts.values())) <= 1
+    ids = [r[0] for r in first if r[0] is not None]
+    assert ids != sorted(ids)
+    sharding.write_shards(got, str(tmp_path / "out"))
+    assert llm_spark.read.parquet(str(tmp_path / "out")).count() == 1011
+    assert sharding.shuffle_into_shards(sized.limit(0), "doc_id", "size").count() == 0
+
+
+def test_fisher_yates():
+    assert sorted(sharding.fisher_yates(100, 1)) == list(range(100))
+    assert len(sharding.fisher_yates(0, 1)) == 0
+    seen = {tuple(sharding.fisher_yates(3, k)) for k in range(200)}
+    assert seen == set(itertools.permutations(range(3)))
+
+
+def test_mixing(llm_spark, odd):
+    _, docs = odd
+    rows = [(100 + k, " ".join(["w"] * (k % 13)), f"s{k % 4}") for k in range(300)]
+    every = table(llm_spark, rows).unionByName(docs)
+    mixed = mixing.mix(every.select("doc_id", "source", "text"), block_rows=20)
+    got = mixed.collect()
+    assert len(got) == 311
+    by_source = {}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r["size"]
+        assert (len(r.positions) > 0) == (r.taken > 0)
+        by_source.setdefault(r.source, []).append(r)
+    for found in by_source.values():
+        assert sum(r["size"] for r in found) == found[0].source_size
+        assert sum(r.taken for r in found) == int(found[0].target)
+        assert found[0].target <= 2 * found[0].source_size
+    total = sum(r[0].target for r in by_source.values())
+    assert total == pytest.approx(1.5 * sum(r["size"] for r in got))
+    order = mixing.training_order(every, mixed)
+    assert order.columns == every.columns
+    assert order.count() == sum(len(r.positions) for r in got)
+    assert mixing.mix(every.limit(0).select("doc_id", "source", "text")).count() == 0
+
+
+def test_position_inverts_the_integral(llm_spark):
+    schedule = ((0.0, 0.5), (0.5, 1.0), (1.0, 2.0))
+    shares = [0.0, 0.1, 1 / 3, 0.5, 0.99]
+    frame = llm_spark.createDataFrame([(s,) for s in shares], "s double")
+    got = [r[0] for r in frame.select(mixing._position(F.col("s"), schedule)).collect()]
+    grid = np.linspace(0, 1, 100_001)
+    weight = np.interp(grid, [t for t, _ in schedule], [w for _, w in schedule])
+    area = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+    assert got == pytest.approx(np.interp(shares, area / area[-1], grid).tolist(), abs=1e-4)
+
+
+def test_near_dedup_against_brute_force(llm_spark, odd):
+    rng, rows = random.Random(3), []
+    for family in range(6):
+        base = sample_words(120, family)
+        for copy in range(25):
+            changed = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3, 5])):
+                changed[rng.randrange(len(changed))] = f"e{rng.randrange(10**9)}"
+            rows.append((family * 100 + copy, " ".join(changed), "a"))
+    rows += [(1000 + k, " ".join(sample_words(60, 900) + sample_words(20, 1000 + k)), "a") for k in range(30)]
+    rows += [(2000, "One two THREE", "a"), (2001, "one two three", "b"), (2002, "  ", "a"), (2003, "\n", "b"), (2004, None, "c")]
+    sets = {}
+    for i, text, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= 75 * len(sets[a] | sets[b]):
+            low, high = sorted((root(a), root(b)))
+            label[high] = low
+    got = {r.doc_id: r for r in near_dedup.near_dedup(plain(table(llm_spark, rows))).collect()}
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(s), root(i)) for i, s in sets.items()}
+    assert all(r.kept == (i == r.component_id) for i, r in got.items())
+    odd_rows = near_dedup.near_dedup(plain(odd[1])).collect()
+    assert len(odd_rows) == 11
+    assert {r.component_id for r in odd_rows if r.doc_id in (1, 2, 7)} == {1}
+    assert near_dedup.near_dedup(plain(odd[1].limit(0))).count() == 0
+
+
+def test_components(llm_spark):
+    edges = [(k, k + 1) for k in range(20)] + [(50, 40), (40, 60), (7, 7)]
+    got = dict(map(tuple, components(llm_spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{k: 0 for k in range(21)}, 40: 40, 50: 40, 60: 40}
+
+
+def test_toxicity(llm_spark, odd):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for k in range(900):
+        text = sample_words(40, k)
+        toxic = k % 4 == 0
+        if toxic:
+            text[3:5] = rng.sample(["nasty", "vile", "rotten"], 2)
+        rows.append((k, " ".join(text), "a"))
+        labels.append((k, int(toxic)))
+    docs = plain(table(llm_spark, rows))
+    marked = llm_spark.createDataFrame(labels, "doc_id long, label int")
+    model = toxicity.train(docs, marked.where("doc_id < 600"))
+    assert 0 < len(model.places) < 2000
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    right = sum((got[k] >= 0.7) == bool(y) for k, y in labels[600:])
+    assert right >= 290
+    scored = toxicity.score(odd[1], model, "text", "__s").collect()
+    assert len(scored) == 11 and all(0 <= r["__s"] <= 1 for r in scored)
+    empty = toxicity.train(docs, marked.limit(0))
+    assert len(empty.places) == 0
+    assert toxicity.score(docs.limit(0), empty).count() == 0
+
+
+def test_quality(llm_spark, odd):
+    rows, labels = [], []
+    for k in range(600):
+        text = [f"v{random.Random(k * 100 + j).randrange(300)}" for j in range(60)]
+        good = k % 3 > 0
+        rows.append((k, " ".join(text if good else [w + "$$$" for w in text]), "a"))
+        labels.append((k, int(good)))
+    docs = plain(table(llm_spark, rows))
+    marked = llm_spark.createDataFrame(labels, "doc_id long, label int")
+    model = quality.train(docs, marked.where("doc_id < 400"))
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert sum((got[k] >= 0.3) == bool(y) for k, y in labels[400:]) >= 195
+    assert all(0 <= r["__s"] <= 1 for r in quality.score(odd[1], model, "text", "__s").collect())
+    assert quality.train(docs.limit(0), marked.limit(0)).temperature == 1.0
+
+
+def test_context_vectors_against_brute_force(llm_spark):
+    texts = ["a b c a", "b", "", "c c c $$ D E"]
+    docs = llm_spark.createDataFrame([(t,) for t in texts], "text string")
+    index, sums, tokens = quality.index_vectors(), {}, quality.Tokens()
+    for text in texts:
+        found = tokens.of(text)
+        for k, bucket in enumerate(found):
+            for j in range(max(0, k - 2), min(len(found), k + 3)):
+                if j != k:
+                    sums[bucket] = sums.get(bucket, 0) + index[found[j]].astype(int)
+    got = quality.context_vectors(docs)
+    for bucket, total in sums.items():
+        assert got[bucket] == pytest.approx(total / max(np.linalg.norm(total), 1e-9), abs=1e-6)
+
+
+def test_pieces_equal_the_library(llm_spark, odd):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows, docs = odd
+    rng = random.Random(5)
+    drawn = ["".join(rng.choices("ab the\n  é▁日🎉\x00\t<s>", k=rng.randrange(60))) for _ in range(300)]
+    coder = pieces.PieceCoder(pieces.read_model(path))
+    for text in drawn:
+        ids = library.encode(text)
+        assert coder.encode(text) == ids
+        assert coder.decode(ids) == library.decode(ids)
+    got = pieces.encode_documents(docs, pieces.read_model(path)).collect()
+    assert len(got) == len(rows)
+    expected = set()
+    for i, text, _ in rows:
+        ids = library.encode(text or "")
+        expected.add((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                      hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
+
+
+def test_html(llm_spark):
+    body = "<p>Some words &amp; more of them, in\n a  row.<p>Second <b>part</b> of it<br>goes on &lt;here&gt;."
+    html = (
+        "<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>one</a></li></ul></nav>"
+        "<div class='ad'>Buy now</div><article><h1>The head</h1>" + body
+        + "<aside>Elsewhere</aside><div class='comments'><p>I agree</p></div></article><footer>&copy; me</footer></body></html>"
+    )
+    want = "The head\nSome words & more of them, in a row.\nSecond part of it goes on <here>."
+    rows = [(1, "u", html), (2, "v", None), (3, "w", ""), (4, "x", "<nav><a>only a menu</a></nav>"), (1, "u", html), (5, "y", "<p <\"'")]
+    pages = llm_spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_text.extract(pages, html_text.train(pages)).collect()
+    assert sorted(r.page_id for r in got) == [1, 1, 2, 3, 4, 5]
+    texts = {r.page_id: r.text for r in got}
+    assert texts[1] == want and texts[2] == texts[3] == texts[4] == ""
+    assert all(r.n_chars == len(r.text) for r in got)
+    plain_page = html.replace("<article>", "<div id='content'>").replace("</article>", "</div>")
+    assert html_text.main_text(plain_page, html_text.train(pages)) == want
+    assert html_text.extract(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
+
+
+def test_fingerprints(llm_spark, odd):
+    rows = [(k * 3, " ".join(sample_words(5 + k % 40, k)), "a") for k in range(300)]
+    docs = plain(table(llm_spark, rows))
+    got = {r.doc_id: r for r in fingerprints.fingerprints(docs, cell_bytes=3000).collect()}
+    permutations = shingles.Permutations(fingerprints.PERMUTATIONS, fingerprints.SEED)
+    down = sorted(rows, reverse=True)
+    for k, (i, text, _) in enumerate(down):
+        after = down[(k + 1) % len(down)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        mark, changed = fingerprints.fingerprint(text, permutations), fingerprints.fingerprint(edited, permutations)
+        row = got[i]
+        assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (row.fingerprint, row.edited_fingerprint) == (mark.tobytes().hex(), changed.tobytes().hex())
+        assert row.near_edited == fingerprints.likeness(mark, changed)
+        assert row.near_next == fingerprints.likeness(mark, fingerprints.fingerprint(after, permutations))
+    assert fingerprints.fingerprints(plain(odd[1])).count() == 11
+    assert fingerprints.fingerprints(docs.limit(0)).count() == 0
+    alone = fingerprints.fingerprints(docs.where("doc_id = 0")).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1.0
+    copies = plain(table(llm_spark, [(k, rows[200 + k % 2][1], "a") for k in range(6)]))
+    pairs = {(r.a, r.b) for r in fingerprints.near_pairs(copies).collect()}
+    assert pairs == {(0, 2), (0, 4), (1, 3), (1, 5)}
+
+
+def test_chat_paths(llm_spark):
+    # A tree with three leaves, a chain of 20, a circle, and a message whose parent is missing.
+    rows = [("t", 1, None, 1.0), ("t", 2, 1, 0.0), ("t", 3, 1, 5.0), ("t", 4, 2, 9.0), ("t", 5, 3, 0.0), ("t", 6, 3, 4.0)]
+    rows += [("c", k, k - 1 if k else None, 0.0) for k in range(20)]
+    rows += [("o", 1, 2, 1.0), ("o", 2, 1, 1.0), ("m", 5, 4, 1.0)]
+    full = [(c, n, p, s, "assistant" if n % 2 else "user", f"{c}{n}") for c, n, p, s in rows]
+    messages = llm_spark.createDataFrame(full, "conv string, node long, parent long, score double, role string, text string")
+    got = chat.chosen_paths(messages, 2).orderBy("conv", "rank", "depth").collect()
+    paths = {}
+    for r in got:
+        paths.setdefault((r.conv, r["rank"]), []).append(r.node)
+    assert paths == {("t", 1): [1, 2, 4], ("t", 2): [1, 3, 6], ("c", 1): list(range(20)), ("m", 1): [5]}
+    assert chat.format_chats(messages.limit(0)).count() == 0
+
+
+def test_chat_round_trip(llm_spark):
+    texts = ["", "<|im_end|>", "a\\b<\\|n", "\\n\n<", "|x", "<|im_start|>assistant\nok", "🎉"]
+    turns = [("user" if k % 2 else "assistant", t) for k, t in enumerate(texts)] + [("odd\nrole<|", "x")]
+    text, spans = chat.format_turns(turns)
+    assert chat.parse(text) == turns
+    assert [chat.unescape(text[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant"]
+    assert text.count(chat.OPEN) == len(turns)
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", None), (None, None, None, None), (1, 1, "assistant", None)]
+    frame = llm_spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv: r for r in chat.read_back(chat.format_chats(chat.as_tree(frame))).collect()}
+    assert got["1"].n_turns == 3 and got["1"].loss_chars == 0 and got[""].n_turns == 1
