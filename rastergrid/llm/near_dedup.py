@@ -8,8 +8,9 @@
    first, so long lists (frequent passages) are merged only for documents that have little else.
 4. In each list one member, that with most shared and fewest own shingles, is the hub and is compared with the members
    outside its component. After some rounds, what is left of the lists is compared pair by pair between
-   components. Pairs whose unshared shingles alone rule them out are left out. Groups of copies thus cost
-   a pair per member and hub, and no link between components is lost.
+   components. Pairs that cannot be similar are left out in the join: by their unshared shingles, or by the
+   bits in which their parity bitmaps differ, which are never more than the shingles in which the sets differ.
+   Groups of copies thus cost a pair per member and hub, and no link between components is lost.
 5. Pairs above the match threshold are confirmed on the whole sets; components of the links are the
    result.
 """
@@ -34,12 +35,21 @@ SEED = 11
 # Go on with hubs while the pairs left are more than this many times the members, for some rounds.
 PAIRS_PER_MEMBER = 1
 HUB_ROUNDS = 2
+# 64-bit words of a parity bitmap.
+BITMAP_WORDS = 16
 
 
 def _set_key(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of the bitmap's places, whether an odd number of shingles falls on it."""
+    size = 64 * BITMAP_WORDS
+    counts = np.bincount((shingles % np.uint64(size)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signatures(batches, coordinates: int, seed: int):
     permutations = Permutations(coordinates, seed)
     for batch in batches:
@@ -63,10 +73,12 @@ def _sets(batches):
         found = [shingle_set(text) for text in batch.column("text").to_pylist()]
         offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
         values = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+        bits = np.concatenate([_parity(s) for s in found]) if found else np.empty(0, np.int64)
+        places = np.arange(0, len(bits) + 1, BITMAP_WORDS, dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64())),
-             pa.array(map(_set_key, found), pa.binary())],
-            names=["doc_id", "shingles", "set_key"],
+             pa.array(map(_set_key, found), pa.binary()), pa.ListArray.from_arrays(places, pa.array(bits, pa.int64()))],
+            names=["doc_id", "shingles", "set_key", "bits"],
         )
 
 
@@ -107,28 +119,35 @@ def prefix_lists(classes: DataFrame, coordinates: int = COORDINATES, matches: in
     return save(members.join(again, "key"), "near-members")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, matches: int, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) with enough equal coordinates whose whole sets are similar enough."""
+def _close(pairs: DataFrame, sets: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``matches`` coordinates; only signatures are read for it."""
     def side(name):
-        return sets.select(
-            F.col("rep").alias(name), F.col("signature").alias(f"__sig_{name}"), F.col("shingles").alias(f"__set_{name}")
-        )
+        return sets.select(F.col("rep").alias(name), F.col("signature").alias(f"__sig_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     equal = F.size(F.filter(F.zip_with("__sig_a", "__sig_b", lambda x, y: x == y), lambda x: x))
+    return save(both.where(equal >= matches).select("a", "b"), "near-close")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, matches: int, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) with enough equal coordinates whose whole sets are similar enough."""
+    def side(name):
+        return sets.select(F.col("rep").alias(name), F.col("shingles").alias(f"__set_{name}"))
+
+    both = _close(pairs, sets, matches).join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("__set_a", "__set_b"))
     whole = F.size("__set_a") + F.size("__set_b") - common
-    return both.where(equal >= matches).where(similarity[1] * common >= similarity[0] * whole).select("a", "b")
+    return both.where(similarity[1] * common >= similarity[0] * whole).select("a", "b")
 
 
 def _own_and_shared(sets: DataFrame) -> DataFrame:
-    """(rep, own, shared): how many shingles no other candidate has, and how many another has too."""
+    """(rep, bits, own, shared): how many shingles no other candidate has, and how many another has too."""
     exploded = sets.select("rep", F.explode("shingles").alias("__shingle"))
     single = exploded.groupBy("__shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("__n")).where("__n = 1")
     own = single.groupBy("rep").agg(F.count("*").alias("own"))
-    sized = sets.select("rep", F.size("shingles").alias("__all"))
+    sized = sets.select("rep", "bits", F.size("shingles").alias("__all"))
     return sized.join(own, "rep", "left").select(
-        "rep", F.coalesce("own", F.lit(0)).alias("own"), (F.col("__all") - F.coalesce("own", F.lit(0))).alias("shared")
+        "rep", "bits", F.coalesce("own", F.lit(0)).alias("own"), (F.col("__all") - F.coalesce("own", F.lit(0))).alias("shared")
     )
 
 
@@ -149,13 +168,17 @@ def _pairs(members: DataFrame, other: DataFrame, similarity: tuple[int, int]) ->
     """Distinct pairs of a list, between components, that can be similar at all.
 
     What two sets have in common is at most the smaller of their shared parts, and their union is at least
-    the larger of these with both their own parts.
+    the larger of these with both their own parts. Two sets of together n shingles with a similarity of t differ
+    in at most n (1 - t) / (1 + t) of them, and their bitmaps in no more places than that.
     """
     t, whole = similarity
-    b = other.select("key", *[F.col(c).alias(f"__{c}") for c in ("rep", "component", "own", "shared")])
+    b = other.select("key", *[F.col(c).alias(f"__{c}") for c in ("rep", "component", "own", "shared", "bits")])
     union = F.greatest("shared", "__shared") + F.col("own") + F.col("__own")
     possible = whole * F.least("shared", "__shared") >= t * union
-    pairs = members.join(b, "key").where((F.col("component") != F.col("__component")) & possible)
+    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("__bits")[k])) for k in range(BITMAP_WORDS)), F.lit(0))
+    sizes = F.col("own") + F.col("shared") + F.col("__own") + F.col("__shared")
+    near = (whole + t) * differ <= (whole - t) * sizes
+    pairs = members.join(b, "key").where((F.col("component") != F.col("__component")) & possible & near)
     return pairs.select(F.least("rep", "__rep").alias("a"), F.greatest("rep", "__rep").alias("b")).distinct()
 
 
@@ -167,11 +190,11 @@ def linked_classes(classes: DataFrame, docs: DataFrame, coordinates: int = COORD
     marks = save(mark_table(wanted, "rep"), "near-wanted-marks")
     texts = with_mark(docs.withColumnRenamed("doc_id", "rep"), "rep", marks, "__wanted").where("__wanted")
     texts = texts.select("rep", "text").join(wanted, "rep")
-    found = texts.select(F.col("rep").alias("doc_id"), "text").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>, set_key binary")
+    found = texts.select(F.col("rep").alias("doc_id"), "text").mapInArrow(_sets, "doc_id bigint, shingles array<bigint>, set_key binary, bits array<bigint>")
     # Where an id has several rows, that of the class counts.
     chosen = classes.join(wanted, "rep", "left_semi").select("rep", "set_key", "signature")
     sets = found.withColumnRenamed("doc_id", "rep").join(chosen, ["rep", "set_key"]).dropDuplicates(["rep"])
-    sets = save(sets.select("rep", "signature", "shingles"), "near-sets")
+    sets = save(sets.select("rep", "signature", "shingles", "bits"), "near-sets")
     parts = _own_and_shared(sets).where((similarity[1] - similarity[0]) * F.col("shared") >= similarity[0] * F.col("own"))
     members = save(listed.join(parts, "rep").withColumn("component", F.col("rep")), "near-possible")
     labels, round_ = None, 0
@@ -201,7 +224,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame, coordinates: int = COORD
         rest = open_.join(hubs.select("key", "rep"), ["key", "rep"], "left_anti").drop("component")
         rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         members = save(
-            rest.select("key", "rep", "weight", "own", "shared", F.coalesce("label", "rep").alias("component")), "near-left"
+            rest.select("key", "rep", "weight", "own", "shared", "bits", F.coalesce("label", "rep").alias("component")), "near-left"
         )
         round_ += 1
     if labels is None:
