@@ -313,3 +313,16 @@ def test_chat_round_trip(llm_spark):
     frame = llm_spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv: r for r in chat.read_back(chat.format_chats(chat.as_tree(frame))).collect()}
     assert got["1"].n_turns == 3 and got["1"].loss_chars == 0 and got[""].n_turns == 1
+
+
+def test_parity_bitmaps_never_rule_out_similar_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 700, 5000):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for share in (0.0, 0.05, 0.3):
+            moved = int(size * share)
+            other = np.concatenate([base[moved:], rng.integers(0, 1 << 63, moved, dtype=np.uint64)])
+            differ = len(np.setxor1d(base, other))
+            bits = near_dedup._parity(base) ^ near_dedup._parity(other)
+            assert int(np.unpackbits(bits.view(np.uint8)).sum()) <= differ
+    assert not near_dedup._parity(np.empty(0, np.uint64)).any()
