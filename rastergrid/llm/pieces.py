@@ -3,7 +3,8 @@
 A text is turned into symbols, and an agenda holds the adjacent pairs that make a piece, best score
 first and leftmost first among equals. Pieces never reach over a place where the two characters beside it
 stand together in no piece, so a text is cut there and its parts are encoded for themselves; parts seen
-before come from a cache. In every Arrow batch the new parts are checked against the library.
+before come from a cache. In every Arrow batch all new parts, and one whole text of each group of texts,
+are checked against the library.
 """
 
 from __future__ import annotations
@@ -12,13 +13,22 @@ import hashlib
 import heapq
 import re
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-_CACHE_PARTS = 400_000
+# Parts that each of the two generations of the cache may hold.
+_CACHE_PARTS = 300_000
+_CHARS_AT_ONCE = 1 << 20
+# Longer parts have an agenda of their own; a round over all parts for each of their merges would be quadratic.
+_SHORT_PART = 64
+# Places of order, place in the part and piece in an entry of the agenda.
+_ORDER_AT, _PLACE_AT = 52, 20
+_PLACE_MASK, _SYMBOL_MASK = (1 << 32) - 1, (1 << 20) - 1
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -40,6 +50,8 @@ class PieceCoder:
         self.ids = {p.piece: k for k, p in enumerate(spec.pieces) if p.type == _NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): k for k, p in enumerate(spec.pieces) if p.type == _BYTE}
         self.bytes_of = {k: bytes([b]) for b, k in self.byte_ids.items()}
+        self.decimals = [str(k) for k in range(len(self.pieces))]
+        self._number_symbols()
         beside = {piece[k : k + 2] for piece in self.score for k in range(len(piece) - 1)}
         # Cut before a space mark that follows anything else, and around line ends, where no piece joins them.
         joined = {pair for pair in beside if pair[1] == SPACE and pair[0] != SPACE}
@@ -47,54 +59,146 @@ class PieceCoder:
             raise ValueError("the vocabulary has pieces over spaces or line ends")
         self.parts = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
         self.cache: dict[str, tuple[int, str, str]] = {}
+        self.old: dict[str, tuple[int, str, str]] = {}
         self.library = None
         if check:
             self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
             spec.normalizer_spec.add_dummy_prefix = False
             self.bare = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
 
-    def _merge(self, part: str) -> list[int]:
-        symbols, score = list(part), self.score
-        after = [*range(1, len(symbols)), -1]
-        before = [*range(-1, len(symbols) - 1)]
-        agenda: list[tuple[float, int, str, int]] = []
+    def _number_symbols(self) -> None:
+        """Numbers for characters and pieces, and what each adjacent pair of numbers makes: (order of score, piece)."""
+        names = sorted({c for piece in self.score for c in piece} | set(self.score))
+        self.symbol = {name: k for k, name in enumerate(names)}
+        self.none = len(names)  # a character of no piece, or a place that was merged into its left one
+        self.width = self.none + 1
+        order = {score: k for k, score in enumerate(sorted(set(self.score.values()), reverse=True))}
+        self.pairs: dict[int, int] = {}
+        for piece, score in self.score.items():
+            made = order[score] << _ORDER_AT | self.symbol[piece]
+            for cut in range(1, len(piece)):
+                left, right = self.symbol.get(piece[:cut]), self.symbol.get(piece[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left * self.width + right] = made
+        self.vocabulary = np.array([self.ids.get(name, -1) for name in names] + [-1])
+        # The same as arrays: numbers of characters by code point, and the pairs by key.
+        self.of_char = np.full(0x110000, self.none, np.int64)
+        for name, number in self.symbol.items():
+            if len(name) == 1:
+                self.of_char[ord(name)] = number
+        self.pair_keys = np.array(sorted(self.pairs), np.int64)
+        made = [self.pairs[key] for key in self.pair_keys.tolist()]
+        self.pair_orders = np.array([m >> _ORDER_AT for m in made], np.int64)
+        self.pair_pieces = np.array([m & _SYMBOL_MASK for m in made], np.int64)
 
-        def offer(left: int, right: int) -> None:
-            piece = symbols[left] + symbols[right]
-            if piece in score:
-                heapq.heappush(agenda, (-score[piece], left, piece, right))
-
-        for k in range(len(symbols) - 1):
-            offer(k, k + 1)
+    def _merge_long(self, part: str) -> list[int]:
+        """One part with an agenda of its own, in time n log n."""
+        symbol, none, pairs, width = self.symbol, self.none, self.pairs, self.width
+        at = [symbol.get(c, none) for c in part]
+        size = len(at)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        # One number an entry: order of score, then place, then the piece that the pair makes.
+        agenda = []
+        for k in range(size - 1):
+            made = pairs.get(at[k] * width + at[k + 1])
+            if made is not None:
+                agenda.append(made + (k << _PLACE_AT))
+        heapq.heapify(agenda)
         while agenda:
-            _, left, piece, right = heapq.heappop(agenda)
+            entry = heapq.heappop(agenda)
+            left = entry >> _PLACE_AT & _PLACE_MASK
+            right = after[left]
             # Stale when either side was merged since.
-            if not symbols[left] or not symbols[right] or symbols[left] + symbols[right] != piece or after[left] != right:
+            if right >= size or pairs.get(at[left] * width + at[right]) != entry - (left << _PLACE_AT):
                 continue
-            symbols[left], symbols[right] = piece, ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-                offer(left, after[right])
-            if before[left] >= 0:
-                offer(before[left], left)
+            merged = entry & _SYMBOL_MASK
+            at[left], at[right] = merged, none
+            beyond = after[left] = after[right]
+            if beyond < size:
+                before[beyond] = left
+                made = pairs.get(merged * width + at[beyond])
+                if made is not None:
+                    heapq.heappush(agenda, made + (left << _PLACE_AT))
+            ahead = before[left]
+            if ahead >= 0:
+                made = pairs.get(at[ahead] * width + merged)
+                if made is not None:
+                    heapq.heappush(agenda, made + (ahead << _PLACE_AT))
         found: list[int] = []
-        for symbol in filter(None, symbols):
-            if symbol in self.ids:
-                found.append(self.ids[symbol])
+        vocabulary, place = self.vocabulary, 0
+        while place < size:
+            known = int(vocabulary[at[place]])
+            if known >= 0:
+                found.append(known)
             else:
-                found.extend(self.byte_ids[b] for b in symbol.encode())
+                found.extend(self.byte_ids[b] for b in part[place].encode())
+            place = after[place]
+        return found
+
+    def _pair_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place in the pair table of what two neighbours make, -1 if nothing."""
+        key = left * self.width + right
+        place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[place] == key, place, -1)
+
+    def _merge_short(self, parts: list[str]) -> list[list[int]]:
+        """Many parts at once: every round takes the head of each part's agenda, until all agendas are empty."""
+        chars = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+        owner = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), np.int64, len(parts)))
+        at = self.of_char[chars]
+        pair = np.full(len(at), -1)
+        pair[:-1] = np.where(owner[:-1] == owner[1:], self._pair_of(at[:-1], at[1:]), -1)
+        while True:
+            places = np.flatnonzero(pair >= 0)
+            if not len(places):
+                break
+            entries = self.pair_orders[pair[places]] << 32 | places
+            owners = owner[places]
+            heads = np.minimum.reduceat(entries, np.flatnonzero(np.diff(owners, prepend=-1))) & 0xFFFFFFFF
+            at[heads] = self.pair_pieces[pair[heads]]
+            left = np.ones(len(at), bool)
+            left[heads + 1] = False
+            at, owner, pair, chars = at[left], owner[left], pair[left], chars[left]
+            # Each part lost one place before the heads of the parts behind it.
+            heads -= np.arange(len(heads))
+            changed = np.concatenate([heads, heads[heads > 0] - 1])
+            changed = changed[changed < len(at) - 1]
+            inside = owner[changed] == owner[changed + 1]
+            pair[changed] = np.where(inside, self._pair_of(at[changed], at[changed + 1]), -1)
+            if owner[heads[-1]] == owner[-1] and heads[-1] == len(at) - 1:
+                pair[-1] = -1
+        ids, ends = self.vocabulary[at], np.searchsorted(owner, np.arange(len(parts) + 1)).tolist()
+        flat = ids.tolist()
+        found = [flat[a:b] for a, b in zip(ends, ends[1:])]
+        for k in np.unique(owner[ids < 0]).tolist():
+            own = zip(found[k], chars[ends[k] : ends[k + 1]].tolist())
+            found[k] = [n for known, c in own for n in ([known] if known >= 0 else [self.byte_ids[b] for b in chr(c).encode()])]
         return found
 
-    def _new(self, part: str) -> tuple[int, str, str]:
-        found = self._merge(part)
-        if len(self.cache) > _CACHE_PARTS:
-            self.cache.clear()
-        entry = self.cache[part] = (len(found), ",".join(map(str, found)), self._plain(found))
-        return entry
+    def learn(self, parts: list[list[str]]) -> None:
+        """Encode and decode the distinct parts that no cache holds, check them against the library and remember them."""
+        new = list({p for own in parts for p in own if p not in self.cache})
+        if len(self.cache) + len(new) > _CACHE_PARTS:
+            # Two generations: the young one becomes the old one, and parts that are met again move back.
+            self.old, self.cache = self.cache, {}
+            new = list({p for own in parts for p in own})
+        for p in new:
+            if p in self.old:
+                self.cache[p] = self.old[p]
+        new = [p for p in new if p not in self.cache]
+        short = [p for p in new if len(p) <= _SHORT_PART]
+        long = [p for p in new if len(p) > _SHORT_PART]
+        found = (self._merge_short(short) if short else []) + [self._merge_long(p) for p in long]
+        texts = [self._plain(ids) for ids in found]
+        self.verify(short + long, found, texts)
+        decimals = self.decimals
+        for part, ids, text in zip(short + long, found, texts):
+            self.cache[part] = (len(ids), ",".join([decimals[k] for k in ids]), text)
 
     def _plain(self, ids: list[int]) -> str:
         """The text of ids, without what holds for the start of a text only."""
+        if self.bytes_of.keys().isdisjoint(ids):
+            return "".join([self.pieces[k] for k in ids]).replace(SPACE, " ")
         pieces, pending = [], b""
         for k in ids:
             if k in self.bytes_of:
@@ -120,26 +224,60 @@ class PieceCoder:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the decimal ids joined by commas, and the decoded text."""
-        if not text:
-            return 0, "", ""
-        cache = self.cache
-        entries = [
-            cache[p] if p in cache else self._new(p) for p in self.parts.findall(self.prefix + text.replace(" ", SPACE))
-        ]
-        decoded = "".join([e[2] for e in entries])
-        if self.prefix and decoded.startswith(" "):
-            decoded = decoded[1:]
-        return sum([e[0] for e in entries]), ",".join([e[1] for e in entries]), decoded
-
-    def verify(self, parts: list[str]) -> None:
-        """Compare the ids and decoded texts of parts with the library's; raises where they differ."""
+        return next(self.digests([text]))
+
+    def digests(self, texts: list[str]):
+        """``digest`` of every text, in order; texts are worked on together up to some size."""
+        start = 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= _CHARS_AT_ONCE):
+                size += len(texts[stop])
+                stop += 1
+            group = texts[start:stop]
+            # An empty text has no prefix either.
+            parts = [self.parts.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in group]
+            self.learn(parts)
+            cache = self.cache
+            for k, own in enumerate(parts):
+                entries = [cache[p] for p in own]
+                decoded = "".join([e[2] for e in entries])
+                if self.prefix and decoded.startswith(" "):
+                    decoded = decoded[1:]
+                result = sum([e[0] for e in entries]), ",".join([e[1] for e in entries]), decoded
+                if k == 0:
+                    self.verify_whole(group[0], result)
+                yield result
+            start = stop
+
+    def verify(self, parts: list[str], found: list[list[int]], texts: list[str]) -> None:
+        """Compare ids and decoded texts of parts with the library's; raises where they differ."""
         if self.library is None or not parts:
             return
-        theirs = self.bare.encode([p.replace(SPACE, " ") for p in parts], num_threads=1)
-        for part, ids, text in zip(parts, theirs, self.bare.decode(theirs, num_threads=1)):
-            _, joined, decoded = self.cache.get(part) or self._new(part)
-            if joined != ",".join(map(str, ids)) or decoded != text:
-                raise ValueError(f"ids differ from the library's for {part[:80]!r}")
+        theirs = self.bare.encode([part.replace(SPACE, " ") for part in parts], num_threads=1)
+        decoded = self.bare.decode(theirs, num_threads=1)
+        if theirs != found or decoded != texts:
+            wrong = next(p for p, a, b, c, d in zip(parts, theirs, found, decoded, texts) if a != b or c != d)
+            raise ValueError(f"ids differ from the library's for {wrong[:80]!r}")
+
+    def verify_whole(self, text: str, result: tuple[int, str, str]) -> None:
+        """Compare a whole text, with its cuts and its prefix, with the library's; raises where it differs."""
+        if self.library is None:
+            return
+        ids = self.library.encode(text)
+        if result != (len(ids), ",".join([self.decimals[k] for k in ids]), self.library.decode(ids)):
+            raise ValueError(f"ids differ from the library's for the text {text[:80]!r}")
+
+
+_coders: dict[tuple[str, bool], PieceCoder] = {}
+
+
+def coder_of(model: bytes, check: bool = True) -> PieceCoder:
+    """The worker process's coder of a vocabulary: its tables and its cache outlive a task."""
+    key = hashlib.sha256(model).hexdigest(), check
+    if key not in _coders:
+        _coders[key] = PieceCoder(model, check)
+    return _coders[key]
 
 
 def read_model(path: str) -> bytes:
@@ -151,9 +289,13 @@ def read_model(path: str) -> bytes:
 def encode_documents(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` but the text, with n_tokens, ids_sha256 and decoded_sha256 of each whole text.
 
-    Null texts count as empty: no ids, and an empty decoded text. ``model`` is the vocabulary's file.
+    Null and empty texts have no ids and an empty decoded text; texts of any length are encoded whole;
+    repeated rows come out as often as they go in; an empty table gives an empty result. Columns of
+    ``docs`` named like one of the three results give way to it. ``model`` is the vocabulary's file.
     """
-    keep = [c for c in docs.columns if c != text_col]
+    results = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    keep = [c for c in docs.columns if c != text_col and c not in results]
+    docs = docs.select(*[F.col(f"`{c}`") for c in [*keep, text_col]])
     schema = T.StructType(
         [*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()),
          T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
@@ -161,22 +303,16 @@ def encode_documents(docs: DataFrame, model: bytes, text_col: str = "text") -> D
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def encoded(batches):
-        coder = PieceCoder(held.value)
+        coder = coder_of(held.value)
         for batch in batches:
-            fresh: list[str] = []
-            make = coder._new
-            coder._new = lambda part: (fresh.append(part), make(part))[1]
             counts, ids, texts = [], [], []
-            for text in batch.column(text_col).to_pylist():
-                number, joined, decoded = coder.digest(text or "")
+            for number, joined, decoded in coder.digests([text or "" for text in batch.column(text_col).to_pylist()]):
                 counts.append(number)
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 texts.append(hashlib.sha256(decoded.encode()).hexdigest())
-            coder._new = make
-            coder.verify(fresh)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(counts, pa.int64()), pa.array(ids), pa.array(texts)],
-                names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
+                [*[batch.column(c) for c in keep], pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
+                names=[*keep, *results],
             )
 
     return docs.mapInArrow(encoded, schema)
