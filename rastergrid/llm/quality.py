@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,50 +77,81 @@ class Tokens:
         return np.array(found, np.int64)
 
 
-def _context_blocks(batches, buckets: int, dimensions: int, seed: int):
-    """The context sums of one task, as rows (block, values)."""
-    index, tokens = index_vectors(buckets, dimensions, seed).astype(np.int32), Tokens(buckets)
-    sums = np.zeros((buckets, dimensions), np.int64)
+def _neighbour_sums(found: np.ndarray, index: np.ndarray, sums: np.ndarray) -> None:
+    """Add to ``sums`` by bucket the index vectors of the words around each word of ``found``."""
+    for start in range(0, len(found), _ROWS_AT_ONCE):
+        # Neighbours over the edge of a piece are kept by overlapping the pieces.
+        piece = found[max(0, start - WINDOW) : start + _ROWS_AT_ONCE + WINDOW]
+        low, high = min(start, WINDOW), min(len(found) - start, _ROWS_AT_ONCE)
+        vectors = index[piece]
+        around = np.zeros((high, index.shape[1]), np.int32)
+        for step in range(1, WINDOW + 1):
+            left, right = max(0, step - low), min(high, len(piece) - low - step)
+            around[left:] += vectors[low + left - step : low + high - step]
+            around[:right] += vectors[low + step : low + step + right]
+        # Rows of one bucket stand together, then each run is added up at once.
+        own = piece[low : low + high]
+        order = np.argsort(own.astype(np.uint16), kind="stable")
+        heads = np.flatnonzero(np.diff(own[order], prepend=-1))
+        sums[own[order[heads]]] += np.add.reduceat(around[order], heads, axis=0)
+
+
+def _blocks_of(sums: np.ndarray, salt: int):
+    """Blocks of the table that have anything, as one batch (salt, block, values)."""
+    parts = [(k // BLOCK, sums[k : k + BLOCK]) for k in range(0, len(sums), BLOCK)]
+    parts = [(block, part.astype("<i8").tobytes()) for block, part in parts if part.any()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([salt] * len(parts), pa.int32()), pa.array([b for b, _ in parts], pa.int32()), pa.array([v for _, v in parts], pa.binary())],
+        names=["salt", "block", "values"],
+    )
+
+
+def _context_blocks(batches, buckets: int, dimensions: int, seed: int, salts: int):
+    """The context sums of one task, in blocks; texts are put together, two gaps of no word apart."""
+    index = np.vstack([index_vectors(buckets, dimensions, seed), np.zeros((1, dimensions), np.int8)]).astype(np.int32)
+    tokens, gap = Tokens(buckets), np.full(WINDOW, buckets)
+    sums = np.zeros((buckets + 1, dimensions), np.int64)
     for batch in batches:
+        waiting, size = [], 0
         for text in batch.column("text").to_pylist():
             found = tokens.of(text)
-            for start in range(0, len(found), _ROWS_AT_ONCE):
-                # Neighbours over the edge of a piece are kept by overlapping the pieces.
-                piece = found[max(0, start - WINDOW) : start + _ROWS_AT_ONCE + WINDOW]
-                low, high = min(start, WINDOW), min(len(found) - start, _ROWS_AT_ONCE)
-                vectors = index[piece]
-                around = np.zeros((high, dimensions), np.int32)
-                for step in range(1, WINDOW + 1):
-                    left, right = max(0, step - low), min(high, len(piece) - low - step)
-                    around[left:] += vectors[low + left - step : low + high - step]
-                    around[:right] += vectors[low + step : low + step + right]
-                np.add.at(sums, piece[low : low + high], around)
-    for block in range(0, buckets, BLOCK):
-        part = sums[block : block + BLOCK]
-        if part.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block // BLOCK], pa.int32()), pa.array([part.ravel().tolist()], pa.list_(pa.int64()))],
-                names=["block", "values"],
-            )
+            waiting += [found, gap]
+            size += len(found)
+            if size >= _ROWS_AT_ONCE:
+                _neighbour_sums(np.concatenate(waiting), index, sums)
+                waiting, size = [], 0
+        if waiting:
+            _neighbour_sums(np.concatenate(waiting), index, sums)
+    yield from _blocks_of(sums[:buckets], TaskContext.get().partitionId() % salts)
+
+
+def _added(batches, buckets: int, dimensions: int):
+    """Blocks added up by number, in one table of fixed size."""
+    sums = np.zeros((buckets, dimensions), np.int64)
+    for batch in batches:
+        for block, values in zip(batch.column("block").to_pylist(), batch.column("values")):
+            part = np.frombuffer(values.as_buffer(), "<i8").reshape(-1, dimensions)
+            sums[block * BLOCK : block * BLOCK + len(part)] += part
+    yield from _blocks_of(sums, 0)
 
 
 def context_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
     """Context vectors of all buckets over all rows of ``docs`` (text), of unit length or zero.
 
-    Each task sums its documents; the sums meet per place of a block. The table has a fixed size.
+    Each task sums its documents into one table of a fixed size. The tables are added up in two steps, by
+    groups of tasks, an eighth as many as shuffle partitions, and then by block, so no task reads all of them.
     """
-    parts = docs.select("text").mapInArrow(
-        lambda batches: _context_blocks(batches, buckets, dimensions, seed), "block int, values array<bigint>"
-    )
-    totals = save(
-        parts.select("block", F.posexplode("values").alias("place", "value")).where("value <> 0")
-        .groupBy("block", "place").agg(F.sum("value").alias("value")),
-        "quality-contexts",
-    ).toArrow()
-    table = np.zeros(buckets * dimensions)
-    at = totals.column("block").to_numpy().astype(np.int64) * BLOCK * dimensions + totals.column("place").to_numpy()
-    table[at] = totals.column("value").to_numpy()
-    table = table.reshape(buckets, dimensions)
+    texts = docs.select("text")
+    salts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    kind = "salt int, block int, values binary"
+    parts = texts.mapInArrow(lambda batches: _context_blocks(batches, buckets, dimensions, seed, salts), kind)
+    for number, key in ((salts, "salt"), (min(salts, 16), "block")):
+        parts = parts.repartition(number, key).mapInArrow(lambda batches: _added(batches, buckets, dimensions), kind)
+    totals = save(parts, "quality-contexts").toArrow()
+    table = np.zeros((buckets, dimensions))
+    for block, values in zip(totals.column("block").to_pylist(), totals.column("values").to_pylist()):
+        part = np.frombuffer(values, "<i8").reshape(-1, dimensions)
+        table[block * BLOCK : block * BLOCK + len(part)] += part
     return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
@@ -223,7 +255,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the calibrated probability of each whole text; null texts score as empty ones."""
+    """``docs`` with the calibrated probability of each whole text; null texts score as empty ones.
+
+    Texts of any length are read whole, equal texts score alike, repeated rows stay, an empty table gives
+    an empty result, and a column of ``docs`` named like the score gives way to it.
+    """
+    docs = docs.drop(out) if out != text_col else docs
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     text_at = docs.columns.index(text_col)
