@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rastergrid.session import ship_package
 
-from . import chat, exact_dedup, fingerprints, html_text, mixing, near_dedup, pieces, quality, sharding, toxicity
+from . import chat, collocations, exact_dedup, fingerprints, html_text, licenses, mixing, near_dedup, pieces, quality, sharding, toxicity
 from .common import plain, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,7 +92,7 @@ def op3_sharding(spark, sf_dir):
     r"""
     WITH sized AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-               md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS k
+               md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k
         FROM documents
     ), sources AS (
         SELECT source, sum(size)::BIGINT AS source_size,
@@ -107,22 +107,33 @@ def op3_sharding(spark, sf_dir):
         SELECT *, arg_min(level, struct_pack(a := top / w, b := rank)) FILTER (WHERE level * w < top) OVER () AS final
         FROM levels
     ), targets AS (
-        SELECT source, source_size, least(top, coalesce(final * w, top)) AS target FROM filled
+        SELECT source, source_size, rank, least(top, coalesce(final * w, top)) AS target FROM filled
     ), laid AS (
-        SELECT d.*, t.source_size, t.target, sum(d.size) OVER (
+        SELECT d.*, t.source_size, t.target, t.rank, sum(d.size) OVER (
                    PARTITION BY d.source ORDER BY d.k, d.size ROWS UNBOUNDED PRECEDING) - d.size AS begin_at
         FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+    ), passed AS (
+        SELECT *, greatest(0, least(size, floor(target)::BIGINT - begin_at)) AS once,
+               greatest(0, least(size, floor(target)::BIGINT - begin_at - source_size)) AS twice FROM laid
+    ), shares AS (
+        SELECT *, (begin_at + once / 2.0::DOUBLE) / target AS share,
+               share * [0.75::DOUBLE, 1.0::DOUBLE, 1.125::DOUBLE][(rank % 3) + 1] AS need FROM passed
     )
-    SELECT doc_id, size, source_size, target,
-           (greatest(0, least(size, floor(target)::BIGINT - begin_at))
-            + greatest(0, least(size, floor(target)::BIGINT - begin_at - source_size)))::BIGINT AS taken
-    FROM laid
+    SELECT doc_id, size, source_size, target, (once + twice)::BIGINT AS taken,
+           CASE WHEN once > 0 THEN floor(1000000::DOUBLE * CASE
+               WHEN rank % 3 = 0 THEN CASE WHEN need < 0.75 THEN 2 * need / (1 + sqrt(1 - need)) ELSE 1.0 END
+               WHEN rank % 3 = 1 THEN CASE WHEN need < 1.0 THEN 2 * need / (1 + sqrt(1.0::DOUBLE)) ELSE 1.0 END
+               WHEN need < 0.375 THEN 2 * need / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * need))
+               WHEN need < 1.125 THEN 0.5::DOUBLE + 2 * (need - 0.375::DOUBLE) / (1 + sqrt(1 + 4 * (need - 0.375::DOUBLE)))
+               ELSE 1.0 END)::BIGINT END AS first_at
+    FROM shares
     """
 )
 def op4_mixing(spark, sf_dir):
-    """How many words of each document a mix of all sources takes."""
+    """How many words of each document a mix of all sources takes, and when in training it takes them first (millionths)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    first = F.floor(1_000_000 * F.try_element_at("positions", F.lit(1)))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", first.alias("first_at"))
 
 
 @query(
@@ -211,3 +222,49 @@ def op8_chat_formatting(spark, sf_dir):
     messages = chat.as_tree(rows.unionByName(tricky))
     found = chat.read_back(chat.format_chats(messages))
     return found.select(F.nullif("conv", F.lit("")).cast("bigint").alias("conv_id"), *found.columns[1:])
+
+
+@query(
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS MATERIALIZED (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM worded, (VALUES (1), (2), (3)) t(k)
+    ), counts AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+    ), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+    often AS MATERIALIZED (SELECT lang, k, phrase, f FROM counts WHERE f >= 10),
+    candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM often WHERE k > 1),
+    halves AS MATERIALIZED (
+        SELECT *, array_to_string(w[1:cut], ' ') AS left_part, array_to_string(w[cut + 1:], ' ') AS right_part
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)
+    ), cuts AS (
+        SELECT c.lang, c.k, c.phrase, c.a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM halves c JOIN often l ON l.lang = c.lang AND l.phrase = left_part
+        JOIN often r ON r.lang = c.lang AND r.phrase = right_part
+    ), weakest AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), inner_pairs AS (
+        SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE k = 3
+    ), longer AS (SELECT lang, phrase, max(a) AS longest FROM inner_pairs GROUP BY ALL),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+        FROM weakest LEFT JOIN longer USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark, sf_dir):
+    """The best phrases of two or three words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(licenses.oracle_sql())
+def op13_license_scan(spark, sf_dir):
+    """The license phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
