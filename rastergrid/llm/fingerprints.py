@@ -1,8 +1,8 @@
 """MinHash fingerprints of documents and of edited copies, and near pairs by signature bands.
 
-Each text needs the next one by id. Documents are dealt into cells of ids at quantiles, the first
-document of each cell also goes to the end of the cell before, and every cell is walked in order; so
-texts are shuffled once and no task sees more than its cells.
+Each text needs the next one by id. Documents are dealt into cells, which are ranges of ids of about the
+same bytes; the first document of each cell also goes to the end of the cell before, and every cell is
+walked in order by a task of its own. So texts are shuffled once.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ PERMUTATIONS = 64
 SEED = 21
 BANDS = 16
 CELL_BYTES = 16 << 20
+# A document counts once for each so many bytes when ranges of ids are chosen.
+_WEIGHT_BYTES = 16 << 10
 _HEX = 4
 _LOWEST = -(1 << 63)
 
@@ -44,11 +46,13 @@ def with_next(text: str, after: str) -> str:
 
 def _cells(batches, heads: np.ndarray):
     """Rows with their cell; the head of a cell comes again as the tail of the cell before."""
+    rising = heads[::-1]
     for batch in batches:
         ids = pc.fill_null(batch.column("doc_id"), _LOWEST).to_numpy(zero_copy_only=False)
-        # heads fall; cell k has the ids from heads[k] down to above heads[k + 1].
-        cell = np.clip(np.searchsorted(-heads, -ids, side="right") - 1, 0, None) if len(heads) else np.zeros(len(ids), int)
+        # heads fall; cell k has the ids from heads[k] down to above heads[k + 1], the last one also all null ids.
+        cell = np.clip(len(heads) - 1 - np.searchsorted(rising, ids, side="left"), 0, None) if len(heads) else np.zeros(len(ids), int)
         is_head = (heads[cell] == ids) if len(heads) else np.zeros(len(ids), bool)
+        is_head &= batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
         before = (cell[is_head] - 1) % max(len(heads), 1)
         table = pa.Table.from_batches([batch])
         own = table.append_column("cell", pa.array(cell, pa.int32())).append_column("tail", pa.array(np.zeros(len(ids), bool)))
@@ -113,15 +117,18 @@ def fingerprints(docs: DataFrame, count: int = PERMUTATIONS, seed: int = SEED, c
     single document follows itself. Rows with the same id follow each other by text; null ids come last.
     Texts without words share one fingerprint. An empty table gives an empty result.
     """
-    total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    bytes_ = F.octet_length("text").cast("bigint")
+    total = docs.agg(F.sum(bytes_)).first()[0] or 0
     cells = max(1, -(-int(total) // cell_bytes))
-    steps = [k / cells for k in range(1, cells)] + [1.0]
-    found = docs.where("doc_id is not null").agg(F.percentile_approx("doc_id", F.array(*map(F.lit, steps)), F.lit(10 * cells))).first()[0]
-    heads = np.array(sorted(set(found or []), reverse=True), np.int64)
+    # Ranges of ids only, each id as often as it weighs; the largest id of each range heads a cell.
+    weights = docs.where("doc_id is not null").select("doc_id", F.explode(F.sequence(F.lit(0), (bytes_ / _WEIGHT_BYTES).cast("int"))))
+    ranges = weights.select("doc_id").repartitionByRange(cells, F.col("doc_id").desc())
+    found = ranges.groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("head")).select("head").toArrow().column("head")
+    heads = np.sort(found.to_numpy())[::-1].copy()
     dealt = docs.select("doc_id", "text").mapInArrow(
         lambda batches: _cells(batches, heads), "doc_id bigint, text string, cell int, tail boolean"
     )
-    ordered = dealt.repartition(max(1, len(heads)), "cell").sortWithinPartitions(
+    ordered = dealt.repartitionById(max(1, len(heads)), F.col("cell")).sortWithinPartitions(
         "cell", "tail", F.col("doc_id").desc_nulls_last(), "text"
     )
     return ordered.mapInArrow(lambda batches: _walk(batches, count, seed), _RESULT)

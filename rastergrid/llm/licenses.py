@@ -178,7 +178,7 @@ def scan(docs: DataFrame, templates: list[dict] | None = None, least_score: floa
     standing = standing.withColumn("score", share).where(F.col("base") | (F.col("score") >= least_score))
     labels = lambda c: F.concat_ws(",", F.array_sort(c))
     labelled = standing.groupBy("doc_id", "text_key").agg(
-        F.count_if("base").alias("n_base"), F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),
+        F.count_if(F.col("base")).alias("n_base"), F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),
         F.max(F.when(F.col("base"), F.col("start"))).alias("last_word"),
         labels(F.collect_set(F.when(F.col("base"), F.col("label")))).alias("base_labels"),
         labels(F.collect_set("label")).alias("labels"), F.max("score").alias("score"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rastergrid.session import ship_package
 
-from . import chat, collocations, exact_dedup, fingerprints, html_text, licenses, mixing, near_dedup, pieces, quality, sharding, toxicity
+from . import chat, collocations, exact_dedup, fingerprints, html_text, licenses, mixing, near_dedup, pieces, quality, search, sharding, toxicity
 from .common import plain, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -268,3 +268,33 @@ def op11_collocations(spark, sf_dir):
 def op13_license_scan(spark, sf_dir):
     """The license phrases and notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+    ), tokens AS (
+        SELECT row_id, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM texts
+    ), counts AS MATERIALIZED (SELECT row_id, doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL),
+    sizes AS (SELECT row_id, sum(tf)::BIGINT AS n FROM counts GROUP BY row_id),
+    whole AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM sizes),
+    df AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+    wanted AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), weighed AS (
+        SELECT item_id, term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM wanted JOIN df USING (term), whole
+    ), scored AS (
+        SELECT item_id, row_id, any_value(doc_id) AS doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+        FROM weighed JOIN counts USING (term) JOIN sizes USING (row_id), whole GROUP BY item_id, row_id
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """
+)
+def op12_lexical_search(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 BITS = 20
 # Labelled rows to learn from, at most: those with the least hash of their doc_id.
 TRAIN_ROWS = 14_000
+# Features of the labelled rows together, at most (256 MiB); rows beyond are left out of the fit.
+TRAIN_FEATURES = 1 << 26
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.001
 THRESHOLD = 0.7
@@ -75,7 +77,7 @@ class Features:
 
 
 def fit_ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int = BITS, epochs: int = EPOCHS) -> Model:
-    """FTRL-proximal over sets of coordinates, one example at a time; the last coordinate is the bias."""
+    """FTRL-proximal over sets of coordinates, one example at a time; a coordinate of its own is the bias."""
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -86,24 +88,25 @@ def fit_ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int = BITS, e
     rng = np.random.default_rng(SEED)
     for _ in range(epochs):
         for k in rng.permutation(len(examples)):
-            places = examples[k]
+            places = np.append(examples[k], size - 1)
             weights = weights_at(places)
             error = 1.0 / (1.0 + np.exp(-np.clip(weights.sum(), -35, 35))) - labels[k]
             old = n[places]
             new = old + error * error
             z[places] += error - (np.sqrt(new) - np.sqrt(old)) / ALPHA * weights
             n[places] = new
-    everything = weights_at(np.arange(size))
-    places = np.flatnonzero(everything[:-1])
-    return Model(places, everything[places].astype(np.float32), float(everything[-1]), bits)
+    places = np.flatnonzero(np.abs(z[:-1]) > L1)
+    return Model(places, weights_at(places).astype(np.float32), float(weights_at(np.array([size - 1]))[0]), bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, rows: int = TRAIN_ROWS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, bits: int = BITS, rows: int = TRAIN_ROWS, features_held: int = TRAIN_FEATURES
+) -> Model:
     """Fit on at most ``rows`` labelled rows (doc_id, label 0 or 1), those with the least hash of their id.
 
     Rows without a label, an id or a document are left out; rows that repeat count again. Without any
-    labelled row the model has no weights and scores 0.5. Features come from tasks; the bounded
-    sample is fitted in one place.
+    labelled row the model has no weights and scores 0.5. Features come from tasks; the sample, of at
+    most ``features_held`` features besides one text, is fitted by one task.
     """
     chosen = (
         labels.where("doc_id is not null and label in (0, 1)").select(F.col("doc_id").alias("__id"), "label")
@@ -114,21 +117,50 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, rows: int = TRAI
     def features(batches):
         make = Features(bits)
         for batch in batches:
-            sets = [np.unique(make.of(t)).astype(np.int32).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [np.unique(make.of(t)).astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id"), batch.column("label"), pa.array(sets, pa.binary())], names=["id", "label", "places"]
             )
 
-    found = sample.select("__id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
-        features, "id bigint, label int, places binary"
-    ).toArrow().sort_by([("id", "ascending"), ("label", "ascending"), ("places", "ascending")])
-    bias = 1 << bits
-    examples = [np.append(np.frombuffer(x, np.int32).astype(np.int64), bias) for x in found.column("places").to_pylist()]
-    return fit_ftrl(examples, np.array(found.column("label").to_pylist(), float), bits)
+    def fitted(batches):
+        rows, held = [], 0
+        for batch in batches:
+            for key, label, places in zip(batch.column("id").to_pylist(), batch.column("label").to_pylist(), batch.column("places")):
+                own = places.as_py()
+                held += len(own) // 4
+                if rows and held > features_held:
+                    break
+                rows.append((key, label, own))
+            if held > features_held:
+                break
+        for _ in batches:
+            pass
+        rows.sort()
+        values, truth = [np.frombuffer(own, "<i4") for _, _, own in rows], [label for _, label, _ in rows]
+        model = fit_ftrl(values, np.array(truth, float), bits)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.places.astype("<i4").tobytes()]), pa.array([model.weights.astype("<f4").tobytes()]), pa.array([model.bias])],
+            names=["places", "weights", "bias"],
+        )
+
+    sets = sample.select("__id", F.col("label").cast("int").alias("label"), "text").mapInArrow(features, "id bigint, label int, places binary")
+    # One task fits the bounded sample; the driver gets the weights that are not zero.
+    model = (
+        sets.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "label", "places")
+        .mapInArrow(fitted, "places binary, weights binary, bias double").first()
+    )
+    if model is None:  # no task at all
+        return Model(np.empty(0, np.int32), np.empty(0, np.float32), 0.0, bits)
+    return Model(np.frombuffer(model["places"], "<i4"), np.frombuffer(model["weights"], "<f4"), model["bias"], bits)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text added; null texts score as empty ones."""
+    """``docs`` with the score of each whole text added; null texts score as empty ones.
+
+    Texts of any length are read whole, equal texts score alike, repeated rows stay, an empty table gives
+    an empty result, and a column of ``docs`` named like the score gives way to it.
+    """
+    docs = docs.drop(out) if out != text_col else docs
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most 2^20 places and weights
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     text_at = docs.columns.index(text_col)
