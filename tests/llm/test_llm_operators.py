@@ -278,6 +278,16 @@ def test_fingerprints(llm_spark, odd):
         assert (row.fingerprint, row.edited_fingerprint) == (mark.tobytes().hex(), changed.tobytes().hex())
         assert row.near_edited == fingerprints.likeness(mark, changed)
         assert row.near_next == fingerprints.likeness(mark, fingerprints.fingerprint(after, permutations))
+    # Null ids come last, in the last of many cells, and ids that repeat follow each other by text.
+    tail = [(None, f"without id {k} " + " ".join(sample_words(30, k)), "a") for k in range(3)]
+    tail += [(rows[7][0], "aa " + rows[7][1], "a")]
+    ordered = sorted(rows + tail, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    found = fingerprints.fingerprints(plain(table(llm_spark, rows + tail)), cell_bytes=2000).collect()
+    want = []
+    for k, (i, text, _) in enumerate(ordered):
+        half = len(text) // 2
+        want.append((i, hashlib.sha256((text[: len(text) - half] + ordered[(k + 1) % len(ordered)][1][:half]).encode()).hexdigest()))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.edited_sha256)) for r in found)
     assert fingerprints.fingerprints(plain(odd[1])).count() == 11
     assert fingerprints.fingerprints(docs.limit(0)).count() == 0
     alone = fingerprints.fingerprints(docs.where("doc_id = 0")).collect()
