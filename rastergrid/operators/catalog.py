@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import packed_time as pt
+from ..functions.columns import idiv
 from . import dates
 
+# Rows of one page and of one JSON list; lists go on in further parts.
 PAGE_ROWS = 20
 LIST_ROWS = 200
 SYSTEM_USER = 0
@@ -172,17 +174,17 @@ def unified_regions(areas: DataFrame, regions: DataFrame) -> DataFrame:
     return flagged.unionByName(free)
 
 
-def region_page(regions: DataFrame, category: int, offset: int) -> DataFrame:
-    """Twenty regions of a category from a row offset."""
-    return regions.filter(F.col("rcid") == category).orderBy("rid").offset(offset).limit(PAGE_ROWS)
+def region_page(regions: DataFrame, category: int, offset: int, rows: int) -> DataFrame:
+    """``rows`` regions of a category from a row offset."""
+    return regions.filter(F.col("rcid") == category).orderBy("rid").offset(offset).limit(rows)
 
 
-def region_pages(regions: DataFrame, offset: int) -> DataFrame:
+def region_pages(regions: DataFrame, offset: int, rows: int) -> DataFrame:
     """The same page of every category."""
     order = Window.partitionBy("rcid").orderBy("rid")
     ranked = regions.withColumn("rank_", F.row_number().over(order))
     return ranked.filter(
-        (F.col("rank_") <= offset + PAGE_ROWS) & (F.col("rank_") > offset)
+        (F.col("rank_") <= offset + rows) & (F.col("rank_") > offset)
     ).drop("rank_")
 
 
@@ -211,17 +213,23 @@ def preload_lists(users: DataFrame, preload: DataFrame) -> DataFrame:
     )
 
 
-def owner_lists(rows: DataFrame, key: str, columns: list[str], name: str, owner: str = "uid") -> DataFrame:
-    """Each owner's first 200 rows by key as one JSON text ``{name: [...]}``.
+def owner_lists(
+    rows: DataFrame, key: str, columns: list[str], name: str, owner: str = "uid", cap: int | None = None
+) -> DataFrame:
+    """Each owner's rows by key as JSON texts ``{name: [...]}`` of at most ``LIST_ROWS`` rows: ``owner, part, json``.
 
-    The cap is part of the feature and bounds the list that is collected.
+    All rows are listed unless a ``cap`` is given; an owner with more than LIST_ROWS has several texts,
+    ``part`` 0, 1, …, so no list grows without a bound.
     """
     order = Window.partitionBy(owner).orderBy(key)
-    capped = rows.withColumn("rank_", F.row_number().over(order)).filter(F.col("rank_") <= LIST_ROWS)
+    ranked = rows.withColumn("rank_", F.row_number().over(order))
+    if cap is not None:
+        ranked = ranked.filter(F.col("rank_") <= cap)
+    part = idiv(F.col("rank_") - 1, LIST_ROWS).cast("int")
     items = F.transform(
         F.array_sort(F.collect_list(F.struct("rank_", F.struct(*columns).alias("row")))), lambda item: item["row"]
     )
-    return capped.groupBy(owner).agg(F.to_json(F.struct(items.alias(name))).alias("json"))
+    return ranked.groupBy(owner, part.alias("part")).agg(F.to_json(F.struct(items.alias(name))).alias("json"))
 
 
 def lookup(table: DataFrame, keys: DataFrame, on: list[str], as_json: bool = False) -> DataFrame:

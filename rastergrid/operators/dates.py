@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import packed_time as pt
 from ..functions.columns import idiv
 
+# Fixed value: the number of dates that reads of the table store were limited to; no default.
 DATE_CAP = 30
 DAY = 1_000_000
 STEP_BLOCK = 256
@@ -19,8 +20,8 @@ def in_range(dt: str, start, stop) -> Column:
     return F.col(dt).between(start, stop)
 
 
-def first_dates(rows: DataFrame, keys: list[str], cap: int | None = DATE_CAP, dt: str = "dt") -> DataFrame:
-    """The first ``cap`` dates per key, ascending; all of them with ``cap=None``.
+def first_dates(rows: DataFrame, keys: list[str], cap: int | None = None, dt: str = "dt") -> DataFrame:
+    """The first ``cap`` dates per key, ascending; all of them unless a cap is given.
 
     Run on key columns only and join the payload afterwards: the rank limit is
     applied before the shuffle, so a hot key sends at most ``cap`` rows per task.

@@ -430,12 +430,12 @@ def reduce_dates(
     height: int,
     type_code: int,
     out_type: int | None = None,
-    cap: int = 30,
+    cap: int | None = None,
 ) -> DataFrame:
-    """Apply ``(dates, (dates, bands, h, w)) -> (bands, h, w)`` to each tile's first dates.
+    """Apply ``(dates, (dates, bands, h, w)) -> (bands, h, w)`` to each tile's dates, or to its first ``cap``.
 
-    The cap on dates, which the store applies anyway, bounds a group. Functions over
-    any number of dates that can be folded belong in :func:`composite_tiles`.
+    The function sees all dates of one tile at once, so a tile's series has to fit in a task. Functions
+    over any number of dates that can be folded belong in :func:`composite_tiles`.
     """
     from .dates import first_dates
 
@@ -455,8 +455,11 @@ def reduce_dates(
             [*columns, pa.array([result.tobytes()], pa.binary())], names=schema.names
         )
 
-    chosen = first_dates(cells.select(*keys, "dt"), keys, cap)
-    return never_broadcast(cells).join(chosen, [*keys, "dt"], "left_semi").select(*keys, "dt", "data").groupBy(*keys).applyInArrow(run, schema)
+    chosen = cells
+    if cap is not None:
+        first = first_dates(cells.select(*keys, "dt"), keys, cap)
+        chosen = never_broadcast(cells).join(first, [*keys, "dt"], "left_semi")
+    return chosen.select(*keys, "dt", "data").groupBy(*keys).applyInArrow(run, schema)
 
 
 def pivot_bands(pixels: DataFrame, keys: list[str], bands: int) -> DataFrame:

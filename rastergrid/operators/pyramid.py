@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..functions.pixel_types import pixel_value
-from ..joins import never_broadcast
+from ..joins import keep_wanted, never_broadcast
 
 
 def enumerate_tiles(
@@ -118,8 +118,9 @@ def pixels_at(
         "at", grid.pixel_position("lon", "lat", F.lit(z), width, height)
     ).select("*", F.lit(z).alias("z"), "at.y", "at.x", "at.row", "at.col").drop("at")
     keys = ["htable", "hpid", "z", "y", "x", "dt"]
-    payload = never_broadcast(cells.filter(F.col("z") == z).select(*keys, "data"))
-    found = placed.join(payload, keys, "left")
+    # Only the dates and tiles that positions fall into are read, and only those are shuffled.
+    payload = keep_wanted(cells.filter(F.col("z") == z).select(*keys, "data"), placed, keys, F.col("dt") >= 0)
+    found = placed.join(never_broadcast(payload), keys, "left")
     values = F.array(
         *(
             pixel_value("data", type_code, width, height, bands, band, "row", "col")

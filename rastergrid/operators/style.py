@@ -72,10 +72,13 @@ def linear(value: Column, stops: list[dict], nodata: dict = TRANSPARENT) -> Colu
     return result.otherwise(_literal(ordered[-1]))
 
 
-def stretch(value: Column, low: float, high: float) -> Column:
-    """Value range to 0..255."""
-    return F.greatest(
-        F.lit(0), F.least(F.lit(255), F.floor((value - low) / (high - low) * 255 + 0.5).cast("int"))
+def stretch(value: Column, low, high) -> Column:
+    """Value range to 0..255; of a range without width, 255 from its value on and 0 below."""
+    low, high = (v if isinstance(v, Column) else F.lit(float(v)) for v in (low, high))
+    share = F.try_divide(value - low, F.when(high == low, F.lit(None)).otherwise(high - low))
+    flat = F.when(value >= low, F.lit(255)).when(value < low, F.lit(0))
+    return F.when(high == low, flat).otherwise(
+        F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.floor(share * 255 + 0.5))).cast("int"))
     )
 
 
@@ -89,8 +92,13 @@ def composed(values: list[Column], ranges: list[tuple[float, float]]) -> Column:
     return _struct(dict(zip(PARTS, parts)))
 
 
-def table_color(value: Column, kind: Column, colors: Column, nodata: Column) -> Column:
-    """Colour by a style held in the row: its type and its stops sorted by value."""
+def table_color(value: Column, kind: Column, colors: Column, nodata: Column, values: Column, ranges: Column) -> Column:
+    """Colour by a style held in the row: its type, its stops sorted by value, its value ranges.
+
+    Discrete, linear and exact styles look at ``value``; gray, rgb and rgba stretch the first one,
+    three or four of ``values`` by the range of the same place (0 to 255 where the style has none). Where a value is
+    NULL or missing the colour is that of nodata.
+    """
     below = F.filter(colors, lambda c: c["val"] <= value)
     above = F.filter(colors, lambda c: c["val"] > value)
     low = F.try_element_at(below, F.lit(-1))
@@ -102,7 +110,19 @@ def table_color(value: Column, kind: Column, colors: Column, nodata: Column) ->
     def whole(stop: Column) -> Column:
         return F.when(stop.isNotNull(), _struct({p: stop[p] for p in PARTS}))
 
-    by_kind = (
+    def band(place: int) -> Column:
+        limits = F.get(ranges, F.lit(place))
+        low_, high_ = F.coalesce(limits["minval"], F.lit(0.0)), F.coalesce(limits["maxval"], F.lit(255.0))
+        return stretch(F.get(values, F.lit(place)), low_, high_)
+
+    def bands(*parts: Column) -> Column:
+        known = parts[0].isNotNull()
+        for part in parts[1:]:
+            known = known & part.isNotNull()
+        four = [*parts, F.lit(255)] if len(parts) == 3 else parts
+        return F.when(known, _struct(dict(zip(PARTS, four))))
+
+    stepped = (
         F.when(kind == "discrete", whole(low))
         .when(kind == "exact", whole(same))
         .when(
@@ -110,16 +130,31 @@ def table_color(value: Column, kind: Column, colors: Column, nodata: Column) ->
             F.when(low.isNull(), whole(high)).when(high.isNull(), whole(low)).otherwise(mixed),
         )
     )
-    return F.coalesce(F.when(value.isNotNull(), by_kind), none)
+    by_kind = (
+        F.when(kind == "gray", bands(band(0), band(0), band(0)))
+        .when(kind == "rgb", bands(band(0), band(1), band(2)))
+        .when(kind == "rgba", bands(band(0), band(1), band(2), band(3)))
+        .otherwise(F.when(value.isNotNull(), stepped))
+    )
+    return F.coalesce(by_kind, none)
+
 
+def apply_styles(pixels: DataFrame, styles: DataFrame, value: str = "dn", values: str | None = None) -> DataFrame:
+    """Add ``color`` to pixels with a ``styleid`` from a parsed style table.
 
-def apply_styles(pixels: DataFrame, styles: DataFrame, value: str = "dn") -> DataFrame:
-    """Add ``color`` to pixels with a ``styleid`` from a parsed style table."""
+    ``value`` is what stops are compared with. ``values`` names an array with the pixel's bands, of which the
+    style's ``bands`` choose those to stretch (the first ones where it has none); without it the only band is ``value``.
+    """
     sorted_styles = styles.select(
         "styleid",
         F.col("type").alias("kind_"),
         F.array_sort("colors").alias("colors_"),
         F.col("nodatacolor").alias("nodata_"),
+        F.col("bands").alias("bands_"),
+        F.col("vranges").alias("ranges_"),
     )
-    color = table_color(F.col(value), F.col("kind_"), F.col("colors_"), F.col("nodata_"))
-    return pixels.join(sorted_styles, "styleid", "left").withColumn("color", color).drop("kind_", "colors_", "nodata_")
+    own = F.array(F.col(value).cast("double")) if values is None else F.col(values)
+    chosen = F.when(F.size("bands_") > 0, F.transform("bands_", lambda b: F.get(own, b))).otherwise(own)
+    color = table_color(F.col(value), F.col("kind_"), F.col("colors_"), F.col("nodata_"), chosen, F.col("ranges_"))
+    joined = pixels.join(sorted_styles, "styleid", "left")
+    return joined.withColumn("color", color).drop("kind_", "colors_", "nodata_", "bands_", "ranges_")

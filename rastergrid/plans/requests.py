@@ -26,16 +26,19 @@ def composite_requests(
     size: int,
     type_code: int,
     out_type: int | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Composite blocks ``(request_id, z, y, x, data)`` of each request's pyramid.
 
     ``requests``: request_id, htable, hpid, startdt, stopdt, usebound, zmin, zmax and a
-    box, all with the same method, valid range and fill.
+    box, all with the same method, valid range and fill. ``dates``: the store's list of
+    dates, where it keeps one.
     """
     attributes = ["htable", "hpid", "startdt", "stopdt"]
     extents = pyramid.bounded_extents(requests, ["request_id", *attributes])
     tiles = pyramid.enumerate_tiles(extents, ["request_id", *attributes], size)
-    stored = store.of_planes(cells, store.request_years(requests)).select(*store.CELL, "data")
+    listed = store.listed_dates(cells) if dates is None else dates
+    stored = store.of_planes(cells, store.request_dates(requests, listed)).select(*store.CELL, "data")
     found = never_broadcast(tiles).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
     return px.composite_tiles(
@@ -44,7 +47,7 @@ def composite_requests(
 
 
 def zonal_requests(
-    requests: DataFrame, cells: DataFrame, segments: DataFrame, size: int, type_code: int
+    requests: DataFrame, cells: DataFrame, segments: DataFrame, size: int, type_code: int, dates: DataFrame | None = None
 ) -> DataFrame:
     """Statistics per request and date: ``request_id, dt, n, low, high, ave, value``.
 
@@ -60,7 +63,8 @@ def zonal_requests(
     )
     limits = ["bsq", "vmin", "vmax", "valid_min", "valid_max", "nodata"]
     tiles = requests.withColumnRenamed("zlevel", "z").join(region_tiles, ["roi_id", "z"])
-    stored = store.of_planes(cells, store.request_years(requests)).select(*store.CELL, "data")
+    listed = store.listed_dates(cells) if dates is None else dates
+    stored = store.of_planes(cells, store.request_dates(requests, listed)).select(*store.CELL, "data")
     found = never_broadcast(tiles).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(
         "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "data"

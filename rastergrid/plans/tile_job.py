@@ -162,10 +162,12 @@ def compute_tiles(
     size: int,
     type_code: int,
     out_type: int,
+    level: int | None = None,
 ) -> DataFrame:
     """Result rows of all tiles of ready orders: status, log, block and output place.
 
-    ``ready`` has the order columns, ``planes`` and an extent with ``zmin, zmax``.
+    ``ready`` has the order columns, ``planes`` and an extent with ``zmin, zmax``. ``level`` is the only
+    level that the extents reach, where there is only one.
     """
     tiles = enumerate_tiles(ready, ["order_id", "roi", "filldata", *OUTPUT, "planes"], size)
     # The deepest level each region is needed at, so that no others are built.
@@ -177,9 +179,8 @@ def compute_tiles(
     requests = placed.select(
         *TILE_KEY, *attributes, F.size("planes").alias("planes_"), F.explode("planes").alias("plane")
     ).select(*TILE_KEY, *attributes, "planes_", "plane.*")
-    planes = ready.select(F.explode("planes").alias("p")).select("p.htable", "p.hpid", "p.dt")
-    stored = store.of_planes(job.cells, planes).select(*store.CELL, "data")
-    joined = never_broadcast(requests).join(stored, store.CELL, "left")
+    # Cells that no tile of any order needs are dropped where they are read; the first tiles need those of level 0 only.
+    joined = store.at(job.cells if level is None else job.cells.filter(F.col("z") == level), never_broadcast(requests))
     source, target = numpy_type(type_code), numpy_type(out_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +250,7 @@ def run_jobs(
         .withColumns({"zmin": F.lit(0), "zmax": F.col("max_zoom")})
     )
     first = resolved.withColumn("zmax", F.lit(0))
-    compute_tiles(job, first, function, size, type_code, out_type).select(
+    compute_tiles(job, first, function, size, type_code, out_type, level=0).select(
         "order_id", "status"
     ).write.mode("overwrite").parquet(f"{scratch}/first")
     passed = spark.read.parquet(f"{scratch}/first").filter("status = 0").select("order_id").distinct()

@@ -1,129 +1,149 @@
-"""The tile cell store: Parquet partitioned by table, product plane and year.
+"""The tile cell store: Parquet in one folder per table, product plane and date.
 
-Reads take a whole table of requests and join it; writes are keyed upserts that
-rewrite only the partitions a change set touches.
+Inside a folder tiles lie in the order of a space-filling curve, spread over files by ranges of it, so
+neighbouring tiles share files and row groups. A small table beside the cells lists the dates of each
+plane. Reads take a whole table of requests: folders are pruned by the dates it names, and cells that
+nobody asked for are dropped before any block is shuffled. Writes are keyed upserts that read and replace only the
+folders a change set touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import packed_time as pt
-from ..functions.columns import idiv
-from ..joins import broadcast_if_small, never_broadcast
-from ..operators.changes import last_per_key
-from ..operators.dates import DATE_CAP, first_dates
+from ..joins import broadcast_if_small, keep_wanted, never_broadcast, save
+from ..operators.dates import first_dates
 
 TILE = ["htable", "hpid", "z", "y", "x"]
 CELL = [*TILE, "dt"]
-# A new date then rewrites at most one year of one plane, and date ranges prune folders.
-PARTITIONS = ["htable", "hpid", "year"]
-BLOCK = 8
-SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, data binary, year int"
+PARTITIONS = ["htable", "hpid", "dt"]
+SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, code bigint, data binary"
+DATES_SCHEMA = "htable string, hpid int, dt bigint"
+
+
+def curve_code(y: str, x: str) -> Column:
+    """Place of a tile on the Z curve of its level: the bits of row and column in turn."""
+
+    def spread(name: str) -> Column:
+        bits = F.col(name).cast("bigint")
+        # Each step halves the groups of bits that stand together.
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+        return bits
+
+    return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Stored cells; filters on ``htable, hpid, year`` prune folders."""
+    """Stored cells; filters on ``htable, hpid, dt`` prune folders, on ``z, code`` row groups."""
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def dates(spark: SparkSession, path: str) -> DataFrame:
+    """The dates of each stored plane, ``htable, hpid, dt``, without a look at the cells."""
+    return spark.read.schema(DATES_SCHEMA).parquet(_dates_path(path)).distinct()
+
+
+def _dates_path(path: str) -> str:
+    # Folders that begin with an underscore are no part of the table beside them.
+    return f"{path.rstrip('/')}/_dates"
+
+
 def dated(cells: DataFrame, start: int, stop: int) -> DataFrame:
-    """Cells of a date range, both ends inclusive; other years' folders are not read."""
-    year = pt.PART_UNITS["year"]
-    return cells.filter(
-        F.col("year").between(start // year, stop // year) & F.col("dt").between(start, stop)
-    )
+    """Cells of a date range, both ends inclusive; other dates' folders are not read."""
+    return cells.filter(F.col("dt").between(start, stop))
 
 
-def write(cells: DataFrame, path: str) -> None:
-    """Write cells, replacing the partitions they belong to.
+def write(cells: DataFrame, path: str, keys: DataFrame | None = None) -> None:
+    """Write cells, replacing the folders they belong to.
 
-    A partition may hold most of all tiles, so it is spread over tasks by square blocks
-    of tiles: large enough for useful files (with 256-pixel bytes, 4 MB per date), small
-    enough for one task. Rows are sorted so that row-group statistics prune tiles and
-    dates.
+    Their dates (or those of ``keys``, if only these are new) are listed first: a date that is listed and has
+    no cell does no harm. Tasks get ranges of (folder, level, curve), so a large folder is spread over several tasks and files,
+    each a compact part of the map, and small folders share a task.
     """
+    note_dates(path, cells if keys is None else keys)
+    order = [*PARTITIONS, "z", "code"]
     (
-        _with_year(cells.select(*CELL, "data"))
-        .repartition(*PARTITIONS, "z", idiv("y", BLOCK), idiv("x", BLOCK))
-        .sortWithinPartitions(*CELL)
+        cells.select(*CELL, curve_code("y", "x").alias("code"), "data")
+        .repartitionByRange(*order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path)
     )
 
 
+def note_dates(path: str, cells: DataFrame) -> None:
+    """Add the dates of ``cells`` to the list of dates; dates that are listed already may come again."""
+    cells.select(*PARTITIONS).distinct().write.mode("append").parquet(_dates_path(path))
+
+
 def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str) -> None:
-    """Last write wins per cell; ``order`` ranks writes to the same cell.
+    """Last write wins per cell; ``order`` ranks writes to the same cell, of equal ones any stays.
 
-    Only touched partitions are read and replaced. Files are staged and swapped when
-    the job commits, so a lost executor leaves the old partitions as they were.
+    The last writes are found on keys alone. Only the folders of dates that are written are read and
+    replaced. Files are staged and swapped when the job commits, so a lost executor leaves the old folders as
+    they were, and an upsert that is repeated gives the same store.
     """
-    final = last_per_key(changes, CELL, order).select(*CELL, "data")
-    touched = _with_year(changes).select(*PARTITIONS).distinct()
-    kept = (
-        read(spark, path).join(touched, PARTITIONS, "left_semi")
-        .join(final.select(*CELL), CELL, "left_anti").select(*CELL, "data")
-    )
-    write(kept.unionByName(final), path)
+    last = changes.groupBy(*CELL).agg(F.max(order).alias(order))
+    newest = changes.join(last, [*CELL, order], "left_semi").select(*CELL, "data").dropDuplicates(CELL)
+    final = save(newest, "upsert")
+    keys = save(final.select(*CELL), "upsert-keys")
+    kept = of_planes(read(spark, path), keys).select(*CELL, "data")
+    kept = kept.join(broadcast_if_small(keys, saved=True), CELL, "left_anti")
+    write(kept.unionByName(final), path, keys)
 
 
-def _with_year(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("year", pt.part("dt", "year"))
+def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
+    """Cells of the planes, and of the dates where given, that a table names.
 
+    A job names few planes of a large store. Their table is measured and broadcast, so
+    other folders are not read and other cells are dropped before any shuffle.
+    """
+    names = [c for c in PARTITIONS if c in planes.columns]
+    return keep_wanted(cells, planes.select(*names), names, _folders(names))
 
-def _touched_only(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    """Cells of the partitions that keys with a date name; others are not scanned."""
-    if "year" not in cells.columns:
-        return cells
-    named = _with_year(keys).select(*PARTITIONS).filter(F.col("year") >= 0).distinct()
-    return cells.join(named, PARTITIONS, "left_semi")
 
+def request_dates(requests: DataFrame, listed: DataFrame) -> DataFrame:
+    """Of the ``listed`` dates those that date-range requests reach: ``htable, hpid, dt``."""
+    ranges = requests.select("htable", "hpid", "startdt", "stopdt").distinct()
+    return listed.join(ranges, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(*PARTITIONS).distinct()
 
-def request_years(requests: DataFrame) -> DataFrame:
-    """Planes and years that date-range requests reach: ``htable, hpid, year``."""
-    years = F.sequence(pt.part("startdt", "year"), pt.part("stopdt", "year"))
-    ordered = requests.filter(F.col("startdt") <= F.col("stopdt"))
-    reached = ordered.select("htable", "hpid", F.explode(years).alias("year"))
-    return reached.filter(F.col("year") >= 0).distinct()
 
+def listed_dates(cells: DataFrame) -> DataFrame:
+    """The dates of each plane from the cells' key columns, where no list is kept."""
+    return cells.select(*PARTITIONS).distinct()
 
-def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
-    """Cells of the planes, and of the years or dates where given, that a table names.
 
-    A job names few planes of a large store. Their table is measured and broadcast, so
-    other folders are not read and other cells are dropped before any shuffle.
-    """
-    if "dt" in planes.columns:
-        planes = _with_year(planes)
-    names = [c for c in ("htable", "hpid", "year", "dt") if c in planes.columns and c in cells.columns]
-    if "year" in names:
-        # No packed date is negative; Spark prunes folders at run time only by a side
-        # that carries a comparison.
-        planes = planes.filter(F.col("year") >= 0)
-    return cells.join(broadcast_if_small(planes.select(*names).distinct()), names, "left_semi")
+def _folders(names: list[str]) -> Column:
+    # Folders are pruned at run time only by a side that carries a comparison; no packed date is negative.
+    return F.col("dt") >= 0 if "dt" in names else F.col("hpid") > -(1 << 31)
 
 
 def at(cells: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests on a full cell key with their ``data``, NULL where there is none."""
-    payload = never_broadcast(_touched_only(cells, requests).select(*CELL, "data"))
-    return requests.join(payload, CELL, "left")
+    wanted = keep_wanted(cells.select(*CELL, "data"), requests.select(*CELL), CELL, _folders(CELL))
+    return requests.join(never_broadcast(wanted), CELL, "left")
 
 
 def between(
-    cells: DataFrame, requests: DataFrame, keys: list[str], cap: int | None = DATE_CAP
+    cells: DataFrame, requests: DataFrame, keys: list[str], cap: int | None = None, listed: DataFrame | None = None
 ) -> DataFrame:
-    """Cells of a tile over a date range and part filter, oldest first up to ``cap``.
+    """Cells of a tile over a date range and part filter, oldest first, at most ``cap`` of them where given.
 
-    Dates are chosen on key columns alone; the payload is joined to the chosen ones.
+    Ranges and parts are decided on the planes' ``listed`` dates (``dates``), so cells are met on their full
+    keys only; a cap is applied to keys, before blocks are read.
     """
     names = ["month", "day", "hour", "minute", "second"]
-    reached = cells
-    if "year" in cells.columns:
-        reached = cells.join(request_years(requests), PARTITIONS, "left_semi")
-    dates = reached.select(*CELL).join(requests, TILE).filter(
+    listed = listed_dates(cells) if listed is None else listed
+    possible = requests.join(listed, ["htable", "hpid"]).filter(
         F.col("dt").between(F.col("startdt"), F.col("stopdt"))
         & pt.passes("dt", *(F.col(n) for n in names))
+    ).select(*dict.fromkeys([*keys, *CELL]))
+    if cap is not None:
+        stored = keep_wanted(cells.select(*CELL), possible.select(*CELL), CELL, _folders(CELL))
+        possible = first_dates(possible.join(stored, CELL, "left_semi"), keys, cap)
+    possible = save(possible, "possible")
+    return possible.join(
+        never_broadcast(keep_wanted(cells.select(*CELL, "data"), possible.select(*CELL), CELL, _folders(CELL))), CELL
     )
-    chosen = first_dates(dates.select(*keys, *CELL), keys, cap)
-    return chosen.join(never_broadcast(_touched_only(cells, chosen).select(*CELL, "data")), CELL)

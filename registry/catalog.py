@@ -13,7 +13,7 @@ from .derived import RUN_STAMP
 
 STYLES = """
     SELECT styleid, k, k * (10 + styleid % 5)::double AS val, (styleid * 37 + k * 60) % 256 AS r, (k * 90) % 256 AS g,
-           (255 - k * 40)::int AS b, 255 AS a, CASE styleid % 3 WHEN 0 THEN 'discrete' WHEN 1 THEN 'linear' ELSE 'exact' END AS type
+           (255 - k * 40)::int AS b, 255 AS a, ['discrete', 'linear', 'exact', 'gray', 'rgb', 'rgba'][styleid % 6 + 1] AS type
     FROM (SELECT s_suppkey::int AS styleid FROM supplier), (SELECT unnest(range(1, 5))::int AS k)"""
 
 
@@ -27,8 +27,13 @@ def style_rows(d):
             ((i * 90) % 256).alias("g"), (F.lit(255) - i * 40).alias("b"), F.lit(255).alias("a"),
         ),
     )
-    kind = F.when(k % 3 == 0, "discrete").when(k % 3 == 1, "linear").otherwise("exact")
-    content = F.to_json(F.struct(F.array(F.lit(0)).alias("bands"), kind.alias("type"), stops.alias("colors")))
+    kinds = [("discrete", [0]), ("linear", [0]), ("exact", [0]), ("gray", [1]), ("rgb", [1, 0, 1]), ("rgba", [0, 1, 0, 1])]
+    kind = F.get(F.array(*(F.lit(name) for name, _ in kinds)), k % 6)
+    bands = F.get(F.array(*(F.array(*map(F.lit, own)) for _, own in kinds)), k % 6)
+    # The first range of every fortieth style has no width.
+    limits = [(F.lit(5.0), (k % 40 + 5).cast("double")), *((F.lit(low), F.lit(high)) for low, high in ((0.0, 40.0), (10.0, 30.0), (0.0, 50.0)))]
+    ranges = F.array(*(F.struct(low.alias("minval"), high.alias("maxval")) for low, high in limits))
+    content = F.to_json(F.struct(bands.alias("bands"), kind.alias("type"), stops.alias("colors"), ranges.alias("vranges")))
     return d.table("supplier").select(k.alias("styleid"), content.alias("styleContent"))
 
 
@@ -144,23 +149,22 @@ def roi_union(d):
 @query("roi_page", "SELECT * FROM roi_sys QUALIFY row_number() OVER (PARTITION BY rcid ORDER BY rid) BETWEEN 21 AND 40", ("roi_sys",))
 def roi_page(d):
     """Rows 20 to 39 of every region category."""
-    return catalog.region_pages(d.roi_sys(), 20)
+    return catalog.region_pages(d.roi_sys(), 20, catalog.PAGE_ROWS)
 
 
 @query("roi_page_one", "SELECT * FROM roi_sys WHERE rcid = 7 ORDER BY rid LIMIT 20 OFFSET 5", ("roi_sys",))
 def roi_page_one(d):
     """A page of one category."""
-    return catalog.region_page(d.roi_sys(), 7, 5)
+    return catalog.region_page(d.roi_sys(), 7, 5, catalog.PAGE_ROWS)
 
 
 @query("roi_counts", """
-    SELECT catid AS rcid, catname, count(rid) AS records FROM category LEFT JOIN (SELECT rid, rcid FROM roi_sys WHERE rid % 2 = 0 OR rcid < 20) ON catid = rcid GROUP BY ALL""",
+    SELECT catid AS rcid, catname, count(rid) AS records FROM category LEFT JOIN roi_sys ON catid = rcid GROUP BY ALL""",
        ("category", "roi_sys"))
 def roi_counts(d):
     """Region categories with their record counts."""
-    kept = d.roi_sys().filter((F.col("rid") % 2 == 0) | (F.col("rcid") < 20))
     categories = d.category().select(F.col("catid").alias("rcid"), "catname")
-    return catalog.category_counts(categories, kept)
+    return catalog.category_counts(categories, d.roi_sys())
 
 
 @query("user_rois", "SELECT rid, name, shp, geojson, uid FROM roi_user WHERE uid = 5 ORDER BY rid", ("roi_user",))
@@ -181,10 +185,10 @@ def preload_fallback(d):
 
 
 @query("owner_json", """
-    SELECT uid, to_json({'scripts': list({'sid': sid, 'title': title, 'uid': uid} ORDER BY sid)})::varchar AS json
-    FROM (SELECT * FROM script QUALIFY row_number() OVER (PARTITION BY uid ORDER BY sid) <= 200) GROUP BY uid""", ("script",))
+    SELECT uid, ((k - 1) // 200)::int AS part, to_json({'scripts': list({'sid': sid, 'title': title, 'uid': uid} ORDER BY sid)})::varchar AS json
+    FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY sid) AS k FROM script) GROUP BY ALL""", ("script",))
 def owner_json(d):
-    """Each user's scripts as one JSON text, at most 200."""
+    """All of each user's scripts as JSON texts of 200 each."""
     return catalog.owner_lists(d.script(), "sid", ["sid", "title", "uid"], "scripts")
 
 

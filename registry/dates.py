@@ -49,7 +49,7 @@ def date_cap30(d):
     """The first 30 dates of every tile and band."""
     keys = ["hpid", "y", "x", "band"]
     rows = d.pixels().filter(dates.in_range("dt", 19950000000000, 20010000000000))
-    return dates.first_dates(rows.select(*keys, "dt").distinct(), keys)
+    return dates.first_dates(rows.select(*keys, "dt").distinct(), keys, dates.DATE_CAP)
 
 
 @query("date_grid", """

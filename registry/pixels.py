@@ -222,20 +222,48 @@ def style_stretch(d):
     return both.withColumns({"c": rgb, "q": gray}).select("hpid", "grow", "gcol", "dt", "c.*", F.col("q.r").alias("gray"))
 
 
+def _stretched(value, low, high):
+    return (
+        f"CASE WHEN {high} = {low} THEN CASE WHEN {value} >= {low} THEN 255 ELSE 0 END "
+        f"ELSE greatest(0, least(255, floor(({value} - {low}) / ({high} - {low}) * 255 + 0.5::double))) END"
+    )
+
+
+def _composed(values):
+    """SQL of the parts of a colour from bands, each stretched by the range of its place; all 0 where a band is missing."""
+    ranges = [("5::double", "(styleid % 40 + 5)::double"), ("0::double", "40::double"), ("10::double", "30::double"), ("0::double", "50::double")]
+    known = " AND ".join(f"{v} IS NOT NULL" for v in set(values))
+    parts = [_stretched(v, *ranges[k]) for k, v in enumerate(values)]
+    parts = parts * 3 if len(parts) == 1 else parts
+    return [f"CASE WHEN {known} THEN {part} ELSE 0 END" for part in (parts if len(parts) == 4 else [*parts, "255"])]
+
+
+def _table_part(k, part):
+    mixed = f"floor(lo.{part} + (hi.{part} - lo.{part}) * ((dn - lv) / (hv - lv)) + 0.5::double)"
+    return f"""(CASE kind WHEN 'discrete' THEN coalesce(lo.{part}, 0) WHEN 'exact' THEN coalesce(same.{part}, 0)
+        WHEN 'linear' THEN CASE WHEN lv IS NULL THEN hi.{part} WHEN hv IS NULL THEN lo.{part} ELSE {mixed} END
+        WHEN 'gray' THEN {_composed(['b1'])[k]} WHEN 'rgb' THEN {_composed(['b1', 'b0', 'b1'])[k]}
+        WHEN 'rgba' THEN {_composed(['b0', 'b1', 'b0', 'b1'])[k]} ELSE 0 END)::int AS {part}"""
+
+
 @query("style_table", f"""
-    WITH st AS ({STYLES})
-    SELECT p.hpid, p.band, grow, gcol, dt,
-           CASE kind WHEN 'discrete' THEN coalesce(lr, 0) WHEN 'exact' THEN coalesce(er, 0)
-             ELSE CASE WHEN lv IS NULL THEN hr WHEN hv IS NULL THEN lr ELSE floor(lr + (hr - lr) * ((dn - lv) / (hv - lv)) + 0.5::double) END END::int AS r
-    FROM (SELECT p.hpid, p.band, p.grow, p.gcol, p.dt, p.dn, any_value(s.type) AS kind,
-                 arg_max(s.r, s.val) FILTER (s.val <= p.dn) AS lr, max(s.val) FILTER (s.val <= p.dn) AS lv,
-                 arg_min(s.r, s.val) FILTER (s.val > p.dn) AS hr, min(s.val) FILTER (s.val > p.dn) AS hv,
-                 max(s.r) FILTER (s.val = p.dn) AS er
-          FROM pixels p JOIN st s ON s.styleid = p.hpid GROUP BY ALL) p""", ("pixels",))
+    WITH st AS ({STYLES}),
+    p AS (SELECT *, 1 + (hpid * 7 + grow) % 90 AS styleid, max(CASE WHEN band = 0 THEN dn END) OVER w AS b0, max(CASE WHEN band = 1 THEN dn END) OVER w AS b1
+          FROM pixels WINDOW w AS (PARTITION BY hpid, grow, gcol, dt)),
+    found AS (
+        SELECT p.hpid, p.band, p.grow, p.gcol, p.dt, p.dn, p.styleid, p.b0, p.b1, any_value(s.type) AS kind,
+               arg_max({{'r': s.r, 'g': s.g, 'b': s.b, 'a': s.a}}, s.val) FILTER (s.val <= p.dn) AS lo, max(s.val) FILTER (s.val <= p.dn) AS lv,
+               arg_min({{'r': s.r, 'g': s.g, 'b': s.b, 'a': s.a}}, s.val) FILTER (s.val > p.dn) AS hi, min(s.val) FILTER (s.val > p.dn) AS hv,
+               any_value({{'r': s.r, 'g': s.g, 'b': s.b, 'a': s.a}}) FILTER (s.val = p.dn) AS same
+        FROM p LEFT JOIN st s USING (styleid) GROUP BY ALL)
+    SELECT hpid, band, grow, gcol, dt, {", ".join(_table_part(k, part) for k, part in enumerate("rgba"))} FROM found""", ("pixels",))
 def style_table(d):
-    """Each plane coloured by its own style from a table."""
-    styled = style.apply_styles(d.pixels().withColumn("styleid", F.col("hpid")), style.parse_styles(style_rows(d)))
-    return styled.select(*PIXEL, "dt", "color.r")
+    """Pixels coloured by styles of all six types from a table; gray, rgb and rgba take both bands of a position."""
+    bands = px.pivot_bands(d.pixels(), ["hpid", "grow", "gcol", "dt"], 2)
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("band"), F.col(f"b{k}").alias("dn")) for k in range(2))))
+    rows = bands.select("hpid", "grow", "gcol", "dt", F.array("b0", "b1").alias("both"), each.alias("one")).select("*", "one.*").filter("dn IS NOT NULL")
+    rows = rows.withColumn("styleid", F.lit(1) + (F.col("hpid") * 7 + F.col("grow")) % 90)
+    return style.apply_styles(rows, style.parse_styles(style_rows(d)), values="both").select(*PIXEL, "dt", "color.*")
 
 
 @query("band_expr", """
@@ -336,12 +364,9 @@ def tile_map(d):
     return decoded(tiles.filter("status = 0"), ["hpid", "dt"], 1, 6, skip=-9)
 
 
-@query("tile_reduce", """
-    WITH first30 AS (SELECT hpid, y, x, dt FROM (SELECT DISTINCT hpid, y, x, dt FROM pixels)
-                     QUALIFY row_number() OVER (PARTITION BY hpid, y, x ORDER BY dt) <= 30)
-    SELECT hpid, band, grow, gcol, sum(dn) AS dn FROM pixels JOIN first30 USING (hpid, y, x, dt) GROUP BY ALL""", ("pixels",))
+@query("tile_reduce", "SELECT hpid, band, grow, gcol, sum(dn) AS dn FROM pixels GROUP BY ALL", ("pixels",))
 def tile_reduce(d):
-    """A numpy function over the first thirty dates of each tile."""
+    """A numpy function over all dates of each tile."""
 
     def total(dates, series):
         return np.where(series == FILL, 0, series).sum(axis=0, dtype=np.int64)

@@ -8,6 +8,7 @@ from rastergrid.functions import rowkey
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
 from rastergrid.operators import reading, regions
+from rastergrid.operators.dates import DATE_CAP
 from rastergrid.session import shared_folder
 from rastergrid.sources import cells, keyed_cells, tile_files
 
@@ -70,7 +71,7 @@ def series_requests(d):
     QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY dt) <= 30""", ("pixels",))
 def cell_series(d):
     """At most 30 dates of each requested tile, decoded."""
-    found = cells.between(d.tile_cells(), series_requests(d), ["request_id"])
+    found = cells.between(d.tile_cells(), series_requests(d), ["request_id"], cap=DATE_CAP)
     return totals(found, ["request_id", "dt"])
 
 
@@ -79,7 +80,7 @@ def cell_series(d):
     WHERE dt BETWEEN startdt AND stopdt AND (month = -1 OR dt // 100000000 % 100 = month) GROUP BY request_id, dt""", ("pixels",))
 def cell_series_all(d):
     """The same without a cap, as the file store reads."""
-    found = cells.between(d.tile_cells(), series_requests(d), ["request_id"], cap=None)
+    found = cells.between(d.tile_cells(), series_requests(d), ["request_id"])
     return totals(found, ["request_id", "dt"])
 
 
@@ -153,24 +154,64 @@ def user_file_read(d):
 
 
 @query("dataset_series", """
-    WITH req AS (SELECT pid, pid % 2 AS y, pid % 4 AS x FROM product WHERE name NOT LIKE '/%'),
-    sel AS (SELECT r.*, b.bindex, b.hPid, b.bsqIndex, hTableName = 'ht' || (b.hPid % 5) AS stored FROM req r JOIN product p USING (pid)
-            JOIN product_band b ON b.pid = r.pid AND (b.bindex = 1 OR (b.bindex = 12 AND r.pid % 2 = 0))),
+    WITH b AS (SELECT *, row_number() OVER w - 1 AS position, count(*) OVER (PARTITION BY pid) AS nbands FROM product_band WHERE bindex <> 4 WINDOW w AS (PARTITION BY pid ORDER BY bindex)),
+    req AS (SELECT pid AS rid, CASE WHEN pid % 11 = 5 THEN 'nowhere/' || pid ELSE name END AS dsname, pid % 2 AS y, pid % 4 AS x,
+                   CASE WHEN pid % 13 = 6 THEN []::int[] WHEN pid % 7 = 3 THEN [1, 25] WHEN pid % 2 = 0 THEN [1, 12] ELSE [1] END AS bands FROM product),
+    judged AS (SELECT r.*, p.pid, hTableName,
+                      CASE WHEN p.pid IS NULL THEN 'no such product' WHEN len(bands) = 0 THEN 'no band list'
+                           WHEN coalesce(list_max(bands) >= (SELECT max(nbands) FROM b WHERE b.pid = p.pid), true) THEN 'band index out of range' ELSE '' END AS log
+               FROM req r LEFT JOIN product p ON p.name = r.dsname),
+    sel AS (SELECT rid, y, x, hPid, bsqIndex, hTableName = 'ht' || (hPid % 5) AS stored
+            FROM (SELECT *, unnest(bands) AS position FROM judged WHERE log = '') j JOIN b USING (pid, position)),
     tiles AS (SELECT hpid, y, x, dt FROM pixels WHERE dt BETWEEN 19960100000000 AND 19991200000000 AND dt // 100000000 % 100 = 7 GROUP BY ALL),
-    got AS (SELECT s.pid, t.dt, count(*) AS bands FROM sel s JOIN tiles t ON t.hpid = s.hPid AND t.y = s.y AND t.x = s.x WHERE stored GROUP BY ALL)
-    SELECT pid::bigint AS request_id, dt, (CASE WHEN bands = (CASE WHEN pid % 2 = 0 THEN 2 ELSE 1 END) THEN 1 ELSE 0 END)::int AS complete FROM got""",
+    planes AS (SELECT hpid, y, x, dt, band, count(*) AS n, sum(dn)::bigint AS total FROM pixels GROUP BY ALL),
+    got AS (SELECT rid, t.dt, count(*) AS seen, coalesce(sum(n), 0)::bigint AS n, coalesce(sum(total), 0)::bigint AS total
+            FROM sel s JOIN tiles t ON t.hpid = s.hPid AND t.y = s.y AND t.x = s.x
+            LEFT JOIN planes l ON l.hpid = s.hPid AND l.y = s.y AND l.x = s.x AND l.dt = t.dt AND l.band = s.bsqIndex WHERE stored GROUP BY ALL)
+    SELECT rid::bigint AS request_id, dt, (CASE WHEN log = '' AND seen = len(bands) THEN 0 ELSE 1 END)::int AS status,
+           CASE WHEN log <> '' THEN log WHEN seen = len(bands) THEN '' ELSE 'no cell data' END AS log,
+           CASE WHEN seen = len(bands) THEN n ELSE 0 END AS n, CASE WHEN seen = len(bands) THEN total ELSE 0 END AS total
+    FROM judged LEFT JOIN got USING (rid)""",
        ("product", "product_band", "pixels"))
 def dataset_series(d):
-    """Julys of four years of each product, bands matched by date."""
+    """Julys of four years of every product and of unknown ones, bands by position and matched by date, with status rows."""
     pid = F.col("pid")
-    bands = F.when(pid % 2 == 0, F.array(F.lit(1), F.lit(12))).otherwise(F.array(F.lit(1)))
-    requests = d.product().filter(~F.col("name").startswith("/")).select(
-        pid.cast("bigint").alias("request_id"), F.col("name").alias("dsname"), bands.alias("bands"), F.lit(2).alias("z"),
+    bands = (
+        F.when(pid % 13 == 6, F.array().cast("array<int>")).when(pid % 7 == 3, F.array(F.lit(1), F.lit(25)))
+        .when(pid % 2 == 0, F.array(F.lit(1), F.lit(12))).otherwise(F.array(F.lit(1)))
+    )
+    name = F.when(pid % 11 == 5, F.concat(F.lit("nowhere/"), pid.cast("string"))).otherwise(F.col("name"))
+    requests = d.product().select(
+        pid.cast("bigint").alias("request_id"), name.alias("dsname"), bands.alias("bands"), F.lit(2).alias("z"),
         (pid % 2).alias("y"), (pid % 4).alias("x"), F.lit(19960100000000).alias("startdt"), F.lit(19991200000000).alias("stopdt"),
         F.lit(7).alias("month"), *(F.lit(-1).alias(n) for n in ("day", "hour", "minute", "second")),
     )
-    series = reading.dataset_series(requests, d.product(), d.product_band(), d.tile_cells())
-    return series.select("request_id", "dt", F.col("complete").cast("int").alias("complete"))
+    # Without its fifth band a product's further bands move up by one position.
+    series = reading.dataset_series(requests, d.product(), d.product_band().filter("bindex <> 4"), d.tile_cells())
+    numbers = px.block_statistics(series, ["request_id", "dt", "status", "log"], 1, skip=FILL)
+    return numbers.select("request_id", "dt", "status", "log", "n", F.col("total").cast("bigint").alias("total"))
+
+
+@query("store_read", f"""
+    SELECT request_id, count(p.dn) AS n, coalesce(sum(p.dn), 0)::bigint AS total
+    FROM ({CELL_REQUESTS}) r LEFT JOIN pixels p USING (hpid, z, y, x, dt) GROUP BY request_id""", ("pixels",))
+def store_read(d):
+    """The requests of cell_read from cells that were written to the store."""
+    path = shared_folder(d.spark, "cells")
+    cells.write(d.tile_cells(), path)
+    return totals(cells.at(cells.read(d.spark, path), cell_requests(d)), ["request_id"])
+
+
+@query("store_series", f"""
+    SELECT request_id, dt, count(*) AS n, sum(dn)::bigint AS total FROM ({SERIES_REQUESTS}) r JOIN pixels p USING (hpid, z, y, x)
+    WHERE dt BETWEEN startdt AND stopdt AND (month = -1 OR dt // 100000000 % 100 = month) GROUP BY request_id, dt
+    QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY dt) <= 12""", ("pixels",))
+def store_series(d):
+    """The first twelve dates of each tile of the store, chosen on its list of dates."""
+    path = shared_folder(d.spark, "cells")
+    cells.write(d.tile_cells(), path)
+    stored, listed = cells.read(d.spark, path), cells.dates(d.spark, path)
+    return totals(cells.between(stored, series_requests(d), ["request_id"], cap=12, listed=listed), ["request_id", "dt"])
 
 
 @query("cell_upsert", """

@@ -99,7 +99,7 @@ def test_cap_keeps_the_earliest_dates_of_a_hot_tile(spark):
     rows = [("hot", d) for d in range(1000)] + [("cold", d) for d in range(5)]
     df = spark.createDataFrame(rows, "k string, dt bigint").repartition(4)
     got = {}
-    for r in dates.first_dates(df, ["k"]).collect():
+    for r in dates.first_dates(df, ["k"], dates.DATE_CAP).collect():
         got.setdefault(r.k, []).append(r.dt)
     assert sorted(got["hot"]) == list(range(30)) and sorted(got["cold"]) == list(range(5))
 

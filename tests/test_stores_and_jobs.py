@@ -5,7 +5,8 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
-from rastergrid.operators import reading
+from rastergrid import joins
+from rastergrid.operators import reading, style
 from rastergrid.plans import tile_job
 from rastergrid.sources import cells, keyed_cells, orders, tables, tile_files
 from rastergrid.streaming import feed
@@ -13,26 +14,96 @@ from rastergrid.streaming import feed
 CELLS = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
 
 
-def test_upsert_touches_only_its_partitions(spark, tmp_path):
+def scans(df):
+    """Files read by each scan of a stored table under ``df``, which is run first."""
+    df.collect()
+    found = []
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if name == "FileSourceScanExec" and "cells" in str(plan.relation().location().rootPaths()):
+            found.append(plan.metrics().apply("numFiles").value())
+        for k in range(plan.children().size()):
+            walk(plan.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_upsert_touches_only_its_folders(spark, tmp_path):
     path = str(tmp_path / "cells")
-    rows = [("t", p, 1, 0, x, y * 10**10 + 10**8, bytearray([p, x])) for p in (1, 2) for x in range(3) for y in (2019, 2020)]
+    dates = [y * 10**10 + m * 10**8 for y in (2019, 2020) for m in (1, 2, 3)]
+    rows = [("t", p, 1, 0, x, d, bytearray([p, x])) for p in (1, 2) for x in range(3) for d in dates]
     cells.write(spark.createDataFrame(rows, CELLS), path)
-    untouched = sorted((tmp_path / "cells" / "htable=t" / "hpid=1" / "year=2019").iterdir())
-    edits = [(*rows[-1][:6], bytearray(b"old"), 1), (*rows[-1][:6], bytearray(b"new"), 2), ("t", 3, 0, 0, 0, 1, bytearray(b"add"), 1)]
+
+    def files(plane, date):
+        return sorted((tmp_path / "cells" / "htable=t" / f"hpid={plane}" / f"dt={date}").glob("*.parquet"))
+
+    before = {(p, d): files(p, d) for p in (1, 2) for d in dates}
+    edits = [(*rows[-1][:6], bytearray(b"old"), 1), (*rows[-1][:6], bytearray(b"new"), 2), (*rows[-1][:6], bytearray(b"new"), 2), ("t", 3, 0, 0, 0, 1, bytearray(b"add"), 1)]
     cells.upsert(spark, path, spark.createDataFrame(edits, CELLS + ", seq int"), "seq")
     got = {tuple(r)[:6]: bytes(r.data) for r in cells.read(spark, path).select(*cells.CELL, "data").collect()}
-    assert len(got) == 13 and got[rows[-1][:6]] == b"new" and got[("t", 3, 0, 0, 0, 1)] == b"add"
+    assert len(got) == 37 and got[rows[-1][:6]] == b"new" and got[("t", 3, 0, 0, 0, 1)] == b"add"
     assert got[rows[0][:6]] == bytes(rows[0][6])
-    assert sorted((tmp_path / "cells" / "htable=t" / "hpid=1" / "year=2019").iterdir()) == untouched
-    plan = cells.dated(cells.read(spark, path), 20200000000000, 20201231000000)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
-    planes = spark.createDataFrame([("t", 2, 20200100000000)], "htable string, hpid int, dt bigint")
-    named = cells.of_planes(cells.read(spark, path), planes)
-    assert {(r.hpid, r.dt) for r in named.collect()} == {(2, 20200100000000)}
-    assert "dynamicpruning" in named._jdf.queryExecution().executedPlan().toString()
-    ranged = spark.createDataFrame([("t", 1, 20190000000000, 20200000000000)], "htable string, hpid int, startdt bigint, stopdt bigint")
-    assert {r.year for r in cells.request_years(ranged).collect()} == {2019, 2020}
-    assert cells.of_planes(cells.read(spark, path), cells.request_years(ranged)).count() == 6
+    assert [k for k, names in before.items() if files(*k) != names] == [(2, dates[-1])]
+    listed = {tuple(r) for r in cells.dates(spark, path).select("htable", "hpid", "dt").collect()}
+    assert listed == {("t", p, d) for p in (1, 2) for d in dates} | {("t", 3, 1)}
+    stored = cells.read(spark, path)
+    plan = cells.dated(stored, 20200000000000, 20201231000000)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    planes = spark.createDataFrame([("t", 2, dates[3])], "htable string, hpid int, dt bigint")
+    named = cells.of_planes(stored, planes)
+    assert {(r.hpid, r.dt) for r in named.collect()} == {(2, dates[3])}
+    assert scans(cells.of_planes(stored, planes)) == [1]
+    ranged = spark.createDataFrame([("t", 1, 20190000000000, 20200150000000)], "htable string, hpid int, startdt bigint, stopdt bigint")
+    reached = cells.request_dates(ranged, cells.dates(spark, path))
+    assert sorted(r.dt for r in reached.collect()) == dates[:4]
+    assert cells.of_planes(stored, reached).count() == 12
+
+
+def test_reads_open_only_the_folders_of_their_dates(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    dates = [20200100000000 + k * 10**8 for k in range(8)]
+    rows = [("t", p, 2, y, x, d, bytearray([p, y, x])) for p in (1, 2) for y in range(2) for x in range(4) for d in dates]
+    cells.write(spark.createDataFrame(rows, CELLS), path)
+    stored = cells.read(spark, path)
+    asked = [(k, "t", 1 + k % 2, 2, 1, 3, dates[2 + k % 2]) for k in range(50)] + [(50, "t", 1, 2, 9, 9, dates[2]), (51, "u", 1, 2, 0, 0, dates[2])]
+    requests = spark.createDataFrame(asked, "rid int, htable string, hpid int, z int, y int, x int, dt bigint")
+    found = cells.at(stored, requests)
+    # Of 16 folders those of two planes and two dates, as every column of a folder is pruned for itself.
+    assert scans(found) == [4]
+    assert {r.rid: r.data and bytes(r.data) for r in found.collect()} == {k: bytes([1 + k % 2, 1, 3]) if k < 50 else None for k in range(52)}
+    series = requests.drop("dt").selectExpr(
+        "*", f"{dates[1]}L startdt", f"{dates[6]}L stopdt", "CASE WHEN rid % 2 = 0 THEN 4 ELSE -1 END AS month", *(f"-1 {n}" for n in ("day", "hour", "minute", "second"))
+    )
+    want = {(k, d) for k in range(50) for d in ([dates[3]] if k % 2 == 0 else dates[1:7])}
+    listed = cells.dates(spark, path)
+    for cap, kept in ((None, want), (2, {(k, d) for k, d in want if k % 2 == 0 or d <= dates[2]})):
+        got = cells.between(stored, series, ["rid"], cap, listed)
+        assert {(r.rid, r.dt) for r in got.collect()} == kept
+        # Dates that no request can have are not opened: six of eight, or the three that the cap leaves, of two planes.
+        assert scans(cells.between(stored, series, ["rid"], cap, listed)) == [12 if cap is None else 6]
+
+
+def test_wanted_keys_beyond_a_broadcast(spark):
+    rows = spark.range(2000).selectExpr("id AS a", "id % 7 AS b", "id * 2 AS v")
+    wanted = spark.range(100, 130).selectExpr("id AS a", "id % 7 AS b")
+    few = joins.keep_wanted(rows, wanted, ["a", "b"], F.col("a") >= 0)
+    marked = joins.keep_wanted(rows, wanted, ["a", "b"], F.col("a") >= 0, limit=0)
+    assert {r.a for r in few.collect()} == set(range(100, 130))
+    assert {r.a for r in marked.collect()} >= set(range(100, 130)) and marked.count() < 60
+    assert joins.keep_wanted(rows, wanted.limit(0), ["a", "b"], F.col("a") >= 0, limit=-1).count() == 0
+
+
+def test_curve_code_interleaves_bits(spark):
+    rows = [(y, x) for y in (0, 1, 2, 5, 1023, (1 << 20) + 7) for x in (0, 1, 3, 6, 2047, (1 << 21) - 1)]
+    got = spark.createDataFrame(rows, "y int, x int").select("y", "x", cells.curve_code("y", "x").alias("c")).collect()
+    for r in got:
+        assert r.c == sum(((r.y >> k & 1) << (2 * k + 1)) | ((r.x >> k & 1) << (2 * k)) for k in range(22))
 
 
 def test_tile_files_by_path(spark, tmp_path):
@@ -169,3 +240,37 @@ def test_feed_in_several_batches_with_a_late_result(spark, tmp_path):
 
     assert run([(1, 0, 10), (2, 1, 11), (9, 0, 12)]) == {0: 0, 1: 2, 2: 3, 3: 0}
     assert run([(1, 1, 5), (2, 0, 20)]) == {0: 0, 1: 2, 2: 2, 3: 0}
+
+
+def test_series_by_position_with_a_status_for_every_request(spark):
+    products = spark.createDataFrame(
+        [(1, "a", "hbase"), (2, "/u/b", "file"), (3, "c", "other"), (4, "d", "hbase")], "pid int, name string, source string"
+    ).selectExpr("*", "'t' hTableName", "1 tileWid", "1 tileHei", "1 dataType")
+    # Bands are numbered by position, so bindex 5 and 9 are bands 0 and 1.
+    bands = spark.createDataFrame([(p, b, p * 10 + k, 0) for p in (1, 2, 3, 4) for k, b in enumerate((5, 9))], "pid int, bindex int, hPid int, bsqIndex int")
+    stored = spark.createDataFrame([("t", 10, 0, 0, 0, d, bytearray(b"x%d" % d)) for d in (3, 1, 2)] + [("t", 11, 0, 0, 0, 2, bytearray(b"y"))], CELLS)
+    files = spark.createDataFrame([("t", 21, 0, 0, 0, d, bytearray(b"f")) for d in (1, 2, 3, 9)], CELLS)
+    asked = [(1, "a", [0]), (2, "a", [1, 0]), (3, "/u/b", [1]), (4, "zz", [0]), (5, "a", []), (6, "a", [5]), (7, "c", [0]), (8, "d", [0]), (9, "a", None)]
+    requests = spark.createDataFrame([(i, n, b, 0, 0, 0, 1, 3) for i, n, b in asked], "request_id int, dsname string, bands array<int>, z int, y int, x int, startdt bigint, stopdt bigint").selectExpr(
+        "*", *(f"-1 {n}" for n in ("month", "day", "hour", "minute", "second"))
+    )
+    got = sorted((r.request_id, r.dt or 0, r.status, r.log, r.data and bytes(r.data)) for r in reading.dataset_series(requests, products, bands, stored, files=files, cap=2).collect())
+    assert got == [
+        (1, 1, 0, "", b"x"), (1, 2, 0, "", b"x"), (2, 1, 1, reading.NO_CELL, None), (2, 2, 0, "", b"yx"),
+        (3, 1, 0, "", b"f"), (3, 2, 0, "", b"f"), (3, 3, 0, "", b"f"), (4, 0, 1, reading.NO_PRODUCT, None), (5, 0, 1, reading.NO_LIST, None),
+        (6, 0, 1, reading.NO_BAND, None), (7, 0, 1, reading.NO_SOURCE, None), (8, 0, 1, reading.NO_CELL, None), (9, 0, 1, reading.NO_LIST, None),
+    ]
+
+
+def test_styles_of_bands_from_a_table(spark):
+    styles = spark.createDataFrame(
+        [(1, [0], "gray", [(0.0, 200.0)]), (2, [1, 0, 1], "rgb", [(0.0, 100.0), (0.0, 0.0)]), (3, [], "rgba", None), (4, [0], "odd", None)],
+        "styleid int, bands array<int>, type string, vranges array<struct<minval:double,maxval:double>>",
+    ).selectExpr("*", "CAST(NULL AS array<struct<val:double,r:int,g:int,b:int,a:int,lbl:string>>) AS colors",
+                 "named_struct('val', 0D, 'r', 7, 'g', 7, 'b', 7, 'a', 7, 'lbl', '') AS nodatacolor")
+    pixels = spark.createDataFrame(
+        [(1, 100.0, [100.0, 50.0]), (2, 100.0, [100.0, 50.0]), (3, 1.0, [1.0, 2.0, 300.0, 4.0]), (3, 1.0, [1.0, 2.0, 3.0]), (1, None, [None]), (4, 1.0, [1.0]), (9, 1.0, [1.0])],
+        "styleid int, dn double, every array<double>",
+    )
+    got = [tuple(r.color) for r in style.apply_styles(pixels.coalesce(1), styles, values="every").select("styleid", "color").collect()]
+    assert sorted(got) == sorted([(128, 128, 128, 255), (128, 255, 50, 255), (1, 2, 255, 4), (7, 7, 7, 7), (7, 7, 7, 7), (7, 7, 7, 7), (0, 0, 0, 0)])
