@@ -1,7 +1,11 @@
 """A corpus pipeline over ``documents``: stages that call the operators of ``rastergrid.llm``.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as
-the next stage's ``docs``.
+the next stage's ``docs``. In all stages a null text is an empty one, a null id or source is a value like
+another, texts of any length are read whole, columns besides doc_id, source and text pass through whatever
+their names (but for the three results of the last stage, which replace columns of their names), and an
+empty table gives an empty one. Of rows with equal id and text the two dedup stages keep one; the other
+stages treat them as rows of their own.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rastergrid.llm import exact_dedup, mixing, near_dedup, pieces, queries, toxicity
-from rastergrid.llm.common import plain, save, table
+from rastergrid.llm.common import plain, save, table, unused
 from rastergrid.session import ship_package
 
 # A model is trained and documents are encoded, which SQL cannot express.
@@ -20,22 +24,24 @@ ORACLE_SQL = None
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, text) is among ``kept`` (doc_id, text_key), each once."""
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    chosen = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
-    left = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__key"] == chosen["__text"]), "left_semi")
+    key, n = unused(docs, "text_key"), unused(docs, "copy")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
+    chosen = kept.select("doc_id", "text_key").distinct().alias("k")
+    left = keyed.join(chosen, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{key}") == F.col("k.text_key")), "left_semi")
     counted = docs.groupBy("doc_id").count().where("count > 1")
     if not counted.isEmpty():
-        again = Window.partitionBy("doc_id", "__key").orderBy(F.lit(1))
-        left = left.withColumn("__n", F.row_number().over(again)).where("__n = 1")
-    return left.select(*docs.columns)
+        again = Window.partitionBy("doc_id", key).orderBy(F.lit(1))
+        left = left.withColumn(n, F.row_number().over(again)).where(F.col(n) == 1)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity score does not reject; the model is the query's."""
     ship_package(spark)
     model = queries.toxicity_model(spark, sf_dir)
-    scored = toxicity.score(docs, model, "text", "__toxicity")
-    return scored.where(F.col("__toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    score = unused(docs, "score")
+    scored = toxicity.score(docs, model, "text", score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
