@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rowkey
+from ..joins import never_broadcast, save
+from ..operators.dates import date_grid, first_dates
 from . import cells
 
 # Fixed value: layout of a tile file's path.
@@ -29,14 +31,69 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return files.filter(F.col("path").rlike(PATH)).select(*parts, F.col("content").alias("data"))
 
 
-def at(files: DataFrame, requests: DataFrame) -> DataFrame:
-    """Requests on a full cell key with the content of their file."""
-    return cells.at(files, requests)
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with the scheme and host of its file system, so that every machine means the same place."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
+    host = path.getAuthority()
+    return f"{path.getScheme()}://{host or ''}{path.getPath()}"
 
 
-def between(files: DataFrame, requests: DataFrame, keys: list[str], cap: int | None = None) -> DataFrame:
-    """Files of a tile over a date range; without a cap unless one is given."""
-    return cells.between(files, requests, keys, cap)
+def fetch(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
+    """Cells of a table of full keys, read by path: ``htable, hpid, z, y, x, dt, data``, files that exist only.
+
+    The root is not listed: each distinct key is one path, and paths are spread evenly over tasks, each
+    of which opens its own. Only files that were asked for are read.
+    """
+    base = qualified(spark, root)
+    path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
+    wanted = keys.select(*cells.CELL).distinct().select("*", path.alias("path"))
+    schema = wanted.drop("path").withColumn("data", F.lit(None).cast("binary")).schema
+    batch_files = 64  # at most so many blocks in one Arrow batch
+
+    def open_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import posixpath
+
+        from pyarrow import fs
+
+        files, folder = fs.FileSystem.from_uri(base)
+        for batch in batches:
+            for start in range(0, batch.num_rows, batch_files):
+                part = batch.slice(start, batch_files)
+                places = [posixpath.join(folder, name) for name in part.column("path").to_pylist()]
+                there = [info.type == fs.FileType.File for info in files.get_file_info(places)]
+                data = []
+                for place, exists in zip(places, there):
+                    if exists:
+                        with files.open_input_stream(place) as file:
+                            data.append(file.read())
+                found = part.filter(pa.array(there, pa.bool_())).select(cells.CELL)
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.array(data, pa.binary())], names=schema.names)
+
+    return wanted.repartition("path").mapInArrow(open_files, schema)
+
+
+def at(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+    """Requests on a full cell key with the content of their file, NULL where there is none."""
+    return requests.join(never_broadcast(fetch(spark, root, requests)), cells.CELL, "left")
+
+
+def between(
+    spark: SparkSession, root: str, requests: DataFrame, keys: list[str], cap: int | None = None, max_wildcards: int | None = 1
+) -> DataFrame:
+    """Files of a tile over a date range and part filter; all dates unless a ``cap`` is given.
+
+    The dates are generated from the years of the range and the parts asked for, and each is tried as a path. Requests
+    with more open parts than ``max_wildcards`` give no rows; None allows any number.
+    """
+    names = [*dict.fromkeys([*keys, *cells.TILE])]
+    dates = date_grid(requests, names, max_wildcards)
+    known = save(dates, "file-dates")
+    found = known.join(never_broadcast(fetch(spark, root, known)), cells.CELL)
+    if cap is None:
+        return found
+    chosen = first_dates(found.select(*dict.fromkeys([*keys, *cells.CELL])), keys, cap)
+    return found.join(chosen, [*dict.fromkeys([*keys, *cells.CELL])], "left_semi")
 
 
 def write(tiles: DataFrame, root: str) -> int:
@@ -46,14 +103,15 @@ def write(tiles: DataFrame, root: str) -> int:
     leaves the same files.
     """
     path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
+    base_uri = qualified(tiles.sparkSession, root)
 
-    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import posixpath
         import uuid
 
         from pyarrow import fs
 
-        base, folder = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        base, folder = fs.FileSystem.from_uri(base_uri)
         for batch in batches:
             for name, data in zip(batch.column("path"), batch.column("data")):
                 target = posixpath.join(folder, name.as_py())
@@ -64,5 +122,5 @@ def write(tiles: DataFrame, root: str) -> int:
                 base.move(draft, target)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
 
-    saved = tiles.select(path.alias("path"), "data").mapInArrow(save, "n bigint")
+    saved = tiles.select(path.alias("path"), "data").mapInArrow(put, "n bigint")
     return saved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

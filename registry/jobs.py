@@ -245,5 +245,5 @@ def worker_feed(d):
     results = events.select(
         "event_id", F.col("user_id").cast("int").alias("ofid"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("state")
     )
-    feed.start(results, d.task(), f"{path}/status", f"{path}/checkpoint", "event_id").awaitTermination()
-    return feed.status_table(d.spark, f"{path}/status").drop("seen")
+    feed.start(results, f"{path}/status", f"{path}/checkpoint", "event_id").awaitTermination()
+    return feed.status_table(d.spark, f"{path}/status", d.task()).drop("seen")

@@ -9,7 +9,7 @@ from rastergrid.functions import pixel_types
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
 from rastergrid.operators import regions, style
-from rastergrid.plans.export import export_grid
+from rastergrid.plans.export import block_rows, export_blocks
 
 from .base import query
 from .catalog import STYLES, style_rows
@@ -157,9 +157,9 @@ def series_stats(d):
 @query("export_grid", """
     WITH o AS (SELECT s_suppkey AS order_id, (s_suppkey // 25)::int AS hpid, (1996 + s_suppkey % 4) * 10000000000 + (1 + s_suppkey % 12) * 100000000 AS dt,
                       -180 + (s_suppkey * 37 % 300) AS l, 90 - (s_suppkey * 17 % 140) AS t FROM supplier),
-    r AS (SELECT *, (l + 180) // 90 AS xa, least((l + 40 + 180) // 90, 3) AS xb, (90 - t) // 90 AS ya, least((90 - (t - 30)) // 90, 1) AS yb FROM o),
-    g AS (SELECT order_id, hpid, dt, band, grow, gcol FROM r, range(2) AS b(band), range(32) AS a(grow), range(64) AS c(gcol)
-          WHERE grow // 16 BETWEEN ya AND yb AND gcol // 16 BETWEEN xa AND xb),
+    g AS (SELECT order_id, hpid, dt, band, grow, gcol FROM o, range(2) AS b(band), range(32) AS a(grow), range(64) AS c(gcol)
+          WHERE grow >= floor((90 - t) / 5.625::double) AND grow < ceil((120 - t) / 5.625::double)
+            AND gcol >= floor((l + 180) / 5.625::double) AND gcol < ceil((l + 220) / 5.625::double)),
     tiles AS (SELECT DISTINCT hpid, dt, y, x FROM pixels)
     SELECT order_id, g.grow::int AS grow, count(*) AS n,
            sum(CASE WHEN p.dn IS NOT NULL THEN p.dn WHEN t.y IS NOT NULL THEN 255 ELSE 7 END)::bigint AS total
@@ -167,7 +167,7 @@ def series_stats(d):
     LEFT JOIN tiles t ON t.hpid = g.hpid AND t.dt = g.dt AND t.y = g.grow // 16 AND t.x = g.gcol // 16
     GROUP BY ALL""", ("pixels",))
 def export_grid_query(d):
-    """Grids of boxes at level 2; tiles that are not stored hold the fill value."""
+    """Mosaics of boxes at level 2 in blocks of 10 pixels, cut to the box; tiles that are not stored hold the fill value."""
     k = F.col("s_suppkey")
     hpid = idiv(k, 25).cast("int")
     left, top = -180.0 + k * 37 % 300, 90.0 - k * 17 % 140
@@ -176,8 +176,9 @@ def export_grid_query(d):
         ((1996 + k % 4) * 10000000000 + (1 + k % 12) * 100000000).alias("dt"), F.lit(LEVEL).alias("level"),
         left.alias("left"), (left + 40.0).alias("right"), top.alias("top"), (top - 30.0).alias("bottom"),
     )
-    grid = export_grid(orders, d.tile_cells(), ["order_id"], 2, TILE, 1, 7)
-    return grid.groupBy("order_id", "grow").agg(F.count(F.lit(1)).alias("n"), F.sum("dn").cast("bigint").alias("total"))
+    blocks = export_blocks(orders, d.tile_cells(), ["order_id"], 2, TILE, 1, 7, block=10)
+    rows = block_rows(blocks, ["order_id"], 2, 1)
+    return rows.groupBy("order_id", "grow").agg(F.sum("n").alias("n"), F.sum("total").cast("bigint").alias("total"))
 
 
 def _colored(rows, color):

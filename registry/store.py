@@ -254,6 +254,27 @@ def tile_files_query(d):
     return totals(files, ["hpid", "dt"])
 
 
+@query("tile_files_at", f"""
+    SELECT request_id, count(p.dn) AS n, coalesce(sum(p.dn), 0)::bigint AS total
+    FROM ({CELL_REQUESTS}) r LEFT JOIN pixels p USING (hpid, z, y, x, dt) GROUP BY request_id""", ("pixels",))
+def tile_files_at(d):
+    """The requests of cell_read from files, each opened by its path."""
+    root = shared_folder(d.spark, "tiles")
+    tile_files.write(d.tile_cells(), root)
+    return totals(tile_files.at(d.spark, root, cell_requests(d)), ["request_id"])
+
+
+@query("tile_files_series", f"""
+    SELECT request_id, dt, count(*) AS n, sum(dn)::bigint AS total FROM ({SERIES_REQUESTS}) r JOIN pixels p USING (hpid, z, y, x)
+    WHERE dt BETWEEN startdt AND stopdt AND (month = -1 OR dt // 100000000 % 100 = month) GROUP BY request_id, dt""", ("pixels",))
+def tile_files_series(d):
+    """The series of cell_series_all from files, whose dates are generated with one open part at most."""
+    root = shared_folder(d.spark, "tiles")
+    tile_files.write(d.tile_cells(), root)
+    monthly = series_requests(d).withColumns({name: F.lit(0) for name in ("day", "hour", "minute", "second")})
+    return totals(tile_files.between(d.spark, root, monthly, ["request_id"]), ["request_id", "dt"])
+
+
 @query("keyed_cells", """
     WITH last AS (SELECT lang, doc_id // 2 AS k, arg_max(text, doc_id) AS text FROM documents GROUP BY ALL)
     SELECT d.doc_id, CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE md5(l.text) END AS digest FROM documents d LEFT JOIN last l ON l.lang = d.lang AND l.k = d.doc_id // 2""")

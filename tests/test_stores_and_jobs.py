@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rastergrid import joins
 from rastergrid.operators import reading, style
-from rastergrid.plans import tile_job
+from rastergrid.plans import export, tile_job
 from rastergrid.sources import cells, keyed_cells, orders, tables, tile_files
 from rastergrid.streaming import feed
 
@@ -114,10 +114,52 @@ def test_tile_files_by_path(spark, tmp_path):
     files = tile_files.read(spark, root)
     assert files.count() == len(rows)
     asked = spark.createDataFrame([(1, "t", 1, 2, 0, 1, 20200300000000), (2, "t", 1, 2, 0, 9, 20200300000000)], "rid int, htable string, hpid int, z int, y int, x int, dt bigint")
-    got = {r.rid: r.data and bytes(r.data) for r in tile_files.at(files, asked).collect()}
+    got = {r.rid: r.data and bytes(r.data) for r in tile_files.at(spark, root, asked).collect()}
     assert got == {1: b"1-20200300000000", 2: None}
-    series = asked.drop("dt").selectExpr("*", "20200200000000L startdt", "20201100000000L stopdt", *(f"-1 {n}" for n in ("month", "day", "hour", "minute", "second")))
-    assert tile_files.between(files, series, ["rid"]).count() == 10
+    plan = tile_files.at(spark, root, asked)._jdf.queryExecution().toString()
+    assert "binaryFile" not in plan and "BinaryFile" not in plan
+    series = asked.drop("dt").selectExpr(
+        "*", "20200200000000L startdt", "20201100000000L stopdt", "CASE rid WHEN 1 THEN -1 ELSE 3 END AS month", *(f"0 {n}" for n in ("day", "hour", "minute", "second"))
+    )
+    assert tile_files.between(spark, root, series, ["rid"]).count() == 10
+    first = tile_files.between(spark, root, series, ["rid"], cap=3).collect()
+    assert sorted(r.dt for r in first) == [20200200000000, 20200300000000, 20200400000000]
+    # Two open parts are one too many, unless that is allowed; no day but 0 is stored.
+    open_days = series.withColumn("day", F.lit(-1))
+    assert tile_files.between(spark, root, open_days, ["rid"]).count() == 0
+    assert tile_files.between(spark, root, open_days, ["rid"], max_wildcards=None).count() == 0
+
+
+def test_mosaic_blocks_against_slices_of_the_level(spark):
+    """Blocks of any size put together give the box, cut from the whole level with fill where no tile is."""
+    rng, size, level = np.random.default_rng(8), 4, 2
+    whole = np.full((2, 8, 16), 9, "<i2")
+    rows = []
+    for y in range(2):
+        for x in range(4):
+            if (y, x) != (1, 2):
+                tile = rng.integers(-300, 300, (2, size, size)).astype("<i2")
+                whole[:, y * size : y * size + size, x * size : x * size + size] = tile
+                rows.append(("t", 1, level, y, x, 5, bytearray(tile.tobytes())))
+    stored = spark.createDataFrame(rows, CELLS)
+    boxes = [(1, -180.0, 180.0, 90.0, -90.0), (2, -100.0, 33.0, 41.0, -60.0), (3, 10.0, 10.5, 0.0, -0.5), (4, 170.0, 400.0, 100.0, 80.0), (5, 40.0, 10.0, 5.0, 0.0)]
+    orders = spark.createDataFrame([(k, "t", 1, 5, level, *box) for k, *box in boxes], "k int, htable string, hpid int, dt bigint, level int, left double, right double, top double, bottom double")
+    degrees = 360 / 16
+    for block in (3, 5, 64):
+        got = {}
+        for r in export.export_blocks(orders, stored, ["k"], 2, size, 3, 9, block=block).collect():
+            assert r.rows <= block and r.cols <= block
+            got.setdefault(r.k, []).append(r)
+        assert set(got) == {1, 2, 3, 4}
+        for k, left, right, top, bottom in boxes[:4]:
+            r0, c0 = int(max(0, np.floor((90 - top) / degrees))), int(np.floor((left + 180) / degrees))
+            r1, c1 = int(np.ceil((90 - bottom) / degrees)), int(min(16, np.ceil((right + 180) / degrees)))
+            seen = np.full((2, r1 - r0, c1 - c0), -1000, "<i2")
+            for r in got[k]:
+                part = seen[:, r.row0 - r0 : r.row0 - r0 + r.rows, r.col0 - c0 : r.col0 - c0 + r.cols]
+                assert (part == -1000).all()
+                part[:] = np.frombuffer(r.data, "<i2").reshape(2, r.rows, r.cols)
+            assert (seen == whole[:, r0:r1, c0:c1]).all()
 
 
 def test_keyed_cells_put_and_get(spark):
@@ -227,7 +269,8 @@ def test_dataset_reads_by_source(spark):
     }
 
 
-def test_feed_in_several_batches_with_a_late_result(spark, tmp_path):
+def test_feed_in_several_batches_with_late_and_double_results(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "MERGE_EVERY", 2)
     tasks = spark.createDataFrame([(i, 0) for i in range(4)], "ofid int, status int")
     schema = "ofid int, state int, event_id bigint"
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
@@ -235,11 +278,17 @@ def test_feed_in_several_batches_with_a_late_result(spark, tmp_path):
     def run(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        feed.start(stream, tasks, out, check, "event_id").awaitTermination()
-        return {r.ofid: r.status for r in feed.status_table(spark, out).collect()}
+        feed.start(stream, out, check, "event_id").awaitTermination()
+        return {r.ofid: r.status for r in feed.status_table(spark, out, tasks).collect()}
 
-    assert run([(1, 0, 10), (2, 1, 11), (9, 0, 12)]) == {0: 0, 1: 2, 2: 3, 3: 0}
+    assert run([(1, 0, 10), (2, 1, 11), (9, 0, 12), (None, 0, 13), (3, 0, None)]) == {0: 0, 1: 2, 2: 3, 3: 0}
     assert run([(1, 1, 5), (2, 0, 20)]) == {0: 0, 1: 2, 2: 2, 3: 0}
+    assert run([(2, 0, 20), (2, 1, 11), (1, 1, 10)]) == {0: 0, 1: 3, 2: 2, 3: 0}
+    assert run([(3, 1, 1)]) == {0: 0, 1: 3, 2: 2, 3: 3}
+    assert run([(0, 0, 7), (3, 0, 1)]) == {0: 2, 1: 3, 2: 2, 3: 3}
+    # A version has the tasks of its batch only; the base after four batches has each task once.
+    assert spark.read.parquet(f"{out}/changes/version=3").count() == 1
+    assert spark.read.parquet(f"{out}/base/version=3").count() == 4
 
 
 def test_series_by_position_with_a_status_for_every_request(spark):
