@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from rastergrid.functions import texts
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import catalog, changes, lineage, style
+from rastergrid.session import shared_folder
+from rastergrid.sources import tables
 
 from .base import query
 from .derived import RUN_STAMP
@@ -347,3 +349,17 @@ def roi_text_parse(d):
         "c_custkey", texts.region_route(text).alias("route"), texts.region_id(text)["id"].alias("rid"),
         texts.extent(box)["left"].alias("left"), texts.extent(box)["bottom"].alias("bottom"),
     )
+
+
+@query("catalog_tables", """
+    SELECT 'tbproduct' AS name, count(*) AS n, sum(pid)::bigint AS total FROM product UNION ALL SELECT 'tbproductband', count(*), sum(pid)::bigint FROM product_band
+    UNION ALL SELECT 'tbroisys', count(*), sum(rid)::bigint FROM roi_sys UNION ALL SELECT 'area', 2 * count(*), sum(2 * id)::bigint FROM area""",
+       ("product", "product_band", "roi_sys", "area"))
+def catalog_tables(d):
+    """Tables written through the catalog, one of them in two parts, and read back."""
+    catalog_ = tables.Catalog(d.spark, root=shared_folder(d.spark, "catalog"))
+    for name, rows in (("tbproduct", d.product_rows()), ("tbproductband", d.band_rows()), ("tbroisys", d.roi_sys()), ("area", d.area()), ("area", d.area())):
+        catalog_.append(name, rows)
+    keys = {"tbproduct": "pid", "tbproductband": "pid", "tbroisys": "rid", "area": "id"}
+    parts = [catalog_.table(t).agg(F.lit(t).alias("name"), F.count("*").alias("n"), F.sum(k).cast("bigint").alias("total")) for t, k in keys.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).select("name", "n", "total")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
-from rastergrid.plans import requests, tile_job
+from rastergrid.joins import save
+from rastergrid.plans import ledger, requests, tile_job
 from rastergrid.session import shared_folder
 from rastergrid.sources import cells, orders
+from rastergrid.sources.tables import Catalog
 from rastergrid.streaming import feed
 
 from .base import query
@@ -153,6 +155,27 @@ def order_parse(d):
     )
 
 
+@query("order_files", """
+    SELECT s_suppkey, 'sys:' || s_suppkey AS roi, (s_suppkey % 7)::double AS filldata, 20200101000000 + s_suppkey AS dt, (1000 + s_suppkey)::int AS mpid_hpid,
+           NULL::bigint AS out_hcol, 'order_' || s_suppkey AS order_file FROM supplier""")
+def order_files(d):
+    """Orders read from JSON files, one each; the file says which order it is."""
+    k = F.col("s_suppkey")
+    text = F.to_json(
+        F.struct(
+            F.concat(F.lit("sys:"), k.cast("string")).alias("roi"), F.lit("a note").alias("roi_comment"), (k % 7).alias("filldata"),
+            (20200101000000 + k).alias("dt"), (1000 + k).alias("mpid_hpid"),
+        )
+    )
+    root = shared_folder(d.spark, "orders")
+    d.table("supplier").select(k.alias("order"), text.alias("value")).write.partitionBy("order").text(root)
+    read = orders.read_orders(d.spark, f"{root}/order=*/*")
+    number = F.regexp_extract("order_file", r"order=(\d+)/", 1)
+    return read.select(
+        number.cast("bigint").alias("s_suppkey"), "roi", "filldata", "dt", "mpid_hpid", "out_hcol", F.concat(F.lit("order_"), number).alias("order_file")
+    )
+
+
 @query("composite_requests", """
     WITH o AS (SELECT s_suppkey AS request_id, (s_suppkey // 25)::int AS hpid, s_suppkey % 2 AS usebound, -180 + (s_suppkey * 37 % 300) AS l, 90 - (s_suppkey * 17 % 140) AS t,
                       (1996 + s_suppkey % 3) * 10000000000 AS d0, (1998 + s_suppkey % 3) * 10000000000 AS d1 FROM supplier),
@@ -212,26 +235,47 @@ def job_results(d):
     return d.spark.read.schema("order_id bigint, state int, message string").json(path)
 
 
-@query("job_registration", """
-    WITH j AS (SELECT (10000 + s_suppkey)::int AS pid FROM supplier)
-    SELECT 'band' AS kind, pid, pid || '/' || b AS text FROM j, range(2) AS t(b)
-    UNION ALL SELECT 'item', pid, '2024/02/01 03:04:05' FROM j UNION ALL SELECT 'product', pid, 'user/' || pid FROM j""")
+@query("job_registration", JOB + """,
+    fin AS (SELECT s.order_id, (50000 + s.order_id // 25)::int AS pid, 20200101000000 + s.order_id % 25 * 1000000 AS hcol,
+                   CASE WHEN state = 0 AND NOT dry THEN 20 ELSE state END AS state FROM st s JOIN firstok USING (order_id)),
+    good AS (SELECT * FROM fin WHERE state = 0)
+    SELECT 'band' AS kind, pid::bigint AS pid, bindex::bigint AS part, hPid || '/' || bsqIndex AS text FROM product_band
+    UNION ALL SELECT DISTINCT 'band', pid, 0, pid || '/0' FROM good
+    UNION ALL SELECT 'item', pid, hcol, 'old' FROM data_item GROUP BY ALL
+    UNION ALL SELECT DISTINCT 'item', pid, hcol, '2024/02/01 03:04:05 2024/02/01 03:04:05' FROM good
+    UNION ALL SELECT 'item ids', count(*), count(*), 'distinct' FROM (SELECT pid, hcol FROM data_item UNION SELECT pid, hcol FROM good)
+    UNION ALL SELECT DISTINCT 'product', pid, 0, CASE WHEN pid IN (SELECT pid FROM good) THEN 'user/' || pid ELSE 'new' END FROM fin WHERE pid % 4 <> 3
+    UNION ALL SELECT 'order', order_id, CASE WHEN state = 0 AND pid % 4 = 3 THEN 26 ELSE state END, 'done' FROM fin""", (*ORDER_TABLES, "product_band", "data_item"))
 def job_registration(d):
-    """Band, item and product rows of finished orders."""
-    k = F.col("s_suppkey")
-    outcome = d.table("supplier").select(
-        k.alias("order_id"), F.lit(0).alias("state"), F.lit(3).alias("max_zoom"), F.lit("EPSG:4326").alias("proj"),
-        *(F.lit(v).alias(s) for s, v in {"left": -180.0, "right": 180.0, "top": 90.0, "bottom": -90.0}.items()),
-    )
-    job = job_inputs(d)
-    job.orders = job.orders.withColumn("mpid_hpid", (F.col("order_id") + 10000).cast("int"))
-    made = tile_job.registrations(outcome, job, 2, 1, F.to_timestamp(F.lit(RUN_STAMP)))
-    band = made["bands"].select(
-        F.lit("band").alias("kind"), "pid", F.concat(F.get_json_object("info", "$.hPid"), F.lit("/"), F.get_json_object("info", "$.bsqIndex")).alias("text")
+    """The catalog after a real run of all orders was registered twice; some output products do not exist."""
+    root = shared_folder(d.spark, "catalog")
+    job, outcome, _ = run_job(d)
+    old = d.data_item().groupBy("pid", "hcol").agg(F.min("fid").alias("fid"))
+    places = [F.lit(0.0).alias(c) for c in ("hleft", "hright", "htop", "hbottom")]
+    first = Catalog(d.spark, root=f"{root}/0")
+    first.append("tbproductband", d.band_rows())
+    first.append("tbproductdataitem", old.select("fid", "pid", "hcol", *places, F.lit("old").alias("createtime"), F.lit("").alias("updatetime")))
+    outputs = job.orders.select(F.col("mpid_hpid").alias("pid")).distinct().filter("pid % 4 <> 3")
+    first.append("tbproduct", outputs.select("pid", F.lit("new").alias("name"), F.lit("").alias("info")))
+    stamp = F.to_timestamp(F.lit(RUN_STAMP))
+    outcome = save(outcome, "outcome")
+    ledger.start(job.orders, f"{root}/1")
+    once = ledger.register(d.spark, first, outcome, job.orders, 1, 1, stamp, f"{root}/1")
+    twice = ledger.register(d.spark, once.catalog, outcome, job.orders, 1, 1, stamp, f"{root}/2")
+    bands, items, products = (twice.catalog.table(t) for t in ("tbproductband", "tbproductdataitem", "tbproduct"))
+    pid = F.col("pid").cast("bigint").alias("pid")
+
+    def rows(table, kind, number, part, text):
+        return table.select(F.lit(kind).alias("kind"), number, part.cast("bigint").alias("part"), text.alias("text"))
+
+    ids = items.agg(F.count("*").alias("pid"), F.count_distinct("fid").alias("part"))
+    return (
+        rows(bands, "band", pid, F.col("bindex"), F.concat(F.get_json_object("info", "$.hPid"), F.lit("/"), F.get_json_object("info", "$.bsqIndex")))
+        .unionByName(rows(items, "item", pid, F.col("hcol"), F.concat_ws(" ", "createtime", F.nullif("updatetime", F.lit("")))))
+        .unionByName(rows(ids, "item ids", pid, F.col("part"), F.lit("distinct")))
+        .unionByName(rows(products, "product", pid, F.lit(0), F.col("name")))
+        .unionByName(rows(twice.results, "order", F.col("order_id").alias("pid"), F.col("state"), F.lit("done")))
     )
-    item = made["items"].select(F.lit("item").alias("kind"), "pid", F.col("createtime").alias("text"))
-    product = made["products"].select(F.lit("product").alias("kind"), "pid", F.col("name").alias("text"))
-    return band.unionByName(item).unionByName(product)
 
 
 @query("worker_feed", """

@@ -58,6 +58,34 @@ def pixel_decode(d):
     )
 
 
+# Type code, value to store as Spark and as SQL; each type gets values that a narrower one could not hold.
+TYPED = [
+    (2, lambda v: v * 1000, "dn * 1000"), (3, lambda v: v * 600 - 15000, "dn * 600 - 15000"), (4, lambda v: v * 80000000, "dn * 80000000"),
+    (5, lambda v: v * 40000000 - 1000000000, "dn * 40000000 - 1000000000"), (6, lambda v: v / 8 - 2, "dn / 8 - 2"), (7, lambda v: v / 3 - 1, "dn / 3 - 1"),
+]
+
+
+@query("pixel_types", " UNION ALL ".join(
+    f"SELECT {code} AS code, hpid, dt, band, grow, gcol, ({sql})::double AS dn, ({sql})::double AS looked_up FROM pixels" for code, _, sql in TYPED
+), ("pixels",))
+def pixel_types_query(d):
+    """Pixels packed as every type of more than a byte, unpacked, and looked up in the blocks one by one."""
+    results = None
+    rows = d.pixels()
+    for code, value, _ in TYPED:
+        typed = rows.select(
+            "hpid", "z", "y", "x", "dt", "band", (F.col("grow") % TILE).alias("row"), (F.col("gcol") % TILE).alias("col"), value(F.col("dn")).alias("dn")
+        )
+        tiles = px.pack_tiles(typed, CELL, 2, TILE, TILE, code, -9 if code in (3, 5, 6, 7) else 9)
+        pixels = px.unpack_tiles(tiles, CELL, 2, TILE, TILE, code, skip=-9 if code in (3, 5, 6, 7) else 9)
+        looked = pixel_types.pixel_value("data", code, TILE, TILE, 2, "band", "row", "col")
+        both = px.with_level_position(pixels.join(tiles, CELL), TILE, TILE).select(
+            F.lit(code).alias("code"), "hpid", "dt", "band", "grow", "gcol", F.col("dn").cast("double").alias("dn"), looked.alias("looked_up")
+        )
+        results = both if results is None else results.unionByName(both)
+    return results
+
+
 BAND_OF_PLANE = """
     SELECT hPid AS hpid, bsqIndex AS band, arg_min(scale, pid * 100 + bindex) AS scale, arg_min("offset", pid * 100 + bindex) AS "offset",
            arg_min(validMin, pid * 100 + bindex) AS validMin, arg_min(validMax, pid * 100 + bindex) AS validMax, arg_min(noData, pid * 100 + bindex) AS noData
