@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -80,18 +80,56 @@ def cut_at_tiles(segments: DataFrame, size: int, merged: bool = False) -> DataFr
 
 
 def by_tile(segments: DataFrame, size: int, merged: bool = False) -> DataFrame:
-    """One row per region and tile with its in-tile segments ``(row, c0, c1)``.
+    """One row per region and tile, ``covered`` or with its in-tile segments ``(row, c0, c1)``.
 
-    Merged segments bound the list: at most half a tile width per tile row.
+    A tile that lies wholly inside its region is covered and carries no segments. Merged segments bound
+    the list of the others: at most half a tile width per tile row.
     """
     part = F.struct(
         (F.col("grow") % size).alias("row"), (F.col("x0") % size).alias("c0"), (F.col("x1") % size).alias("c1")
     )
-    return (
+    gathered = (
         cut_at_tiles(segments, size, merged)
         .withColumn("y", idiv("grow", size).cast("int"))
-        .groupBy("roi_id", "z", "y", "x").agg(F.collect_list(part).alias("segments"))
+        .groupBy("roi_id", "z", "y", "x")
+        .agg(F.collect_list(part).alias("parts"), (F.sum(F.col("x1") - F.col("x0") + 1) == size * size).alias("covered"))
+    )
+    return gathered.select("roi_id", "z", "y", "x", "covered", F.when(~F.col("covered"), F.col("parts")).alias("segments"))
+
+
+def cover_tiles(segments: DataFrame, zmin: ColumnLike, zmax: ColumnLike, size: int) -> DataFrame:
+    """The tiles of regions at the levels from ``zmin`` to ``zmax``, as ``by_tile`` has them.
+
+    Levels finer than a region's own come from its tiles, as in a quadtree: all descendants of a covered tile are
+    covered and never become pixel rows, so only the segments of border tiles are carried down. A region has all
+    levels between the least ``zmin`` and the greatest ``zmax`` of its rows.
+    """
+    limits = segments.groupBy("roi_id").agg(F.min(as_column(zmin)).alias("lo_"), F.max(as_column(zmax)).alias("hi_"))
+    columns = ["roi_id", "level", "grow", "x0", "x1"]
+    rows = segments.select(*columns).distinct().join(limits, "roi_id")
+    upto = rows.filter("lo_ <= level")
+    own_and_coarser = by_tile(at_levels(upto, F.col("lo_"), F.least("hi_", "level")), size, merged=True)
+    own = by_tile(rows.filter("hi_ > level").select(*columns), size).join(limits, "roi_id")
+    deeper = own.filter("covered").select(
+        "roi_id", "z", "y", "x", F.explode(F.sequence(F.greatest("lo_", F.col("z") + 1), "hi_")).alias("to")
+    )
+
+    def under(name: str) -> Column:
+        first = F.call_function("shiftleft", F.col(name), F.col("to") - F.col("z"))
+        last = F.call_function("shiftleft", F.col(name) + 1, F.col("to") - F.col("z")) - 1
+        return F.explode(F.sequence(first, last))
+
+    covered = (
+        deeper.withColumn("ny", under("y")).withColumn("nx", under("x"))
+        .select("roi_id", F.col("to").alias("z"), F.col("ny").alias("y"), F.col("nx").alias("x"), F.lit(True).alias("covered"),
+                F.lit(None).cast(own.schema["segments"].dataType).alias("segments"))
+    )
+    border = own.filter("NOT covered").select("roi_id", "z", "y", "x", "lo_", "hi_", F.explode("segments").alias("s")).select(
+        "roi_id", F.col("z").alias("level"), (F.col("y") * size + F.col("s.row")).alias("grow"),
+        (F.col("x") * size + F.col("s.c0")).alias("x0"), (F.col("x") * size + F.col("s.c1")).alias("x1"), "lo_", "hi_",
     )
+    finer = by_tile(at_levels(border, F.greatest("lo_", F.col("level") + 1), F.col("hi_")), size, merged=True)
+    return own_and_coarser.unionByName(covered).unionByName(finer)
 
 
 def clip(pixels: DataFrame, segments: DataFrame, roi: str, size: int, fill: float) -> DataFrame:
@@ -128,8 +166,11 @@ class MaskCache:
         self.width, self.height = width, height
         self.limit = max(1, WORKING_BYTES // (width * height))
         self.masks: dict[tuple, np.ndarray] = {}
+        self.whole = np.ones((height, width), bool)
 
-    def get(self, place: tuple, segments: pa.Scalar) -> np.ndarray:
+    def get(self, place: tuple, segments: pa.Scalar, covered: pa.Scalar) -> np.ndarray:
+        if covered.as_py():
+            return self.whole
         mask = self.masks.get(place)
         if mask is None:
             if len(self.masks) >= self.limit:
@@ -153,7 +194,7 @@ def clip_tiles(
     names = tiles.columns
     schema = T.StructType(fields_of(tiles, names))
     regions = broadcast_if_small(region_tiles)
-    joined = tiles.join(regions, ["roi_id", "z", "y", "x"], "left").select(*names, "segments")
+    joined = tiles.join(regions, ["roi_id", "z", "y", "x"], "left").select(*names, "segments", "covered")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = MaskCache(width, height)
@@ -162,12 +203,13 @@ def clip_tiles(
             columns = {name: batch.column(name) for name in names}
             for i in range(batch.num_rows):
                 cell, roi = columns["data"][i], columns["roi_id"][i].as_py()
-                if not cell.is_valid or not roi:
+                # A covered tile skips the clip.
+                if not cell.is_valid or not roi or batch.column("covered")[i].as_py():
                     data.append(cell.as_py())
                     continue
                 block = np.frombuffer(cell.as_buffer(), dtype).reshape(-1, height, width)
                 place = (roi, *(columns[c][i].as_py() for c in ("z", "y", "x")))
-                mask = masks.get(place, batch.column("segments")[i])
+                mask = masks.get(place, batch.column("segments")[i], batch.column("covered")[i])
                 data.append(np.where(mask, block, np.array(columns["fill"][i].as_py(), dtype)).astype(dtype).tobytes())
             columns["data"] = pa.array(data, pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
@@ -193,7 +235,7 @@ def zonal_tiles(
     """
     dtype = numpy_type(type_code)
     joined = cells.join(broadcast_if_small(region_tiles), ["z", "y", "x"]).select(
-        "roi_id", "z", "y", "x", *(c for c in by if c not in ("z", "y", "x")), "data", "segments"
+        "roi_id", "z", "y", "x", *(c for c in by if c not in ("z", "y", "x")), "data", "segments", "covered"
     )
     schema = T.StructType(
         [
@@ -211,7 +253,7 @@ def zonal_tiles(
             rows = []
             for i in range(batch.num_rows):
                 place = tuple(batch.column(c)[i].as_py() for c in ("roi_id", "z", "y", "x"))
-                mask = masks.get(place, batch.column("segments")[i])
+                mask = masks.get(place, batch.column("segments")[i], batch.column("covered")[i])
                 block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
                 plane = block.reshape(-1, height, width)[band][mask]
                 rows.append(block_numbers(plane[(plane >= vmin) & (plane <= vmax)]))

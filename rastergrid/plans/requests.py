@@ -58,16 +58,14 @@ def zonal_requests(
     dtype = px.numpy_type(type_code)
     levels = requests.select("roi_id", "zlevel").distinct()
     wanted = segments.join(levels, "roi_id")
-    region_tiles = regions.by_tile(
-        regions.at_levels(wanted, F.col("zlevel"), F.col("zlevel")), size, merged=True
-    )
+    region_tiles = regions.cover_tiles(wanted, "zlevel", "zlevel", size)
     limits = ["bsq", "vmin", "vmax", "valid_min", "valid_max", "nodata"]
     tiles = requests.withColumnRenamed("zlevel", "z").join(region_tiles, ["roi_id", "z"])
     listed = store.listed_dates(cells) if dates is None else dates
     stored = store.of_planes(cells, store.request_dates(requests, listed)).select(*store.CELL, "data")
     found = never_broadcast(tiles).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(
-        "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "data"
+        "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "covered", "data"
     )
     schema = T.StructType(
         [
@@ -86,7 +84,7 @@ def zonal_requests(
             for i in range(batch.num_rows):
                 place = tuple(batch.column(c)[i].as_py() for c in ("roi_id", "z", "y", "x"))
                 bsq, vmin, vmax, low, high, nodata = (batch.column(c)[i].as_py() for c in limits)
-                mask = masks.get(place, batch.column("segments")[i])
+                mask = masks.get(place, batch.column("segments")[i], batch.column("covered")[i])
                 block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
                 values = block.reshape(-1, size, size)[bsq][mask]
                 keep = (values >= max(vmin, low)) & (values <= min(vmax, high)) & (values != nodata)

@@ -100,9 +100,10 @@ def order_planes(job: JobInputs) -> DataFrame:
     slots = planned.select(
         "order_id", "position", "pid", "hTableName", "dt", "user_file",
         (F.col("tileWid") * F.col("tileHei") * bytes_per_pixel("dataType")).alias("band_bytes"),
-        F.posexplode("slots").alias("slot", "bindex"),
+        F.posexplode("slots").alias("slot", "position_"),
     )
-    located = slots.join(job.bands.select("pid", "bindex", "hPid", "bsqIndex"), ["pid", "bindex"], "left")
+    places = reading.band_positions(job.bands).select("pid", F.col("position").alias("position_"), "hPid", "bsqIndex")
+    located = slots.join(places, ["pid", "position_"], "left")
     located = located.filter(~F.col("user_file") | (F.col("slot") == 0))
     part = F.struct("position", "slot", F.col("bsqIndex").alias("bsq"))
     plane_key = ["hTableName", "hPid", "dt", "band_bytes", "user_file"]
@@ -172,10 +173,9 @@ def compute_tiles(
     tiles = enumerate_tiles(ready, ["order_id", "roi", "filldata", *OUTPUT, "planes"], size)
     # The deepest level each region is needed at, so that no others are built.
     depth = ready.filter(F.col("roi") != "").groupBy(F.col("roi").alias("roi_id")).agg(F.max("zmax").alias("depth"))
-    levels = regions.at_levels(job.segments.join(depth, "roi_id"), F.lit(0), F.col("depth"))
-    region_tiles = regions.by_tile(levels, size, merged=True).withColumnRenamed("roi_id", "roi")
+    region_tiles = regions.cover_tiles(job.segments.join(depth, "roi_id"), F.lit(0), "depth", size).withColumnRenamed("roi_id", "roi")
     placed = never_broadcast(tiles).join(region_tiles, ["roi", "z", "y", "x"], "left")
-    attributes = ["roi", "filldata", *OUTPUT, "segments"]
+    attributes = ["roi", "filldata", *OUTPUT, "segments", "covered"]
     requests = placed.select(
         *TILE_KEY, *attributes, F.size("planes").alias("planes_"), F.explode("planes").alias("plane")
     ).select(*TILE_KEY, *attributes, "planes_", "plane.*")
@@ -198,7 +198,7 @@ def compute_tiles(
                         result = np.asarray(function(tile)).astype(target)
                         if roi:
                             place = (roi, *(batch.column(c)[i].as_py() for c in ("z", "y", "x")))
-                            mask = masks.get(place, batch.column("segments")[i])
+                            mask = masks.get(place, batch.column("segments")[i], batch.column("covered")[i])
                             fill = np.array(batch.column("filldata")[i].as_py()).astype(target)
                             result = np.where(mask, result, fill)
                         block = np.ascontiguousarray(result, dtype=target).tobytes()

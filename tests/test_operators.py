@@ -258,3 +258,29 @@ def test_style_rules(spark):
 def test_series_change(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 3, 9.0), ("a", 2, 4.0)], "roi_id string, dt bigint, ave double")
     assert [(r.step, r.change) for r in pixels.series(df, ["roi_id"]).orderBy("dt").collect()] == [(1, None), (2, -1.0), (3, 5.0)]
+
+
+def test_cover_tiles_against_pixels(spark):
+    """A quadtree of covered tiles and border segments has the pixels of the region at every level."""
+    size, level = 4, 2
+    rows = [("a", level, r, 3, 13) for r in range(2, 8)] + [("a", level, 8, 0, 15), ("b", level, 0, 0, 3), ("b", 3, 31, 60, 63)]
+    rows += [("b", level, r, 0, 3) for r in range(1, 4)]
+    segments = spark.createDataFrame(rows, "roi_id string, level int, grow int, x0 int, x1 int")
+    got, tiles = {}, {}
+    for r in regions.cover_tiles(segments, F.lit(1), F.lit(4), size).collect():
+        assert r.covered == (r.segments is None) and (r.roi_id, r.z, r.y, r.x) not in tiles
+        tiles[r.roi_id, r.z, r.y, r.x] = r.covered
+        inside = [(i, j) for i in range(size) for j in range(size)] if r.covered else [(s.row, j) for s in r.segments for j in range(s.c0, s.c1 + 1)]
+        assert len(inside) == len(set(inside)) and r.covered == (len(inside) == size * size)
+        got.setdefault((r.roi_id, r.z), set()).update((r.y * size + i, r.x * size + j) for i, j in inside)
+    want = {}
+    for roi, z, grow, x0, x1 in rows:
+        for to in range(1, 5):
+            for col in range(x0, x1 + 1):
+                if to <= z:
+                    want.setdefault((roi, to), set()).add((grow >> z - to, col >> z - to))
+                else:
+                    d = to - z
+                    want.setdefault((roi, to), set()).update((i, j) for i in range(grow << d, grow + 1 << d) for j in range(col << d, col + 1 << d))
+    assert got == want
+    assert any(tiles.values()) and not all(tiles.values())
