@@ -24,7 +24,8 @@ BANDS = 16
 CELL_BYTES = 16 << 20
 # A document counts once for each so many bytes when ranges of ids are chosen.
 _WEIGHT_BYTES = 16 << 10
-_HEX = 4
+# Rows of an Arrow batch that become Python strings at a time.
+_ROWS_AT_ONCE = 500
 _LOWEST = -(1 << 63)
 
 
@@ -90,21 +91,23 @@ def _walk(batches, count: int, seed: int):
         )
 
     for batch in batches:
-        for cell, tail, key, text in zip(*[batch.column(c).to_pylist() for c in ("cell", "tail", "doc_id", "text")]):
-            if held is not None and held[0] != cell:
-                done.append(row(held, first))
-                held = None
-            if tail and held is None:
-                continue
-            now = (cell, key, text, fingerprint(text, permutations))
-            if held is not None:
-                done.append(row(held, now))
-            elif not tail:
-                first = now
-            held = None if tail else now
-        if done:
-            yield batch_of(done)
-            done = []
+        for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            part = batch.slice(start, _ROWS_AT_ONCE)
+            for cell, tail, key, text in zip(*[part.column(c).to_pylist() for c in ("cell", "tail", "doc_id", "text")]):
+                if held is not None and held[0] != cell:
+                    done.append(row(held, first))
+                    held = None
+                if tail and held is None:
+                    continue
+                now = (cell, key, text, fingerprint(text, permutations))
+                if held is not None:
+                    done.append(row(held, now))
+                elif not tail:
+                    first = now
+                held = None if tail else now
+            if done:
+                yield batch_of(done)
+                done = []
     if held is not None:
         # Only a table without ids has a cell without a tail: its first row follows its last.
         yield batch_of([row(held, first)])
