@@ -283,11 +283,16 @@ def composite_tiles(
 
     Blocks are folded in the map tasks first, then by (key, salt), then by key, so a
     tile holding a large share of all cells is reduced in parallel before it meets in
-    one place. Each step streams: a task keeps a bounded number of accumulators.
+    one place. Each step streams: a task keeps a bounded number of accumulators. Extremes travel as
+    values of the source's type with a bit each, averages as sums and counts, in four bytes each for types of a byte.
+    Averages are rounded half up for integer results; ``fill`` must be a value of the result's type.
     """
     source, target = numpy_type(type_code), numpy_type(out_type or type_code)
-    # Sums need full precision; extremes of narrow types are exact in four bytes.
-    total = np.dtype("<f4") if method != "ave" and source.itemsize <= 2 else np.dtype("<f8")
+    if target.kind in "iu" and not (np.iinfo(target).min <= fill <= np.iinfo(target).max and fill == int(fill)):
+        raise ValueError(f"{fill} is no value of the result's type")
+    mean = method == "ave"
+    # Sums over the dates of a tile: integers stay exact, four bytes hold the bytes of eight million dates.
+    total = source if not mean else np.dtype("<i4") if source.itemsize == 1 else np.dtype("<i8") if source.kind in "iu" else np.dtype("<f8")
     partial = T.StructType(
         [
             *fields_of(cells, keys),
@@ -296,20 +301,25 @@ def composite_tiles(
             T.StructField("seen", T.BinaryType()),
         ]
     )
-    combine = {"min": np.fmin, "max": np.fmax, "ave": np.add}[method]
+    extreme = {"min": np.minimum, "max": np.maximum}.get(method)
 
     def read_cell(batch, row):
-        dn = np.frombuffer(batch.column("data")[row].as_buffer(), source).astype(total)
+        dn = np.frombuffer(batch.column("data")[row].as_buffer(), source)
         valid = (dn >= vmin) & (dn <= vmax)
-        if method == "ave":
-            return np.where(valid, dn, 0), valid.astype("<i4")
-        return np.where(valid, dn, np.nan), valid.astype("<i4")
+        return (np.where(valid, dn, 0).astype(total), valid.astype("<i4")) if mean else (dn, valid)
 
     def read_partial(batch, row):
-        return (
-            np.frombuffer(batch.column("total")[row].as_buffer(), total),
-            np.frombuffer(batch.column("seen")[row].as_buffer(), "<i4"),
-        )
+        value = np.frombuffer(batch.column("total")[row].as_buffer(), total)
+        seen = batch.column("seen")[row].as_buffer()
+        if mean:
+            return value, np.frombuffer(seen, "<i4")
+        return value, np.unpackbits(np.frombuffer(seen, np.uint8), count=len(value)).astype(bool)
+
+    def combine(mine, value, seen):
+        if mean:
+            return [mine[0] + value, mine[1] + seen]
+        both = np.where(mine[1] & seen, extreme(mine[0], value), np.where(seen, value, mine[0]))
+        return [both, mine[1] | seen]
 
     def folded(batches, read, limit_bytes):
         """Pairs of key and accumulators; every flush empties the table."""
@@ -320,9 +330,7 @@ def composite_tiles(
                 key = _key_at(batch, keys, row)
                 value, seen = read(batch, row)
                 if key in table:
-                    mine = table[key]
-                    mine[0] = combine(mine[0], value)
-                    mine[1] = mine[1] + seen
+                    table[key] = combine(table[key], value, seen)
                     continue
                 size = value.nbytes + seen.nbytes
                 if table and held + size > limit_bytes:
@@ -353,11 +361,13 @@ def composite_tiles(
 
             for key, (value, seen) in folded(watched(), read, limit_bytes):
                 if final:
-                    result = value / np.maximum(seen, 1) if method == "ave" else value
+                    result = value / np.maximum(seen, 1) if mean else value
+                    if mean and target.kind in "iu":
+                        result = np.floor(result + 0.5)
                     block = np.where(seen > 0, result, fill).astype(target)
                     yield as_batch(types, key, None, [block], [*keys, "data"])
                 else:
-                    yield as_batch(types, key, salt, [value, seen], partial.names)
+                    yield as_batch(types, key, salt, [value, seen if mean else np.packbits(seen)], partial.names)
 
         return run
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import grid
 from ..functions.pixel_types import pixel_value
-from ..joins import keep_wanted, never_broadcast
+from ..joins import keep_wanted, never_broadcast, save
+from . import pixels as px
 
 
 def enumerate_tiles(
@@ -128,3 +134,57 @@ def pixels_at(
         )
     )
     return found.withColumn("values", F.when(F.col("data").isNotNull(), values)).drop("data")
+
+
+def overviews(
+    cells: DataFrame, keys: list[str], levels: int, bands: int, size: int, type_code: int, method: str, fill: float
+) -> DataFrame:
+    """Blocks of the given level and of ``levels`` levels above it, ``(keys…, z, y, x, data)``.
+
+    ``cells`` has ``keys…, z, y, x, data`` of one level. A pixel of a parent stands for four of its children: ``nearest``
+    takes the first of them (top left), ``max`` and ``mean`` the largest and the average of those that are not
+    ``fill`` (integers rounded half up); it is ``fill`` where none is, and so is a child that is not stored. At level 1 the two
+    tiles of the world fill the upper half of the only tile of level 0. Each level is made of the one below in one shuffle
+    of blocks that were halved in their tasks, a quarter of its size.
+    """
+    dtype = px.numpy_type(type_code)
+    half = size // 2
+    schema = T.StructType([*px.fields_of(cells, [*keys, "z", "y", "x"]), T.StructField("data", T.BinaryType())])
+    piece = T.StructType([*schema.fields[:-1], T.StructField("corner", T.IntegerType()), schema.fields[-1]])
+
+    def halved(block: np.ndarray) -> np.ndarray:
+        if method == "nearest":
+            return block[:, ::2, ::2]
+        four = block.reshape(bands, half, 2, half, 2).transpose(0, 1, 3, 2, 4).reshape(bands, half, half, 4)
+        seen = four != fill
+        if method == "max":
+            low = np.finfo(dtype).min if dtype.kind == "f" else np.iinfo(dtype).min
+            result = np.where(seen, four, low).max(axis=-1)
+        else:
+            result = np.where(seen, four, 0).sum(axis=-1, dtype="<f8") / np.maximum(seen.sum(axis=-1), 1)
+            result = np.floor(result + 0.5) if dtype.kind in "iu" else result
+        return np.where(seen.any(axis=-1), result, fill).astype(dtype)
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z, y, x = (batch.column(c).to_numpy() for c in ("z", "y", "x"))
+            data = [halved(np.frombuffer(cell.as_buffer(), dtype).reshape(bands, size, size)).tobytes() for cell in batch.column("data")]
+            place = [pa.array(v.astype(np.int32)) for v in (z - 1, y >> 1, x >> 1)]
+            corner = pa.array(((y & 1) * 2 + (x & 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *place, corner, pa.array(data, pa.binary())], names=piece.names)
+
+    def join_four(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        whole = np.full((bands, size, size), fill, dtype)
+        for corner, data in zip(table.column("corner").to_pylist(), table.column("data")):
+            r, c = corner // 2 * half, corner % 2 * half
+            whole[:, r : r + half, c : c + half] = np.frombuffer(data.as_buffer(), dtype).reshape(bands, half, half)
+        columns = [pa.array([k.as_py()], type=k.type) for k in key]
+        return pa.Table.from_arrays([*columns, pa.array([whole.tobytes()], pa.binary())], names=schema.names)
+
+    place = [*keys, "z", "y", "x"]
+    level = cells.select(*place, "data").filter(F.col("data").isNotNull())
+    everything = level
+    for _ in range(levels):
+        level = save(level.filter("z > 0").mapInArrow(halve, piece).groupBy(*place).applyInArrow(join_four, schema), "overview")
+        everything = everything.unionByName(level)
+    return everything

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rastergrid.functions import pixel_types
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
-from rastergrid.operators import regions, style
+from rastergrid.operators import pyramid, regions, style
 from rastergrid.plans.export import block_rows, export_blocks
 
 from .base import query
@@ -149,6 +149,15 @@ def _composites():
 
 _composites()
 
+@query("overview_blocks", "SELECT hpid, z, dt, band, grow, gcol, dn FROM pyramid_pixels", ("pixels", "pyramid_pixels"))
+def overview_blocks(d):
+    """All levels of the pyramid as blocks made level by level, each pixel the largest of those below it."""
+    blocks = pyramid.overviews(d.tile_cells(), ["htable", "hpid", "dt"], LEVEL, 2, TILE, 1, "max", FILL)
+    return px.with_level_position(px.unpack_tiles(blocks, CELL, 2, TILE, TILE, 1, skip=FILL), TILE, TILE).select(
+        "hpid", "z", "dt", "band", "grow", "gcol", "dn"
+    )
+
+
 ZONAL = """
     SELECT roi_id, hpid, band, dt, count(*) AS n, sum(dn) AS total, min(dn) AS low, max(dn) AS high, avg(dn) AS ave
     FROM pixels p JOIN roi_segments s ON p.z = s.level AND p.grow = s.grow AND p.gcol BETWEEN s.x0 AND s.x1

@@ -284,3 +284,44 @@ def test_cover_tiles_against_pixels(spark):
                     want.setdefault((roi, to), set()).update((i, j) for i in range(grow << d, grow + 1 << d) for j in range(col << d, col + 1 << d))
     assert got == want
     assert any(tiles.values()) and not all(tiles.values())
+
+
+def test_overviews_level_by_level(spark):
+    rng, size, fill = np.random.default_rng(3), 4, -9
+    world = rng.integers(-50, 50, (2, 2 * size, 4 * size)).astype("<i2")
+    world[rng.random(world.shape) < 0.3] = fill
+    rows = [(7, 2, y, x, bytearray(world[:, y * size : (y + 1) * size, x * size : (x + 1) * size].tobytes())) for y in range(2) for x in range(4) if (y, x) != (1, 3)]
+    world[:, size:, 3 * size :] = fill
+    cells = spark.createDataFrame(rows, "k int, z int, y int, x int, data binary")
+
+    def parent(level, method):
+        height = max(size, level.shape[1] // 2)
+        out = np.full((2, height, level.shape[2] // 2), fill, "<i2")
+        for b, r, c in np.ndindex(2, level.shape[1] // 2, level.shape[2] // 2):
+            four = level[b, 2 * r : 2 * r + 2, 2 * c : 2 * c + 2].ravel()
+            seen = four[four != fill]
+            if method == "nearest":
+                out[b, r, c] = four[0]
+            elif len(seen):
+                out[b, r, c] = seen.max() if method == "max" else np.floor(seen.mean() + 0.5)
+        return out
+
+    for method in ("nearest", "max", "mean"):
+        want, level = {2: world}, world
+        for z in (1, 0):
+            level = want[z] = parent(level, method)
+        got = pyramid.overviews(cells, ["k"], 3, 2, size, 3, method, fill).collect()
+        assert sorted((r.z, r.y, r.x) for r in got) == [(0, 0, 0), (1, 0, 0), (1, 0, 1), *((r[1], r[2], r[3]) for r in rows)]
+        for r in got:
+            part = want[r.z][:, r.y * size : (r.y + 1) * size, r.x * size : (r.x + 1) * size]
+            assert (np.frombuffer(r.data, "<i2").reshape(2, size, size) == part).all()
+
+
+def test_composites_round_and_refuse_fills_that_do_not_fit(spark):
+    cells = spark.createDataFrame([(1, bytearray(v)) for v in ([1, 9, 200], [2, 200, 200], [2, 4, 200])], "k int, data binary").repartition(3)
+    got = {m: pixels.composite_tiles(cells, ["k"], m, 0, 100, 7, 1, fan_in=2).first().data for m in ("min", "max", "ave")}
+    assert {m: list(v) for m, v in got.items()} == {"min": [1, 4, 7], "max": [2, 9, 7], "ave": [2, 7, 7]}
+    with pytest.raises(ValueError):
+        pixels.composite_tiles(cells, ["k"], "ave", 0, 100, 300, 1)
+    many = spark.range(3000).selectExpr("1 AS k", "unhex('FF00') AS data")
+    assert np.frombuffer(pixels.composite_tiles(many, ["k"], "ave", 1, 255, -1, 1, out_type=7).first().data).tolist() == [255.0, -1.0]
