@@ -531,3 +531,42 @@ def with_level_position(pixels: DataFrame, width: int, height: int) -> DataFrame
             "gcol": F.col("x") * width + F.col("col"),
         }
     )
+
+
+# Distinct values of one band of a tile that a zone table lists; a byte has no more.
+ZONE_VALUES = 256
+
+
+def zone_table(cells: DataFrame, keys: list[str], size: int, type_code: int) -> DataFrame:
+    """What whole tiles hold, beside their blocks: ``(keys…, bsq, values, counts)``, one row per band.
+
+    ``values`` are the distinct values in order and ``counts`` how often each occurs, so statistics of
+    any value range follow exactly and rows of several tiles or dates can be added up. A band with more than ZONE_VALUES distinct
+    values has NULL in both, and its block has to be read.
+    """
+    dtype = numpy_type(type_code)
+    schema = T.StructType([
+        *fields_of(cells, keys), T.StructField("bsq", T.IntegerType()),
+        T.StructField("values", T.ArrayType(T.DoubleType())), T.StructField("counts", T.ArrayType(T.LongType())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, bsq, values, counts = [], [], [], []
+            for k, cell in enumerate(batch.column("data")):
+                if not cell.is_valid:
+                    continue
+                for b, plane in enumerate(np.frombuffer(cell.as_buffer(), dtype).reshape(-1, size * size)):
+                    found, often = np.unique(plane, return_counts=True)
+                    few = len(found) <= ZONE_VALUES
+                    own.append(k)
+                    bsq.append(b)
+                    values.append(found.astype("<f8").tolist() if few else None)
+                    counts.append(often.tolist() if few else None)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(pa.array(own, pa.int64())) for c in keys], pa.array(bsq, pa.int32()),
+                 pa.array(values, pa.list_(pa.float64())), pa.array(counts, pa.list_(pa.int64()))],
+                names=schema.names,
+            )
+
+    return cells.select(*keys, "data").mapInArrow(run, schema)

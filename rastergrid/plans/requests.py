@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..joins import never_broadcast
+from ..joins import keep_wanted, never_broadcast, save
 from ..operators import pixels as px
 from ..operators import pyramid, regions
 from ..sources import cells as store
@@ -46,14 +46,31 @@ def composite_requests(
     )
 
 
+def _listed_numbers(known: DataFrame) -> DataFrame:
+    """Numbers of covered tiles, ``request_id, method, dt, n, total, low, high``, from their listed values."""
+    least, most = F.greatest("vmin", "valid_min"), F.least("vmax", "valid_max")
+    pairs = F.arrays_zip("values", "counts")
+    kept = F.filter(pairs, lambda p: (p["values"] >= least) & (p["values"] <= most) & (p["values"] != F.col("nodata")))
+    rows = known.select("request_id", "method", "dt", kept.alias("kept"))
+    return rows.select(
+        "request_id", "method", "dt",
+        F.aggregate("kept", F.lit(0).cast("bigint"), lambda n, p: n + p["counts"]).alias("n"),
+        F.aggregate("kept", F.lit(0.0), lambda total, p: total + p["values"] * p["counts"]).alias("total"),
+        F.array_min("kept.values").alias("low"), F.array_max("kept.values").alias("high"),
+    )
+
+
 def zonal_requests(
-    requests: DataFrame, cells: DataFrame, segments: DataFrame, size: int, type_code: int, dates: DataFrame | None = None
+    requests: DataFrame, cells: DataFrame, segments: DataFrame, size: int, type_code: int, dates: DataFrame | None = None,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics per request and date: ``request_id, dt, n, low, high, ave, value``.
 
     ``requests``: request_id, roi_id, htable, hpid, bsq, zlevel, startdt, stopdt, vmin,
     vmax, valid_min, valid_max, nodata, method. A pixel counts when it lies in both
-    ranges and is not nodata; ``value`` is the statistic the method names.
+    ranges and is not nodata; ``value`` is the statistic the method names. With ``zones``, the store's zone
+    table (``pixels.zone_table``), tiles that lie wholly inside a region are answered from it, and only blocks of border tiles
+    are read.
     """
     dtype = px.numpy_type(type_code)
     levels = requests.select("roi_id", "zlevel").distinct()
@@ -61,9 +78,24 @@ def zonal_requests(
     region_tiles = regions.cover_tiles(wanted, "zlevel", "zlevel", size)
     limits = ["bsq", "vmin", "vmax", "valid_min", "valid_max", "nodata"]
     tiles = requests.withColumnRenamed("zlevel", "z").join(region_tiles, ["roi_id", "z"])
+    from_zones = None
+    if zones is not None:
+        tiles = save(tiles, "zonal-tiles")
+        known = tiles.filter("covered").join(zones, [*store.TILE, "bsq"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
+        from_zones = _listed_numbers(known.filter("values IS NOT NULL"))
+        # Covered tiles whose bands have too many values to list are read like border tiles.
+        unlisted = known.filter("values IS NULL").select("request_id", *store.CELL).distinct()
     listed = store.listed_dates(cells) if dates is None else dates
-    stored = store.of_planes(cells, store.request_dates(requests, listed)).select(*store.CELL, "data")
-    found = never_broadcast(tiles).join(stored, store.TILE)
+    wanted = store.request_dates(requests, listed)
+    if zones is None:
+        stored = store.of_planes(cells, wanted).select(*store.CELL, "data")
+        found = never_broadcast(tiles).join(stored, store.TILE)
+    else:
+        dated = tiles.join(wanted, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
+        border = dated.filter("NOT covered").unionByName(dated.filter("covered").join(unlisted, ["request_id", *store.CELL], "left_semi"))
+        border = save(border, "zonal-border")
+        blocks = keep_wanted(cells.select(*store.CELL, "data"), border, store.CELL, F.col("dt") >= 0)
+        found = border.join(never_broadcast(blocks), store.CELL)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(
         "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "covered", "data"
     )
@@ -92,7 +124,10 @@ def zonal_requests(
             columns = [batch.column(c) for c in ("request_id", "method", "dt")]
             yield px.numbers_batch(columns, rows, schema.names)
 
-    totals = inside.mapInArrow(measure, schema).groupBy("request_id", "method", "dt").agg(
+    numbers = inside.mapInArrow(measure, schema)
+    if from_zones is not None:
+        numbers = numbers.unionByName(from_zones)
+    totals = numbers.groupBy("request_id", "method", "dt").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")
     )
     ave = F.when(F.col("n") > 0, F.col("total") / F.col("n"))

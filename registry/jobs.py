@@ -199,27 +199,55 @@ def composite_requests(d):
     return px.block_statistics(blocks, ["request_id", "z", "y", "x"], 1, skip=0).select("request_id", "z", "y", "x", "n", "total")
 
 
-@query("zonal_requests", """
+ZONAL_REQUESTS = """
     WITH o AS (SELECT s_suppkey AS request_id, 'sys:' || s_suppkey % 25 AS roi_id, (s_suppkey // 25)::int AS hpid, s_suppkey % 2 AS band, (1 + s_suppkey % 2)::int AS z,
                       (1996 + s_suppkey % 3) * 10000000000 AS d0, (1998 + s_suppkey % 3) * 10000000000 AS d1,
                       CASE s_suppkey % 3 WHEN 0 THEN 'min' WHEN 1 THEN 'max' ELSE 'ave' END AS method FROM supplier),
     m AS (SELECT DISTINCT roi_id, (2 - k)::int AS z, grow >> k AS grow, g >> k AS gcol
-          FROM roi_segments s, (SELECT unnest(range(3))::int AS k), range(64) AS c(g) WHERE g BETWEEN x0 AND x1)
+          FROM REGIONS s, (SELECT unnest(range(3))::int AS k), range(64) AS c(g) WHERE g BETWEEN x0 AND x1)
     SELECT request_id, dt, count(*) AS n, min(dn) AS low, max(dn) AS high, avg(dn) AS ave, CASE method WHEN 'min' THEN min(dn) WHEN 'max' THEN max(dn) ELSE avg(dn) END AS value
     FROM o JOIN m USING (roi_id, z) JOIN pyramid_pixels p ON p.hpid = o.hpid AND p.band = o.band AND p.z = o.z AND p.grow = m.grow AND p.gcol = m.gcol AND dt BETWEEN d0 AND d1
-    WHERE dn BETWEEN 3 AND 40 AND dn <> 17 GROUP BY request_id, dt, method""", ("pixels", "pyramid_pixels", "roi_segments"))
-def zonal_requests(d):
-    """Statistics of many requests with their own region, level, dates and method."""
+    WHERE dn BETWEEN 3 AND 40 AND dn <> 17 GROUP BY request_id, dt, method"""
+
+
+def zonal_asked(d):
     k = F.col("s_suppkey")
     hpid = (k / 25).cast("int")
-    asked = d.table("supplier").select(
+    return d.table("supplier").select(
         k.alias("request_id"), F.concat(F.lit("sys:"), (k % 25).cast("string")).alias("roi_id"), hpid.alias("hpid"),
         F.concat(F.lit("ht"), (hpid % 5).cast("string")).alias("htable"), (k % 2).cast("int").alias("bsq"), (1 + k % 2).cast("int").alias("zlevel"),
         ((1996 + k % 3) * 10000000000).alias("startdt"), ((1998 + k % 3) * 10000000000).alias("stopdt"), F.lit(3.0).alias("vmin"), F.lit(60.0).alias("vmax"),
         F.lit(0.0).alias("valid_min"), F.lit(40.0).alias("valid_max"), F.lit(17.0).alias("nodata"),
         F.when(k % 3 == 0, "min").when(k % 3 == 1, "max").otherwise("ave").alias("method"),
     )
-    return requests.zonal_requests(asked, d.tile_cells(pyramid=True), d.roi_segments(), TILE, 1).filter("n > 0")
+
+
+@query("zonal_requests", ZONAL_REQUESTS.replace("REGIONS", "roi_segments"), ("pixels", "pyramid_pixels", "roi_segments"))
+def zonal_requests(d):
+    """Statistics of many requests with their own region, level, dates and method."""
+    return requests.zonal_requests(zonal_asked(d), d.tile_cells(pyramid=True), d.roi_segments(), TILE, 1).filter("n > 0")
+
+
+WIDE_REGIONS = """(SELECT 'sys:' || n_nationkey AS roi_id, unnest(range(n_nationkey % 3 * 8, least(n_nationkey % 3 * 8 + 24, 32))) AS grow,
+                          5 * n_nationkey % 24 AS x0, 5 * n_nationkey % 24 + 39 AS x1 FROM nation)"""
+
+
+def wide_segments(d):
+    n = F.col("n_nationkey")
+    first = n % 3 * 8
+    return d.table("nation").select(
+        F.concat(F.lit("sys:"), n.cast("string")).alias("roi_id"), F.lit(2).alias("level"),
+        F.explode(F.sequence(first.cast("int"), F.least(first + 23, F.lit(31)).cast("int"))).alias("grow"),
+        (5 * n % 24).cast("int").alias("x0"), (5 * n % 24 + 39).cast("int").alias("x1"),
+    )
+
+
+@query("zonal_zones", ZONAL_REQUESTS.replace("REGIONS", WIDE_REGIONS), ("pixels", "pyramid_pixels"))
+def zonal_zones(d):
+    """The same over wide regions, whose inner tiles are answered from the zone table without their blocks."""
+    tiles = save(d.tile_cells(pyramid=True), "zone-cells")
+    zones = save(px.zone_table(tiles, cells.CELL, TILE, 1), "zone-table")
+    return requests.zonal_requests(zonal_asked(d), tiles, wide_segments(d), TILE, 1, zones=zones).filter("n > 0")
 
 
 @query("job_results", """

@@ -325,3 +325,15 @@ def test_composites_round_and_refuse_fills_that_do_not_fit(spark):
         pixels.composite_tiles(cells, ["k"], "ave", 0, 100, 300, 1)
     many = spark.range(3000).selectExpr("1 AS k", "unhex('FF00') AS data")
     assert np.frombuffer(pixels.composite_tiles(many, ["k"], "ave", 1, 255, -1, 1, out_type=7).first().data).tolist() == [255.0, -1.0]
+
+
+def test_zone_table_lists_few_values(spark):
+    rng = np.random.default_rng(2)
+    few, many = rng.integers(0, 5, 256).astype("<u2"), np.arange(1000, 1512)[:512].astype("<u2")
+    cells = spark.createDataFrame([(1, bytearray(few.tobytes() + few[::-1].tobytes())), (2, None), (3, bytearray(many.tobytes()))], "k int, data binary")
+    rows = {(r.k, r.bsq): r for r in pixels.zone_table(cells, ["k"], 16, 2).collect()}
+    assert set(rows) == {(1, 0), (1, 1), (3, 0), (3, 1)}
+    assert dict(zip(rows[1, 1]["values"], rows[1, 1]["counts"])) == {float(v): int((few == v).sum()) for v in range(5)}
+    assert rows[3, 0]["values"] == [float(v) for v in many[:256]]
+    assert rows[3, 1].asDict()["counts"] == [1] * 256
+    assert pixels.zone_table(spark.createDataFrame([(1, bytearray(np.arange(1024, dtype="<u2").tobytes()))], "k int, data binary"), ["k"], 32, 2).first()["counts"] is None
