@@ -1,5 +1,6 @@
 """The numbered operators on small tables, against brute force, round trips or held-out labels."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rastergrid.llm import (
-    chat, exact_dedup, fingerprints, html_text, mixing, near_dedup, pieces, quality, sharding, shingles, toxicity,
+    chat, exact_dedup, fingerprints, html_text, labelled_pages, mixing, near_dedup, pieces, quality, sharding, shingles, toxicity,
 )
 from rastergrid.llm.common import components, plain
 
@@ -262,6 +263,123 @@ def test_html(llm_spark):
     assert html_text.extract(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
 
 
+def wanted_text(html):
+    """The text of the blocks that a drawn page marks, and the page without the marks."""
+    blocks = {}
+    for block, text, features, _, _ in html_text.pieces(html):
+        if html_text._WANTED_MARK in features:
+            blocks.setdefault(block, []).append(text)
+    return "\n".join(filter(None, (" ".join("".join(parts).split()) for parts in blocks.values()))), html.replace(f' class="{labelled_pages.WANTED}"', "")
+
+
+@pytest.fixture(scope="module")
+def drawn_weights():
+    return html_text.fit_pages([], list(labelled_pages.layouts(html_text.LAYOUTS)))
+
+
+def test_html_layouts(drawn_weights):
+    """Article text in divs, without containers, beside menus and before comments that no class word tells."""
+    said = ["The old bridge over the river was closed for repairs last week.", "Workers found cracks in two of the main beams during a check.",
+            "The town hopes to open it again before the summer fair begins."]
+    text = "".join(f"<p>{s}</p>" for s in said)
+    top = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>About</a></li></ul></nav>"
+    end = "<footer><p>Copyright notice of the site</p></footer>"
+    reply = "<div class='reply'><p>I saw it too and it was great.</p></div><div class='reply'><p>Thanks for the article!</p></div>"
+    links = "<div><a href='/'>Home</a> <a href='/x'>News</a></div>"
+    for body in (
+        f"{top}<article><div>{text}</div></article>{end}", f"{top}<article><div class='article-body'>{text}</div></article>{end}",
+        f"{top}<main><div class='text'>{text}</div></main>{end}", f"{top}<article><div class='content'>{text}</div></article>{end}",
+        f"{links}<div>{text}</div><div>Site by us</div>", f"{top}<article>{text}<div class='replies'>{reply}</div></article>{end}",
+        f"{top}<article>{text}</article><div id='discussion'>{reply}</div>{end}",
+    ):
+        assert html_text.main_text(f"<html><body>{body}</body></html>", drawn_weights) == "\n".join(said), body
+
+
+def test_html_layouts_held_out(drawn_weights):
+    kept = extra = missed = 0
+    for html in labelled_pages.layouts(150, seed=99):
+        want, page = wanted_text(html)
+        found, wanted = collections.Counter(html_text.main_text(page, drawn_weights).split()), collections.Counter(want.split())
+        both = (found & wanted).total()
+        kept, extra, missed = kept + both, extra + found.total() - both, missed + wanted.total() - both
+    assert kept > 20_000 and extra < 0.01 * kept and missed < 0.02 * kept
+
+
+def test_best_slice_against_all_runs():
+    rng = random.Random(5)
+    for _ in range(300):
+        steps = [(rng.randrange(-6, 7), rng.choice((0, 0, 1, 3))) for _ in range(rng.randrange(0, 12))]
+
+        def total(a, b):
+            return sum(g for g, _ in steps[a:b]) - sum(c for _, c in steps[a + 1 : b])
+
+        best = max([0, *(total(a, b) for a in range(len(steps)) for b in range(a + 1, len(steps) + 1))])
+        a, b = html_text.best_slice(steps)
+        assert (total(a, b) if b > a else 0) == best
+
+
+def test_ftrl_against_a_plain_version():
+    """One coordinate at a time, as the method is usually written."""
+    rng = random.Random(7)
+    examples = [np.array(sorted(rng.sample(range(16), rng.randrange(0, 6))), np.int32) for _ in range(60)]
+    labels = np.array([float(3 in e or rng.random() < 0.1) for e in examples])
+    model = toxicity.fit_ftrl(examples, labels, bits=4, epochs=3)
+    z, n = [0.0] * 17, [0.0] * 17
+
+    def weight(k):
+        if abs(z[k]) <= toxicity.L1:
+            return 0.0
+        return -(z[k] - (1 if z[k] > 0 else -1) * toxicity.L1) / ((toxicity.BETA + n[k] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(toxicity.SEED)
+    for _ in range(3):
+        for k in order.permutation(len(examples)):
+            places = [*examples[k].tolist(), 16]
+            own = [weight(p) for p in places]
+            error = 1 / (1 + np.exp(-sum(own))) - labels[k]
+            for p, w in zip(places, own):
+                sigma = ((n[p] + error * error) ** 0.5 - n[p] ** 0.5) / toxicity.ALPHA
+                z[p] += error - sigma * w
+                n[p] += error * error
+    want = {k: weight(k) for k in range(16) if weight(k)}
+    assert dict(zip(model.places.tolist(), model.weights.tolist())) == pytest.approx(want) and model.bias == pytest.approx(weight(16))
+    assert 3 in want
+
+
+def test_toxicity_score_against_a_plain_version(llm_spark, odd):
+    texts = [t for _, t, _ in odd[0]]
+    make = toxicity.Features(8)
+    model = toxicity.Model(np.arange(0, 256, 3), np.linspace(-1, 1, 86).astype(np.float32), -0.2, 8)
+    weights = dict(zip(model.places.tolist(), model.weights.tolist()))
+    # A column named like the result gives way.
+    got = toxicity.score(odd[1], model).select("doc_id", "score", F.col("text")).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        total = model.bias + sum(weights.get(p, 0.0) for p in set(make.of(row.text or "").tolist()))
+        assert row.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-6)
+
+
+def test_network_and_temperature():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 6))
+    y = (x[:, 0] - x[:, 1] > 0).astype(float)
+    model = quality.fit_network(x, y, np.zeros((1, 6)))
+    for row, logit in zip(x[:20], model.logits(x[:20])):
+        hidden = [max(0.0, sum((row[k] - model.mean[k]) / model.scale[k] * model.w1[k, j] for k in range(6)) + model.b1[j]) for j in range(quality.HIDDEN)]
+        assert logit == pytest.approx(sum(h * w for h, w in zip(hidden, model.w2)) + model.b2)
+    left = np.arange(200) % 5 == 4
+    logits = model.logits(x[left])
+
+    def loss(t):
+        p = 1 / (1 + np.exp(-logits / t))
+        return -np.mean(np.where(y[left] == 1, np.log(p), np.log(1 - p)))
+
+    grid = np.geomspace(0.25, 8, 61)
+    assert loss(model.temperature) == pytest.approx(min(map(loss, grid)))
+    assert model.probability(x[:3]) == pytest.approx(1 / (1 + np.exp(-model.logits(x[:3]) / model.temperature)))
+    assert np.mean((model.logits(x[~left]) > 0) == (y[~left] == 1)) > 0.9
+
+
 def test_fingerprints(llm_spark, odd):
     rows = [(k * 3, " ".join(sample_words(5 + k % 40, k)), "a") for k in range(300)]
     docs = plain(table(llm_spark, rows))
