@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..joins import keep_wanted, never_broadcast, save
+from ..joins import never_broadcast, save
 from ..operators import pixels as px
 from ..operators import pyramid, regions
 from ..sources import cells as store
@@ -94,8 +94,7 @@ def zonal_requests(
         dated = tiles.join(wanted, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
         border = dated.filter("NOT covered").unionByName(dated.filter("covered").join(unlisted, ["request_id", *store.CELL], "left_semi"))
         border = save(border, "zonal-border")
-        blocks = keep_wanted(cells.select(*store.CELL, "data"), border, store.CELL, F.col("dt") >= 0)
-        found = border.join(never_broadcast(blocks), store.CELL)
+        found = store.at(cells, border).filter(F.col("data").isNotNull())
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(
         "request_id", "method", "roi_id", "z", "y", "x", "dt", *limits, "segments", "covered", "data"
     )

@@ -1,4 +1,5 @@
-"""The tile cell store: Parquet in one folder per table, product plane and date.
+"""The tile cell store: Parquet in one folder per table, product plane and period, which is a date unless a store of
+small tiles says otherwise.
 
 Inside a folder tiles lie in the order of a space-filling curve, spread over files by ranges of it, so
 neighbouring tiles share files and row groups. A small table beside the cells lists the dates of each
@@ -13,16 +14,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import packed_time as pt
+from ..functions.columns import idiv
 from ..joins import broadcast_if_small, keep_wanted, never_broadcast, save
 from ..operators.dates import first_dates
 
 TILE = ["htable", "hpid", "z", "y", "x"]
 CELL = [*TILE, "dt"]
-PARTITIONS = ["htable", "hpid", "dt"]
-SCHEMA = "htable string, hpid int, z int, y int, x int, dt bigint, code bigint, data binary"
+PLANE = ["htable", "hpid"]
+# What a folder holds, by the name of its column, and the unit of packed dates that counts it.
+PERIODS = {"date": 1, "day": 1_000_000, "month": 100_000_000, "year": 10_000_000_000}
+DATE = "date"
 DATES_SCHEMA = "htable string, hpid int, dt bigint"
 
 
+def schema_of(period: str = DATE) -> str:
+    return f"htable string, hpid int, z int, y int, x int, dt bigint, code bigint, data binary, {period} bigint"
+
+
+def period_of(cells: DataFrame) -> str | None:
+    """The column of ``cells`` that names folders; none where cells do not come from a store."""
+    return next((name for name in PERIODS if name in cells.columns), None)
+
+
+def _with_period(keys: DataFrame, period: str | None) -> DataFrame:
+    return keys if period is None else keys.withColumn(period, idiv("dt", F.lit(PERIODS[period])))
+
+
 def curve_code(y: str, x: str) -> Column:
     """Place of a tile on the Z curve of its level: the bits of row and column in turn."""
 
@@ -36,9 +53,9 @@ def curve_code(y: str, x: str) -> Column:
     return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Stored cells; filters on ``htable, hpid, dt`` prune folders, on ``z, code`` row groups."""
-    return spark.read.schema(SCHEMA).parquet(path)
+def read(spark: SparkSession, path: str, period: str = DATE) -> DataFrame:
+    """Stored cells; filters on table, plane and period prune folders, on ``z, code, dt`` row groups."""
+    return spark.read.schema(schema_of(period)).parquet(path)
 
 
 def dates(spark: SparkSession, path: str) -> DataFrame:
@@ -53,10 +70,13 @@ def _dates_path(path: str) -> str:
 
 def dated(cells: DataFrame, start: int, stop: int) -> DataFrame:
     """Cells of a date range, both ends inclusive; other dates' folders are not read."""
-    return cells.filter(F.col("dt").between(start, stop))
+    inside, period = F.col("dt").between(start, stop), period_of(cells)
+    if period is not None:
+        inside = inside & F.col(period).between(start // PERIODS[period], stop // PERIODS[period])
+    return cells.filter(inside)
 
 
-def write(cells: DataFrame, path: str, keys: DataFrame | None = None) -> None:
+def write(cells: DataFrame, path: str, keys: DataFrame | None = None, period: str = DATE) -> None:
     """Write cells, replacing the folders they belong to.
 
     Their dates (or those of ``keys``, if only these are new) are listed first: a date that is listed and has
@@ -64,21 +84,21 @@ def write(cells: DataFrame, path: str, keys: DataFrame | None = None) -> None:
     each a compact part of the map, and small folders share a task.
     """
     note_dates(path, cells if keys is None else keys)
-    order = [*PARTITIONS, "z", "code"]
+    order = [*PLANE, period, "z", "code"]
     (
-        cells.select(*CELL, curve_code("y", "x").alias("code"), "data")
+        _with_period(cells.select(*CELL, curve_code("y", "x").alias("code"), "data"), period)
         .repartitionByRange(*order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS).parquet(path)
+        .partitionBy(*PLANE, period).parquet(path)
     )
 
 
 def note_dates(path: str, cells: DataFrame) -> None:
     """Add the dates of ``cells`` to the list of dates; dates that are listed already may come again."""
-    cells.select(*PARTITIONS).distinct().write.mode("append").parquet(_dates_path(path))
+    cells.select(*PLANE, "dt").distinct().write.mode("append").parquet(_dates_path(path))
 
 
-def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str) -> None:
+def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str, period: str = DATE) -> None:
     """Last write wins per cell; ``order`` ranks writes to the same cell, of equal ones any stays.
 
     The last writes are found on keys alone. Only the folders of dates that are written are read and
@@ -89,9 +109,10 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str) -> No
     newest = changes.join(last, [*CELL, order], "left_semi").select(*CELL, "data").dropDuplicates(CELL)
     final = save(newest, "upsert")
     keys = save(final.select(*CELL), "upsert-keys")
-    kept = of_planes(read(spark, path), keys).select(*CELL, "data")
+    touched = _with_period(keys, period).select(*PLANE, period)
+    kept = keep_wanted(read(spark, path, period), touched, touched.columns, F.col(period) >= 0).select(*CELL, "data")
     kept = kept.join(broadcast_if_small(keys, saved=True), CELL, "left_anti")
-    write(kept.unionByName(final), path, keys)
+    write(kept.unionByName(final), path, keys, period)
 
 
 def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
@@ -100,29 +121,35 @@ def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
     A job names few planes of a large store. Their table is measured and broadcast, so
     other folders are not read and other cells are dropped before any shuffle.
     """
-    names = [c for c in PARTITIONS if c in planes.columns]
-    return keep_wanted(cells, planes.select(*names), names, _folders(names))
+    names = [c for c in (*PLANE, "dt") if c in planes.columns]
+    return _wanted(cells, planes.select(*names))
 
 
 def request_dates(requests: DataFrame, listed: DataFrame) -> DataFrame:
     """Of the ``listed`` dates those that date-range requests reach: ``htable, hpid, dt``."""
     ranges = requests.select("htable", "hpid", "startdt", "stopdt").distinct()
-    return listed.join(ranges, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(*PARTITIONS).distinct()
+    return listed.join(ranges, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(*PLANE, "dt").distinct()
 
 
 def listed_dates(cells: DataFrame) -> DataFrame:
     """The dates of each plane from the cells' key columns, where no list is kept."""
-    return cells.select(*PARTITIONS).distinct()
+    return cells.select(*PLANE, "dt").distinct()
 
 
-def _folders(names: list[str]) -> Column:
+def _wanted(cells: DataFrame, keys: DataFrame) -> DataFrame:
+    """Cells whose key columns are among ``keys``, from the folders that these name."""
+    period = period_of(cells) if "dt" in keys.columns else None
+    keys = _with_period(keys, period)
     # Folders are pruned at run time only by a side that carries a comparison; no packed date is negative.
-    return F.col("dt") >= 0 if "dt" in names else F.col("hpid") > -(1 << 31)
+    guard = F.col("dt") >= 0 if "dt" in keys.columns else F.col("hpid") > -(1 << 31)
+    if period is not None:
+        guard = guard & (F.col(period) >= 0)
+    return keep_wanted(cells, keys, keys.columns, guard)
 
 
 def at(cells: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests on a full cell key with their ``data``, NULL where there is none."""
-    wanted = keep_wanted(cells.select(*CELL, "data"), requests.select(*CELL), CELL, _folders(CELL))
+    wanted = _wanted(cells, requests.select(*CELL)).select(*CELL, "data")
     return requests.join(never_broadcast(wanted), CELL, "left")
 
 
@@ -141,9 +168,7 @@ def between(
         & pt.passes("dt", *(F.col(n) for n in names))
     ).select(*dict.fromkeys([*keys, *CELL]))
     if cap is not None:
-        stored = keep_wanted(cells.select(*CELL), possible.select(*CELL), CELL, _folders(CELL))
+        stored = _wanted(cells, possible.select(*CELL)).select(*CELL)
         possible = first_dates(possible.join(stored, CELL, "left_semi"), keys, cap)
     possible = save(possible, "possible")
-    return possible.join(
-        never_broadcast(keep_wanted(cells.select(*CELL, "data"), possible.select(*CELL), CELL, _folders(CELL))), CELL
-    )
+    return possible.join(never_broadcast(_wanted(cells, possible.select(*CELL)).select(*CELL, "data")), CELL)

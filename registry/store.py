@@ -221,16 +221,17 @@ def cell_upsert(d):
     """Write all cells, then overwrite 1999 and add mid-month dates, and read back."""
     path = shared_folder(d.spark, "cells")
     base = d.tile_cells()
-    cells.write(base, path)
-    year = cells.dated(cells.read(d.spark, path), 19990000000000, 19991231235959).select(*cells.CELL, "data")
+    # Tiles of 16 pixels: a folder holds a year.
+    cells.write(base, path, period="year")
+    year = cells.dated(cells.read(d.spark, path, "year"), 19990000000000, 19991231235959).select(*cells.CELL, "data")
     raised = px.map_tiles(
         year, cells.CELL, lambda tile: tile + (tile != FILL), 2, TILE, TILE, 1
     ).select(*cells.CELL, "data")
     added = raised.withColumn("dt", F.col("dt") + 15000000)
     stale = year.withColumn("seq", F.lit(0))
     changes = stale.unionByName(raised.unionByName(added).withColumn("seq", F.lit(1)))
-    cells.upsert(d.spark, path, changes, "seq")
-    return totals(cells.read(d.spark, path), ["hpid", "dt"])
+    cells.upsert(d.spark, path, changes, "seq", "year")
+    return totals(cells.read(d.spark, path, "year"), ["hpid", "dt"])
 
 
 @query("cell_read_band", f"""

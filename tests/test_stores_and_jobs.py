@@ -41,7 +41,7 @@ def test_upsert_touches_only_its_folders(spark, tmp_path):
     cells.write(spark.createDataFrame(rows, CELLS), path)
 
     def files(plane, date):
-        return sorted((tmp_path / "cells" / "htable=t" / f"hpid={plane}" / f"dt={date}").glob("*.parquet"))
+        return sorted((tmp_path / "cells" / "htable=t" / f"hpid={plane}" / f"date={date}").glob("*.parquet"))
 
     before = {(p, d): files(p, d) for p in (1, 2) for d in dates}
     edits = [(*rows[-1][:6], bytearray(b"old"), 1), (*rows[-1][:6], bytearray(b"new"), 2), (*rows[-1][:6], bytearray(b"new"), 2), ("t", 3, 0, 0, 0, 1, bytearray(b"add"), 1)]
@@ -54,7 +54,7 @@ def test_upsert_touches_only_its_folders(spark, tmp_path):
     assert listed == {("t", p, d) for p in (1, 2) for d in dates} | {("t", 3, 1)}
     stored = cells.read(spark, path)
     plan = cells.dated(stored, 20200000000000, 20201231000000)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert "PartitionFilters: [isnotnull(date" in plan
     planes = spark.createDataFrame([("t", 2, dates[3])], "htable string, hpid int, dt bigint")
     named = cells.of_planes(stored, planes)
     assert {(r.hpid, r.dt) for r in named.collect()} == {(2, dates[3])}
@@ -89,6 +89,22 @@ def test_reads_open_only_the_folders_of_their_dates(spark, tmp_path):
         assert scans(cells.between(stored, series, ["rid"], cap, listed)) == [12 if cap is None else 6]
 
 
+def test_folders_of_years(spark, tmp_path):
+    """A store of small tiles keeps a year in a folder; reads and upserts go by years then."""
+    path = str(tmp_path / "cells")
+    dates = [y * 10**10 + m * 10**8 for y in (2019, 2020) for m in range(1, 13)]
+    cells.write(spark.createDataFrame([("t", 1, 1, 0, x, d, bytearray([x])) for x in range(2) for d in dates], CELLS), path, period="year")
+    edit = spark.createDataFrame([("t", 1, 1, 0, 1, dates[13], bytearray(b"new"), 1)], CELLS + ", seq int")
+    untouched = sorted((tmp_path / "cells" / "htable=t" / "hpid=1" / "year=2019").iterdir())
+    cells.upsert(spark, path, edit, "seq", "year")
+    assert sorted((tmp_path / "cells" / "htable=t" / "hpid=1" / "year=2019").iterdir()) == untouched
+    stored = cells.read(spark, path, "year")
+    assert stored.count() == 48 and cells.dated(stored, dates[12], dates[14]).count() == 6
+    requests = spark.createDataFrame([(7, "t", 1, 1, 0, 1, dates[13])], "rid int, htable string, hpid int, z int, y int, x int, dt bigint")
+    found = cells.at(stored, requests)
+    assert bytes(found.first().data) == b"new" and scans(cells.at(stored, requests)) == [1]
+
+
 def test_wanted_keys_beyond_a_broadcast(spark):
     rows = spark.range(2000).selectExpr("id AS a", "id % 7 AS b", "id * 2 AS v")
     wanted = spark.range(100, 130).selectExpr("id AS a", "id % 7 AS b")
