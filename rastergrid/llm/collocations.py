@@ -32,8 +32,10 @@ SAMPLE_BYTES = 64 << 20
 LOWERED = 0.5
 # Bits of a bitmap for each member, and their limits (32 MiB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
-_CHUNK = 2 << 20
-_WORDS_AT_ONCE = 1 << 20
+_CHUNK = 1 << 20
+_WORDS_AT_ONCE = 1 << 18
+# Rows of an Arrow batch, coming in as texts and going out as counts.
+_TEXTS_AT_ONCE, _ROWS_AT_ONCE = 500, 1 << 15
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _COUNTED = "k int, lang string, word string, h1 bigint, h2 bigint, h3 bigint, n bigint"
 _NGRAM = ["k", "lang", "word", "h1", "h2", "h3"]
@@ -135,13 +137,17 @@ def _bit(bitmap: np.ndarray | None, h: np.ndarray) -> np.ndarray:
 
 
 def _rows(k: int, hashes: list[np.ndarray], counts: np.ndarray, langs=None, texts=None):
-    n, none = len(counts), np.zeros(len(counts), np.int64)
-    columns = [*hashes, *[none] * (3 - len(hashes))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, k, np.int32)), pa.array(langs if langs else [None] * n, pa.string()),
-         pa.array(texts if texts else [None] * n, pa.string()), *[pa.array(c) for c in columns], pa.array(counts.astype(np.int64))],
-        names=[*_NGRAM, "n"],
-    )
+    """Counts as batches of a bounded number of rows."""
+    for start in range(0, len(counts), _ROWS_AT_ONCE):
+        part = slice(start, start + _ROWS_AT_ONCE)
+        n = len(counts[part])
+        columns = [h[part] for h in hashes] + [np.zeros(n, np.int64)] * (3 - len(hashes))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, k, np.int32)), pa.array(langs[part], pa.string()) if langs else pa.nulls(n, pa.string()),
+             pa.array(texts[part], pa.string()) if texts else pa.nulls(n, pa.string()),
+             *[pa.array(c) for c in columns], pa.array(counts[part].astype(np.int64))],
+            names=[*_NGRAM, "n"],
+        )
 
 
 def _count_some(parts, rounds: list[Proposal], with_words: bool):
@@ -157,7 +163,7 @@ def _count_some(parts, rounds: list[Proposal], with_words: bool):
             at = place - (int(ends[k]) - len(parts[k][0]))
             langs.append(lang)
             texts.append(low[starts[at] : stops[at]].tobytes().decode())
-        yield _rows(1, [known], np.bincount(own, minlength=len(known)), langs, texts)
+        yield from _rows(1, [known], np.bincount(own, minlength=len(known)), langs, texts)
     now, earlier = rounds[-1], rounds[:-1]
 
     def left_over(test):
@@ -173,7 +179,7 @@ def _count_some(parts, rounds: list[Proposal], with_words: bool):
     left, right = known[pairs // size], known[pairs % size]
     keep = left_over(lambda p: p.has_word(left) & p.has_word(right))
     if keep.any():
-        yield _rows(2, [left[keep], right[keep]], counts[keep])
+        yield from _rows(2, [left[keep], right[keep]], counts[keep])
     hashed_pairs = pair_hash(left, right)
     in_a_row = np.flatnonzero(np.diff(follows) == 1) if len(follows) else follows
     # Most pairs are in no proposal, so triples are looked for only around pairs that are.
@@ -184,7 +190,7 @@ def _count_some(parts, rounds: list[Proposal], with_words: bool):
     middle = right[first_pair]
     keep = left_over(lambda p: p.has_pair(hashed_pairs[first_pair]) & p.has_pair(pair_hash(middle, last)))
     if keep.any():
-        yield _rows(3, [left[first_pair][keep], middle[keep], last[keep]], counts[keep])
+        yield from _rows(3, [left[first_pair][keep], middle[keep], last[keep]], counts[keep])
 
 
 def _lang_salt(lang: str, words: Words) -> int:
@@ -197,16 +203,19 @@ def _counted(batches, rounds: list[Proposal], seed: int, with_words: bool):
     words = Words(seed)
     parts, held = [], 0
     for batch in batches:
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            salt = _lang_salt(lang, words)
-            for data in _segments(text):
-                found = words.of(data, salt)
-                if len(found[0]):
-                    parts.append((*found, lang))
-                    held += len(found[0])
-                if held >= _WORDS_AT_ONCE:
-                    yield from _count_some(parts, rounds, with_words)
-                    parts, held = [], 0
+        for start in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+            some = batch.slice(start, _TEXTS_AT_ONCE)
+            for text, lang in zip(some.column("text").to_pylist(), some.column("lang").to_pylist()):
+                salt = _lang_salt(lang, words)
+                for data in _segments(text):
+                    found = words.of(data, salt)
+                    if len(found[0]):
+                        # Texts are needed only where words are counted by them.
+                        parts.append((*found, lang) if with_words else (*found[:2], None, None, None, lang))
+                        held += len(found[0])
+                    if held >= _WORDS_AT_ONCE:
+                        yield from _count_some(parts, rounds, with_words)
+                        parts, held = [], 0
     if parts:
         yield from _count_some(parts, rounds, with_words)
 
