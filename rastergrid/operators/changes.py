@@ -12,7 +12,6 @@ from ..functions import texts
 UPSERT, DELETE = "upsert", "delete"
 # Task states.
 NOT_STARTED, RUNNING, DONE, FAILED = 0, 1, 2, 3
-ID_BUCKETS = 4096
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -106,15 +106,15 @@ def every_n(requests: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def years(items: DataFrame) -> DataFrame:
-    """Distinct years per product."""
-    return items.select("pid", pt.part("hcol", "year").alias("year")).distinct()
+    """Distinct years per product, ascending."""
+    return items.select("pid", pt.part("hcol", "year").alias("year")).distinct().orderBy("pid", "year")
 
 
 def months(items: DataFrame) -> DataFrame:
-    """Distinct months per product and year."""
+    """Distinct months per product and year, ascending."""
     return items.select(
         "pid", pt.part("hcol", "year").alias("year"), pt.part("hcol", "month").alias("month")
-    ).distinct()
+    ).distinct().orderBy("pid", "year", "month")
 
 
 def month_items(items: DataFrame, year: int, month: int) -> DataFrame:

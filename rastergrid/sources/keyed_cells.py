@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rowkey
+from ..functions import rowkey, texts
 from ..operators.changes import last_per_key
+from . import tile_files
 
 KEY = ["tbl", "fam", "qual", "rowkey"]
 SCHEMA = "tbl string, fam string, qual binary, rowkey binary, data binary"
@@ -48,3 +49,12 @@ def region_cells(masks: DataFrame) -> DataFrame:
         rowkey.big_endian(REGION_QUALIFIER, 4).alias("qual"),
         rowkey.big_endian("rid", 4).alias("rowkey"), "data",
     )
+
+
+def region_files(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """The region files that texts in column ``roi`` name by path below the root: ``path, data``.
+
+    Texts of the two region tables (``sys:n``, ``user:n``) name no file; only files that are named are opened.
+    """
+    named = wanted.filter(texts.region_route("roi") == "file").select(F.col("roi").alias("path")).distinct()
+    return tile_files.open_paths(spark, root, named)

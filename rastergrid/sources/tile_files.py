@@ -39,17 +39,15 @@ def qualified(spark: SparkSession, root: str) -> str:
     return f"{path.getScheme()}://{host or ''}{path.getPath()}"
 
 
-def fetch(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
-    """Cells of a table of full keys, read by path: ``htable, hpid, z, y, x, dt, data``, files that exist only.
+def open_paths(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (with a column ``path`` below the root) with the content of each file as ``data``; files that exist only.
 
-    The root is not listed: each distinct key is one path, and paths are spread evenly over tasks, each
-    of which opens its own. Only files that were asked for are read.
+    The root is not listed: paths are spread evenly over tasks, each of which opens its own.
     """
     base = qualified(spark, root)
-    path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
-    wanted = keys.select(*cells.CELL).distinct().select("*", path.alias("path"))
-    schema = wanted.drop("path").withColumn("data", F.lit(None).cast("binary")).schema
-    batch_files = 64  # at most so many blocks in one Arrow batch
+    names = wanted.columns
+    schema = wanted.withColumn("data", F.lit(None).cast("binary")).schema
+    batch_files = 64  # at most so many contents in one Arrow batch
 
     def open_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import posixpath
@@ -67,12 +65,22 @@ def fetch(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
                     if exists:
                         with files.open_input_stream(place) as file:
                             data.append(file.read())
-                found = part.filter(pa.array(there, pa.bool_())).select(cells.CELL)
-                yield pa.RecordBatch.from_arrays([*found.columns, pa.array(data, pa.binary())], names=schema.names)
+                found = part.filter(pa.array(there, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.array(data, pa.binary())], names=[*names, "data"])
 
     return wanted.repartition("path").mapInArrow(open_files, schema)
 
 
+def fetch(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
+    """Cells of a table of full keys, read by path: ``htable, hpid, z, y, x, dt, data``, files that exist only.
+
+    Each distinct key is one path, and only files that were asked for are read.
+    """
+    path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
+    wanted = keys.select(*cells.CELL).distinct().select("*", path.alias("path"))
+    return open_paths(spark, root, wanted).drop("path")
+
+
 def at(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
     """Requests on a full cell key with the content of their file, NULL where there is none."""
     return requests.join(never_broadcast(fetch(spark, root, requests)), cells.CELL, "left")
@@ -97,13 +105,18 @@ def between(
 
 
 def write(tiles: DataFrame, root: str) -> int:
-    """Write each cell to its own file; returns the number of files.
+    """Write each cell to its own file; returns the number of files."""
+    path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
+    return write_paths(tiles.select(path.alias("path"), "data"), root)
+
+
+def write_paths(rows: DataFrame, root: str) -> int:
+    """Write ``data`` of each row to its ``path`` below the root; returns the number of files.
 
     A file appears under its name only when complete, so a task that runs twice
     leaves the same files.
     """
-    path = rowkey.tile_path("htable", "hpid", "dt", "z", "y", "x")
-    base_uri = qualified(tiles.sparkSession, root)
+    base_uri = qualified(rows.sparkSession, root)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import posixpath
@@ -122,5 +135,5 @@ def write(tiles: DataFrame, root: str) -> int:
                 base.move(draft, target)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
 
-    saved = tiles.select(path.alias("path"), "data").mapInArrow(put, "n bigint")
+    saved = rows.select("path", "data").mapInArrow(put, "n bigint")
     return saved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -327,3 +327,19 @@ def roi_resolve(d):
     return found.select(
         "c_custkey", F.col("prefix").alias("route"), F.col("data").cast("string").alias("mask"), F.col("ok").cast("int").alias("ok")
     )
+
+
+@query("roi_files", """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'F' || c_custkey WHEN c_custkey % 3 = 1 THEN 'S' || c_custkey END AS mask FROM customer""")
+def roi_files(d):
+    """Regions whose masks are files below a root, opened by their path, beside those of the system's table."""
+    root = shared_folder(d.spark, "regions")
+    k, m = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
+    customers = d.table("customer")
+    path = F.concat(F.lit("shp/"), F.substring(k, 1, 1), F.lit("/"), k, F.lit(".tlv"))
+    tile_files.write_paths(customers.filter(m == 0).select(path.alias("path"), F.concat(F.lit("F"), k).cast("binary").alias("data")), root)
+    # The third kind of text names a file that is not there.
+    wanted = customers.select("c_custkey", F.when(m == 1, F.concat(F.lit("sys:"), k)).otherwise(path).alias("roi"))
+    stored = d.roi_sys().select(F.lit("sys").alias("prefix"), "rid", F.concat(F.lit("S"), F.col("rid").cast("string")).cast("binary").alias("data"))
+    found = regions.resolve(wanted, keyed_cells.region_stores(keyed_cells.region_cells(stored)), keyed_cells.region_files(d.spark, root, wanted))
+    return found.select("c_custkey", F.col("data").cast("string").alias("mask"))
