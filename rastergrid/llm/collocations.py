@@ -1,7 +1,7 @@
 """Phrase collocations by Toivonen's method: a sample proposes, full passes count until the border holds.
 
 1. A bounded sample of documents proposes words and pairs at a lowered threshold.
-2. A full pass counts all words, every pair of proposed words and every triple of proposed pairs: the
+2. Full passes count all words, every pair of proposed words and every triple of proposed pairs: the
    proposals and their negative border (what is not proposed itself but all parts of which are).
 3. Words or pairs of the border that turn out frequent are proposed too, and a further pass counts what
    this newly puts inside or on the border. When no proposal is added, every frequent phrase is counted.
@@ -37,8 +37,11 @@ _WORDS_AT_ONCE = 1 << 18
 # Rows of an Arrow batch, coming in as texts and going out as counts.
 _TEXTS_AT_ONCE, _ROWS_AT_ONCE = 500, 1 << 15
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-_COUNTED = "k int, lang string, word string, h1 bigint, h2 bigint, h3 bigint, n bigint"
-_NGRAM = ["k", "lang", "word", "h1", "h2", "h3"]
+# Words are counted by their texts, pairs (h3 = 0) and triples by the hashes of their words, in narrow rows.
+_WORD = ["lang", "word", "h1"]
+_WORD_COUNTED = "lang string, word string, h1 bigint, n bigint"
+_NGRAM = ["h1", "h2", "h3"]
+_NGRAM_COUNTED = "h1 bigint, h2 bigint, h3 bigint, n bigint"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,7 +99,8 @@ class Words:
         hashed = _mix((total[ends] - total[starts]) * self.back[starts] + np.uint64(salt))
         breaks = np.concatenate([[0], np.cumsum(kind == 2)])
         joined = np.concatenate([[False], breaks[starts[1:]] == breaks[starts[:-1]]])
-        return hashed.view(np.int64), joined, starts, ends, low
+        # No word has the hash 0, which stands for no word.
+        return np.where(hashed == 0, np.uint64(1), hashed).view(np.int64), joined, starts, ends, low
 
 
 def _segments(text: str):
@@ -136,34 +140,39 @@ def _bit(bitmap: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _rows(k: int, hashes: list[np.ndarray], counts: np.ndarray, langs=None, texts=None):
+def _ngram_rows(hashes: list[np.ndarray], counts: np.ndarray):
     """Counts as batches of a bounded number of rows."""
     for start in range(0, len(counts), _ROWS_AT_ONCE):
         part = slice(start, start + _ROWS_AT_ONCE)
         n = len(counts[part])
-        columns = [h[part] for h in hashes] + [np.zeros(n, np.int64)] * (3 - len(hashes))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, k, np.int32)), pa.array(langs[part], pa.string()) if langs else pa.nulls(n, pa.string()),
-             pa.array(texts[part], pa.string()) if texts else pa.nulls(n, pa.string()),
-             *[pa.array(c) for c in columns], pa.array(counts[part].astype(np.int64))],
-            names=[*_NGRAM, "n"],
-        )
+        columns = [h[part] for h in hashes] + [np.zeros(n, np.int64)] * (3 - len(hashes)) + [counts[part].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*_NGRAM, "n"])
 
 
-def _count_some(parts, rounds: list[Proposal], with_words: bool):
-    """Counts of one load of words: (hashes, joined, [(lang, word bytes)] by first place)."""
-    hashed, joined = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    known, first, own = np.unique(hashed, return_index=True, return_inverse=True)
-    if with_words:
-        ends = np.cumsum([len(p[0]) for p in parts])
-        part_of = np.searchsorted(ends, first, side="right")
+def _count_words(parts):
+    """Counts of the words of one load, with their texts."""
+    hashed = np.concatenate([p[0] for p in parts])
+    known, first, counts = np.unique(hashed, return_index=True, return_counts=True)
+    ends = np.cumsum([len(p[0]) for p in parts])
+    part_of = np.searchsorted(ends, first, side="right")
+    for start in range(0, len(known), _ROWS_AT_ONCE):
         langs, texts = [], []
-        for place, k in zip(first.tolist(), part_of.tolist()):
-            _, _, starts, stops, low, lang = parts[k]
-            at = place - (int(ends[k]) - len(parts[k][0]))
+        for place, k in zip(first[start : start + _ROWS_AT_ONCE].tolist(), part_of[start : start + _ROWS_AT_ONCE].tolist()):
+            own, _, starts, stops, low, lang = parts[k]
+            at = place - (int(ends[k]) - len(own))
             langs.append(lang)
             texts.append(low[starts[at] : stops[at]].tobytes().decode())
-        yield from _rows(1, [known], np.bincount(own, minlength=len(known)), langs, texts)
+        part = slice(start, start + _ROWS_AT_ONCE)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(known[part]), pa.array(counts[part].astype(np.int64))],
+            names=[*_WORD, "n"],
+        )
+
+
+def _count_ngrams(parts, rounds: list[Proposal]):
+    """Counts of the pairs and triples of one load that the last of ``rounds`` adds."""
+    hashed, joined = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    known, own = np.unique(hashed, return_inverse=True)
     now, earlier = rounds[-1], rounds[:-1]
 
     def left_over(test):
@@ -179,7 +188,7 @@ def _count_some(parts, rounds: list[Proposal], with_words: bool):
     left, right = known[pairs // size], known[pairs % size]
     keep = left_over(lambda p: p.has_word(left) & p.has_word(right))
     if keep.any():
-        yield from _rows(2, [left[keep], right[keep]], counts[keep])
+        yield from _ngram_rows([left[keep], right[keep]], counts[keep])
     hashed_pairs = pair_hash(left, right)
     in_a_row = np.flatnonzero(np.diff(follows) == 1) if len(follows) else follows
     # Most pairs are in no proposal, so triples are looked for only around pairs that are.
@@ -190,7 +199,7 @@ def _count_some(parts, rounds: list[Proposal], with_words: bool):
     middle = right[first_pair]
     keep = left_over(lambda p: p.has_pair(hashed_pairs[first_pair]) & p.has_pair(pair_hash(middle, last)))
     if keep.any():
-        yield from _rows(3, [left[first_pair][keep], middle[keep], last[keep]], counts[keep])
+        yield from _ngram_rows([left[first_pair][keep], middle[keep], last[keep]], counts[keep])
 
 
 def _lang_salt(lang: str, words: Words) -> int:
@@ -199,8 +208,13 @@ def _lang_salt(lang: str, words: Words) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode(), seed=words.salt & 0xFFFFFFFF)
 
 
-def _counted(batches, rounds: list[Proposal], seed: int, with_words: bool):
+def _counted(batches, rounds: list[Proposal] | None, seed: int):
+    """Counts of words without ``rounds``, of pairs and triples with them."""
     words = Words(seed)
+
+    def count(parts):
+        return _count_words(parts) if rounds is None else _count_ngrams(parts, rounds)
+
     parts, held = [], 0
     for batch in batches:
         for start in range(0, batch.num_rows, _TEXTS_AT_ONCE):
@@ -211,19 +225,24 @@ def _counted(batches, rounds: list[Proposal], seed: int, with_words: bool):
                     found = words.of(data, salt)
                     if len(found[0]):
                         # Texts are needed only where words are counted by them.
-                        parts.append((*found, lang) if with_words else (*found[:2], None, None, None, lang))
+                        parts.append((*found, lang) if rounds is None else found[:2])
                         held += len(found[0])
                     if held >= _WORDS_AT_ONCE:
-                        yield from _count_some(parts, rounds, with_words)
+                        yield from count(parts)
                         parts, held = [], 0
     if parts:
-        yield from _count_some(parts, rounds, with_words)
+        yield from count(parts)
+
 
+def _count_all_words(docs: DataFrame, seed: int) -> DataFrame:
+    parts = docs.select("text", "lang").mapInArrow(lambda batches: _counted(batches, None, seed), _WORD_COUNTED)
+    return parts.groupBy(*_WORD).agg(F.sum("n").alias("n"))
 
-def _pass(docs: DataFrame, rounds: list[Proposal], seed: int, with_words: bool) -> DataFrame:
-    """Counts over all of ``docs`` of the words, if asked, and of what the last of ``rounds`` adds."""
+
+def _count_inside(docs: DataFrame, rounds: list[Proposal], seed: int) -> DataFrame:
+    """Counts over all of ``docs`` of the pairs and triples that the last of ``rounds`` adds."""
     held = docs.sparkSession.sparkContext.broadcast(rounds)  # bitmaps of at most MOST_BITS, two a round, three rounds
-    parts = docs.select("text", "lang").mapInArrow(lambda batches: _counted(batches, held.value, seed, with_words), _COUNTED)
+    parts = docs.select("text", "lang").mapInArrow(lambda batches: _counted(batches, held.value, seed), _NGRAM_COUNTED)
     return parts.groupBy(*_NGRAM).agg(F.sum("n").alias("n"))
 
 
@@ -244,31 +263,32 @@ def _bitmap(members: DataFrame, hashed: str) -> np.ndarray:
 
 
 def frequent(docs: DataFrame, least: int = LEAST, sample_bytes: int = SAMPLE_BYTES, seed: int = 1):
-    """(words, ngrams) of ``docs`` (text, lang), exact: words (lang, word, h1, n) all of them, ngrams (k, h1, h2, h3, n >= least)."""
+    """(words, ngrams) of ``docs`` (text, lang), exact: words (lang, word, h1, n) all of them, ngrams (h1, h2, h3, n >= least) with h3 = 0 for pairs."""
     while True:
         total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
         share = min(1.0, sample_bytes / total) if total else 1.0
         drawn = F.pmod(F.xxhash64(F.lit(seed), "text", "lang"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
         lowered = max(2, int(LOWERED * least * share))
-        everything = Proposal(None, None)
-        sample = save(_pass(docs.where(drawn), [everything], seed, True).where(F.col("n") >= lowered), "phrases-sample")
-        rounds = [Proposal(_bitmap(sample.where("k = 1"), "h1"), _bitmap(sample.where("k = 2"), _PAIR_HASH))]
-        counted = save(_pass(docs, rounds, seed, True).where(f"k = 1 or n >= {least}"), "phrases-counted")
-        words = counted.where("k = 1").select("lang", "word", "h1", "n")
+        sample = docs.where(drawn)
+        proposed = save(_count_all_words(sample, seed).where(F.col("n") >= lowered), "phrases-sample-words")
+        pairs = save(_count_inside(sample, [Proposal(None, None)], seed).where(f"h3 = 0 and n >= {lowered}"), "phrases-sample-pairs")
+        rounds = [Proposal(_bitmap(proposed, "h1"), _bitmap(pairs, _PAIR_HASH))]
+        words = save(_count_all_words(docs, seed), "phrases-words")
         if words.groupBy("h1").count().where("count > 1").isEmpty():
             break
         seed += 1
-    ngrams, often = counted.where("k > 1"), words.where(F.col("n") >= least)
+    often = words.where(F.col("n") >= least)
+    ngrams = save(_count_inside(docs, rounds, seed).where(f"n >= {least}"), "phrases-counted")
     known = None
     while True:
-        pairs = ngrams.where("k = 2")
+        pairs = ngrams.where("h3 = 0")
         number = pairs.count()
         # A triple is counted when one round proposes both of its pairs, a pair when one proposes both words.
         if number == known or (known is None and _covered(rounds[0], often, pairs)):
-            return words, ngrams.select("k", "h1", "h2", "h3", "n")
+            return words, ngrams
         known = number
         rounds.append(Proposal(_bitmap(often, "h1"), _bitmap(pairs, _PAIR_HASH)))
-        ngrams = ngrams.unionByName(save(_pass(docs, rounds, seed, False).where(f"n >= {least}"), "phrases-further"))
+        ngrams = ngrams.unionByName(save(_count_inside(docs, rounds, seed).where(f"n >= {least}"), "phrases-further"))
 
 
 def _covered(proposal: Proposal, often: DataFrame, pairs: DataFrame) -> bool:
@@ -281,7 +301,9 @@ def _covered(proposal: Proposal, often: DataFrame, pairs: DataFrame) -> bool:
             inside = np.where(k == 1, held.value.has_word(h1), held.value.has_pair(pair_hash(h1, h2)))
             yield batch.filter(pa.array(~inside))
 
-    both = often.select(F.lit(1).alias("k"), "h1", F.lit(0).cast("bigint").alias("h2")).unionByName(pairs.select("k", "h1", "h2"))
+    both = often.select(F.lit(1).alias("k"), "h1", F.lit(0).cast("bigint").alias("h2")).unionByName(
+        pairs.select(F.lit(2).alias("k"), "h1", "h2")
+    )
     return both.mapInArrow(outside, "k int, h1 bigint, h2 bigint").isEmpty()
 
 
@@ -305,7 +327,7 @@ def collocations(
     words, ngrams = frequent(rows, least, sample_bytes)
     often = words.where(F.col("n") >= least)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    pairs, triples = (ngrams.where(f"k = {k}").withColumnRenamed("n", "a") for k in (2, 3))
+    pairs, triples = (ngrams.where(f"h3 {sign} 0").withColumnRenamed("n", "a") for sign in ("=", "<>"))
     within = triples.select("a", F.explode(F.array(F.struct("h1", "h2"), F.struct(F.col("h2").alias("h1"), F.col("h3").alias("h2")))).alias("p"))
     within = within.groupBy("p.h1", "p.h2").agg(F.max("a").alias("longer"))
 
