@@ -1,5 +1,6 @@
 """The tile cell store: Parquet in one folder per table, product plane and period, which is a date unless a store of
-small tiles says otherwise.
+small tiles says otherwise. Planes of a store with very many of them share a fixed number of folders, so
+that the number of folders does not grow with the planes.
 
 Inside a folder tiles lie in the order of a space-filling curve, spread over files by ranges of it, so
 neighbouring tiles share files and row groups. A small table beside the cells lists the dates of each
@@ -10,6 +11,8 @@ folders a change set touches.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +30,14 @@ DATE = "date"
 DATES_SCHEMA = "htable string, hpid int, dt bigint"
 
 
-def schema_of(period: str = DATE) -> str:
-    return f"htable string, hpid int, z int, y int, x int, dt bigint, code bigint, data binary, {period} bigint"
+def schema_of(period: str = DATE, groups: int | None = None) -> str:
+    group = "" if groups is None else f", {group_name(groups)} int"
+    return f"htable string, hpid int, z int, y int, x int, dt bigint, code bigint, data binary{group}, {period} bigint"
+
+
+def group_name(groups: int) -> str:
+    """The column of a plane's group, which says how many groups share the planes of a table."""
+    return f"group{groups}"
 
 
 def period_of(cells: DataFrame) -> str | None:
@@ -36,8 +45,21 @@ def period_of(cells: DataFrame) -> str | None:
     return next((name for name in PERIODS if name in cells.columns), None)
 
 
-def _with_period(keys: DataFrame, period: str | None) -> DataFrame:
-    return keys if period is None else keys.withColumn(period, idiv("dt", F.lit(PERIODS[period])))
+def groups_of(cells: DataFrame) -> int | None:
+    """How many groups share the planes of a store; none where each plane has folders of its own."""
+    return next((int(name[5:]) for name in cells.columns if re.fullmatch(r"group[1-9]\d*", name)), None)
+
+
+def _folders(period: str | None, groups: int | None) -> list[str]:
+    """The columns that name folders."""
+    planes = PLANE if groups is None else ["htable", group_name(groups)]
+    return planes if period is None else [*planes, period]
+
+
+def _with_folders(keys: DataFrame, period: str | None, groups: int | None) -> DataFrame:
+    if period is not None:
+        keys = keys.withColumn(period, idiv("dt", F.lit(PERIODS[period])))
+    return keys if groups is None else keys.withColumn(group_name(groups), F.pmod("hpid", F.lit(groups)))
 
 
 def curve_code(y: str, x: str) -> Column:
@@ -53,9 +75,9 @@ def curve_code(y: str, x: str) -> Column:
     return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))
 
 
-def read(spark: SparkSession, path: str, period: str = DATE) -> DataFrame:
-    """Stored cells; filters on table, plane and period prune folders, on ``z, code, dt`` row groups."""
-    return spark.read.schema(schema_of(period)).parquet(path)
+def read(spark: SparkSession, path: str, period: str = DATE, groups: int | None = None) -> DataFrame:
+    """Stored cells; filters on table, plane (or its group) and period prune folders, on ``hpid, z, code, dt`` row groups."""
+    return spark.read.schema(schema_of(period, groups)).parquet(path)
 
 
 def dates(spark: SparkSession, path: str) -> DataFrame:
@@ -76,20 +98,23 @@ def dated(cells: DataFrame, start: int, stop: int) -> DataFrame:
     return cells.filter(inside)
 
 
-def write(cells: DataFrame, path: str, keys: DataFrame | None = None, period: str = DATE) -> None:
+def write(cells: DataFrame, path: str, keys: DataFrame | None = None, period: str = DATE, groups: int | None = None) -> None:
     """Write cells, replacing the folders they belong to.
 
     Their dates (or those of ``keys``, if only these are new) are listed first: a date that is listed and has
-    no cell does no harm. Tasks get ranges of (folder, level, curve), so a large folder is spread over several tasks and files,
-    each a compact part of the map, and small folders share a task.
+    no cell does no harm. Tasks get ranges of (folder, plane, level, curve), so a large folder is spread over several tasks and
+    files, each a compact part of the map, and small folders share a task. With ``groups`` the planes of a table share
+    so many folders for each period. Cells are saved first, as their dates, the ranges and the files each need them.
     """
+    cells = save(cells.select(*CELL, curve_code("y", "x").alias("code"), "data"), "cells-written")
     note_dates(path, cells if keys is None else keys)
-    order = [*PLANE, period, "z", "code"]
+    folders = _folders(period, groups)
+    order = list(dict.fromkeys([*folders, "hpid", "z", "code"]))
     (
-        _with_period(cells.select(*CELL, curve_code("y", "x").alias("code"), "data"), period)
+        _with_folders(cells, period, groups)
         .repartitionByRange(*order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PLANE, period).parquet(path)
+        .partitionBy(*folders).parquet(path)
     )
 
 
@@ -98,21 +123,24 @@ def note_dates(path: str, cells: DataFrame) -> None:
     cells.select(*PLANE, "dt").distinct().write.mode("append").parquet(_dates_path(path))
 
 
-def upsert(spark: SparkSession, path: str, changes: DataFrame, order: str, period: str = DATE) -> None:
+def upsert(
+    spark: SparkSession, path: str, changes: DataFrame, order: str, period: str = DATE, groups: int | None = None
+) -> None:
     """Last write wins per cell; ``order`` ranks writes to the same cell, of equal ones any stays.
 
-    The last writes are found on keys alone. Only the folders of dates that are written are read and
-    replaced. Files are staged and swapped when the job commits, so a lost executor leaves the old folders as
+    The last writes are found on keys alone, of changes that are saved first. Only the folders of dates that are written are
+    read and replaced. Files are staged and swapped when the job commits, so a lost executor leaves the old folders as
     they were, and an upsert that is repeated gives the same store.
     """
+    changes = save(changes.select(*CELL, order, "data"), "changes")
     last = changes.groupBy(*CELL).agg(F.max(order).alias(order))
     newest = changes.join(last, [*CELL, order], "left_semi").select(*CELL, "data").dropDuplicates(CELL)
     final = save(newest, "upsert")
     keys = save(final.select(*CELL), "upsert-keys")
-    touched = _with_period(keys, period).select(*PLANE, period)
-    kept = keep_wanted(read(spark, path, period), touched, touched.columns, F.col(period) >= 0).select(*CELL, "data")
+    touched = _with_folders(keys, period, groups).select(*_folders(period, groups))
+    kept = keep_wanted(read(spark, path, period, groups), touched, touched.columns, F.col(period) >= 0).select(*CELL, "data")
     kept = kept.join(broadcast_if_small(keys, saved=True), CELL, "left_anti")
-    write(kept.unionByName(final), path, keys, period)
+    write(kept.unionByName(final), path, keys, period, groups)
 
 
 def of_planes(cells: DataFrame, planes: DataFrame) -> DataFrame:
@@ -139,7 +167,7 @@ def listed_dates(cells: DataFrame) -> DataFrame:
 def _wanted(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """Cells whose key columns are among ``keys``, from the folders that these name."""
     period = period_of(cells) if "dt" in keys.columns else None
-    keys = _with_period(keys, period)
+    keys = _with_folders(keys, period, groups_of(cells))
     # Folders are pruned at run time only by a side that carries a comparison; no packed date is negative.
     guard = F.col("dt") >= 0 if "dt" in keys.columns else F.col("hpid") > -(1 << 31)
     if period is not None:

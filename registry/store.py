@@ -16,6 +16,8 @@ from .base import query
 from .derived import TILE
 
 FILL = 255
+# Tiles of 16 pixels: a folder of the store holds a year of a sixteenth of a table's planes.
+SMALL_TILES = {"period": "year", "groups": 16}
 
 
 def totals(tiles, keys):
@@ -198,8 +200,8 @@ def dataset_series(d):
 def store_read(d):
     """The requests of cell_read from cells that were written to the store."""
     path = shared_folder(d.spark, "cells")
-    cells.write(d.tile_cells(), path)
-    return totals(cells.at(cells.read(d.spark, path), cell_requests(d)), ["request_id"])
+    cells.write(d.tile_cells(), path, **SMALL_TILES)
+    return totals(cells.at(cells.read(d.spark, path, **SMALL_TILES), cell_requests(d)), ["request_id"])
 
 
 @query("store_series", f"""
@@ -209,8 +211,8 @@ def store_read(d):
 def store_series(d):
     """The first twelve dates of each tile of the store, chosen on its list of dates."""
     path = shared_folder(d.spark, "cells")
-    cells.write(d.tile_cells(), path)
-    stored, listed = cells.read(d.spark, path), cells.dates(d.spark, path)
+    cells.write(d.tile_cells(), path, **SMALL_TILES)
+    stored, listed = cells.read(d.spark, path, **SMALL_TILES), cells.dates(d.spark, path)
     return totals(cells.between(stored, series_requests(d), ["request_id"], cap=12, listed=listed), ["request_id", "dt"])
 
 
@@ -221,17 +223,16 @@ def cell_upsert(d):
     """Write all cells, then overwrite 1999 and add mid-month dates, and read back."""
     path = shared_folder(d.spark, "cells")
     base = d.tile_cells()
-    # Tiles of 16 pixels: a folder holds a year.
-    cells.write(base, path, period="year")
-    year = cells.dated(cells.read(d.spark, path, "year"), 19990000000000, 19991231235959).select(*cells.CELL, "data")
+    cells.write(base, path, **SMALL_TILES)
+    year = cells.dated(cells.read(d.spark, path, **SMALL_TILES), 19990000000000, 19991231235959).select(*cells.CELL, "data")
     raised = px.map_tiles(
         year, cells.CELL, lambda tile: tile + (tile != FILL), 2, TILE, TILE, 1
     ).select(*cells.CELL, "data")
     added = raised.withColumn("dt", F.col("dt") + 15000000)
     stale = year.withColumn("seq", F.lit(0))
     changes = stale.unionByName(raised.unionByName(added).withColumn("seq", F.lit(1)))
-    cells.upsert(d.spark, path, changes, "seq", "year")
-    return totals(cells.read(d.spark, path, "year"), ["hpid", "dt"])
+    cells.upsert(d.spark, path, changes, "seq", **SMALL_TILES)
+    return totals(cells.read(d.spark, path, **SMALL_TILES), ["hpid", "dt"])
 
 
 @query("cell_read_band", f"""
