@@ -17,18 +17,64 @@ from . import cells
 PATH = r"/([^/]+)/(\d+)/(\d+)/tile_(\d+)_(\d+)_(\d+)$"
 
 
-def read(spark: SparkSession, root: str) -> DataFrame:
-    """Tile files as cells; file contents are read only where ``data`` is used."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "tile_*").load(root)
-    )
+def _spread(rows: DataFrame) -> DataFrame:
+    """Paths dealt evenly over a fixed number of tasks: so few bytes would be put together into one or two."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, "path")
+
+
+def children(folders: DataFrame, root: str) -> DataFrame:
+    """What the folders ``path`` below the root hold: ``path, is_file``, without hidden names (``_`` or ``.`` first).
+
+    Folders are listed by the tasks that get them, so the driver sees no names.
+    """
+    base = qualified(folders.sparkSession, root)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import posixpath
+
+        from pyarrow import fs
+
+        files, top = fs.FileSystem.from_uri(base)
+        at_once = 10_000  # names in one Arrow batch
+        for batch in batches:
+            names, kinds = [], []
+            for folder in batch.column("path").to_pylist():
+                for info in files.get_file_info(fs.FileSelector(posixpath.join(top, folder), allow_not_found=True)):
+                    if info.base_name[0] in "_.":
+                        continue
+                    names.append(posixpath.join(folder, info.base_name))
+                    kinds.append(info.type == fs.FileType.File)
+                    if len(names) == at_once:
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kinds, pa.bool_())], ["path", "is_file"])
+                        names, kinds = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kinds, pa.bool_())], ["path", "is_file"])
+
+    return _spread(folders.select("path")).mapInArrow(look, "path string, is_file boolean")
+
+
+def read(spark: SparkSession, root: str, start: int | None = None, stop: int | None = None) -> DataFrame:
+    """Tile files as cells, those of the dates from ``start`` to ``stop`` where given, both inclusive.
+
+    Tables, planes and dates are listed level by level in tasks; folders of other dates are neither listed nor opened.
+    """
+    level = spark.createDataFrame([("",)], "path string")
+    for _ in ("table", "plane", "date"):
+        level = children(level, root).filter("NOT is_file")
+    date = F.regexp_extract("path", r"/(\d+)$", 1)
+    level = level.filter(date != "")
+    if start is not None:
+        level = level.filter(date.cast("bigint") >= start)
+    if stop is not None:
+        level = level.filter(date.cast("bigint") <= stop)
+    files = children(level, root).filter("is_file").select(F.concat(F.lit("/"), "path").alias("path")).filter(F.col("path").rlike(PATH))
     kinds = {"htable": "string", "hpid": "int", "dt": "bigint", "z": "int", "y": "int", "x": "int"}
     parts = [
         F.regexp_extract("path", PATH, i + 1).cast(kind).alias(name)
         for i, (name, kind) in enumerate(kinds.items())
     ]
-    return files.filter(F.col("path").rlike(PATH)).select(*parts, F.col("content").alias("data"))
+    return open_paths(spark, root, files.select(F.substring("path", 2, 1 << 30).alias("path"), *parts)).drop("path")
 
 
 def qualified(spark: SparkSession, root: str) -> str:
@@ -68,7 +114,7 @@ def open_paths(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
                 found = part.filter(pa.array(there, pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*found.columns, pa.array(data, pa.binary())], names=[*names, "data"])
 
-    return wanted.repartition("path").mapInArrow(open_files, schema)
+    return _spread(wanted).mapInArrow(open_files, schema)
 
 
 def fetch(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
@@ -125,15 +171,22 @@ def write_paths(rows: DataFrame, root: str) -> int:
         from pyarrow import fs
 
         base, folder = fs.FileSystem.from_uri(base_uri)
+
+        def opened(draft: str):
+            try:
+                return base.open_output_stream(draft)
+            except FileNotFoundError:  # the first file of its folder
+                base.create_dir(posixpath.dirname(draft), recursive=True)
+                return base.open_output_stream(draft)
+
         for batch in batches:
             for name, data in zip(batch.column("path"), batch.column("data")):
                 target = posixpath.join(folder, name.as_py())
-                base.create_dir(posixpath.dirname(target), recursive=True)
                 draft = posixpath.join(posixpath.dirname(target), "." + uuid.uuid4().hex)
-                with base.open_output_stream(draft) as out:
+                with opened(draft) as out:
                     out.write(data.as_buffer())
                 base.move(draft, target)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
 
-    saved = rows.select("path", "data").mapInArrow(put, "n bigint")
+    saved = _spread(rows.select("path", "data")).mapInArrow(put, "n bigint")
     return saved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -252,7 +252,7 @@ def tile_files_query(d):
     """Cells written one per file, read back by path over a date range."""
     root = shared_folder(d.spark, "tiles")
     tile_files.write(d.tile_cells(), root)
-    files = tile_files.read(d.spark, root).filter(F.col("dt").between(19980000000000, 19991231000000))
+    files = tile_files.read(d.spark, root, 19980000000000, 19991231000000)
     return totals(files, ["hpid", "dt"])
 
 
