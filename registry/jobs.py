@@ -10,12 +10,13 @@ from rastergrid.operators import pixels as px
 from rastergrid.joins import save
 from rastergrid.plans import ledger, requests, tile_job
 from rastergrid.session import shared_folder
-from rastergrid.sources import cells, orders
+from rastergrid.sources import cells, orders, tile_files
 from rastergrid.sources.tables import Catalog
 from rastergrid.streaming import feed
 
 from .base import query
 from .derived import RUN_STAMP, TILE
+from .store import SMALL_TILES
 
 FILL = 255
 
@@ -168,7 +169,9 @@ def order_files(d):
         )
     )
     root = shared_folder(d.spark, "orders")
-    d.table("supplier").select(k.alias("order"), text.alias("value")).write.partitionBy("order").text(root)
+    folder = F.coalesce(k.cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    path = F.concat(F.lit("order="), folder, F.lit("/order.json"))
+    tile_files.write_paths(d.table("supplier").select(path.alias("path"), text.cast("binary").alias("data")), root)
     read = orders.read_orders(d.spark, f"{root}/order=*/*")
     number = F.regexp_extract("order_file", r"order=(\d+)/", 1)
     return read.select(

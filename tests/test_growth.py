@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rastergrid.sources import cells
+from rastergrid.sources import cells, orders, tile_files
 
 CELLS = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
 
@@ -50,3 +50,32 @@ def test_a_write_evaluates_its_cells_once(spark, tmp_path):
     cells.write(made, str(tmp_path / "cells"))
     assert seen.value == 50
     assert cells.read(spark, str(tmp_path / "cells")).filter(F.col("hpid") < 5).count() == 5
+
+
+def test_order_files_are_listed_and_opened_by_tasks(spark, tmp_path):
+    """Patterns, arrays, broken, empty and hidden files; no file is listed by the driver."""
+    texts = {"order=1/a.json": '{"roi": "r1",\n "dt": 5}', "order=2/a.json": '[{"roi": "r2"}, {"roi": "r3"}]', "order=3/a.json": "{no json", "order=4/a.json": " ",
+             "order=5/_hidden": '{"roi": "no"}', "other/a.json": '{"roi": "r4"}'}
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    read = orders.read_orders(spark, f"{tmp_path}/order=*/*")
+    got = sorted(((r.order_file.rsplit("/", 2)[1], r.roi, r.dt) for r in read.collect()), key=str)
+    assert got == [("order=1", "r1", 5), ("order=2", "r2", None), ("order=2", "r3", None), ("order=3", None, None)]
+    assert read.filter("roi = 'r1'").first().order_file == f"file://{tmp_path}/order=1/a.json"
+    assert "FileScan" not in read._jdf.queryExecution().executedPlan().toString()
+    assert [r.roi for r in orders.read_orders(spark, f"{tmp_path}/{{other,none}}").collect()] == ["r4"]
+    assert orders.read_orders(spark, f"{tmp_path}/order=[13]").count() == 2
+
+
+def test_tile_files_of_other_dates_are_not_opened(spark, tmp_path):
+    rows = [("t", p, 1, 0, 0, 20200000000000 + m * 10**8, bytearray([p, m])) for p in (1, 2) for m in range(1, 6)]
+    assert tile_files.write(spark.createDataFrame(rows, CELLS), str(tmp_path)) == 10
+    for file in tmp_path.glob("t/*/20200500000000/*"):
+        file.chmod(0)
+    for date in tmp_path.glob("t/2/20200100000000"):
+        (date / "tile_0_0_0").mkdir()
+    read = tile_files.read(spark, str(tmp_path), 20200100000000, 20200300000000)
+    assert sorted((r.hpid, r.z, r.dt, bytes(r.data)) for r in read.collect()) == [(p, 1, d, bytes(b)) for _, p, _, _, _, d, b in rows if b[1] <= 3]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "BinaryFile" not in plan
