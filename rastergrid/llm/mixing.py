@@ -69,14 +69,25 @@ def _position(share: Column, schedule) -> Column:
     return result
 
 
+def _reached(at: float, schedule) -> float:
+    """The share of its whole that the integral of a piecewise linear weight has reached at a time; inverse of ``_position``."""
+    done = whole = 0.0
+    for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+        x = min(max(at - t0, 0.0), t1 - t0)
+        done += x * (w0 + w0 + (w1 - w0) * x / (t1 - t0)) / 2
+        whole += (t1 - t0) * (w0 + w1) / 2
+    return done / whole
+
+
 def mix(
     docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-    repeats: int = REPEATS, schedules=SCHEDULES, block_rows: int = BLOCK_ROWS,
+    repeats: int = REPEATS, schedules=SCHEDULES, block_rows: int = BLOCK_ROWS, until: float = 1.0,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): size, source_size, target, taken, positions, text_key.
 
-    ``taken`` is the number of words that the mix takes of the document over all passes; the words taken
-    of a source are its target rounded down, so one document of a source may be taken in part.
+    ``taken`` is the number of words that the mix takes of the document over all passes up to the training time ``until``. The
+    words taken of a source are its cumulative demand at that time rounded down (its target, at the end), so one document
+    of a source may be taken in part. Rows come in training order, sorted by range of their first position, those not taken last.
     ``positions`` has one training time for each pass that takes of the document. Null texts have no
     words and are never taken; a null source is a source. Rows that repeat are taken as rows of their own, and
     rows with the same id are told apart by their text. Texts of any length count whole. An empty table
@@ -122,18 +133,23 @@ def mix(
             position = F.when(which == k, _position(share_done, schedules[k])).otherwise(position)
         return position
 
-    # A pass takes the words that the cumulative demand reaches before the end of training time.
+    # A pass takes the words that the cumulative demand has reached at the end of the time asked for.
+    demands = [F.floor(F.col("target") * F.lit(_reached(until, schedule))) for schedule in schedules]
+    demand = F.element_at(F.array(*demands), F.least(which, F.lit(len(schedules) - 1)).cast("int") + 1)
     passes = []
     for turn in range(repeats):
         begin = F.col("__begin") + turn * F.col("source_size")
-        part = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - begin))
+        part = F.greatest(F.lit(0), F.least(F.col("size"), demand - begin))
         middle = reached((begin + part / 2) / F.col("target"))
-        passes.append(F.when((part > 0) & (middle <= 1.0), F.struct(middle.alias("at"), part.alias("words"))))
+        passes.append(F.when(part > 0, F.struct(middle.alias("at"), part.alias("words"))))
     passes = laid.withColumn("__passes", F.array_compact(F.array(*passes)))
     taken = F.aggregate("__passes", F.lit(0).cast("bigint"), lambda total, one: total + one["words"])
-    return passes.select(
+    mixed = passes.select(
         "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.col("__passes.at").alias("positions"), "text_key",
     )
+    # Ids deal rows over ranges where positions do not, as those that are not taken have none.
+    order = [F.try_element_at("positions", F.lit(1)).asc_nulls_last(), F.col("doc_id"), F.col("text_key")]
+    return save(mixed, "mixed").repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def training_order(docs: DataFrame, mixed: DataFrame) -> DataFrame:

@@ -122,6 +122,25 @@ def test_position_inverts_the_integral(llm_spark):
     assert got == pytest.approx(np.interp(shares, area / area[-1], grid).tolist(), abs=1e-4)
 
 
+def test_mixing_by_demand_and_in_training_order(llm_spark):
+    """What is taken up to a time is the integral of the schedule there, and rows come sorted by position range."""
+    rows = [(k, " ".join(["w"] * (1 + k % 7)), f"s{k % 3}") for k in range(400)]
+    mixed = mixing.mix(table(llm_spark, rows).select("doc_id", "source", "text"), block_rows=50)
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [element_at(positions" in plan and "Sort [element_at(positions" in plan
+    firsts = [r.positions[0] if r.positions else 2.0 for r in mixed.collect()]
+    assert firsts == sorted(firsts) and len(firsts) == 400
+    half = mixing.mix(table(llm_spark, rows).select("doc_id", "source", "text"), block_rows=50, until=0.5).collect()
+    grid = np.linspace(0, 1, 100_001)
+    for k, schedule in enumerate(mixing.SCHEDULES):
+        weight = np.interp(grid, [t for t, _ in schedule], [w for _, w in schedule])
+        area = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+        assert mixing._reached(0.5, schedule) == pytest.approx(area[50_000] / area[-1], abs=1e-6) and mixing._reached(1.0, schedule) == 1.0
+        of_source = [r for r in half if r.source == f"s{k}"]
+        assert sum(r.taken for r in of_source) == int(of_source[0].target * mixing._reached(0.5, schedule))
+        assert all(at <= 0.5 for r in of_source for at in r.positions)
+
+
 def test_near_dedup_against_brute_force(llm_spark, odd):
     rng, rows = random.Random(3), []
     for family in range(6):
