@@ -230,10 +230,11 @@ def run_jobs(
     type_code: int = 1,
     out_type: int | None = None,
     period: str = store.DATE,
+    groups: int | None = None,
 ) -> DataFrame:
     """Run all orders and store their tiles; one row per order with state and counts.
 
-    ``period`` is what a folder of the store holds.
+    ``period`` is what a folder of the store holds, of a plane or of one of ``groups`` of planes.
 
     The first tile of each order is computed alone; orders whose first tile fails stop
     there. Results are written to ``scratch``, the shared folder, before they are merged
@@ -264,7 +265,7 @@ def run_jobs(
         F.col("out_htable").alias("htable"), F.col("mpid_hpid").alias("hpid"), "z", "y", "x",
         F.col("out_hcol").alias("dt"), "data", "order_id",
     )
-    store.upsert(spark, store_path, good, "order_id", period)
+    store.upsert(spark, store_path, good, "order_id", period, groups)
     counts = results.groupBy("order_id").agg(
         F.count_if(F.col("status") == 0).alias("good"), F.count_if(F.col("status") != 0).alias("bad")
     )

@@ -99,9 +99,9 @@ def run_job(d):
     job = job_inputs(d)
     job.cells.write.mode("overwrite").parquet(source)
     job.cells = d.spark.read.parquet(source)
-    # The output store starts empty; its tiles are small, so a folder holds a year.
-    cells.write(job.cells.filter(F.lit(False)), f"{scratch}/store", period="year")
-    outcome = tile_job.run_jobs(d.spark, job, brightest, f"{scratch}/store", scratch, TILE, period="year")
+    # The output store starts empty.
+    cells.write(job.cells.filter(F.lit(False)), f"{scratch}/store", **SMALL_TILES)
+    outcome = tile_job.run_jobs(d.spark, job, brightest, f"{scratch}/store", scratch, TILE, **SMALL_TILES)
     return job, outcome, scratch
 
 
@@ -128,7 +128,7 @@ def tile_job_query(d):
 def tile_job_values(d):
     """Pixels the jobs stored, read back from the store."""
     _, _, scratch = run_job(d)
-    stored = cells.read(d.spark, f"{scratch}/store", "year").withColumn(
+    stored = cells.read(d.spark, f"{scratch}/store", **SMALL_TILES).withColumn(
         "order_id", (F.col("hpid") - 50000) * 25 + idiv(F.col("dt") - 20200101000000, 1000000)
     )
     # Zero is what clipped and unobserved pixels hold; values themselves start at 1.
