@@ -119,23 +119,26 @@ def unpack_tiles(
     type_code: int,
     skip: float | None = None,
     missing: float = 0,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Blocks to pixel rows ``(keys…, band, row, col, dn)``.
+    """Blocks to pixel rows ``(keys…, carry…, band, row, col, dn)``.
 
-    ``skip`` drops a fill value; a NULL block counts as one full of ``missing``.
+    ``skip`` drops a fill value; a NULL block counts as one full of ``missing``. Columns to ``carry``, such as the block itself,
+    leave Python once a tile and become columns of its pixels without a join.
     """
     dtype = numpy_type(type_code)
     size = bands * width * height
     at_once = max(1, WORKING_BYTES // (size * 32))
-    schema = T.StructType(
+    pixel = T.StructType(
         [
-            *fields_of(cells, keys),
             T.StructField("band", T.IntegerType()),
             T.StructField("row", T.IntegerType()),
             T.StructField("col", T.IntegerType()),
             T.StructField("dn", T.DoubleType()),
         ]
     )
+    schema = T.StructType([*fields_of(cells, keys), *pixel.fields])
+    lists = T.StructType([*fields_of(cells, [*keys, *carry]), T.StructField("pixels", T.ArrayType(pixel))])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = np.arange(size, dtype=np.int32)
@@ -154,12 +157,21 @@ def unpack_tiles(
                 if skip is not None:
                     keep = dn != skip
                     dn, owner, place = dn[keep], owner[keep], place[keep]
+                if carry:
+                    ends = np.append(0, np.cumsum(np.bincount(owner, minlength=part.num_rows))).astype(np.int32)
+                    found = pa.StructArray.from_arrays([pa.array(v) for v in (band[place], row[place], col[place], dn)], pixel.names)
+                    of_tiles = pa.ListArray.from_arrays(pa.array(ends), found)
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in (*keys, *carry)], of_tiles], lists.names)
+                    continue
                 taken = [part.column(k).take(pa.array(owner)) for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [*taken, pa.array(band[place]), pa.array(row[place]), pa.array(col[place]), pa.array(dn)],
                     schema.names,
                 )
 
+    if carry:
+        tiles = cells.select(*dict.fromkeys([*keys, *carry, "data"])).mapInArrow(unpack, lists)
+        return tiles.select(*keys, *carry, F.inline("pixels"))
     return cells.select(*keys, "data").mapInArrow(unpack, schema)
 
 

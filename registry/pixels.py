@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rastergrid.functions import pixel_types
 from rastergrid.functions.columns import idiv
+from rastergrid.joins import save
 from rastergrid.operators import pixels as px
 from rastergrid.operators import pyramid, regions, style
 from rastergrid.plans.export import block_rows, export_blocks
@@ -71,15 +72,16 @@ TYPED = [
 def pixel_types_query(d):
     """Pixels packed as every type of more than a byte, unpacked, and looked up in the blocks one by one."""
     results = None
-    rows = d.pixels()
+    # Positions that are not known have no tile to be looked up in.
+    rows = save(d.pixels().dropna(subset=CELL), "typed-pixels")
     for code, value, _ in TYPED:
         typed = rows.select(
             "hpid", "z", "y", "x", "dt", "band", (F.col("grow") % TILE).alias("row"), (F.col("gcol") % TILE).alias("col"), value(F.col("dn")).alias("dn")
         )
         tiles = px.pack_tiles(typed, CELL, 2, TILE, TILE, code, -9 if code in (3, 5, 6, 7) else 9)
-        pixels = px.unpack_tiles(tiles, CELL, 2, TILE, TILE, code, skip=-9 if code in (3, 5, 6, 7) else 9)
+        pixels = px.unpack_tiles(tiles, CELL, 2, TILE, TILE, code, skip=-9 if code in (3, 5, 6, 7) else 9, carry=("data",))
         looked = pixel_types.pixel_value("data", code, TILE, TILE, 2, "band", "row", "col")
-        both = px.with_level_position(pixels.join(tiles, CELL), TILE, TILE).select(
+        both = px.with_level_position(pixels, TILE, TILE).select(
             F.lit(code).alias("code"), "hpid", "dt", "band", "grow", "gcol", F.col("dn").cast("double").alias("dn"), looked.alias("looked_up")
         )
         results = both if results is None else results.unionByName(both)

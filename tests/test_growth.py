@@ -1,7 +1,9 @@
 """Stores and files whose cost must not grow with the number of planes, folders or files, on small tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from rastergrid.operators import pixels
 from rastergrid.sources import cells, orders, tile_files
 
 CELLS = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
@@ -79,3 +81,16 @@ def test_tile_files_of_other_dates_are_not_opened(spark, tmp_path):
     assert sorted((r.hpid, r.z, r.dt, bytes(r.data)) for r in read.collect()) == [(p, 1, d, bytes(b)) for _, p, _, _, _, d, b in rows if b[1] <= 3]
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "binaryFile" not in plan and "BinaryFile" not in plan
+
+
+def test_unpacked_pixels_carry_their_block(spark):
+    """Pixels with the block they came from equal those joined to their tiles; no join, no shuffle."""
+    rng = np.random.default_rng(3)
+    rows = [("t", p, 1, 0, 0, 5, bytearray(rng.integers(0, 4, 2 * 9).astype("<i2").tobytes())) for p in range(7)] + [("t", 7, 1, 0, 0, 5, None)]
+    tiles = spark.createDataFrame(rows, CELLS)
+    plain = pixels.unpack_tiles(tiles, cells.CELL, 2, 3, 3, 3, skip=2)
+    carried = pixels.unpack_tiles(tiles, cells.CELL, 2, 3, 3, 3, skip=2, carry=("data",))
+    joined = plain.join(tiles, cells.CELL).select(*carried.columns)
+    assert sorted(map(str, carried.collect())) == sorted(map(str, joined.collect()))
+    plan = carried._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
