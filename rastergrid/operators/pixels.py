@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,16 +36,47 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-def _run_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
-    """Positions where any key differs from the row before; position 0 included."""
+def run_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Positions where any key differs from the row before; position 0 included, and NULL equals NULL."""
     changed = np.zeros(batch.num_rows, dtype=bool)
     changed[0] = True
     for key in keys:
         values = _column(batch, key)
-        changed[1:] |= values[1:] != values[:-1]
+        differs = values[1:] != values[:-1]
+        if batch.column(key).null_count:
+            missing = batch.column(key).is_null().to_numpy(zero_copy_only=False)
+            differs &= ~(missing[1:] & missing[:-1])
+        changed[1:] |= differs
     return np.flatnonzero(changed)
 
 
+def block_lengths(column: pa.Array) -> np.ndarray:
+    """Bytes of each block of a column."""
+    return pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+
+
+def block_matrix(column: pa.Array, dtype: np.dtype) -> np.ndarray:
+    """Blocks of one length as the rows of one array, which shares their memory."""
+    lengths = block_lengths(column)
+    if column.null_count or (lengths != lengths[:1]).any():
+        raise ValueError("blocks are missing or differ in length")
+    if not lengths[:1].any():
+        return np.empty((len(column), 0), dtype)
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    first = int(np.frombuffer(offsets, kind)[column.offset])
+    taken = np.frombuffer(data, np.uint8, int(lengths.sum()), first)
+    return taken.view(dtype).reshape(len(column), -1)
+
+
+def block_array(blocks: np.ndarray) -> pa.Array:
+    """The blocks of an array whose first axis counts them, as a column of bytes."""
+    blocks = np.ascontiguousarray(blocks)
+    each = blocks.nbytes // max(1, len(blocks))
+    offsets = np.arange(len(blocks) + 1, dtype=np.int32) * np.int32(each)
+    return pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(offsets), pa.py_buffer(blocks)])
+
+
 def _key_at(batch: pa.RecordBatch, keys: list[str], row: int) -> tuple:
     return tuple(batch.column(key)[row].as_py() for key in keys)
 
@@ -57,10 +89,11 @@ def pack_tiles(
     height: int,
     type_code: int,
     fill: float,
+    largest: bool = False,
 ) -> DataFrame:
     """Pixel rows ``(keys…, band, row, col, dn)`` to one block per key.
 
-    Positions must be unique per key, which bounds a group by the size of a tile.
+    Positions must be unique per key, unless of several values at one the ``largest`` is to stay.
     Rows arrive sorted by key and are scattered many tiles at a time; a task holds
     a bounded number of open blocks.
     """
@@ -70,44 +103,41 @@ def pack_tiles(
     schema = T.StructType([*fields_of(pixels, keys), T.StructField("data", T.BinaryType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key_types: list = []
-        open_key, open_block = None, None
+        # The last tile of a batch may go on in the next one: its keys, as a batch of one row, and its block.
+        held, open_key, open_block = None, None, None
 
         def emit(found, blocks):
-            columns = [pa.array(list(c), type=t) for c, t in zip(zip(*found), key_types)]
-            data = pa.array([block.tobytes() for block in blocks], type=pa.binary())
-            return pa.RecordBatch.from_arrays([*columns, data], [*keys, "data"])
+            return pa.RecordBatch.from_arrays([*found.columns, block_array(blocks)], [*keys, "data"])
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            key_types = [batch.schema.field(k).type for k in keys]
-            starts = np.append(_run_starts(batch, keys), batch.num_rows)
+            named = batch.select(keys)
+            starts = np.append(run_starts(batch, keys), batch.num_rows)
             at = (_column(batch, "band").astype(np.int64) * height + _column(batch, "row")) * width
             at += _column(batch, "col")
             dn = _column(batch, "dn").astype(dtype)
             for first in range(0, len(starts) - 1, at_once):
                 bounds = starts[first : first + at_once + 1]
                 blocks = np.full((len(bounds) - 1, cells), fill, dtype)
-                found = [_key_at(batch, keys, int(s)) for s in bounds[:-1]]
-                done = []
-                if open_key is not None:
-                    if open_key == found[0]:
+                if held is not None:
+                    if open_key == _key_at(batch, keys, int(bounds[0])):
                         blocks[0] = open_block
                     else:
-                        done.append((open_key, open_block))
+                        yield emit(held, open_block[None])
                 lo, hi = bounds[0], bounds[-1]
                 owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                # Of a position that comes again the last value stays, which is the largest where values are in order.
                 blocks[owner, at[lo:hi]] = dn[lo:hi]
-                done.extend(zip(found[:-1], blocks[:-1]))
-                open_key, open_block = found[-1], blocks[-1].copy()
-                if done:
-                    yield emit(*zip(*done))
-        if open_key is not None:
-            yield emit([open_key], [open_block])
+                if len(bounds) > 2:
+                    yield emit(named.take(pa.array(bounds[:-2])), blocks[:-1])
+                held, open_key = named.take(pa.array(bounds[-2:-1])), _key_at(batch, keys, int(bounds[-2]))
+                open_block = blocks[-1].copy()
+        if held is not None:
+            yield emit(held, open_block[None])
 
     rows = pixels.select(*keys, "band", "row", "col", "dn")
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pack, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *(["dn"] if largest else [])).mapInArrow(pack, schema)
 
 
 def unpack_tiles(
@@ -195,12 +225,32 @@ def block_statistics(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lengths = block_lengths(batch.column("data"))
+            # Sums of small integers do not depend on their order.
+            if dtype.kind in "iu" and dtype.itemsize <= 4 and not batch.column("data").null_count and (lengths == lengths[:1]).all() and lengths[:1].any():
+                at_once = max(1, WORKING_BYTES // (int(lengths[0]) // dtype.itemsize * 16))
+                for first in range(0, batch.num_rows, at_once):
+                    part = batch.slice(first, at_once)
+                    numbers = matrix_numbers(block_matrix(part.column("data"), dtype), skip)
+                    yield pa.RecordBatch.from_arrays([*[part.column(k) for k in keys], *numbers], schema.names)
+                continue
             rows = [block_numbers(_values(cell, dtype, skip)) for cell in batch.column("data")]
             yield numbers_batch([batch.column(k) for k in keys], rows, schema.names)
 
     return cells.select(*keys, "data").mapInArrow(measure, schema)
 
 
+def matrix_numbers(blocks: np.ndarray, skip: float | None) -> list[pa.Array]:
+    """Count, sum, minimum and maximum of each row of a matrix of integers."""
+    limits = np.iinfo(blocks.dtype)
+    seen = np.ones(blocks.shape, bool) if skip is None else blocks != skip
+    n = seen.sum(axis=1)
+    low, high = (np.where(seen, blocks, edge) for edge in (limits.max, limits.min))
+    total = np.where(seen, blocks, 0).sum(axis=1, dtype=np.float64)
+    ends = [pa.array(v.astype(np.float64), mask=n == 0) for v in (low.min(axis=1), high.max(axis=1))]
+    return [pa.array(n.astype(np.int64)), pa.array(total), *ends]
+
+
 def _values(cell: pa.Scalar, dtype: np.dtype, skip: float | None) -> np.ndarray:
     if not cell.is_valid:
         return np.empty(0, dtype)
@@ -295,7 +345,8 @@ def composite_tiles(
 
     Blocks are folded in the map tasks first, then by (key, salt), then by key, so a
     tile holding a large share of all cells is reduced in parallel before it meets in
-    one place. Each step streams: a task keeps a bounded number of accumulators. Extremes travel as
+    one place. Each step streams: blocks of a key that stand in one batch are reduced together, and a task keeps a bounded
+    number of accumulators. Extremes travel as
     values of the source's type with a bit each, averages as sums and counts, in four bytes each for types of a byte.
     Averages are rounded half up for integer results; ``fill`` must be a value of the result's type.
     """
@@ -314,18 +365,27 @@ def composite_tiles(
         ]
     )
     extreme = {"min": np.minimum, "max": np.maximum}.get(method)
+    # What takes no part in an extreme.
+    limits = np.finfo(source) if source.kind == "f" else np.iinfo(source)
+    edge = source.type(limits.max if method == "min" else limits.min)
 
-    def read_cell(batch, row):
-        dn = np.frombuffer(batch.column("data")[row].as_buffer(), source)
+    def read_cells(batch):
+        dn = block_matrix(batch.column("data"), source)
         valid = (dn >= vmin) & (dn <= vmax)
         return (np.where(valid, dn, 0).astype(total), valid.astype("<i4")) if mean else (dn, valid)
 
-    def read_partial(batch, row):
-        value = np.frombuffer(batch.column("total")[row].as_buffer(), total)
-        seen = batch.column("seen")[row].as_buffer()
+    def read_partials(batch):
+        value = block_matrix(batch.column("total"), total)
         if mean:
-            return value, np.frombuffer(seen, "<i4")
-        return value, np.unpackbits(np.frombuffer(seen, np.uint8), count=len(value)).astype(bool)
+            return value, block_matrix(batch.column("seen"), np.dtype("<i4"))
+        bits = block_matrix(batch.column("seen"), np.dtype(np.uint8))
+        return value, np.unpackbits(bits, axis=1, count=value.shape[1]).astype(bool)
+
+    def reduced(value, seen, starts):
+        """Rows that stand together in one."""
+        if mean:
+            return np.add.reduceat(value, starts, axis=0, dtype=total), np.add.reduceat(seen, starts, axis=0, dtype=seen.dtype)
+        return extreme.reduceat(np.where(seen, value, edge), starts, axis=0), np.logical_or.reduceat(seen, starts, axis=0)
 
     def combine(mine, value, seen):
         if mean:
@@ -333,33 +393,48 @@ def composite_tiles(
         both = np.where(mine[1] & seen, extreme(mine[0], value), np.where(seen, value, mine[0]))
         return [both, mine[1] | seen]
 
-    def folded(batches, read, limit_bytes):
-        """Pairs of key and accumulators; every flush empties the table."""
+    def parts(batch, payload, in_order):
+        """Rows of blocks of one length, so many at a time as a task may hold."""
+        lengths = block_lengths(batch.column(payload))
+        if in_order:
+            bounds = [0, *(np.flatnonzero(np.diff(lengths)) + 1), batch.num_rows]
+            stretches = [batch.slice(lo, hi - lo) for lo, hi in zip(bounds, bounds[1:])]
+        else:
+            stretches = [batch.filter(pa.array(lengths == length)) for length in np.unique(lengths)]
+        for same in stretches:
+            at_once = max(1, WORKING_BYTES // max(1, 16 * block_lengths(same.column(payload).slice(0, 1))[0]))
+            for first in range(0, same.num_rows, at_once):
+                yield same.slice(first, at_once)
+
+    def folded(batches, read, payload, in_order):
+        """Tables of keys and accumulators. Rows in order of their keys give each key once; others may give it again after
+        a table got full."""
         table: dict[tuple, list] = {}
         held = 0
         for batch in batches:
-            for row in range(batch.num_rows):
-                key = _key_at(batch, keys, row)
-                value, seen = read(batch, row)
-                if key in table:
-                    table[key] = combine(table[key], value, seen)
-                    continue
-                size = value.nbytes + seen.nbytes
-                if table and held + size > limit_bytes:
-                    yield from table.items()
-                    table, held = {}, 0
-                table[key] = [value, seen]
-                held += size
-        yield from table.items()
-
-    def as_batch(key_types, key, salt, arrays, names):
-        columns = [pa.array([k], type=t) for k, t in zip(key, key_types)]
-        if salt is not None:
-            columns.append(pa.array([salt], type=pa.int32()))
-        columns += [pa.array([a.tobytes()], type=pa.binary()) for a in arrays]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    def stage(read, limit_bytes, final):
+            if not batch.num_rows:
+                continue
+            for part in parts(batch, payload, in_order):
+                if not in_order:
+                    codes = [part.column(k).dictionary_encode().indices.fill_null(-1).to_numpy() for k in keys]
+                    part = part.take(pa.array(np.lexsort(codes)))
+                starts = run_starts(part, keys)
+                value, seen = reduced(*read(part), starts)
+                names = zip(*(part.column(k).take(pa.array(starts)).to_pylist() for k in keys))
+                for key, one, bits in zip(names, value, seen):
+                    if key in table:
+                        table[key] = combine(table[key], one, bits)
+                        continue
+                    size = one.nbytes + bits.nbytes
+                    if table and held + size > WORKING_BYTES:
+                        yield table
+                        table, held = {}, 0
+                    table[key] = [one.copy(), bits.copy()]
+                    held += size
+        if table:
+            yield table
+
+    def stage(read, payload, in_order, final=False):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
@@ -371,28 +446,33 @@ def composite_tiles(
                     types[:] = [batch.schema.field(k).type for k in keys]
                     yield batch
 
-            for key, (value, seen) in folded(watched(), read, limit_bytes):
-                if final:
-                    result = value / np.maximum(seen, 1) if mean else value
-                    if mean and target.kind in "iu":
-                        result = np.floor(result + 0.5)
-                    block = np.where(seen > 0, result, fill).astype(target)
-                    yield as_batch(types, key, None, [block], [*keys, "data"])
-                else:
-                    yield as_batch(types, key, salt, [value, seen if mean else np.packbits(seen)], partial.names)
+            def of_one_length(table):
+                by_length: dict[int, list] = {}
+                for key, kept in table.items():
+                    by_length.setdefault(len(kept[0]), []).append((key, *kept))
+                return by_length.values()
+
+            for table in folded(watched(), read, payload, in_order):
+                for rows in of_one_length(table):
+                    found, value, seen = zip(*rows)
+                    value, seen = np.stack(value), np.stack(seen)
+                    columns = [pa.array(list(c), type=t) for c, t in zip(zip(*found), types)]
+                    if final:
+                        result = value / np.maximum(seen, 1) if mean else value
+                        if mean and target.kind in "iu":
+                            result = np.floor(result + 0.5)
+                        blocks = [np.where(seen > 0, result, fill).astype(target)]
+                    else:
+                        columns.append(pa.array([salt] * len(rows), type=pa.int32()))
+                        blocks = [value, seen if mean else np.packbits(seen, axis=1)]
+                    yield pa.RecordBatch.from_arrays([*columns, *map(block_array, blocks)], [*keys, "data"] if final else partial.names)
 
         return run
 
     done = T.StructType([*fields_of(cells, keys), T.StructField("data", T.BinaryType())])
-    mapped = cells.select(*keys, "data").mapInArrow(stage(read_cell, WORKING_BYTES, False), partial)
-    salted = (
-        mapped.repartition(*keys, "salt").sortWithinPartitions(*keys)
-        .mapInArrow(stage(read_partial, 0, False), partial)
-    )
-    return (
-        salted.repartition(*keys).sortWithinPartitions(*keys)
-        .mapInArrow(stage(read_partial, 0, True), done)
-    )
+    mapped = cells.select(*keys, "data").mapInArrow(stage(read_cells, "data", False), partial)
+    salted = mapped.repartition(*keys, "salt").sortWithinPartitions(*keys).mapInArrow(stage(read_partials, "total", True), partial)
+    return salted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(stage(read_partials, "total", True, final=True), done)
 
 
 def map_tiles(

@@ -144,18 +144,18 @@ def overviews(
     ``cells`` has ``keys…, z, y, x, data`` of one level. A pixel of a parent stands for four of its children: ``nearest``
     takes the first of them (top left), ``max`` and ``mean`` the largest and the average of those that are not
     ``fill`` (integers rounded half up); it is ``fill`` where none is, and so is a child that is not stored. At level 1 the two
-    tiles of the world fill the upper half of the only tile of level 0. Each level is made of the one below in one shuffle
-    of blocks that were halved in their tasks, a quarter of its size.
+    tiles of the world fill the upper half of the only tile of level 0. Each level is saved, the given one too, and made of the one
+    below in one shuffle of blocks that were halved in their tasks, a quarter of its size. Tiles go through numpy many at a time.
     """
     dtype = px.numpy_type(type_code)
     half = size // 2
     schema = T.StructType([*px.fields_of(cells, [*keys, "z", "y", "x"]), T.StructField("data", T.BinaryType())])
     piece = T.StructType([*schema.fields[:-1], T.StructField("corner", T.IntegerType()), schema.fields[-1]])
 
-    def halved(block: np.ndarray) -> np.ndarray:
+    def halved(blocks: np.ndarray) -> np.ndarray:
         if method == "nearest":
-            return block[:, ::2, ::2]
-        four = block.reshape(bands, half, 2, half, 2).transpose(0, 1, 3, 2, 4).reshape(bands, half, half, 4)
+            return blocks[:, :, ::2, ::2]
+        four = np.stack([blocks[:, :, r::2, c::2] for r in (0, 1) for c in (0, 1)], axis=-1)
         seen = four != fill
         if method == "max":
             low = np.finfo(dtype).min if dtype.kind == "f" else np.iinfo(dtype).min
@@ -165,26 +165,54 @@ def overviews(
             result = np.floor(result + 0.5) if dtype.kind in "iu" else result
         return np.where(seen.any(axis=-1), result, fill).astype(dtype)
 
+    # Tiles that a task takes together; a tile of averages needs some tens of bytes a pixel.
+    at_once = max(1, px.WORKING_BYTES // (bands * size * size * max(16, dtype.itemsize)))
+
     def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, at_once):
+                batch = whole.slice(first, at_once)
+                z, y, x = (batch.column(c).to_numpy() for c in ("z", "y", "x"))
+                blocks = px.block_matrix(batch.column("data"), dtype).reshape(-1, bands, size, size)
+                place = [pa.array(v.astype(np.int32)) for v in (z - 1, y >> 1, x >> 1)]
+                corner = pa.array(((y & 1) * 2 + (x & 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k) for k in keys], *place, corner, px.block_array(halved(blocks))], names=piece.names
+                )
+
+    def joined(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bounds = np.append(starts, batch.num_rows)
+        for first in range(0, len(starts), at_once):
+            some = bounds[first : first + at_once + 1]
+            part = batch.slice(some[0], some[-1] - some[0])
+            owner = np.repeat(np.arange(len(some) - 1), np.diff(some))
+            corner = part.column("corner").to_numpy()
+            quarters = px.block_matrix(part.column("data"), dtype).reshape(-1, bands, half, half)
+            blocks = np.full((len(some) - 1, bands, size, size), fill, dtype)
+            for k in range(4):
+                r, c = k // 2 * half, k % 2 * half
+                blocks[owner[corner == k], :, r : r + half, c : c + half] = quarters[corner == k]
+            found = batch.select(place).take(pa.array(some[:-1]))
+            yield pa.RecordBatch.from_arrays([*found.columns, px.block_array(blocks)], names=schema.names)
+
+    def join_four(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            z, y, x = (batch.column(c).to_numpy() for c in ("z", "y", "x"))
-            data = [halved(np.frombuffer(cell.as_buffer(), dtype).reshape(bands, size, size)).tobytes() for cell in batch.column("data")]
-            place = [pa.array(v.astype(np.int32)) for v in (z - 1, y >> 1, x >> 1)]
-            corner = pa.array(((y & 1) * 2 + (x & 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *place, corner, pa.array(data, pa.binary())], names=piece.names)
-
-    def join_four(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        whole = np.full((bands, size, size), fill, dtype)
-        for corner, data in zip(table.column("corner").to_pylist(), table.column("data")):
-            r, c = corner // 2 * half, corner % 2 * half
-            whole[:, r : r + half, c : c + half] = np.frombuffer(data.as_buffer(), dtype).reshape(bands, half, half)
-        columns = [pa.array([k.as_py()], type=k.type) for k in key]
-        return pa.Table.from_arrays([*columns, pa.array([whole.tobytes()], pa.binary())], names=schema.names)
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            # The quarters of the last tile may go on in the next batch.
+            starts = px.run_starts(batch, place)
+            held = batch.slice(starts[-1])
+            yield from joined(batch.slice(0, starts[-1]), starts[:-1])
+        if held is not None:
+            yield from joined(held, np.zeros(1, np.int64))
 
     place = [*keys, "z", "y", "x"]
-    level = cells.select(*place, "data").filter(F.col("data").isNotNull())
-    everything = level
+    level = everything = save(cells.select(*place, "data").filter(F.col("data").isNotNull()), "overview")
     for _ in range(levels):
-        level = save(level.filter("z > 0").mapInArrow(halve, piece).groupBy(*place).applyInArrow(join_four, schema), "overview")
+        quarters = level.filter("z > 0").mapInArrow(halve, piece)
+        level = save(quarters.repartition(*place).sortWithinPartitions(*place).mapInArrow(join_four, schema), "overview")
         everything = everything.unionByName(level)
     return everything

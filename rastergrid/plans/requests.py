@@ -34,16 +34,19 @@ def composite_requests(
     box, all with the same method, valid range and fill. ``dates``: the store's list of
     dates, where it keeps one.
     """
-    attributes = ["htable", "hpid", "startdt", "stopdt"]
-    extents = pyramid.bounded_extents(requests, ["request_id", *attributes])
-    tiles = pyramid.enumerate_tiles(extents, ["request_id", *attributes], size)
-    listed = store.listed_dates(cells) if dates is None else dates
-    stored = store.of_planes(cells, store.request_dates(requests, listed)).select(*store.CELL, "data")
-    found = never_broadcast(tiles).join(stored, store.TILE)
+    ranges = ["htable", "hpid", "startdt", "stopdt"]
+    extents = pyramid.bounded_extents(requests, ["request_id", *ranges])
+    tiles = save(pyramid.enumerate_tiles(extents, ["request_id", *ranges], size), "composite-tiles")
+    if dates is None:
+        cells = store.made_once(cells)
+        dates = store.listed_dates(cells)
+    # Requests that ask for the same dates of a tile share its composite, so a block is met once a range, not once a request.
+    asked = [*store.TILE, "startdt", "stopdt"]
+    stored = store.of_planes(cells, store.request_dates(requests, dates)).select(*store.CELL, "data")
+    found = never_broadcast(tiles.select(*asked).distinct()).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
-    return px.composite_tiles(
-        inside, ["request_id", "z", "y", "x"], method, vmin, vmax, fill, type_code, out_type
-    )
+    blocks = px.composite_tiles(inside, asked, method, vmin, vmax, fill, type_code, out_type)
+    return never_broadcast(tiles).join(blocks, asked).select("request_id", "z", "y", "x", "data")
 
 
 def _listed_numbers(known: DataFrame) -> DataFrame:
@@ -85,8 +88,10 @@ def zonal_requests(
         from_zones = _listed_numbers(known.filter("values IS NOT NULL"))
         # Covered tiles whose bands have too many values to list are read like border tiles.
         unlisted = known.filter("values IS NULL").select("request_id", *store.CELL).distinct()
-    listed = store.listed_dates(cells) if dates is None else dates
-    wanted = store.request_dates(requests, listed)
+    if dates is None:
+        cells = store.made_once(cells)
+        dates = store.listed_dates(cells)
+    wanted = store.request_dates(requests, dates)
     if zones is None:
         stored = store.of_planes(cells, wanted).select(*store.CELL, "data")
         found = never_broadcast(tiles).join(stored, store.TILE)

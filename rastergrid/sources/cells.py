@@ -159,6 +159,11 @@ def request_dates(requests: DataFrame, listed: DataFrame) -> DataFrame:
     return listed.join(ranges, ["htable", "hpid"]).filter(F.col("dt").between(F.col("startdt"), F.col("stopdt"))).select(*PLANE, "dt").distinct()
 
 
+def made_once(cells: DataFrame) -> DataFrame:
+    """Cells that several steps read: those of a store as they are, others saved first, so that each is made once."""
+    return cells if period_of(cells) is not None else save(cells.select(*CELL, "data"), "cells")
+
+
 def listed_dates(cells: DataFrame) -> DataFrame:
     """The dates of each plane from the cells' key columns, where no list is kept."""
     return cells.select(*PLANE, "dt").distinct()
@@ -190,7 +195,9 @@ def between(
     keys only; a cap is applied to keys, before blocks are read.
     """
     names = ["month", "day", "hour", "minute", "second"]
-    listed = listed_dates(cells) if listed is None else listed
+    if listed is None:
+        cells = made_once(cells)
+        listed = listed_dates(cells)
     possible = requests.join(listed, ["htable", "hpid"]).filter(
         F.col("dt").between(F.col("startdt"), F.col("stopdt"))
         & pt.passes("dt", *(F.col(n) for n in names))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rastergrid.functions.columns import idiv
 from rastergrid.operators import pixels as px
+from rastergrid.operators.pyramid import overviews
 
 TILE = 16
 LEVEL = 2
@@ -342,8 +343,8 @@ class Derived:
             ).alias("ds_text"),
         )
 
-    def pixels(self) -> DataFrame:
-        """One row per pixel observation, in positions of the whole level."""
+    def observations(self) -> DataFrame:
+        """All observations of pixels, in positions of the whole level; a pixel may have several of a month."""
         grow = _int((F.col("l_orderkey") * 7 + F.col("l_suppkey")) % 32)
         gcol = _int((F.col("l_partkey") * 13 + F.col("l_linenumber")) % 64)
         return (
@@ -359,41 +360,31 @@ class Derived:
                 gcol.alias("gcol"),
                 F.col("l_quantity").cast("int").cast("double").alias("dn"),
             )
-            .groupBy("hpid", "z", "y", "x", "band", "dt", "grow", "gcol")
-            .agg(F.max("dn").alias("dn"))
         )
 
-    def pyramid_pixels(self) -> DataFrame:
-        """The pixels with two coarser levels, each the maximum of what it covers."""
-        k = F.col("k")
-
-        def up(name):
-            return F.call_function("shiftright", F.col(name), k)
-
-        return (
-            self.pixels().withColumn("k", F.explode(F.array(*map(F.lit, range(LEVEL + 1)))))
-            .select(
-                "hpid", _int(F.lit(LEVEL) - k).alias("z"), _int(idiv(up("grow"), TILE)).alias("y"),
-                _int(idiv(up("gcol"), TILE)).alias("x"), "band", "dt", up("grow").alias("grow"), up("gcol").alias("gcol"), "dn",
-            )
-            .groupBy("hpid", "z", "y", "x", "band", "dt", "grow", "gcol")
-            .agg(F.max("dn").alias("dn"))
-        )
+    def pixels(self) -> DataFrame:
+        """One row per observed pixel and month, its largest value."""
+        return self.observations().groupBy("hpid", "z", "y", "x", "band", "dt", "grow", "gcol").agg(F.max("dn").alias("dn"))
 
     def tile_cells(self, pyramid: bool = False) -> DataFrame:
-        """The pixels packed as two-band u8 blocks, 255 where nothing was observed."""
+        """The pixels packed as two-band u8 blocks, 255 where nothing was observed; of a pyramid the coarser levels too.
+
+        Observations meet once, where their tile is packed. Coarser levels are made of blocks, not of pixels.
+        """
         packed = px.pack_tiles(
-            (self.pyramid_pixels() if pyramid else self.pixels()).select(
+            self.observations().select(
                 "hpid", "z", "y", "x", "dt", "band",
                 (F.col("grow") % TILE).alias("row"),
                 (F.col("gcol") % TILE).alias("col"),
                 "dn",
             ),
             keys=["hpid", "z", "y", "x", "dt"],
-            bands=2, width=TILE, height=TILE, type_code=1, fill=255,
+            bands=2, width=TILE, height=TILE, type_code=1, fill=255, largest=True,
         )
+        if pyramid:
+            packed = overviews(packed, ["hpid", "dt"], LEVEL, 2, TILE, 1, "max", 255)
         return packed.select(
-            F.concat(F.lit("ht"), (F.col("hpid") % 5).cast("string")).alias("htable"), "*"
+            F.concat(F.lit("ht"), (F.col("hpid") % 5).cast("string")).alias("htable"), "hpid", "z", "y", "x", "dt", "data"
         )
 
     def roi_segments(self) -> DataFrame:

@@ -250,7 +250,7 @@ def zonal_zones(d):
     """The same over wide regions, whose inner tiles are answered from the zone table without their blocks."""
     tiles = save(d.tile_cells(pyramid=True), "zone-cells")
     zones = save(px.zone_table(tiles, cells.CELL, TILE, 1), "zone-table")
-    return requests.zonal_requests(zonal_asked(d), tiles, wide_segments(d), TILE, 1, zones=zones).filter("n > 0")
+    return requests.zonal_requests(zonal_asked(d), tiles, wide_segments(d), TILE, 1, cells.listed_dates(tiles), zones).filter("n > 0")
 
 
 @query("job_results", """

@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from rastergrid.operators import pixels
+from rastergrid.operators import pixels, pyramid, regions
+from rastergrid.plans import requests
 from rastergrid.sources import cells, orders, tile_files
 
 CELLS = "htable string, hpid int, z int, y int, x int, dt bigint, data binary"
@@ -94,3 +95,57 @@ def test_unpacked_pixels_carry_their_block(spark):
     assert sorted(map(str, carried.collect())) == sorted(map(str, joined.collect()))
     plan = carried._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def _counted(spark, rows, schema=CELLS):
+    """A table of ``rows`` made in a task, and the count of the rows that were made so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return spark.createDataFrame(rows, schema).repartition(2, "hpid", "x", "dt").mapInArrow(count, schema), seen
+
+
+def test_requests_share_composites_of_cells_made_once(spark):
+    """Requests for the same dates of a tile get one composite; cells are made once though their dates are listed too."""
+    rng = np.random.default_rng(5)
+    rows = [("t", p, 1, 0, x, d, bytearray(rng.integers(0, 60, 8).astype(np.uint8).tobytes())) for p in range(2) for x in range(2) for d in range(20200, 20212)]
+    made, seen = _counted(spark, rows)
+    spans = {1: (20200, 20204), 2: (20200, 20204), 3: (20203, 20211), 4: (20300, 20301)}
+    asked = spark.createDataFrame(
+        [(p * 10 + r, "t", p, *span, 0, 1, 1, 0.0, 0.0, 0.0, 0.0) for p in range(2) for r, span in spans.items()],
+        "request_id int, htable string, hpid int, startdt bigint, stopdt bigint, usebound int, zmin int, zmax int, left double, right double, top double, bottom double",
+    )
+    for method, fold in (("max", np.max), ("min", np.min), ("ave", np.mean)):
+        seen.value = 0
+        got = requests.composite_requests(asked, made, method, 5, 45, 0, 2, 1).collect()
+        assert seen.value == len(rows)
+        assert len(got) == 2 * 3 * 2 and {r.request_id % 10 for r in got} == {1, 2, 3}
+        for r in got:
+            start, stop = spans[r.request_id % 10]
+            series = np.array([np.frombuffer(bytes(c[6]), np.uint8) for c in rows if c[1] == r.request_id // 10 and c[4] == r.x and start <= c[5] <= stop])
+            want = [int(np.floor(fold(v[(v >= 5) & (v <= 45)]) + 0.5)) if ((v >= 5) & (v <= 45)).any() else 0 for v in series.T]
+            assert list(r.data) == want
+
+
+def test_composites_of_several_sizes_and_batches(spark):
+    """Keys whose rows go on in further batches come out once, blocks may differ in size between keys, nothing seen gives the fill."""
+    rng = np.random.default_rng(6)
+    rows = [("t", k, 1, 0, 0, d, bytearray(rng.integers(-40, 40, 4 + 4 * (k % 3)).astype("<i2").tobytes())) for k in range(30) for d in range(40)]
+    cells_ = spark.createDataFrame(rows, CELLS)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for method, fold in (("max", np.max), ("min", np.min)):
+            got = pixels.composite_tiles(cells_, ["hpid"], method, -20, 20, -99, 3).collect()
+            assert sorted(r.hpid for r in got) == list(range(30))
+            for r in got:
+                series = np.array([np.frombuffer(bytes(c[6]), "<i2") for c in rows if c[1] == r.hpid])
+                want = [fold(v[abs(v) <= 20]) for v in series.T]
+                assert np.frombuffer(bytes(r.data), "<i2").tolist() == want
+        assert {bytes(r.data) for r in pixels.composite_tiles(cells_.filter("hpid = 0"), ["hpid"], "max", 90, 99, -1, 3).collect()} == {b"\xff" * 8}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
