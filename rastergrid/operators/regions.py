@@ -17,10 +17,14 @@ from pyspark.sql.window import Window
 
 from ..functions import grid, texts
 from ..functions.columns import ColumnLike, as_column, idiv
-from ..joins import broadcast_if_small
+from ..joins import broadcast_if_small, never_broadcast, save
 from .pixels import WORKING_BYTES, fields_of, numbers_batch, block_numbers, numpy_type
 
 
+# Crossings of polygons with pixel rows that one task gets.
+CROSSINGS = 1 << 18
+
+
 def merge_segments(segments: DataFrame) -> DataFrame:
     """Join overlapping and touching segments of one region row, so pixels count once."""
     row = ["roi_id", "level", "grow"]
@@ -273,7 +277,8 @@ def polygon_segments(
     ``vertices`` has ``roi_id, ring, seq, lon, lat`` with ``seq`` counting up by one;
     rings close by themselves. Every edge is expanded to the pixel rows whose centre
     line it crosses. Crossings that fall between the same two centres cancel in pairs,
-    so what is ordered per row is bounded by the width of the level.
+    so what is ordered per row is bounded by the width of the level. Edges are saved and their crossings counted, so that
+    tasks get so many of them each, however few files or partitions the vertices came from.
     """
     degrees = 360.0 / (2**level * size)
     columns = 2**level * size
@@ -295,16 +300,20 @@ def polygon_segments(
     ).select(
         *ring, "last.px", "last.py", F.col("first.px").alias("qx"), F.col("first.py").alias("qy")
     )
-    edges = corners.join(ends, [*ring, "seq"]).drop("seq").unionByName(closing).filter("py <> qy")
+    edges = never_broadcast(corners).join(ends, [*ring, "seq"]).drop("seq").unionByName(closing).filter("py <> qy")
     # An edge covers the row centres in [min, max), so shared corners count once.
     first = F.greatest(F.ceil(F.least("py", "qy") - 0.5), F.lit(0)).cast("int")
     last = F.least(F.ceil(F.greatest("py", "qy") - 0.5) - 1, F.lit(rows - 1)).cast("int")
     share = (F.col("grow") + 0.5 - F.col("py")) * (F.col("qx") - F.col("px")) / (F.col("qy") - F.col("py"))
     column = F.greatest(F.lit(0), F.least(F.lit(columns), F.ceil(F.col("px") + share - 0.5)))
+    crossing = save(edges.withColumns({"r0": first, "r1": last}).filter("r0 <= r1").drop("ring"), "edges")
+    count = crossing.agg(F.coalesce(F.sum(F.col("r1").cast("bigint") - F.col("r0") + 1), F.lit(0))).first()[0]
+    tasks = max(vertices.sparkSession.sparkContext.defaultParallelism, -(-count // CROSSINGS))
+    # One shuffle by pixel row serves the cancelling and the pairing.
     toggles = (
-        edges.withColumns({"r0": first, "r1": last}).filter("r0 <= r1")
-        .select("*", F.explode(F.sequence("r0", "r1")).alias("grow"))
-        .groupBy("roi_id", "grow", column.cast("int").alias("x0"))
+        crossing.withColumn("grow", F.explode(F.sequence("r0", "r1")))
+        .select("roi_id", "grow", column.cast("int").alias("x0")).repartition(tasks, "roi_id", "grow")
+        .groupBy("roi_id", "grow", "x0")
         .agg((F.count(F.lit(1)) % 2).alias("odd")).filter("odd = 1")
     )
     order = Window.partitionBy("roi_id", "grow").orderBy("x0")
