@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..joins import never_broadcast, save
+from ..joins import broadcast_if_small, never_broadcast, save
 from ..operators import pixels as px
 from ..operators import pyramid, regions
 from ..sources import cells as store
@@ -80,7 +80,8 @@ def zonal_requests(
     wanted = segments.join(levels, "roi_id")
     region_tiles = regions.cover_tiles(wanted, "zlevel", "zlevel", size)
     limits = ["bsq", "vmin", "vmax", "valid_min", "valid_max", "nodata"]
-    tiles = requests.withColumnRenamed("zlevel", "z").join(region_tiles, ["roi_id", "z"])
+    # Requests may be many more than tiles of regions, which are measured; a join of guessed sizes would broadcast the requests.
+    tiles = requests.withColumnRenamed("zlevel", "z").join(broadcast_if_small(region_tiles), ["roi_id", "z"])
     from_zones = None
     if zones is not None:
         tiles = save(tiles, "zonal-tiles")
@@ -117,11 +118,12 @@ def zonal_requests(
         masks = regions.MaskCache(size, size)
         for batch in batches:
             rows = []
-            for i in range(batch.num_rows):
-                place = tuple(batch.column(c)[i].as_py() for c in ("roi_id", "z", "y", "x"))
-                bsq, vmin, vmax, low, high, nodata = (batch.column(c)[i].as_py() for c in limits)
-                mask = masks.get(place, batch.column("segments")[i], batch.column("covered")[i])
-                block = np.frombuffer(batch.column("data")[i].as_buffer(), dtype)
+            places = zip(*(batch.column(c).to_pylist() for c in ("roi_id", "z", "y", "x")))
+            ranges = zip(*(batch.column(c).to_pylist() for c in limits))
+            tiles = zip(*(batch.column(c) for c in ("segments", "covered", "data")))
+            for place, (bsq, vmin, vmax, low, high, nodata), (segments, covered, data) in zip(places, ranges, tiles):
+                mask = masks.get(place, segments, covered)
+                block = np.frombuffer(data.as_buffer(), dtype)
                 values = block.reshape(-1, size, size)[bsq][mask]
                 keep = (values >= max(vmin, low)) & (values <= min(vmax, high)) & (values != nodata)
                 rows.append(px.block_numbers(values[keep]))

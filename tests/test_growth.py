@@ -149,3 +149,35 @@ def test_composites_of_several_sizes_and_batches(spark):
         assert {bytes(r.data) for r in pixels.composite_tiles(cells_.filter("hpid = 0"), ["hpid"], "max", 90, 99, -1, 3).collect()} == {b"\xff" * 8}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_crossings_bound_the_tasks_of_polygons(spark, monkeypatch):
+    """Tasks grow with the crossings of all polygons, whatever the partitions of the vertices; one shuffle serves pairs and cancelling."""
+    ring = [(-170.0, 80.0), (-20.0, 75.0), (-90.0, 10.0), (-100.0, -60.0)]
+    rows = [(f"p{k}", 0, n, lon + k, lat) for k in range(40) for n, (lon, lat) in enumerate(ring)]
+    vertices = spark.createDataFrame(rows, "roi_id string, ring int, seq int, lon double, lat double").coalesce(1)
+    plain = regions.polygon_segments(vertices, 3, 16)
+    crossings = sum(r.x1 - r.x0 + 1 for r in plain.collect())
+    assert crossings
+    monkeypatch.setattr(regions, "CROSSINGS", 64)
+    spread = regions.polygon_segments(vertices, 3, 16)
+    assert sorted(spread.collect()) == sorted(plain.collect())
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange") == 1 and "BroadcastHashJoin" not in plan
+    tasks = spread.selectExpr("spark_partition_id() AS t").distinct().count()
+    assert tasks > 2 * spark.sparkContext.defaultParallelism
+
+
+def test_requests_are_not_broadcast(spark):
+    """Of zonal requests and tiles of regions the measured tiles are broadcast, and cells without a list of dates are made once."""
+    block = bytearray(np.arange(4, dtype=np.uint8).tobytes())
+    made, seen = _counted(spark, [("t", 1, 1, 0, x, d, block) for x in range(2) for d in (5, 6, 9)])
+    asked = spark.createDataFrame(
+        [(r, "a", "t", 1, 0, 1, 5, 6, 0.0, 9.0, 0.0, 9.0, 8.0, "max") for r in range(50)],
+        "request_id int, roi_id string, htable string, hpid int, bsq int, zlevel int, startdt bigint, stopdt bigint, vmin double, vmax double, valid_min double, valid_max double, nodata double, method string",
+    )
+    segments = spark.createDataFrame([("a", 1, 0, 1, 2)], "roi_id string, level int, grow int, x0 int, x1 int")
+    found = requests.zonal_requests(asked, made, segments, 2, 1)
+    assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted((r, d, 2, 0.0, 1.0, 0.5, 1.0) for r in range(50) for d in (5, 6))
+    assert seen.value == 6
