@@ -340,9 +340,14 @@ def composite_tiles(
     type_code: int,
     out_type: int | None = None,
     fan_in: int = 16,
+    askers: DataFrame | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """The composite of packed tiles, one block per key.
 
+    With ``askers``, rows with the ``keys`` that they ask for and their own key ``by``, the blocks of each key are folded once for
+    all of them, and one block per ``by`` is returned, of all that its rows ask for.
+
     Blocks are folded in the map tasks first, then by (key, salt), then by key, so a
     tile holding a large share of all cells is reduced in parallel before it meets in
     one place. Each step streams: blocks of a key that stand in one batch are reduced together, and a task keeps a bounded
@@ -406,7 +411,7 @@ def composite_tiles(
             for first in range(0, same.num_rows, at_once):
                 yield same.slice(first, at_once)
 
-    def folded(batches, read, payload, in_order):
+    def folded(batches, keys, read, payload, in_order):
         """Tables of keys and accumulators. Rows in order of their keys give each key once; others may give it again after
         a table got full."""
         table: dict[tuple, list] = {}
@@ -434,7 +439,7 @@ def composite_tiles(
         if table:
             yield table
 
-    def stage(read, payload, in_order, final=False):
+    def stage(keys, read, payload, in_order, final=False):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
@@ -452,7 +457,7 @@ def composite_tiles(
                     by_length.setdefault(len(kept[0]), []).append((key, *kept))
                 return by_length.values()
 
-            for table in folded(watched(), read, payload, in_order):
+            for table in folded(watched(), keys, read, payload, in_order):
                 for rows in of_one_length(table):
                     found, value, seen = zip(*rows)
                     value, seen = np.stack(value), np.stack(seen)
@@ -469,10 +474,12 @@ def composite_tiles(
 
         return run
 
-    done = T.StructType([*fields_of(cells, keys), T.StructField("data", T.BinaryType())])
-    mapped = cells.select(*keys, "data").mapInArrow(stage(read_cells, "data", False), partial)
-    salted = mapped.repartition(*keys, "salt").sortWithinPartitions(*keys).mapInArrow(stage(read_partials, "total", True), partial)
-    return salted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(stage(read_partials, "total", True, final=True), done)
+    mapped = cells.select(*keys, "data").mapInArrow(stage(keys, read_cells, "data", False), partial)
+    partials = mapped.repartition(*keys, "salt").sortWithinPartitions(*keys).mapInArrow(stage(keys, read_partials, "total", True), partial)
+    if askers is not None:
+        partials, keys = never_broadcast(askers).join(partials, keys).select(*by, "total", "seen"), by
+    done = T.StructType([*fields_of(partials, keys), T.StructField("data", T.BinaryType())])
+    return partials.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(stage(keys, read_partials, "total", True, final=True), done)
 
 
 def map_tiles(

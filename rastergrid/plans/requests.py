@@ -45,8 +45,9 @@ def composite_requests(
     stored = store.of_planes(cells, store.request_dates(requests, dates)).select(*store.CELL, "data")
     found = never_broadcast(tiles.select(*asked).distinct()).join(stored, store.TILE)
     inside = found.filter(F.col("dt").between(F.col("startdt"), F.col("stopdt")))
-    blocks = px.composite_tiles(inside, asked, method, vmin, vmax, fill, type_code, out_type)
-    return never_broadcast(tiles).join(blocks, asked).select("request_id", "z", "y", "x", "data")
+    return px.composite_tiles(
+        inside, asked, method, vmin, vmax, fill, type_code, out_type, askers=tiles, by=["request_id", "z", "y", "x"]
+    )
 
 
 def _listed_numbers(known: DataFrame) -> DataFrame:

@@ -114,19 +114,20 @@ def test_requests_share_composites_of_cells_made_once(spark):
     rng = np.random.default_rng(5)
     rows = [("t", p, 1, 0, x, d, bytearray(rng.integers(0, 60, 8).astype(np.uint8).tobytes())) for p in range(2) for x in range(2) for d in range(20200, 20212)]
     made, seen = _counted(spark, rows)
-    spans = {1: (20200, 20204), 2: (20200, 20204), 3: (20203, 20211), 4: (20300, 20301)}
+    # The third comes twice and the fifth asks for two ranges, which are folded together.
+    spans = {1: [(20200, 20204)], 2: [(20200, 20204)], 3: [(20203, 20211)] * 2, 4: [(20300, 20301)], 5: [(20200, 20204), (20203, 20206)]}
     asked = spark.createDataFrame(
-        [(p * 10 + r, "t", p, *span, 0, 1, 1, 0.0, 0.0, 0.0, 0.0) for p in range(2) for r, span in spans.items()],
+        [(p * 10 + r, "t", p, *span, 0, 1, 1, 0.0, 0.0, 0.0, 0.0) for p in range(2) for r, some in spans.items() for span in some],
         "request_id int, htable string, hpid int, startdt bigint, stopdt bigint, usebound int, zmin int, zmax int, left double, right double, top double, bottom double",
     )
     for method, fold in (("max", np.max), ("min", np.min), ("ave", np.mean)):
         seen.value = 0
         got = requests.composite_requests(asked, made, method, 5, 45, 0, 2, 1).collect()
         assert seen.value == len(rows)
-        assert len(got) == 2 * 3 * 2 and {r.request_id % 10 for r in got} == {1, 2, 3}
+        assert len(got) == 2 * 4 * 2 and {r.request_id % 10 for r in got} == {1, 2, 3, 5}
         for r in got:
-            start, stop = spans[r.request_id % 10]
-            series = np.array([np.frombuffer(bytes(c[6]), np.uint8) for c in rows if c[1] == r.request_id // 10 and c[4] == r.x and start <= c[5] <= stop])
+            tile = [c for c in rows if c[1] == r.request_id // 10 and c[4] == r.x]
+            series = np.array([np.frombuffer(bytes(c[6]), np.uint8) for start, stop in spans[r.request_id % 10] for c in tile if start <= c[5] <= stop])
             want = [int(np.floor(fold(v[(v >= 5) & (v <= 45)]) + 0.5)) if ((v >= 5) & (v <= 45)).any() else 0 for v in series.T]
             assert list(r.data) == want
 
@@ -181,3 +182,46 @@ def test_requests_are_not_broadcast(spark):
     assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, found.collect())) == sorted((r, d, 2, 0.0, 1.0, 0.5, 1.0) for r in range(50) for d in (5, 6))
     assert seen.value == 6
+
+
+def test_overviews_make_the_given_level_once(spark):
+    """Three levels of many tiles, quarters cut between batches, against single pixels; the given cells are made once."""
+    rng = np.random.default_rng(8)
+    rows = [("t", p, 2, y, x, 5, bytearray(rng.integers(250, 256, 16).astype(np.uint8).tobytes())) for p in range(40) for y in range(2) for x in range(4) if rng.random() < 0.7]
+    made, seen = _counted(spark, rows)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = pyramid.overviews(made, ["hpid"], 2, 1, 4, 1, "max", 255).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert seen.value == len(rows)
+    want = {}
+    for _, p, z, y, x, _, data in rows:
+        for up in range(3):
+            tile = want.setdefault((p, z - up, y >> up, x >> up), {})
+            for n, v in enumerate(data):
+                at = ((y * 4 + n // 4) >> up) % 4 * 4 + ((x * 4 + n % 4) >> up) % 4
+                tile[at] = max(tile.get(at, -1), v if v != 255 else -1)
+    assert len(got) == len(want)
+    for r in got:
+        tile = want[(r.hpid, r.z, r.y, r.x)]
+        assert list(r.data) == [255 if tile.get(n, -1) < 0 else tile[n] for n in range(16)]
+
+
+def test_packing_keeps_the_largest_value(spark):
+    """Of several values of a pixel the largest stays; a tile whose key is partly NULL is one block."""
+    rows = [(1, 0, 0, 0, 3.0), (1, 0, 0, 0, 9.0), (1, 0, 0, 0, 4.0), (1, 0, 1, 1, 7.0), (None, 0, 0, 1, 2.0), (None, 0, 0, 1, 6.0), (None, 0, 0, 0, 5.0)]
+    table = spark.createDataFrame(rows, "k int, band int, row int, col int, dn double").repartition(3, "dn")
+    got = pixels.pack_tiles(table, ["k"], 1, 2, 2, 1, 255, largest=True).collect()
+    assert sorted(((r.k, list(r.data)) for r in got), key=str) == [(1, [9, 255, 255, 7]), (None, [5, 6, 255, 255])]
+
+
+def test_series_without_a_list_of_dates_make_cells_once(spark):
+    """Dates, the cap and blocks come from cells that were made once."""
+    made, seen = _counted(spark, [("t", p, 1, 0, 0, 20200000000000 + d * 10**8, bytearray([p, d])) for p in range(5) for d in range(1, 8)])
+    asked = spark.createDataFrame([(p, "t", p, 1, 0, 0) for p in range(4)], "rid int, htable string, hpid int, z int, y int, x int").selectExpr(
+        "*", "20200200000000L startdt", "20200700000000L stopdt", *(f"-1 {n}" for n in ("month", "day", "hour", "minute", "second")))
+    got = cells.between(made, asked, ["rid"], 3).collect()
+    assert sorted((r.rid, bytes(r.data)) for r in got) == [(p, bytes([p, d])) for p in range(4) for d in (2, 3, 4)]
+    assert seen.value == 35
