@@ -42,6 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def portions(batches, rows: int = 1024):
+    """Arrow batches cut to so many rows, so that what Python makes of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def mark_table(keys: DataFrame, key: str) -> DataFrame:
     """The hash bits of the given long keys, one row of 4 KiB for each 32,768 bits that has any.
 

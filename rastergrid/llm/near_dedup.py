@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mark_table, save, with_mark
+from .common import components, mark_table, portions, save, with_mark
 from .shingles import Permutations, shingle_set
 
 COORDINATES = 64
@@ -52,7 +52,7 @@ def _parity(shingles: np.ndarray) -> np.ndarray:
 
 def _signatures(batches, coordinates: int, seed: int):
     permutations = Permutations(coordinates, seed)
-    for batch in batches:
+    for batch in portions(batches):
         counts, keys, signatures = [], [], []
         for text in batch.column("text").to_pylist():
             shingles = shingle_set(text)
@@ -69,7 +69,7 @@ def _signatures(batches, coordinates: int, seed: int):
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in portions(batches):
         found = [shingle_set(text) for text in batch.column("text").to_pylist()]
         offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
         values = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)

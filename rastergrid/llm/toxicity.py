@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import portions
+
 BITS = 20
 # Labelled rows to learn from, at most: those with the least hash of their doc_id.
 TRAIN_ROWS = 14_000
@@ -27,7 +29,7 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.001
 THRESHOLD = 0.7
 SEED = 5
 _WORD = re.compile(r"\w+")
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 100_000
 
 
 @dataclass
@@ -116,7 +118,7 @@ def train(
 
     def features(batches):
         make = Features(bits)
-        for batch in batches:
+        for batch in portions(batches):
             sets = [np.unique(make.of(t)).astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id"), batch.column("label"), pa.array(sets, pa.binary())], names=["id", "label", "places"]
@@ -168,7 +170,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def scored(batches):
         model_, table = held.value, held.value.dense()
         make = Features(model_.bits)
-        for batch in batches:
+        for batch in portions(batches):
             values = np.empty(batch.num_rows)
             for k, text in enumerate(batch.column(text_at).to_pylist()):
                 places = make.of(text or "")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rastergrid.llm import (
     chat, exact_dedup, fingerprints, html_text, labelled_pages, mixing, near_dedup, pieces, quality, sharding, shingles, toxicity,
 )
-from rastergrid.llm.common import components, plain
+from rastergrid.llm.common import components, plain, portions
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string"
 
@@ -262,6 +262,21 @@ def test_pieces_equal_the_library(llm_spark, odd):
     assert {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
 
 
+def test_python_sees_few_rows_at_a_time():
+    """Signatures, sets and scores of a batch come in portions, with the same rows in the same order."""
+    import pyarrow as pa
+
+    texts = [f"one two three four five six {k % 700}" for k in range(2500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2500)), "text": texts})
+    signed, sets = list(near_dedup._signatures([batch], 8, 1)), list(near_dedup._sets([batch]))
+    for found in (signed, sets):
+        assert max(b.num_rows for b in found) <= 1024
+        assert [i for b in found for i in b.column("doc_id").to_pylist()] == list(range(2500))
+        keys = [k for b in found for k in b.column("set_key").to_pylist()]
+        assert keys[:700] == keys[700:1400] and len(set(keys)) == 700
+    assert [b.num_rows for b in portions([batch.slice(0, 0)])] == []
+
+
 def test_html(llm_spark):
     body = "<p>Some words &amp; more of them, in\n a  row.<p>Second <b>part</b> of it<br>goes on &lt;here&gt;."
     html = (
