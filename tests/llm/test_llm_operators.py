@@ -262,6 +262,36 @@ def test_pieces_equal_the_library(llm_spark, odd):
     assert {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
 
 
+def test_pieces_of_parts_checked_together(monkeypatch):
+    """Many groups of parts and generations of the cache; nothing is held after a task, and a wrong id is noticed."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.read_model(path)
+    for name, size in (("_CACHE_PARTS", 40), ("_MERGE_CHARS", 50), ("_CHECK_CHARS", 30), ("_CHARS_AT_ONCE", 200)):
+        monkeypatch.setattr(pieces, name, size)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["the ", "of", " a", "▁", "\n", "日本", "🎉", "é", "ing", "x" * 70, "\t", "\x00", "7"], k=rng.randrange(40))) for _ in range(1500)]
+    texts += [None, "", " ", "\n", "▁", " " * 90, "ab" * 500]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    got = list(pieces._encoded([batch], model, ["doc_id"], "text"))
+    rows = [row for part in got for row in part.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts))) and len(got) > 1
+    for row, text in zip(rows, texts):
+        ids = library.encode(text or "")
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    assert not pieces.coder_of(model).cache and not pieces.coder_of(model).old
+    coder = pieces.PieceCoder(model)
+    right = coder._merged
+    monkeypatch.setattr(coder, "_merged", lambda parts: [ids[::-1] if p == " verywrong" else ids for p, ids in zip(parts, right(parts))])
+    with pytest.raises(ValueError, match="differ"):
+        coder.encode("that is verywrong here")
+
+
 def test_python_sees_few_rows_at_a_time():
     """Signatures, sets and scores of a batch come in portions, with the same rows in the same order."""
     import pyarrow as pa
