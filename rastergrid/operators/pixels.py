@@ -77,8 +77,50 @@ def block_array(blocks: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(offsets), pa.py_buffer(blocks)])
 
 
-def _key_at(batch: pa.RecordBatch, keys: list[str], row: int) -> tuple:
-    return tuple(batch.column(key)[row].as_py() for key in keys)
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _halves(name: str) -> list[Column]:
+    """A long as two doubles, each of which holds its 32 bits exactly."""
+    return [F.shiftright(name, 32).cast("double"), F.col(name).bitwiseAND(F.lit(0xFFFFFFFF)).cast("double")]
+
+
+def _long(halves: np.ndarray) -> np.ndarray:
+    """The longs that ``_halves`` made, of the two columns of an array; 0 where they are missing."""
+    known = np.where(np.isfinite(halves), halves, 0).astype(np.int64)
+    return (known[:, 0] << 32) | known[:, 1]
+
+
+def _key_starts(numbers: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
+    """Positions where a row of ``numbers`` or a code differs from the one before; position 0 included."""
+    changed = np.ones(len(numbers), bool)
+    changed[1:] = (numbers[1:] != numbers[:-1]).any(axis=1)
+    for code in codes:
+        changed[1:] |= code[1:] != code[:-1]
+    return np.flatnonzero(changed)
+
+
+class _OpenTile:
+    """A tile that may go on in the next batch: its keys, as a batch of one row, and the value at each position so far."""
+
+    def __init__(self, named: pa.RecordBatch, cells: int):
+        self.named, self.dn, self.rank = named, np.zeros(cells), np.zeros(cells, np.int8)
+
+    def add(self, at: np.ndarray, dn: np.ndarray, known: np.ndarray, largest: bool) -> None:
+        """Rows that come later; of ``largest`` ones each comes after all smaller rows of its position."""
+        at = np.where(at < 0, at + len(self.dn), at)
+        place, last = np.unique(at[::-1], return_index=True)
+        value, rank = dn[::-1][last], np.where(known[::-1][last], 2, 1)
+        if largest:
+            before, level = self.dn[place], self.rank[place]
+            higher = (rank > level) | ((rank == level) & ((value >= before) | np.isnan(value)))
+            place, value, rank = place[higher], value[higher], rank[higher]
+        self.dn[place], self.rank[place] = value, rank
+
+    def block(self, fill: float, dtype: np.dtype) -> np.ndarray:
+        block, seen = np.full((1, len(self.dn)), fill, dtype), self.rank > 0
+        block[0, seen] = self.dn[seen].astype(dtype)
+        return block
 
 
 def pack_tiles(
@@ -94,17 +136,41 @@ def pack_tiles(
     """Pixel rows ``(keys…, band, row, col, dn)`` to one block per key.
 
     Positions must be unique per key, unless of several values at one the ``largest`` is to stay.
-    Rows arrive sorted by key and are scattered many tiles at a time; a task holds
-    a bounded number of open blocks.
+    Rows arrive sorted by one hash of their key, which takes no comparisons of rows, and are scattered many
+    tiles at a time; keys of equal hashes are told apart here. A task holds a bounded number of open blocks. Whole
+    numbers travel to Python as one array column: Spark measures each column of a batch again for every row.
     """
     dtype = numpy_type(type_code)
     cells = bands * width * height
     at_once = max(1, WORKING_BYTES // (cells * dtype.itemsize))
-    schema = T.StructType([*fields_of(pixels, keys), T.StructField("data", T.BinaryType())])
+    key_fields = fields_of(pixels, keys)
+    schema = T.StructType([*key_fields, T.StructField("data", T.BinaryType())])
+    whole = [f.name for f in key_fields if isinstance(f.dataType, WHOLE)]
+    others = [k for k in keys if k not in whole]
+    # The hash, the keys that are whole numbers, the position and the value.
+    numbers, places = _halves("hash_"), {}
+    for field in key_fields:
+        if field.name in whole:
+            parts = _halves(field.name) if isinstance(field.dataType, T.LongType) else [F.col(field.name).cast("double")]
+            places[field.name] = (len(numbers), len(numbers) + len(parts))
+            numbers = [*numbers, *parts]
+    end = len(numbers)
+    numbers = [*numbers, F.col("at_").cast("double"), F.col("dn").cast("double")]
+    kinds = {T.ByteType: pa.int8(), T.ShortType: pa.int16(), T.IntegerType: pa.int32(), T.LongType: pa.int64()}
+    types = {f.name: kinds[type(f.dataType)] for f in key_fields if f.name in whole}
+
+    def key_column(batch, matrix, key, rows):
+        if key not in places:
+            return batch.column(key).take(pa.array(rows))
+        first, stop = places[key]
+        found = matrix[rows, first:stop]
+        missing = np.isinf(found[:, 0])
+        values = _long(found) if stop - first == 2 else np.where(missing, 0, found[:, 0]).astype(np.int64)
+        return pa.array(values, pa.int64(), mask=missing).cast(types[key])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The last tile of a batch may go on in the next one: its keys, as a batch of one row, and its block.
-        held, open_key, open_block = None, None, None
+        # The tiles of the last hash of a batch, by key.
+        open_hash, open_tiles = None, {}
 
         def emit(found, blocks):
             return pa.RecordBatch.from_arrays([*found.columns, block_array(blocks)], [*keys, "data"])
@@ -112,32 +178,68 @@ def pack_tiles(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            named = batch.select(keys)
-            starts = np.append(run_starts(batch, keys), batch.num_rows)
-            at = (_column(batch, "band").astype(np.int64) * height + _column(batch, "row")) * width
-            at += _column(batch, "col")
-            dn = _column(batch, "dn").astype(dtype)
-            for first in range(0, len(starts) - 1, at_once):
-                bounds = starts[first : first + at_once + 1]
-                blocks = np.full((len(bounds) - 1, cells), fill, dtype)
-                if held is not None:
-                    if open_key == _key_at(batch, keys, int(bounds[0])):
-                        blocks[0] = open_block
-                    else:
-                        yield emit(held, open_block[None])
-                lo, hi = bounds[0], bounds[-1]
-                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                # Of a position that comes again the last value stays, which is the largest where values are in order.
-                blocks[owner, at[lo:hi]] = dn[lo:hi]
-                if len(bounds) > 2:
-                    yield emit(named.take(pa.array(bounds[:-2])), blocks[:-1])
-                held, open_key = named.take(pa.array(bounds[-2:-1])), _key_at(batch, keys, int(bounds[-2]))
-                open_block = blocks[-1].copy()
-        if held is not None:
-            yield emit(held, open_block[None])
-
-    rows = pixels.select(*keys, "band", "row", "col", "dn")
-    return rows.repartition(*keys).sortWithinPartitions(*keys, *(["dn"] if largest else [])).mapInArrow(pack, schema)
+            values = batch.column("numbers_").flatten()
+            matrix = values.to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            known = np.ones(batch.num_rows, bool)
+            if values.null_count:
+                missing = values.is_null().to_numpy(zero_copy_only=False).reshape(matrix.shape)
+                if missing[:, end].any():
+                    raise IndexError("the band, row or column of a pixel is missing")
+                known = ~missing[:, end + 1]
+                # No whole number is infinite, and a missing key equals a missing key.
+                matrix = np.where(missing & (np.arange(matrix.shape[1]) < end), np.inf, matrix)
+            codes = [pc.dictionary_encode(batch.column(k), null_encoding="encode").indices.to_numpy() for k in others]
+
+            hashes, starts = _key_starts(matrix[:, :2], []), _key_starts(matrix[:, :end], codes)
+            if len(starts) != len(hashes):
+                # Keys of one hash: their rows are brought together, in the order in which they came.
+                run = np.repeat(np.arange(len(hashes)), np.diff(np.append(hashes, len(matrix))))
+                order = np.lexsort((*codes, *matrix[:, 2:end].T, run))
+                batch, matrix, known, codes = batch.take(pa.array(order)), matrix[order], known[order], [c[order] for c in codes]
+                starts = _key_starts(matrix[:, :end], codes)
+            named = pa.RecordBatch.from_arrays([key_column(batch, matrix, k, starts) for k in keys], keys)
+            bounds = np.append(starts, len(matrix))
+            at, dn = matrix[:, end].astype(np.int64), matrix[:, end + 1]
+            if (outside := (at < -cells) | (at >= cells)).any():
+                raise IndexError(f"position {at[outside][0]} is outside a tile of {cells}")
+
+            def ordered(lo, hi):
+                """Rows so that of a position the one that stays comes last: the largest, a missing value before all others."""
+                if not largest:
+                    return np.arange(lo, hi)
+                return lo + (np.argsort(dn[lo:hi]) if known[lo:hi].all() else np.lexsort((dn[lo:hi], known[lo:hi])))
+
+            def hold(first, stop):
+                for k in range(first, stop):
+                    rows, key = ordered(bounds[k], bounds[k + 1]), tuple(c[k].as_py() for c in named.columns)
+                    open_tiles.setdefault(key, _OpenTile(named.slice(k, 1), cells)).add(at[rows], dn[rows], known[rows], largest)
+
+            first_of_last = int(np.searchsorted(starts, hashes[-1]))
+            first_hash, last_hash = (tuple(matrix[r, :2]) for r in (0, -1))
+            done = 0
+            if open_hash == first_hash:
+                done = len(starts) if len(hashes) == 1 else int(np.searchsorted(starts, hashes[1]))
+                hold(0, done)
+            if open_hash != last_hash:
+                for tile in open_tiles.values():
+                    yield emit(tile.named, tile.block(fill, dtype))
+                open_hash, open_tiles = last_hash, {}
+                for first in range(done, first_of_last, at_once):
+                    stop = min(first + at_once, first_of_last)
+                    lo, hi = bounds[first], bounds[stop]
+                    blocks = np.full((stop - first, cells), fill, dtype)
+                    owner = np.repeat(np.arange(stop - first), np.diff(bounds[first : stop + 1]))
+                    rows = ordered(lo, hi)
+                    blocks[owner[rows - lo], at[rows]] = dn[rows].astype(dtype)
+                    yield emit(named.slice(first, stop - first), blocks)
+                hold(max(done, first_of_last), len(starts))
+        for tile in open_tiles.values():
+            yield emit(tile.named, tile.block(fill, dtype))
+
+    position = (F.col("band").cast("bigint") * height + F.col("row")) * width + F.col("col")
+    rows = pixels.select(*keys, position.cast("bigint").alias("at_"), "dn").repartition(*keys)
+    rows = rows.withColumn("hash_", F.xxhash64(*keys)).sortWithinPartitions("hash_")
+    return rows.select(*others, F.array(*numbers).alias("numbers_")).mapInArrow(pack, schema)
 
 
 def unpack_tiles(

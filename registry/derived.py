@@ -355,7 +355,7 @@ class Derived:
                 _int(idiv(grow, TILE)).alias("y"),
                 _int(idiv(gcol, TILE)).alias("x"),
                 (F.col("l_linenumber") % 2).alias("band"),
-                (F.date_format("l_shipdate", "yyyyMM").cast("bigint") * 100000000).alias("dt"),
+                ((F.year("l_shipdate").cast("bigint") * 100 + F.month("l_shipdate")) * 100000000).alias("dt"),
                 grow.alias("grow"),
                 gcol.alias("gcol"),
                 F.col("l_quantity").cast("int").cast("double").alias("dn"),

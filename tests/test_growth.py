@@ -225,3 +225,38 @@ def test_series_without_a_list_of_dates_make_cells_once(spark):
     got = cells.between(made, asked, ["rid"], 3).collect()
     assert sorted((r.rid, bytes(r.data)) for r in got) == [(p, bytes([p, d])) for p in range(4) for d in (2, 3, 4)]
     assert seen.value == 35
+
+
+def test_packing_tells_keys_of_one_hash_apart(spark, monkeypatch):
+    """Tiles go on over many batches and their hashes are equal: one block a key, largest values, whatever the kinds of keys."""
+    rows = [(k, s, d, 0, p // 4, p % 4, float((p * 7 + v * 3 + (k or 0)) % 90))
+            for k in (3, None, -5) for s in ("a", None) for d in (20200100000000, -(1 << 62) - 1) for p in range(0, 16, 3) for v in range(4)]
+    rows.append((3, "a", 20200100000000, 0, 0, 0, None))
+    table = spark.createDataFrame(rows, "k int, s string, d bigint, band int, row int, col int, dn double").repartition(5)
+    want = {}
+    for k, s, d, _, r, c, v in rows:
+        tile = want.setdefault((k, s, d), [255] * 16)
+        tile[r * 4 + c] = v if tile[r * 4 + c] == 255 else max(tile[r * 4 + c], v or 0)
+
+    def packed():
+        got = pixels.pack_tiles(table, ["k", "s", "d"], 1, 4, 4, 1, 255, largest=True).collect()
+        assert len(got) == len(want) and {(r.k, r.s, r.d): list(r.data) for r in got} == want
+
+    packed()
+    monkeypatch.setattr(pixels.F, "xxhash64", lambda *names: F.lit(7).cast("bigint") + F.col("k").isNull().cast("bigint"))
+    packed()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        packed()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_packing_sorts_one_column_and_sends_few(spark):
+    """No comparison of rows decides the order, and the number of columns that go to Python does not grow with the keys."""
+    table = spark.createDataFrame([(1, 2, 3, 4, 5, 0, 0, 0, 1.0)], "hpid int, z int, y int, x int, dt bigint, band int, row int, col int, dn double")
+    plan = pixels.pack_tiles(table, ["hpid", "z", "y", "x", "dt"], 1, 2, 2, 1, 255, largest=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [hash_" in plan and plan.count("ASC") == 1
+    sent = [line for line in plan.splitlines() if "numbers_" in line and "Project" in line]
+    assert len(sent) == 1 and sent[0].count(" AS ") == 1
