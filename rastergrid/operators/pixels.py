@@ -101,26 +101,23 @@ def _key_starts(numbers: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
 
 
 class _OpenTile:
-    """A tile that may go on in the next batch: its keys, as a batch of one row, and the value at each position so far."""
+    """A tile that may go on in the next batch: its keys, as a batch of one row, its block and the value at each position so far."""
 
-    def __init__(self, named: pa.RecordBatch, cells: int):
-        self.named, self.dn, self.rank = named, np.zeros(cells), np.zeros(cells, np.int8)
+    def __init__(self, named: pa.RecordBatch, empty: np.ndarray):
+        self.named, self.block = named, empty
+        self.dn, self.rank = np.zeros(empty.shape[1]), np.zeros(empty.shape[1], np.int8)
 
-    def add(self, at: np.ndarray, dn: np.ndarray, known: np.ndarray, largest: bool) -> None:
+    def add(self, at: np.ndarray, dn: np.ndarray, stored: np.ndarray, known: np.ndarray, largest: bool) -> None:
         """Rows that come later; of ``largest`` ones each comes after all smaller rows of its position."""
         at = np.where(at < 0, at + len(self.dn), at)
         place, last = np.unique(at[::-1], return_index=True)
-        value, rank = dn[::-1][last], np.where(known[::-1][last], 2, 1)
+        last = len(at) - 1 - last
+        rank = np.where(known[last], 2, 1)
         if largest:
             before, level = self.dn[place], self.rank[place]
-            higher = (rank > level) | ((rank == level) & ((value >= before) | np.isnan(value)))
-            place, value, rank = place[higher], value[higher], rank[higher]
-        self.dn[place], self.rank[place] = value, rank
-
-    def block(self, fill: float, dtype: np.dtype) -> np.ndarray:
-        block, seen = np.full((1, len(self.dn)), fill, dtype), self.rank > 0
-        block[0, seen] = self.dn[seen].astype(dtype)
-        return block
+            higher = (rank > level) | ((rank == level) & ((dn[last] >= before) | np.isnan(dn[last])))
+            place, last, rank = place[higher], last[higher], rank[higher]
+        self.dn[place], self.rank[place], self.block[0, place] = dn[last], rank, stored[last]
 
 
 def pack_tiles(
@@ -199,7 +196,8 @@ def pack_tiles(
                 starts = _key_starts(matrix[:, :end], codes)
             named = pa.RecordBatch.from_arrays([key_column(batch, matrix, k, starts) for k in keys], keys)
             bounds = np.append(starts, len(matrix))
-            at, dn = matrix[:, end].astype(np.int64), matrix[:, end + 1]
+            at, dn = matrix[:, end].astype(np.int64), np.ascontiguousarray(matrix[:, end + 1])
+            stored = dn.astype(dtype)
             if (outside := (at < -cells) | (at >= cells)).any():
                 raise IndexError(f"position {at[outside][0]} is outside a tile of {cells}")
 
@@ -212,7 +210,9 @@ def pack_tiles(
             def hold(first, stop):
                 for k in range(first, stop):
                     rows, key = ordered(bounds[k], bounds[k + 1]), tuple(c[k].as_py() for c in named.columns)
-                    open_tiles.setdefault(key, _OpenTile(named.slice(k, 1), cells)).add(at[rows], dn[rows], known[rows], largest)
+                    if key not in open_tiles:
+                        open_tiles[key] = _OpenTile(named.slice(k, 1), np.full((1, cells), fill, dtype))
+                    open_tiles[key].add(at[rows], dn[rows], stored[rows], known[rows], largest)
 
             first_of_last = int(np.searchsorted(starts, hashes[-1]))
             first_hash, last_hash = (tuple(matrix[r, :2]) for r in (0, -1))
@@ -222,7 +222,7 @@ def pack_tiles(
                 hold(0, done)
             if open_hash != last_hash:
                 for tile in open_tiles.values():
-                    yield emit(tile.named, tile.block(fill, dtype))
+                    yield emit(tile.named, tile.block)
                 open_hash, open_tiles = last_hash, {}
                 for first in range(done, first_of_last, at_once):
                     stop = min(first + at_once, first_of_last)
@@ -230,11 +230,11 @@ def pack_tiles(
                     blocks = np.full((stop - first, cells), fill, dtype)
                     owner = np.repeat(np.arange(stop - first), np.diff(bounds[first : stop + 1]))
                     rows = ordered(lo, hi)
-                    blocks[owner[rows - lo], at[rows]] = dn[rows].astype(dtype)
+                    blocks[owner[rows - lo], at[rows]] = stored[rows]
                     yield emit(named.slice(first, stop - first), blocks)
                 hold(max(done, first_of_last), len(starts))
         for tile in open_tiles.values():
-            yield emit(tile.named, tile.block(fill, dtype))
+            yield emit(tile.named, tile.block)
 
     position = (F.col("band").cast("bigint") * height + F.col("row")) * width + F.col("col")
     rows = pixels.select(*keys, position.cast("bigint").alias("at_"), "dn").repartition(*keys)

@@ -228,9 +228,9 @@ def cell_upsert(d):
     raised = px.map_tiles(
         year, cells.CELL, lambda tile: tile + (tile != FILL), 2, TILE, TILE, 1
     ).select(*cells.CELL, "data")
-    added = raised.withColumn("dt", F.col("dt") + 15000000)
+    both = raised.withColumn("dt", F.explode(F.array("dt", F.col("dt") + 15000000)))
     stale = year.withColumn("seq", F.lit(0))
-    changes = stale.unionByName(raised.unionByName(added).withColumn("seq", F.lit(1)))
+    changes = stale.unionByName(both.withColumn("seq", F.lit(1)))
     cells.upsert(d.spark, path, changes, "seq", **SMALL_TILES)
     return totals(cells.read(d.spark, path, **SMALL_TILES), ["hpid", "dt"])
 
